@@ -244,3 +244,28 @@ FROM scored""")
 _seg_rows = ", ".join(
     "('{}', {}, '{}')".format(n.replace("'", "''"), i, a.replace("'", "''")) for i, (n, a) in enumerate(SEGMENTS))
 cte("seg_dim", f"SELECT * FROM (VALUES {_seg_rows}) AS t(segment, segment_order, action)")
+
+# ---------------------------------------------------------------- cohorts
+cte("cust_cohort", """
+SELECT customer_unique_id, CAST(date_trunc('month', min(order_purchase_timestamp)) AS DATE) AS cohort_month
+FROM om GROUP BY customer_unique_id""")
+cte("cohort_tab", """
+SELECT o.*, c.cohort_month,
+       (year(o.order_month) - year(c.cohort_month)) * 12 + (month(o.order_month) - month(c.cohort_month)) AS month_index
+FROM om o JOIN cust_cohort c ON o.customer_unique_id = c.customer_unique_id""")
+cte("cohort_size", "SELECT cohort_month, count(*) AS customers FROM cust_cohort GROUP BY cohort_month")
+cte("last_month", "SELECT max(order_month) AS lm FROM om")
+cte("first_rep", """
+SELECT customer_unique_id, min(cohort_month) AS cohort_month, min(month_index) AS month_index
+FROM cohort_tab WHERE month_index > 0 GROUP BY customer_unique_id""")
+cte("cum_rep", """
+SELECT g.cohort_month, g.month_index, g.customers, coalesce(r.n, 0) AS repeaters,
+       sum(coalesce(r.n, 0)) OVER (PARTITION BY g.cohort_month ORDER BY g.month_index
+                                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_repeaters
+FROM (SELECT s.cohort_month, s.customers, m.month_index FROM cohort_size s
+      CROSS JOIN (SELECT DISTINCT month_index FROM first_rep) m) g
+LEFT JOIN (SELECT cohort_month, month_index, count(*) AS n FROM first_rep GROUP BY 1, 2) r
+  ON g.cohort_month = r.cohort_month AND g.month_index = r.month_index""")
+cte("cum_rep_obs", """
+SELECT c.*, 100.0 * c.cum_repeaters / c.customers AS pct FROM cum_rep c CROSS JOIN last_month l
+WHERE c.month_index <= (year(l.lm) - year(c.cohort_month)) * 12 + (month(l.lm) - month(c.cohort_month))""")

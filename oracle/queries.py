@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.ctes import rnd, sql
+from oracle.ctes import STATUSES, WEND1, WSTART, P, rnd, sql
 
 ORACLE: dict[str, str] = {}
 
@@ -147,3 +147,247 @@ CROSS JOIN (SELECT count(*) AS n, sum(monetary) AS rv FROM seg) t
 @o("agg14", "joi16")
 def _agg14():
     return sql(SUMMARY)
+
+
+# ---------------------------------------------------------------- ledger
+def _ledger_sql() -> str:
+    parts = []
+
+    def rows(base, table, counts_sql, reasons, kinds):
+        prev, out = "c0", []
+        for i, (reason, kind) in enumerate(zip(reasons, kinds)):
+            cur = f"c{i + 1}"
+            before = cur if kind == "note" else prev
+            esc = reason.replace("'", "''")
+            out.append(f"SELECT {base + i} AS step_id, '{table}' AS table_name, '{esc}' AS reason, "
+                       f"CAST({before} AS BIGINT) AS rows_before, CAST({cur} AS BIGINT) AS rows_after FROM ({counts_sql})")
+            if kind != "note":
+                prev = cur
+        parts.extend(out)
+
+    rows(100, "customers",
+         "SELECT (SELECT count(*) FROM r_customers) AS c0, "
+         "(SELECT count(*) FROM (SELECT DISTINCT * FROM r_customers)) AS c1, "
+         "(SELECT count(*) FROM (SELECT DISTINCT * FROM r_customers) WHERE customer_id IS NOT NULL AND customer_unique_id IS NOT NULL) AS c2",
+         ["exact duplicate rows", "null customer_unique_id"], ["drop", "drop"])
+    rows(200, "orders",
+         "SELECT (SELECT count(*) FROM r_orders) AS c0, (SELECT count(*) FROM (SELECT DISTINCT * FROM r_orders)) AS c1, "
+         "(SELECT count(DISTINCT order_id) FROM r_orders) AS c2, "
+         f"(SELECT count(*) FROM d_orders WHERE order_status IN ({STATUSES})) AS c3, "
+         f"(SELECT count(*) FROM d_orders WHERE order_status IN ({STATUSES}) AND order_purchase_timestamp IS NOT NULL) AS c4, "
+         f"(SELECT count(*) FROM d_orders WHERE order_status IN ({STATUSES}) AND order_purchase_timestamp IS NOT NULL "
+         f"AND order_purchase_timestamp >= {WSTART} AND order_purchase_timestamp <= {WEND1}) AS c5, "
+         "(SELECT count(*) FROM c_orders) AS c6",
+         ["exact duplicate rows", "duplicate order_id", f"status not in {list(P.revenue_statuses)}",
+          "null purchase timestamp", f"outside analysis window {P.window_start}..{P.window_end}",
+          "delivered before purchased"], ["drop"] * 6)
+    rows(300, "order_items",
+         "SELECT (SELECT count(*) FROM r_items) AS c0, (SELECT count(*) FROM (SELECT DISTINCT * FROM r_items)) AS c1, "
+         "(SELECT count(*) FROM (SELECT DISTINCT order_id, order_item_id FROM r_items)) AS c2, "
+         "(SELECT count(*) FROM d_items WHERE price IS NOT NULL AND product_id IS NOT NULL AND order_id IS NOT NULL) AS c3, "
+         "(SELECT count(*) FROM d_items WHERE price IS NOT NULL AND product_id IS NOT NULL AND order_id IS NOT NULL AND price > 0) AS c4, "
+         "(SELECT count(*) FROM d_items WHERE price IS NOT NULL AND product_id IS NOT NULL AND order_id IS NOT NULL AND price > 0 AND freight_value < 0) AS c5",
+         ["exact duplicate rows", "duplicate (order_id, order_item_id)", "null price or product_id", "price <= 0",
+          "negative freight clipped to 0"], ["drop", "drop", "drop", "drop", "note"])
+    rows(400, "order_payments",
+         "SELECT (SELECT count(*) FROM r_payments) AS c0, (SELECT count(*) FROM (SELECT DISTINCT * FROM r_payments)) AS c1, "
+         "(SELECT count(*) FROM (SELECT DISTINCT order_id, payment_sequential FROM r_payments)) AS c2, "
+         "(SELECT count(*) FROM c_payments) AS c3",
+         ["exact duplicate rows", "duplicate (order_id, payment_sequential)", "null payment_value"], ["drop"] * 3)
+    rows(500, "order_reviews",
+         "SELECT (SELECT count(*) FROM r_reviews) AS c0, (SELECT count(*) FROM (SELECT DISTINCT * FROM r_reviews)) AS c1, "
+         "(SELECT count(*) FROM (SELECT DISTINCT * FROM r_reviews) WHERE review_score IS NOT NULL AND order_id IS NOT NULL) AS c2, "
+         "(SELECT count(*) FROM c_reviews) AS c3",
+         ["exact duplicate rows", "null review_score", "collapsed to mean score per order"], ["drop"] * 3)
+    rows(600, "products",
+         "SELECT (SELECT count(*) FROM r_products) AS c0, (SELECT count(*) FROM (SELECT DISTINCT * FROM r_products)) AS c1, "
+         "(SELECT count(DISTINCT product_id) FROM r_products) AS c2, "
+         "(SELECT count(*) FROM d_products WHERE product_category_name IS NULL) AS c3",
+         ["exact duplicate rows", "duplicate product_id", "null category -> 'unknown'"], ["drop", "drop", "note"])
+    parts.append("SELECT 650 AS step_id, 'products' AS table_name, 'no EN translation -> kept PT name' AS reason, "
+                 "CAST(count(*) AS BIGINT) AS rows_before, CAST(count(*) AS BIGINT) AS rows_after FROM d_products p "
+                 "LEFT JOIN c_translation t ON coalesce(p.product_category_name, 'unknown') = t.product_category_name "
+                 "WHERE t.product_category_name_english IS NULL")
+    rows(700, "sellers",
+         "SELECT (SELECT count(*) FROM r_sellers) AS c0, (SELECT count(*) FROM (SELECT DISTINCT * FROM r_sellers)) AS c1, "
+         "(SELECT count(DISTINCT seller_id) FROM r_sellers) AS c2",
+         ["exact duplicate rows", "duplicate seller_id"], ["drop", "drop"])
+    rows(800, "transactions",
+         "SELECT (SELECT count(*) FROM c_items) AS c0, "
+         "(SELECT count(*) FROM c_items i JOIN c_orders o ON i.order_id = o.order_id) AS c1",
+         ["items whose order was filtered out"], ["drop"])
+    rows(801, "transactions",
+         "SELECT (SELECT count(*) FROM c_items i JOIN c_orders o ON i.order_id = o.order_id) AS c0, "
+         "(SELECT count(*) FROM tx) AS c1",
+         ["orders with no matching customer"], ["drop"])
+    body = "\nUNION ALL\n".join(parts)
+    return sql(f"SELECT step_id, table_name, reason, rows_before, rows_after, rows_before - rows_after AS dropped, "
+               f"{rnd('CASE WHEN rows_before > 0 THEN 100.0 * (rows_before - rows_after) / rows_before ELSE 0.0 END', 'pct')} "
+               f"FROM ({body})")
+
+
+ORACLE["fil12"] = _ledger_sql()
+
+CURVE = """
+SELECT t.d AS within_days, {a}, {g}
+FROM (SELECT date_diff('microsecond', lag(order_purchase_timestamp) OVER (PARTITION BY customer_unique_id
+             ORDER BY order_purchase_timestamp, order_id), order_purchase_timestamp) / 86400000000.0 AS gap
+      FROM {src}) x
+CROSS JOIN (VALUES (30), (60), (90), (120), (180), (270), (365)) AS t(d)
+WHERE gap IS NOT NULL GROUP BY t.d"""
+
+
+@o("agg13")
+def _agg13():
+    return sql(CURVE.format(a=rnd("avg(CASE WHEN gap <= t.d THEN 100.0 ELSE 0.0 END)", "pct_all_gaps"),
+                            g=rnd("avg(CASE WHEN gap >= 1 THEN CASE WHEN gap <= t.d THEN 100.0 ELSE 0.0 END END)",
+                                  "pct_genuine_repurchases"), src="om"))
+
+
+@o("win2")
+def _win2():
+    src = ("(SELECT event_id AS order_id, user_id AS customer_unique_id, ts AS order_purchase_timestamp "
+           "FROM events WHERE event_type = 'purchase')")
+    return sql(CURVE.format(a=rnd("avg(CASE WHEN gap <= t.d THEN 100.0 ELSE 0.0 END)", "pct_all_gaps"),
+                            g=rnd("avg(CASE WHEN gap >= 1 THEN CASE WHEN gap <= t.d THEN 100.0 ELSE 0.0 END END)",
+                                  "pct_genuine_repurchases"), src=src))
+
+
+@o("agg15")
+def _agg15():
+    return sql(f"""
+SELECT customers, repeat_by_orders, repeat_by_occasions, split_basket_customers,
+       {rnd('100.0 * repeat_by_orders / nullif(customers, 0)', 'pct_repeat_by_orders')},
+       {rnd('100.0 * repeat_by_occasions / nullif(customers, 0)', 'pct_repeat_by_occasions')},
+       {rnd('100.0 * split_basket_customers / nullif(customers, 0)', 'pct_split_basket')}
+FROM (SELECT count(*) AS customers, count(*) FILTER (WHERE n_orders > 1) AS repeat_by_orders,
+             count(*) FILTER (WHERE frequency > 1) AS repeat_by_occasions,
+             count(*) FILTER (WHERE split_basket) AS split_basket_customers FROM rfm)""")
+
+
+# ---------------------------------------------------------------- KPIs
+@o("agg4")
+def _agg4():
+    return sql(f"""
+SELECT CASE WHEN n_orders = 0 THEN 0.0 ELSE {rnd('total_revenue', 'x')[:-5]} END AS total_revenue,
+       n_orders, n_customers,
+       CASE WHEN n_orders = 0 THEN 0.0 ELSE {rnd('aov', 'x')[:-5]} END AS aov,
+       CASE WHEN n_orders = 0 THEN 0.0 ELSE {rnd('repeat_purchase_rate', 'x')[:-5]} END AS repeat_purchase_rate,
+       CASE WHEN n_orders = 0 THEN 0.0 ELSE {rnd('total_revenue / nullif(n_customers, 0)', 'x')[:-5]} END AS revenue_per_customer,
+       CASE WHEN n_orders = 0 THEN 0.0 ELSE {rnd('avg_items_per_order', 'x')[:-5]} END AS avg_items_per_order,
+       CASE WHEN n_orders = 0 THEN 0.0 ELSE {rnd('avg_review_score', 'x')[:-5]} END AS avg_review_score,
+       CASE WHEN n_orders = 0 THEN 0.0 ELSE {rnd('late_delivery_rate', 'x')[:-5]} END AS late_delivery_rate
+FROM (SELECT sum(order_revenue) AS total_revenue, count(*) AS n_orders, avg(order_revenue) AS aov,
+             avg(n_items) AS avg_items_per_order, avg(review_score) AS avg_review_score,
+             avg(CAST(delivered_late AS DOUBLE)) * 100.0 AS late_delivery_rate FROM om) o
+CROSS JOIN (SELECT count(*) AS n_customers, avg(CASE WHEN occ > 1 THEN 100.0 ELSE 0.0 END) AS repeat_purchase_rate
+            FROM (SELECT customer_unique_id, count(DISTINCT CAST(order_purchase_timestamp AS DATE)) AS occ
+                  FROM om GROUP BY 1)) c""")
+
+
+@o("agg5", "agg6", "win1", "joi10")
+def _agg5():
+    return sql(f"""
+SELECT order_month, {rnd('revenue', 'revenue')}, orders, customers, {rnd('aov', 'aov')}, {rnd('avg_review', 'avg_review')},
+       {rnd('late_rate', 'late_rate')}, new_customer_orders, {rnd('new_customer_revenue', 'new_customer_revenue')},
+       {rnd('revenue / customers', 'revenue_per_customer')}, orders - new_customer_orders AS returning_orders,
+       {rnd('revenue - new_customer_revenue', 'returning_revenue')}
+FROM (SELECT o.order_month, sum(order_revenue) AS revenue, count(*) AS orders,
+             count(DISTINCT o.customer_unique_id) AS customers, avg(order_revenue) AS aov, avg(review_score) AS avg_review,
+             avg(CAST(delivered_late AS DOUBLE)) * 100.0 AS late_rate,
+             count(*) FILTER (WHERE o.order_month = f.fm) AS new_customer_orders,
+             coalesce(sum(order_revenue) FILTER (WHERE o.order_month = f.fm), 0.0) AS new_customer_revenue
+      FROM om o JOIN (SELECT customer_unique_id, min(order_month) AS fm FROM om GROUP BY 1) f
+        ON o.customer_unique_id = f.customer_unique_id
+      GROUP BY o.order_month)""")
+
+
+@o("agg7", "srt2")
+def _agg7():
+    return sql(f"""
+SELECT product_category, {rnd('revenue', 'revenue')}, items, orders, {rnd('avg_price', 'avg_price')},
+       {rnd('avg_review', 'avg_review')}, {rnd('100.0 * revenue / sum(revenue) OVER ()', 'pct_revenue')}
+FROM (SELECT product_category, sum(item_revenue) AS revenue, count(*) AS items, count(DISTINCT order_id) AS orders,
+             avg(price) AS avg_price, avg(review_score) AS avg_review
+      FROM tx WHERE product_category IS NOT NULL GROUP BY 1)
+ORDER BY revenue DESC, product_category LIMIT 15""")
+
+
+@o("agg8")
+def _agg8():
+    return sql(f"""
+SELECT customer_state, {rnd('revenue', 'revenue')}, orders, customers, {rnd('aov', 'aov')},
+       {rnd('avg_review', 'avg_review')}, {rnd('100.0 * revenue / sum(revenue) OVER ()', 'pct_revenue')}
+FROM (SELECT customer_state, sum(order_revenue) AS revenue, count(*) AS orders,
+             count(DISTINCT customer_unique_id) AS customers, avg(order_revenue) AS aov, avg(review_score) AS avg_review
+      FROM om WHERE customer_state IS NOT NULL GROUP BY 1)""")
+
+
+@o("agg9")
+def _agg9():
+    return sql(f"""
+SELECT order_month, product_category, {rnd('sum(item_revenue)', 'revenue')}, count(*) AS items,
+       count(DISTINCT order_id) AS orders, {rnd('avg(review_score)', 'avg_review')}
+FROM tx WHERE product_category IS NOT NULL AND order_month IS NOT NULL GROUP BY 1, 2""")
+
+
+@o("agg30")
+def _agg30():
+    return sql(f"""
+SELECT min(order_purchase_timestamp) AS first_order, max(order_purchase_timestamp) AS last_order,
+       count(*) AS n_orders, count(DISTINCT customer_unique_id) AS n_customers, {rnd('sum(order_revenue)', 'revenue')},
+       {rnd('avg(order_revenue)', 'aov')}, (SELECT count(*) FROM tx) AS n_lines
+FROM om""")
+
+
+# ---------------------------------------------------------------- cohorts
+@o("agg16")
+def _agg16():
+    return sql("SELECT order_id, customer_unique_id, order_month, cohort_month, month_index FROM cohort_tab")
+
+
+@o("agg17")
+def _agg17():
+    return sql("SELECT cohort_month, customers FROM cohort_size")
+
+
+@o("agg18")
+def _agg18():
+    return sql(f"""
+SELECT a.cohort_month, a.month_index, a.active, s.customers, {rnd('100.0 * a.active / s.customers', 'pct')}
+FROM (SELECT cohort_month, month_index, count(DISTINCT customer_unique_id) AS active FROM cohort_tab GROUP BY 1, 2) a
+JOIN cohort_size s ON a.cohort_month = s.cohort_month CROSS JOIN last_month l
+WHERE a.month_index <= (year(l.lm) - year(a.cohort_month)) * 12 + (month(l.lm) - month(a.cohort_month))""")
+
+
+@o("agg19", "win4")
+def _agg19():
+    return sql(f"SELECT cohort_month, month_index, customers, repeaters, CAST(cum_repeaters AS BIGINT) AS cum_repeaters, "
+               f"{rnd('pct', 'pct')} FROM cum_rep_obs")
+
+
+@o("agg20")
+def _agg20():
+    return sql(f"""
+SELECT g.cohort_month, g.month_index, g.customers, {rnd('g.revenue', 'revenue')}, {rnd('g.cum_revenue', 'cum_revenue')},
+       {rnd('g.cum_revenue / g.customers', 'revenue_per_customer')}
+FROM (SELECT x.*, sum(revenue) OVER (PARTITION BY cohort_month ORDER BY month_index
+                                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_revenue
+      FROM (SELECT s.cohort_month, s.customers, m.month_index, coalesce(r.revenue, 0.0) AS revenue
+            FROM cohort_size s CROSS JOIN (SELECT DISTINCT month_index FROM cohort_tab) m
+            LEFT JOIN (SELECT cohort_month, month_index, sum(order_revenue) AS revenue FROM cohort_tab GROUP BY 1, 2) r
+              ON s.cohort_month = r.cohort_month AND m.month_index = r.month_index) x) g
+CROSS JOIN last_month l
+WHERE g.month_index <= (year(l.lm) - year(g.cohort_month)) * 12 + (month(l.lm) - month(g.cohort_month))""")
+
+
+@o("agg21")
+def _agg21():
+    return sql(f"""
+SELECT s.cohort_month, s.customers, {rnd('r.revenue', 'revenue')}, {rnd('r.revenue / s.customers', 'revenue_per_customer')},
+       {rnd('c.m3', 'repeat_by_m3')}, {rnd('c.m6', 'repeat_by_m6')}, {rnd('c.m12', 'repeat_by_m12')}
+FROM cohort_size s
+JOIN (SELECT cohort_month, sum(order_revenue) AS revenue FROM cohort_tab GROUP BY 1) r ON s.cohort_month = r.cohort_month
+LEFT JOIN (SELECT cohort_month, max(CASE WHEN month_index = 3 THEN pct END) AS m3,
+                  max(CASE WHEN month_index = 6 THEN pct END) AS m6, max(CASE WHEN month_index = 12 THEN pct END) AS m12
+           FROM cum_rep_obs GROUP BY 1) c ON s.cohort_month = c.cohort_month""")

@@ -151,3 +151,76 @@ def _agg13(ctx):
 @register("agg15")
 def _agg15(ctx):
     return RF.frequency_definition_impact(RF.build_rfm(ctx.orders))
+
+
+@register("win2")
+def _win2(ctx):
+    """Repurchase curve over intraday purchase events (sub-day gaps exercised)."""
+    return RF.repurchase_curve(ctx.purchases)
+
+
+# ---------------------------------------------------------------- KPIs
+from patronage.operators import cohorts as CO  # noqa: E402
+from patronage.operators import metrics as ME  # noqa: E402
+
+
+@register("agg4")
+def _agg4(ctx):
+    return ME.headline_metrics(ctx.orders)
+
+
+@register("agg5", "agg6", "win1", "joi10")
+def _agg5(ctx):
+    return ME.monthly_trend(ctx.orders)
+
+
+@register("agg7", "srt2")
+def _agg7(ctx):
+    return ME.category_breakdown(ctx.transactions, 15)
+
+
+@register("agg8")
+def _agg8(ctx):
+    return ME.state_breakdown(ctx.orders)
+
+
+@register("agg9")
+def _agg9(ctx):
+    return ME.category_monthly(ctx.transactions)
+
+
+@register("agg30")
+def _agg30(ctx):
+    return ME.etl_summary(ctx.transactions, ctx.orders)
+
+
+# ---------------------------------------------------------------- cohorts
+@register("agg16")
+def _agg16(ctx):
+    return CO.build_cohort_table(ctx.orders).select("order_id", "customer_unique_id", "order_month",
+                                                    "cohort_month", "month_index")
+
+
+@register("agg17")
+def _agg17(ctx):
+    return CO.cohort_sizes(ctx.orders)
+
+
+@register("agg18")
+def _agg18(ctx):
+    return CO.retention_matrix(ctx.orders)
+
+
+@register("agg19", "win4")
+def _agg19(ctx):
+    return CO.cumulative_repeat_matrix(ctx.orders)
+
+
+@register("agg20")
+def _agg20(ctx):
+    return CO.cohort_revenue_matrix(ctx.orders)
+
+
+@register("agg21")
+def _agg21(ctx):
+    return CO.cohort_summary(ctx.orders)
