@@ -391,3 +391,61 @@ JOIN (SELECT cohort_month, sum(order_revenue) AS revenue FROM cohort_tab GROUP B
 LEFT JOIN (SELECT cohort_month, max(CASE WHEN month_index = 3 THEN pct END) AS m3,
                   max(CASE WHEN month_index = 6 THEN pct END) AS m6, max(CASE WHEN month_index = 12 THEN pct END) AS m12
            FROM cum_rep_obs GROUP BY 1) c ON s.cohort_month = c.cohort_month""")
+
+
+# ---------------------------------------------------------------- concentration
+@o("agg22")
+def _agg22():
+    return sql(f"""
+SELECT f AS top_fraction, CAST(floor(n * f) AS BIGINT) AS customers,
+       {rnd('100.0 * sum(CASE WHEN rk <= floor(n * f) THEN monetary ELSE 0.0 END) / max(tot)', 'pct_revenue')}
+FROM (SELECT monetary, row_number() OVER (ORDER BY monetary DESC, customer_unique_id) AS rk,
+             count(*) OVER () AS n, sum(monetary) OVER () AS tot FROM rfm) r
+CROSS JOIN (VALUES (0.01), (0.05), (0.10), (0.20)) AS t(f)
+GROUP BY f, n""".replace("VALUES (0.01), (0.05), (0.10), (0.20)",
+                         "VALUES (CAST(0.01 AS DOUBLE)), (CAST(0.05 AS DOUBLE)), (CAST(0.10 AS DOUBLE)), (CAST(0.20 AS DOUBLE))"))
+
+
+@o("agg23")
+def _agg23():
+    return sql(f"""
+SELECT n, {rnd('2.0 * w / (n * tot) - (n + 1.0) / n', 'gini')}
+FROM (SELECT count(*) AS n, sum(monetary) AS tot, sum(i * monetary) AS w
+      FROM (SELECT monetary, row_number() OVER (ORDER BY monetary, customer_unique_id) AS i FROM rfm))""")
+
+
+@o("rnk3")
+def _rnk3():
+    return sql(f"""
+SELECT 'curve' AS point_type, rk AS rank, {rnd('100.0 * rk / n', 'customer_share')},
+       {rnd('100.0 * cum / tot', 'revenue_share')}
+FROM (SELECT rk, n, tot, sum(monetary) OVER (ORDER BY rk ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
+             greatest(floor(n / 2000), 1) AS step
+      FROM (SELECT monetary, row_number() OVER (ORDER BY monetary DESC, customer_unique_id) AS rk,
+                   count(*) OVER () AS n, sum(monetary) OVER () AS tot FROM rfm))
+WHERE (rk - 1) % step = 0
+UNION ALL
+SELECT 'marker_' || CAST(m AS VARCHAR) AS point_type, CAST(floor(n * m / 100.0) AS BIGINT) AS rank,
+       {rnd('m', 'customer_share')},
+       CASE WHEN floor(n * m / 100.0) >= 1 THEN
+         {rnd('100.0 * sum(CASE WHEN rk <= floor(n * m / 100.0) THEN monetary ELSE 0.0 END) / max(tot)', 'x')[:-5]} END
+         AS revenue_share
+FROM (SELECT monetary, row_number() OVER (ORDER BY monetary DESC, customer_unique_id) AS rk,
+             count(*) OVER () AS n, sum(monetary) OVER () AS tot FROM rfm)
+CROSS JOIN (VALUES (5), (20)) AS t(m)
+GROUP BY m, n""")
+
+
+@o("rnk1")
+def _rnk1():
+    return sql(f"SELECT customer_unique_id, {rnd('monetary', 'monetary')}, "
+               "row_number() OVER (ORDER BY monetary DESC, customer_unique_id) AS rank FROM rfm")
+
+
+@o("rnk2")
+def _rnk2():
+    return sql(f"""
+SELECT customer_unique_id, {rnd('monetary', 'monetary')}, rank,
+       CAST(greatest(1, least(5, ceil((rank - 1) * 5.0 / greatest(n - 1, 1)))) AS INTEGER) AS bin
+FROM (SELECT customer_unique_id, monetary, row_number() OVER (ORDER BY monetary DESC, customer_unique_id) AS rank,
+             count(*) OVER () AS n FROM rfm)""")

@@ -224,3 +224,38 @@ def _agg20(ctx):
 @register("agg21")
 def _agg21(ctx):
     return CO.cohort_summary(ctx.orders)
+
+
+# ---------------------------------------------------------------- concentration
+from patronage.operators import concentration as CN  # noqa: E402
+from patronage.plans.ranking import global_rank, rank_bin  # noqa: E402
+
+
+@register("agg22")
+def _agg22(ctx):
+    return CN.top_share(RF.build_rfm(ctx.orders))
+
+
+@register("agg23")
+def _agg23(ctx):
+    return CN.gini(RF.build_rfm(ctx.orders))
+
+
+@register("rnk3")
+def _rnk3(ctx):
+    return CN.lorenz_curve(RF.build_rfm(ctx.orders))
+
+
+@register("rnk1")
+def _rnk1(ctx):
+    """Global rank of customers by spend (descending, key tie-break)."""
+    rfm = RF.build_rfm(ctx.orders).select("customer_unique_id", "monetary")
+    return global_rank(rfm, [F.col("monetary").desc(), F.col("customer_unique_id").asc()], "rank")
+
+
+@register("rnk2")
+def _rnk2(ctx):
+    """Quintile bins of the spend rank (qcut on ranks)."""
+    r = _rnk1(ctx)
+    n = r.agg(F.count(F.lit(1)).alias("n"))
+    return r.crossJoin(F.broadcast(n)).withColumn("bin", rank_bin("rank", "n", 5)).drop("n")
