@@ -269,3 +269,67 @@ LEFT JOIN (SELECT cohort_month, month_index, count(*) AS n FROM first_rep GROUP
 cte("cum_rep_obs", """
 SELECT c.*, 100.0 * c.cum_repeaters / c.customers AS pct FROM cum_rep c CROSS JOIN last_month l
 WHERE c.month_index <= (year(l.lm) - year(c.cohort_month)) * 12 + (month(l.lm) - month(c.cohort_month))""")
+
+# ---------------------------------------------------------------- panels
+from patronage.operators.panel import origin_splits  # noqa: E402
+
+ORIGINS = origin_splits(P)
+cte("om_gaps", """
+SELECT *, date_diff('microsecond', lag(order_purchase_timestamp) OVER (PARTITION BY customer_unique_id
+             ORDER BY order_purchase_timestamp, order_id), order_purchase_timestamp) / 86400000000.0 AS gap
+FROM om""")
+
+
+def _feat_block(split: str, origin: str) -> str:
+    o = f"TIMESTAMP '{origin} 00:00:00'"
+    return f"""
+SELECT '{split}' AS split, {o} AS origin, a.customer_unique_id, a.frequency, a.n_orders, a.monetary, a.aov,
+       a.max_order, a.min_order, a.std_order, a.n_items, a.avg_items, a.n_sellers, a.avg_freight, a.total_freight,
+       a.max_installments, a.n_categories, mc.top_category, st.customer_state, mp.payment_type,
+       a.avg_delivery_days, a.late_rate, a.n_delivered, a.avg_review, a.min_review, a.n_reviewed,
+       a.recency, a.tenure, CAST(a.frequency > 1 AS INTEGER) AS is_repeat,
+       CAST(a.n_orders > a.frequency AS INTEGER) AS split_basket,
+       a.frequency / nullif(a.tenure, 0) * 365 AS purchase_rate, a.monetary / nullif(a.tenure, 0) AS spend_per_day,
+       a.total_freight / nullif(a.monetary, 0) AS freight_ratio, a.recency / nullif(a.tenure, 0) AS recency_over_tenure,
+       a.mean_gap, a.last_gap, a.recency / nullif(a.mean_gap, 0) AS overdue_ratio,
+       coalesce(t.target, 0.0) AS target
+FROM (SELECT customer_unique_id, count(DISTINCT CAST(order_purchase_timestamp AS DATE)) AS frequency,
+             count(*) AS n_orders, sum(order_revenue) AS monetary, avg(order_revenue) AS aov,
+             max(order_revenue) AS max_order, min(order_revenue) AS min_order,
+             coalesce(stddev_samp(order_revenue), 0.0) AS std_order, CAST(sum(n_items) AS BIGINT) AS n_items,
+             avg(n_items) AS avg_items, CAST(sum(n_sellers) AS BIGINT) AS n_sellers, avg(freight) AS avg_freight,
+             sum(freight) AS total_freight, max(max_installments) AS max_installments,
+             count(DISTINCT top_category) AS n_categories,
+             avg(delivery_days) FILTER (WHERE order_delivered_customer_date < {o}) AS avg_delivery_days,
+             avg(CAST(delivered_late AS DOUBLE)) FILTER (WHERE order_delivered_customer_date < {o}) AS late_rate,
+             count(*) FILTER (WHERE order_delivered_customer_date < {o}) AS n_delivered,
+             avg(review_score) FILTER (WHERE review_creation_date < {o}) AS avg_review,
+             min(review_score) FILTER (WHERE review_creation_date < {o}) AS min_review,
+             count(*) FILTER (WHERE review_creation_date < {o}) AS n_reviewed,
+             date_diff('microsecond', max(order_purchase_timestamp), {o}) / 86400000000.0 AS recency,
+             date_diff('microsecond', min(order_purchase_timestamp), {o}) / 86400000000.0 AS tenure,
+             avg(gap) FILTER (WHERE gap >= 1) AS mean_gap,
+             arg_max(gap, order_purchase_timestamp) FILTER (WHERE gap >= 1) AS last_gap
+      FROM om_gaps WHERE order_purchase_timestamp < {o} GROUP BY customer_unique_id) a
+LEFT JOIN (SELECT customer_unique_id, top_category FROM (
+             SELECT customer_unique_id, top_category, row_number() OVER (PARTITION BY customer_unique_id
+                    ORDER BY count(*) DESC, top_category) AS rn
+             FROM om WHERE order_purchase_timestamp < {o} AND top_category IS NOT NULL GROUP BY 1, 2) WHERE rn = 1) mc
+  ON a.customer_unique_id = mc.customer_unique_id
+LEFT JOIN (SELECT customer_unique_id, payment_type FROM (
+             SELECT customer_unique_id, payment_type, row_number() OVER (PARTITION BY customer_unique_id
+                    ORDER BY count(*) DESC, payment_type) AS rn
+             FROM om WHERE order_purchase_timestamp < {o} AND payment_type IS NOT NULL GROUP BY 1, 2) WHERE rn = 1) mp
+  ON a.customer_unique_id = mp.customer_unique_id
+LEFT JOIN (SELECT customer_unique_id, customer_state FROM (
+             SELECT customer_unique_id, customer_state, row_number() OVER (PARTITION BY customer_unique_id
+                    ORDER BY order_purchase_timestamp, order_id) AS rn
+             FROM om WHERE order_purchase_timestamp < {o} AND customer_state IS NOT NULL) WHERE rn = 1) st
+  ON a.customer_unique_id = st.customer_unique_id
+LEFT JOIN (SELECT customer_unique_id, sum(order_revenue) AS target FROM om
+           WHERE order_purchase_timestamp >= {o} AND order_purchase_timestamp < {o} + INTERVAL {P.horizon_days} DAY
+           GROUP BY 1) t
+  ON a.customer_unique_id = t.customer_unique_id"""
+
+
+cte("panel", "\nUNION ALL\n".join(_feat_block(s, o) for s, o in ORIGINS))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.ctes import STATUSES, WEND1, WSTART, P, rnd, sql
+from oracle.ctes import ORIGINS as ORIGINS_, STATUSES, WEND1, WSTART, P, rnd, sql
 
 ORACLE: dict[str, str] = {}
 
@@ -449,3 +449,88 @@ SELECT customer_unique_id, {rnd('monetary', 'monetary')}, rank,
        CAST(greatest(1, least(5, ceil((rank - 1) * 5.0 / greatest(n - 1, 1)))) AS INTEGER) AS bin
 FROM (SELECT customer_unique_id, monetary, row_number() OVER (ORDER BY monetary DESC, customer_unique_id) AS rank,
              count(*) OVER () AS n FROM rfm)""")
+
+
+# ---------------------------------------------------------------- panels
+from patronage.operators.panel import FEATURES  # noqa: E402
+
+_DOUBLE_FEATS = {"monetary", "aov", "max_order", "min_order", "std_order", "avg_items", "avg_freight",
+                 "total_freight", "avg_delivery_days", "late_rate", "avg_review", "min_review", "recency", "tenure",
+                 "purchase_rate", "spend_per_day", "freight_ratio", "recency_over_tenure", "mean_gap", "last_gap",
+                 "overdue_ratio"}
+PANEL_COLS = ", ".join(["split", "origin", "customer_unique_id"]
+                       + [rnd(f, f) if f in _DOUBLE_FEATS else f for f in FEATURES] + [rnd("target", "target")])
+
+
+@o("fea1", "fea2", "fea3", "fea4", "fea5", "fea6", "set1", "fil18", "joi11", "joi12", "win5")
+def _fea1():
+    return sql(f"SELECT {PANEL_COLS} FROM panel")
+
+
+@o("fea8")
+def _fea8():
+    cols = []
+    for f in ["split", "origin", "customer_unique_id"] + list(FEATURES) + ["target"]:
+        if f in ("top_category", "customer_state", "payment_type"):
+            cols.append(f"CASE WHEN {f} IN (SELECT {f} FROM panel WHERE split = 'train' AND {f} IS NOT NULL) "
+                        f"THEN {f} END AS {f}")
+        elif f in _DOUBLE_FEATS or f == "target":
+            cols.append(rnd(f, f))
+        else:
+            cols.append(f)
+    return sql(f"SELECT {', '.join(cols)} FROM panel")
+
+
+@o("fea10")
+def _fea10():
+    return sql(f"""
+SELECT split, count(*) AS rows, count(*) FILTER (WHERE target > 0) AS positives,
+       {rnd('100.0 * count(*) FILTER (WHERE target > 0) / count(*)', 'pct_positive')},
+       {rnd('sum(target)', 'target_sum')},
+       array_to_string(list_sort(list(DISTINCT strftime(origin, '%Y-%m-%d'))), ',') AS origins
+FROM panel GROUP BY split""")
+
+
+@o("fea9", "set2")
+def _fea9():
+    blocks = []
+    for _, org in ORIGINS_:
+        ot = f"TIMESTAMP '{org} 00:00:00'"
+        blocks.append(f"""
+SELECT {ot} AS origin, customer_unique_id, count(*) AS n,
+       count(*) FILTER (WHERE order_delivered_customer_date >= {ot}) AS ld,
+       count(*) FILTER (WHERE review_creation_date >= {ot}) AS lr,
+       count(*) FILTER (WHERE order_delivered_customer_date >= {ot} OR review_creation_date >= {ot}) AS leaky,
+       count(*) FILTER (WHERE order_delivered_customer_date < {ot}) AS not_ld,
+       count(*) FILTER (WHERE review_creation_date < {ot}) AS not_lr
+FROM om WHERE order_purchase_timestamp < {ot} GROUP BY customer_unique_id""")
+    pc = "\nUNION ALL\n".join(blocks)
+    return sql(f"""
+SELECT c.origin, sum(n) AS pre_origin_orders, sum(ld) AS orders_delivered_after_origin,
+       sum(lr) AS orders_reviewed_after_origin, count(*) FILTER (WHERE leaky > 0) AS customers_affected,
+       count(*) AS scored_customers,
+       count(*) FILTER (WHERE ld > 0 AND not_ld = 0 AND p.avg_delivery_days IS NOT NULL) AS delivery_violations,
+       count(*) FILTER (WHERE lr > 0 AND not_lr = 0 AND p.avg_review IS NOT NULL) AS review_violations,
+       {rnd('100.0 * count(*) FILTER (WHERE leaky > 0) / greatest(count(*), 1)', 'pct_customers_affected')}
+FROM ({pc}) c LEFT JOIN panel p ON c.origin = p.origin AND c.customer_unique_id = p.customer_unique_id
+GROUP BY c.origin""")
+
+
+@o("fea11", "win3")
+def _fea11():
+    ot = f"TIMESTAMP '{P.test_origin} 00:00:00'"
+    return sql(f"""
+SELECT customer_unique_id, CAST(count(*) - 1 AS BIGINT) AS frequency,
+       {rnd("date_diff('microsecond', CAST(min(day) AS TIMESTAMP), CAST(max(day) AS TIMESTAMP)) / 86400000000.0", 'recency')},
+       {rnd(f"date_diff('microsecond', CAST(min(day) AS TIMESTAMP), {ot}) / 86400000000.0", 'T')},
+       {rnd('CASE WHEN count(*) > 1 THEN (sum(rev) - arg_min(rev, day)) / (count(*) - 1) ELSE 0.0 END', 'monetary_value')}
+FROM (SELECT customer_unique_id, CAST(order_purchase_timestamp AS DATE) AS day, sum(order_revenue) AS rev
+      FROM om WHERE order_purchase_timestamp < {ot} GROUP BY 1, 2)
+GROUP BY customer_unique_id""")
+
+
+@o("fea12")
+def _fea12():
+    ot = f"TIMESTAMP '{P.test_origin} 00:00:00'"
+    return sql(f"SELECT customer_unique_id, {rnd('avg(order_revenue)', 'observed_aov')} FROM om "
+               f"WHERE order_purchase_timestamp < {ot} GROUP BY 1")

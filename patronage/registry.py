@@ -259,3 +259,41 @@ def _rnk2(ctx):
     r = _rnk1(ctx)
     n = r.agg(F.count(F.lit(1)).alias("n"))
     return r.crossJoin(F.broadcast(n)).withColumn("bin", rank_bin("rank", "n", 5)).drop("n")
+
+
+# ---------------------------------------------------------------- panels
+from patronage.operators import panel as PN  # noqa: E402
+
+
+def panel(ctx):
+    return ctx._get("panel", lambda: PN.build_panel(ctx.orders, ctx.params))
+
+
+@register("fea1", "fea2", "fea3", "fea4", "fea5", "fea6", "set1", "fil18", "joi11", "joi12", "win5")
+def _fea1(ctx):
+    return panel(ctx)
+
+
+@register("fea8")
+def _fea8(ctx):
+    return PN.align_categories(panel(ctx))
+
+
+@register("fea9", "set2")
+def _fea9(ctx):
+    return PN.leakage_audit(ctx.orders, panel(ctx), ctx.params)
+
+
+@register("fea10")
+def _fea10(ctx):
+    return PN.describe_panel(panel(ctx))
+
+
+@register("fea11", "win3")
+def _fea11(ctx):
+    return PN.lifetimes_summary(ctx.orders, ctx.params.test_origin)
+
+
+@register("fea12")
+def _fea12(ctx):
+    return PN.observed_aov(ctx.orders, ctx.params.test_origin)
