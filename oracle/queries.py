@@ -534,3 +534,106 @@ def _fea12():
     ot = f"TIMESTAMP '{P.test_origin} 00:00:00'"
     return sql(f"SELECT customer_unique_id, {rnd('avg(order_revenue)', 'observed_aov')} FROM om "
                f"WHERE order_purchase_timestamp < {ot} GROUP BY 1")
+
+
+# ---------------------------------------------------------------- evaluation
+SCORES = ("(SELECT 'historical_spend' AS model, customer_unique_id AS key, CAST(target AS DOUBLE) AS y, "
+          "CAST(monetary AS DOUBLE) AS p FROM panel WHERE split = 'test')")
+
+
+@o("mod11", "eva1", "eva2", "eva3", "eva4")
+def _eva1():
+    return sql(f"""
+SELECT model, count(*) AS n, {rnd('avg(abs(p - y))', 'mae')}, {rnd('sqrt(avg((p - y) * (p - y)))', 'rmse')},
+       {rnd('sum(p)', 'predicted_total')}, {rnd('sum(y)', 'actual_total')}, count(*) FILTER (WHERE y > 0) AS n_positives,
+       {rnd('(sum(mr_p) FILTER (WHERE y > 0) - pp * (pp + 1) / 2.0) / (pp * (count(*) - pp))', 'auc')},
+       {rnd('corr(mr_y, mr_p)', 'spearman')},
+       {rnd('100.0 * coalesce(sum(y) FILTER (WHERE rank_desc <= greatest(floor(0.1 * n), 1)), 0.0) / greatest(sum(y), 1e-9)', 'top_capture')},
+       {rnd('100.0 * coalesce(sum(y) FILTER (WHERE rank_desc <= greatest(floor(0.1 * n), 1)), 0.0) / greatest(sum(y), 1e-9) / (100.0 * 0.1)', 'top_lift')}
+FROM (SELECT *, rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / 2.0 AS mr_p,
+             rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2.0 AS mr_y,
+             row_number() OVER (ORDER BY p DESC, key) AS rank_desc, count(*) OVER () AS n,
+             count(*) FILTER (WHERE y > 0) OVER () AS pp
+      FROM {SCORES})
+GROUP BY model, pp""")
+
+
+@o("eva7")
+def _eva7():
+    return sql(f"""
+SELECT model, bin, customers, {rnd('mean_predicted', 'mean_predicted')}, {rnd('mean_actual', 'mean_actual')},
+       {rnd('total_actual', 'total_actual')}, n_returned, {rnd('100.0 * n_returned / customers', 'return_rate')},
+       {rnd('100.0 * total_actual / greatest(sum(total_actual) OVER (), 1e-9)', 'pct_of_actual_revenue')},
+       {rnd('mean_predicted / nullif(mean_actual, 0.0)', 'calibration_ratio')}
+FROM (SELECT model, 'Q' || CAST(CAST(greatest(1, least(5, ceil((rk - 1) * 5.0 / greatest(n - 1, 1)))) AS INTEGER) AS VARCHAR) AS bin,
+             count(*) AS customers, avg(p) AS mean_predicted, avg(y) AS mean_actual, sum(y) AS total_actual,
+             count(*) FILTER (WHERE y > 0) AS n_returned
+      FROM (SELECT *, row_number() OVER (ORDER BY p DESC, key) AS rk, count(*) OVER () AS n FROM {SCORES})
+      GROUP BY 1, 2)""")
+
+
+@o("eva9")
+def _eva9():
+    return sql(f"""
+SELECT 'predict zero' AS baseline, {rnd('avg(abs(target))', 'MAE')}, {rnd('sqrt(avg(target * target))', 'RMSE')}
+FROM panel WHERE split = 'test'
+UNION ALL
+SELECT 'predict train mean' AS baseline, {rnd('avg(abs(m - target))', 'MAE')}, {rnd('sqrt(avg((m - target) * (m - target)))', 'RMSE')}
+FROM panel CROSS JOIN (SELECT avg(target) AS m FROM panel WHERE split = 'train') t WHERE split = 'test'""")
+
+
+cte_top = f"""
+SELECT model, CAST(0.1 AS DOUBLE) AS fraction, CAST(max(k) AS BIGINT) AS n_targeted,
+       coalesce(sum(y) FILTER (WHERE rk <= k), 0.0) AS revenue_in_group, sum(y) AS revenue_total,
+       count(*) FILTER (WHERE rk <= k AND y > 0) AS n_returners
+FROM (SELECT *, row_number() OVER (ORDER BY p DESC, key) AS rk, greatest(floor(count(*) OVER () * 0.1), 1) AS k
+      FROM {SCORES}) GROUP BY model"""
+
+
+@o("roi1", "srt4")
+def _roi1():
+    return sql(f"""
+SELECT model, fraction, n_targeted, {rnd('revenue_in_group', 'revenue_in_group')}, {rnd('revenue_total', 'revenue_total')},
+       n_returners, {rnd('100.0 * revenue_in_group / greatest(revenue_total, 1e-9)', 'capture_pct')},
+       {rnd('100.0 * revenue_in_group / greatest(revenue_total, 1e-9) / (100.0 * 0.1)', 'lift')}
+FROM ({cte_top})""")
+
+
+_CH = "[" + ", ".join(f"{{'name': '{n}', 'cost': CAST({c} AS DOUBLE)}}" for n, c in
+                      __import__("patronage.config", fromlist=["CHANNEL_COSTS"]).CHANNEL_COSTS) + "]"
+
+
+@o("roi2")
+def _roi2():
+    return sql(f"""
+SELECT model, label AS incremental_uplift, {rnd('revenue_in_group * u', 'incremental_revenue')},
+       {rnd('be', 'breakeven_cost_per_contact')},
+       coalesce(nullif(array_to_string(list_transform(list_filter({_CH}, lambda c: c.cost <= be), lambda c: c.name), ', '), ''), 'NONE')
+         AS viable_channels
+FROM (SELECT t.*, x.u, x.label, t.revenue_in_group * x.u / greatest(t.n_targeted, 1) AS be
+      FROM ({cte_top}) t CROSS JOIN (VALUES (CAST(0.02 AS DOUBLE), '2%'), (CAST(0.05 AS DOUBLE), '5%'),
+                                             (CAST(0.10 AS DOUBLE), '10%'), (CAST(0.20 AS DOUBLE), '20%')) AS x(u, label))""")
+
+
+@o("roi3")
+def _roi3():
+    return sql(f"""
+SELECT model, c.name AS channel, {rnd('c.cost', 'cost_per_contact')}, {rnd('n_targeted * c.cost', 'campaign_cost')},
+       {rnd('revenue_in_group * 0.05 - n_targeted * c.cost', 'net_at_5pct')},
+       {rnd('revenue_in_group * 0.10 - n_targeted * c.cost', 'net_at_10pct')},
+       {rnd('revenue_in_group * 0.20 - n_targeted * c.cost', 'net_at_20pct')},
+       CASE WHEN revenue_in_group * 0.10 - n_targeted * c.cost > 0 THEN 'profitable' ELSE 'net-negative' END AS verdict
+FROM (SELECT t.*, unnest({_CH}) AS c FROM ({cte_top}) t)""")
+
+
+@o("srt3")
+def _srt3():
+    return sql(f"SELECT model, key, {rnd('y', 'y')}, {rnd('p', 'p')} FROM {SCORES} ORDER BY p DESC, key LIMIT 200")
+
+
+@o("rnk4")
+def _rnk4():
+    return sql(f"""
+SELECT CAST(key AS VARCHAR) AS probe_id, {rnd('p', 'value')}, rank() OVER (ORDER BY p) - 1 AS scores_below,
+       {rnd('100.0 * (rank() OVER (ORDER BY p) - 1) / count(*) OVER ()', 'percentile')}
+FROM {SCORES}""")

@@ -263,10 +263,11 @@ def _rnk2(ctx):
 
 # ---------------------------------------------------------------- panels
 from patronage.operators import panel as PN  # noqa: E402
+from patronage.session import materialize  # noqa: E402
 
 
 def panel(ctx):
-    return ctx._get("panel", lambda: PN.build_panel(ctx.orders, ctx.params))
+    return ctx._get("panel", lambda: materialize(PN.build_panel(ctx.orders, ctx.params)))
 
 
 @register("fea1", "fea2", "fea3", "fea4", "fea5", "fea6", "set1", "fil18", "joi11", "joi12", "win5")
@@ -297,3 +298,79 @@ def _fea11(ctx):
 @register("fea12")
 def _fea12(ctx):
     return PN.observed_aov(ctx.orders, ctx.params.test_origin)
+
+
+# ---------------------------------------------------------------- evaluation / ROI
+from patronage.operators import evaluate as EV  # noqa: E402
+
+
+def spend_scores(ctx):
+    """Test-origin panel scored by historical spend (MOD11): y = 90-day target, p = monetary."""
+    test = panel(ctx).where(F.col("split") == "test")
+    return EV.scores_long(test, "customer_unique_id", "target", {"historical_spend": "monetary"})
+
+
+@register("mod11", "eva1", "eva2", "eva3", "eva4")
+def _eva1(ctx):
+    return EV.point_metrics(spend_scores(ctx), ctx.params.top_fraction)
+
+
+@register("eva7")
+def _eva7(ctx):
+    return EV.quantile_calibration(spend_scores(ctx), 5)
+
+
+@register("eva9")
+def _eva9(ctx):
+    p = panel(ctx)
+    return EV.baseline_comparison(p.where(F.col("split") == "test"), p.where(F.col("split") == "train"))
+
+
+def targeting(ctx):
+    return EV.target_top(spend_scores(ctx), ctx.params.top_fraction)
+
+
+@register("roi1", "srt4")
+def _roi1(ctx):
+    return targeting(ctx)
+
+
+@register("roi2")
+def _roi2(ctx):
+    return EV.breakeven_table(targeting(ctx))
+
+
+@register("roi3")
+def _roi3(ctx):
+    return EV.channel_grid(targeting(ctx))
+
+
+@register("srt3")
+def _srt3(ctx):
+    """Top-200 customers by score."""
+    return spend_scores(ctx).orderBy(F.col("p").desc(), F.col("key").asc()).limit(200)
+
+
+@register("rnk4")
+def _rnk4(ctx):
+    """Percentile of each customer's score among all scores (probes = the scores)."""
+    s = spend_scores(ctx)
+    probes = s.select(F.col("key").cast("string").alias("probe_id"), F.col("p").alias("value"))
+    return EV.score_percentile(s, probes)
+
+
+@register("eva5", "eva6")
+def _eva5(ctx):
+    boot = EV.bootstrap_metrics(spend_scores(ctx), 200, ctx.params.seed, ctx.params.top_fraction)
+    ci = EV.percentile_ci(boot)
+    return ci.withColumns(EV.ci_verdicts("auc_lo", "auc_hi", 0.5, "auc"))
+
+
+@register("eva8")
+def _eva8(ctx):
+    return EV.calibration_bands(spend_scores(ctx), 5, 400, ctx.params.seed)
+
+
+@register("roi4")
+def _roi4(ctx):
+    return EV.compare_strategies(spend_scores(ctx), ctx.params.top_fraction, 500, ctx.params.seed)

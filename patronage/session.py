@@ -59,3 +59,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-path of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{os.getpid()}"
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
+
+    Used where a plan is re-joined with itself several times (ranks, bootstrap):
+    the written copy survives executor loss and keeps the logical plan small.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
