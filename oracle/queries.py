@@ -637,3 +637,149 @@ def _rnk4():
 SELECT CAST(key AS VARCHAR) AS probe_id, {rnd('p', 'value')}, rank() OVER (ORDER BY p) - 1 AS scores_below,
        {rnd('100.0 * (rank() OVER (ORDER BY p) - 1) / count(*) OVER ()', 'percentile')}
 FROM {SCORES}""")
+
+
+# ---------------------------------------------------------------- quality
+def _chk(cid, name, status, metric, threshold, detail, src):
+    return (f"SELECT {cid} AS check_id, '{name}' AS name, {status} AS status, "
+            f"{rnd(metric, 'metric')}, {rnd(threshold, 'threshold')}, {detail} AS detail FROM ({src})")
+
+
+def _pk():
+    out = []
+    for i, (name, cte_name, keys) in enumerate([
+            ("customers", "c_customers", ["customer_id"]), ("orders", "c_orders", ["order_id"]),
+            ("order_items", "c_items", ["order_id", "order_item_id"]),
+            ("order_payments", "c_payments", ["order_id", "payment_sequential"]),
+            (None, None, None), ("products", "c_products", ["product_id"]), ("sellers", "c_sellers", ["seller_id"]),
+            ("category_translation", "c_translation", ["product_category_name"])]):
+        if name is None:
+            continue
+        src = f"SELECT count(*) - count(DISTINCT ({', '.join(keys)})) AS dup FROM {cte_name}"
+        out.append(_chk(100 + i, f"pk unique: {name}({'+'.join(keys)})", "CASE WHEN dup = 0 THEN 'PASS' ELSE 'FAIL' END",
+                        "dup", 0, "CASE WHEN dup = 0 THEN 'unique' ELSE CAST(dup AS VARCHAR) || ' duplicate keys remain' END",
+                        src))
+    return out
+
+
+def _req():
+    specs = [("customers", "c_customers", ["customer_id", "customer_unique_id"]),
+             ("orders", "c_orders", ["order_id", "customer_id", "order_status", "order_purchase_timestamp"]),
+             ("order_items", "c_items", ["order_id", "order_item_id", "product_id", "seller_id", "price"]),
+             ("order_payments", "c_payments", ["order_id", "payment_sequential", "payment_type", "payment_value"]),
+             ("order_reviews", "c_reviews", ["order_id", "review_score"]),
+             ("products", "c_products", ["product_id"]), ("sellers", "c_sellers", ["seller_id"]),
+             ("category_translation", "c_translation", ["product_category_name", "product_category_name_english"])]
+    out = []
+    for i, (name, cte_name, cols) in enumerate(specs):
+        aggs = ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS n{j}" for j, c in enumerate(cols))
+        total = " + ".join(f"n{j}" for j in range(len(cols)))
+        listing = "concat_ws(', ', " + ", ".join(
+            f"CASE WHEN n{j} > 0 THEN '{c}=' || CAST(n{j} AS VARCHAR) END" for j, c in enumerate(cols)) + ")"
+        src = f"SELECT {aggs} FROM {cte_name}"
+        out.append(_chk(200 + i, f"required non-null: {name}", f"CASE WHEN {total} = 0 THEN 'PASS' ELSE 'FAIL' END",
+                        total, 0, f"CASE WHEN {total} = 0 THEN 'all required columns populated' "
+                                  f"ELSE 'nulls in {{' || {listing} || '}}' END", src))
+    return out
+
+
+def _fk():
+    fks = [("orders", "customer_id", "c_orders", "customers", "c_customers", "customer_id"),
+           ("order_items", "product_id", "c_items", "products", "c_products", "product_id"),
+           ("order_items", "seller_id", "c_items", "sellers", "c_sellers", "seller_id")]
+    out = []
+    for i, (name, col, cte_c, pname, cte_p, pcol) in enumerate(fks):
+        src = (f"SELECT count(*) AS miss FROM {cte_c} c WHERE c.{col} IS NOT NULL "
+               f"AND NOT EXISTS (SELECT 1 FROM {cte_p} p WHERE p.{pcol} = c.{col})")
+        out.append(_chk(300 + i, f"FK: {name}.{col} -> {pname}.{pcol}", "CASE WHEN miss = 0 THEN 'PASS' ELSE 'FAIL' END",
+                        "miss", 0, "CASE WHEN miss = 0 THEN 'all values resolve' ELSE CAST(miss AS VARCHAR) || ' orphaned values' END",
+                        src))
+    return out
+
+
+def _txq():
+    src = ("SELECT count(*) FILTER (WHERE customer_unique_id IS NULL) AS nk, count(*) FILTER (WHERE item_revenue <= 0) AS bad, "
+           "coalesce(max(abs(price + freight_value - item_revenue)), 0.0) AS drift, "
+           "count(*) - count(DISTINCT (order_id, order_item_id)) AS dup FROM tx")
+    return [
+        _chk(400, "transactions: customer key populated", "CASE WHEN nk = 0 THEN 'PASS' ELSE 'FAIL' END", "nk", 0,
+             "CASE WHEN nk = 0 THEN 'no nulls' ELSE CAST(nk AS VARCHAR) || ' nulls' END", src),
+        _chk(401, "transactions: item_revenue > 0", "CASE WHEN bad = 0 THEN 'PASS' ELSE 'FAIL' END", "bad", 0,
+             "CASE WHEN bad = 0 THEN 'all positive' ELSE CAST(bad AS VARCHAR) || ' non-positive rows' END", src),
+        _chk(402, "transactions: revenue = price + freight", "CASE WHEN drift < 1e-6 THEN 'PASS' ELSE 'FAIL' END",
+             "drift", 1e-6, "'max drift in metric'", src),
+        _chk(403, "transactions: grain is (order_id, order_item_id)", "CASE WHEN dup = 0 THEN 'PASS' ELSE 'FAIL' END",
+             "dup", 0, "CASE WHEN dup = 0 THEN 'unique' ELSE CAST(dup AS VARCHAR) || ' duplicates' END", src),
+    ]
+
+
+def _rec():
+    src = ("SELECT * FROM (SELECT count(DISTINCT order_id) AS txo, sum(item_revenue) AS tx_rev FROM tx) "
+           "CROSS JOIN (SELECT count(*) AS rws, sum(order_revenue) AS o_rev, "
+           "count(*) FILTER (WHERE payment_total IS NOT NULL) AS with_pay, "
+           "sum(order_revenue) FILTER (WHERE payment_total IS NOT NULL) AS rev_p, "
+           "sum(payment_total) FILTER (WHERE payment_total IS NOT NULL) AS pay_p, "
+           "count(*) FILTER (WHERE payment_total IS NULL) AS no_pay FROM om)")
+    drift = "abs(coalesce(tx_rev, 0.0) - coalesce(o_rev, 0.0))"
+    gap = "100.0 * abs(pay_p - rev_p) / rev_p"
+    return [
+        _chk(500, "orders: one row per distinct order in transactions", "CASE WHEN rws = txo THEN 'PASS' ELSE 'FAIL' END",
+             "rws - txo", 0, "CAST(rws AS VARCHAR) || ' order rows vs ' || CAST(txo AS VARCHAR) || ' distinct in transactions'",
+             src),
+        _chk(501, "orders: revenue reconciles to transactions", f"CASE WHEN {drift} < 0.01 THEN 'PASS' ELSE 'FAIL' END",
+             drift, 0.01, "'drift in metric'", src),
+        _chk(502, "orders: item revenue vs payments cross-check", f"CASE WHEN {gap} < 5 THEN 'PASS' ELSE 'WARN' END",
+             gap, 5, "'% apart in metric'", src + " WHERE with_pay > 0"),
+        _chk(503, "orders: payment record present", "CASE WHEN no_pay = 0 THEN 'PASS' ELSE 'WARN' END", "no_pay", 0,
+             "CASE WHEN no_pay = 0 THEN 'all orders have payments' ELSE CAST(no_pay AS VARCHAR) || ' orders lack a payment row' END",
+             src),
+    ]
+
+
+def _tmp():
+    w = ("SELECT min(order_purchase_timestamp) AS lo, max(order_purchase_timestamp) AS hi, "
+         "count(DISTINCT date_trunc('month', order_purchase_timestamp)) AS months, "
+         "count(*) FILTER (WHERE delivery_days < 0) AS neg FROM om")
+    th = ("SELECT count(*) FILTER (WHERE n < 0.25 * med) AS thin, max(med) AS med, max(mn) AS mn FROM "
+          "(SELECT order_month, count(*) AS n FROM om GROUP BY 1) m CROSS JOIN "
+          "(SELECT median(n) AS med, min(n) AS mn FROM (SELECT order_month, count(*) AS n FROM om GROUP BY 1))")
+    return [
+        _chk(600, "orders: purchase timestamps in window", "'PASS'", "months", 0,
+             "strftime(lo, '%Y-%m-%d') || ' .. ' || strftime(hi, '%Y-%m-%d') || ' (' || CAST(months AS VARCHAR) || ' months)'", w),
+        _chk(601, "orders: no anaemic month at the tails", "CASE WHEN thin = 0 THEN 'PASS' ELSE 'WARN' END", "thin", 0,
+             "'min month ' || CAST(CAST(mn AS BIGINT) AS VARCHAR) || ' orders, ' || CAST(thin AS VARCHAR) || ' thin months'", th),
+        _chk(602, "orders: delivery never precedes purchase", "CASE WHEN neg = 0 THEN 'PASS' ELSE 'FAIL' END", "neg", 0,
+             "CASE WHEN neg = 0 THEN 'chronology consistent' ELSE CAST(neg AS VARCHAR) || ' negative durations' END", w),
+    ]
+
+
+def _idn():
+    src = ("SELECT * FROM (SELECT count(*) AS uniq, count(*) FILTER (WHERE n > 1) AS rep, "
+           "count(*) FILTER (WHERE occ > 1) AS rep_occ FROM (SELECT customer_unique_id, count(*) AS n, "
+           "count(DISTINCT CAST(order_purchase_timestamp AS DATE)) AS occ FROM om GROUP BY 1)) "
+           "CROSS JOIN (SELECT count(DISTINCT customer_id) AS sur FROM om)")
+    return [
+        _chk(700, "identity: customer_unique_id collapses surrogates", "CASE WHEN uniq < sur THEN 'PASS' ELSE 'FAIL' END",
+             "sur - uniq", 0, "CAST(sur AS VARCHAR) || ' order-level customer_id -> ' || CAST(uniq AS VARCHAR) || ' real customers'",
+             src),
+        _chk(701, "identity: repeat buyers exist", "CASE WHEN rep > 0 THEN 'PASS' ELSE 'FAIL' END", "rep", 0,
+             "CAST(rep AS VARCHAR) || ' customers with >1 order, ' || CAST(rep_occ AS VARCHAR) || ' with >1 purchase day'", src),
+    ]
+
+
+def _u(parts):
+    return sql("\nUNION ALL\n".join(parts))
+
+
+ORACLE["qua1"] = _u(_pk())
+ORACLE["qua2"] = _u(_req())
+ORACLE["qua3"] = ORACLE["joi9"] = ORACLE["set3"] = _u(_fk())
+ORACLE["qua4"] = _u(_txq())
+ORACLE["qua5"] = ORACLE["qua6"] = _u(_rec())
+ORACLE["qua7"] = _u(_tmp())
+ORACLE["qua8"] = _u(_idn())
+ORACLE["qua9"] = _u(_pk() + _req() + _fk() + _txq() + _rec() + _tmp() + _idn())
+ORACLE["joi8"] = sql("""
+SELECT rows_before, rows_after, CASE WHEN rows_before = rows_after THEN 'PASS' ELSE 'FAIL' END AS status
+FROM (SELECT count(*) AS rows_before FROM c_items i JOIN c_orders o ON i.order_id = o.order_id
+      JOIN c_customers c ON o.customer_id = c.customer_id) CROSS JOIN (SELECT count(*) AS rows_after FROM tx)""")

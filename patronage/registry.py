@@ -374,3 +374,64 @@ def _eva8(ctx):
 @register("roi4")
 def _roi4(ctx):
     return EV.compare_strategies(spend_scores(ctx), ctx.params.top_fraction, 500, ctx.params.seed)
+
+
+# ---------------------------------------------------------------- quality
+from patronage.operators import quality as QA  # noqa: E402
+
+
+def report(ctx):
+    return QA.run_all(ctx.clean, ctx.transactions, ctx.orders)
+
+
+@register("qua9")
+def _qua9(ctx):
+    return report(ctx)
+
+
+@register("qua1")
+def _qua1(ctx):
+    return reduce_union(QA.check_primary_keys(ctx.clean))
+
+
+@register("qua2")
+def _qua2(ctx):
+    return reduce_union(QA.check_required_not_null(ctx.clean))
+
+
+@register("qua3", "joi9", "set3")
+def _qua3(ctx):
+    return reduce_union(QA.check_referential_integrity(ctx.clean))
+
+
+@register("qua4")
+def _qua4(ctx):
+    return reduce_union(QA.check_transaction_integrity(ctx.transactions))
+
+
+@register("qua5", "qua6")
+def _qua5(ctx):
+    return reduce_union(QA.check_orders_reconcile(ctx.transactions, ctx.orders))
+
+
+@register("qua7")
+def _qua7(ctx):
+    return reduce_union(QA.check_temporal_sanity(ctx.orders))
+
+
+@register("qua8")
+def _qua8(ctx):
+    return reduce_union(QA.check_customer_identity(ctx.orders))
+
+
+@register("joi8")
+def _joi8(ctx):
+    """Fan-out guard: order lines before vs after the four left joins."""
+    items = ctx.clean["order_items"].join(ctx.clean["orders"].select("order_id", "customer_id"), "order_id") \
+        .join(ctx.clean["customers"].select("customer_id"), "customer_id")
+    return QA.fanout_guard(items, ctx.transactions)
+
+
+def reduce_union(parts):
+    from functools import reduce as _r
+    return _r(DataFrame.unionByName, parts)
