@@ -333,3 +333,8 @@ LEFT JOIN (SELECT customer_unique_id, sum(order_revenue) AS target FROM om
 
 
 cte("panel", "\nUNION ALL\n".join(_feat_block(s, o) for s, o in ORIGINS))
+cte("r_geolocation", """
+SELECT n_nationkey AS geolocation_zip_code_prefix, CAST(NULL AS DOUBLE) AS geolocation_lat,
+       CAST(NULL AS DOUBLE) AS geolocation_lng, n_name AS geolocation_city, n_name AS geolocation_state FROM nation""")
+cte("r_reviews_full", """
+SELECT *, review_creation_date + INTERVAL 1 DAY AS review_answer_timestamp FROM r_reviews""")

@@ -783,3 +783,172 @@ ORACLE["joi8"] = sql("""
 SELECT rows_before, rows_after, CASE WHEN rows_before = rows_after THEN 'PASS' ELSE 'FAIL' END AS status
 FROM (SELECT count(*) AS rows_before FROM c_items i JOIN c_orders o ON i.order_id = o.order_id
       JOIN c_customers c ON o.customer_id = c.customer_id) CROSS JOIN (SELECT count(*) AS rows_after FROM tx)""")
+
+
+# ---------------------------------------------------------------- slices
+@o("fil13")
+def _fil13():
+    return sql(f"SELECT {OM_COLS} FROM om WHERE customer_state IN ('NATION_1', 'NATION_2', 'NATION_3') "
+               "AND order_purchase_timestamp >= TIMESTAMP '2000-01-01 00:00:00' "
+               "AND order_purchase_timestamp <= TIMESTAMP '2000-06-30 00:00:00'")
+
+
+@o("fil14")
+def _fil14():
+    return sql(f"SELECT {RFM_COLS}, R, F, M, rfm_score, segment FROM seg "
+               "WHERE customer_state IN ('NATION_1', 'NATION_2') AND top_category IN ('economy', 'large')")
+
+
+@o("fil15")
+def _fil15():
+    return sql("""
+SELECT 'All time' AS preset, lo AS date_start, hi AS date_end FROM (SELECT min(order_purchase_timestamp) lo, max(order_purchase_timestamp) hi FROM om)
+UNION ALL SELECT 'Last 3 months', hi - INTERVAL 90 DAY, hi FROM (SELECT max(order_purchase_timestamp) hi FROM om)
+UNION ALL SELECT 'Last 6 months', hi - INTERVAL 182 DAY, hi FROM (SELECT max(order_purchase_timestamp) hi FROM om)
+UNION ALL SELECT 'Last 12 months', hi - INTERVAL 365 DAY, hi FROM (SELECT max(order_purchase_timestamp) hi FROM om)
+UNION ALL SELECT 'Custom', TIMESTAMP '2000-01-01 00:00:00', TIMESTAMP '2000-03-31 00:00:00' + INTERVAL 1 DAY""")
+
+
+@o("fil16")
+def _fil16():
+    return sql("SELECT DISTINCT 'customer_state' AS dimension, CAST(customer_state AS VARCHAR) AS value FROM om "
+               "WHERE customer_state IS NOT NULL UNION ALL SELECT DISTINCT 'top_category', top_category FROM om "
+               "WHERE top_category IS NOT NULL")
+
+
+@o("fil17")
+def _fil17():
+    return sql(f"SELECT customer_unique_id, {rnd('monetary', 'monetary')}, frequency FROM rfm "
+               "WHERE CAST(customer_unique_id AS VARCHAR) = '42' OR starts_with(CAST(customer_unique_id AS VARCHAR), '13')")
+
+
+# ---------------------------------------------------------------- dashboard
+SEG_SCORES = (f"(SELECT s.*, g.segment FROM {SCORES} s LEFT JOIN seg g ON s.key = g.customer_unique_id)")
+
+
+@o("agg24")
+def _agg24():
+    return sql(f"""
+SELECT customers, {rnd('100.0 * champions / customers', 'pct_champions')},
+       {rnd('100.0 * hibernating / customers', 'pct_hibernating')},
+       {rnd('100.0 * hib_rev / revenue', 'pct_revenue_hibernating')}, new_customers
+FROM (SELECT count(*) AS customers, sum(monetary) AS revenue, count(*) FILTER (WHERE segment = 'Champions') AS champions,
+             count(*) FILTER (WHERE segment = 'Hibernating') AS hibernating,
+             coalesce(sum(monetary) FILTER (WHERE segment = 'Hibernating'), 0.0) AS hib_rev,
+             count(*) FILTER (WHERE segment = 'New') AS new_customers FROM seg)""")
+
+
+@o("agg25", "joi15")
+def _agg25():
+    return sql(f"""
+SELECT segment, count(*) AS customers, {rnd('avg(p)', 'mean_pred')}, {rnd('sum(p)', 'total_pred')},
+       {rnd('avg(y)', 'mean_actual')}, count(*) FILTER (WHERE y > 0) AS returned,
+       {rnd('100.0 * count(*) FILTER (WHERE y > 0) / count(*)', 'return_rate')}
+FROM {SEG_SCORES} WHERE segment IS NOT NULL GROUP BY segment""")
+
+
+@o("agg26")
+def _agg26():
+    return sql(f"SELECT count(*) AS customers, {rnd('sum(p)', 'sum_scores')}, {rnd('sum(y)', 'total_actual')}, "
+               f"count(*) FILTER (WHERE y > 0) AS returned FROM {SCORES}")
+
+
+@o("agg27")
+def _agg27():
+    return sql(f"""
+SELECT q.segment, q.n, {rnd('q.q1', 'q1')}, {rnd('q.median', 'median')}, {rnd('q.q3', 'q3')}, {rnd('q.mn', 'min')},
+       {rnd('q.mx', 'max')}, {rnd('w.lw', 'lower_whisker')}, {rnd('w.uw', 'upper_whisker')}
+FROM (SELECT segment, count(*) AS n, quantile_cont(p, 0.25) AS q1, quantile_cont(p, 0.5) AS median,
+             quantile_cont(p, 0.75) AS q3, min(p) AS mn, max(p) AS mx FROM {SEG_SCORES} WHERE segment IS NOT NULL GROUP BY 1) q
+JOIN (SELECT s.segment, min(s.p) FILTER (WHERE s.p >= b.q1 - 1.5 * (b.q3 - b.q1)) AS lw,
+             max(s.p) FILTER (WHERE s.p <= b.q3 + 1.5 * (b.q3 - b.q1)) AS uw
+      FROM {SEG_SCORES} s JOIN (SELECT segment, quantile_cont(p, 0.25) AS q1, quantile_cont(p, 0.75) AS q3
+                                 FROM {SEG_SCORES} WHERE segment IS NOT NULL GROUP BY 1) b ON s.segment = b.segment
+      GROUP BY s.segment) w ON q.segment = w.segment""")
+
+
+@o("agg28")
+def _agg28():
+    return sql(f"""
+SELECT segment, 'stats' AS kind, CAST(NULL AS VARCHAR) AS value, CAST(NULL AS INTEGER) AS rank, count(*) AS customers,
+       {rnd('sum(monetary)', 'revenue')}, {rnd('median(monetary)', 'median_spend')}, {rnd('median(recency)', 'median_recency')}
+FROM seg GROUP BY segment
+UNION ALL
+SELECT segment, 'state', CAST(customer_state AS VARCHAR), CAST(rk AS INTEGER), customers, NULL, NULL, NULL FROM (
+  SELECT segment, customer_state, count(*) AS customers,
+         row_number() OVER (PARTITION BY segment ORDER BY count(*) DESC, customer_state) AS rk
+  FROM seg WHERE customer_state IS NOT NULL GROUP BY 1, 2) WHERE rk <= 10
+UNION ALL
+SELECT segment, 'category', top_category, CAST(rk AS INTEGER), customers, NULL, NULL, NULL FROM (
+  SELECT segment, top_category, count(*) AS customers,
+         row_number() OVER (PARTITION BY segment ORDER BY count(*) DESC, top_category) AS rk
+  FROM seg WHERE top_category IS NOT NULL GROUP BY 1, 2) WHERE rk <= 10""")
+
+
+def _hist(measure, clip):
+    base = (f"(SELECT least(monetary, (SELECT quantile_cont(monetary, 0.99) FROM seg)) AS x FROM seg WHERE monetary IS NOT NULL)"
+            if clip else f"(SELECT CAST({measure} AS DOUBLE) AS x FROM seg WHERE {measure} IS NOT NULL)")
+    return f"""
+SELECT '{measure}' AS measure, bin, {rnd('lo + (bin - 1) * (hi - lo) / 50', 'lo')}, {rnd('lo + bin * (hi - lo) / 50', 'hi')},
+       count(*) AS count
+FROM (SELECT CASE WHEN hi = lo THEN 1 ELSE least(CAST(floor((x - lo) / ((hi - lo) / 50)) AS INTEGER) + 1, 50) END AS bin, lo, hi
+      FROM {base} b CROSS JOIN (SELECT min(x) AS lo, max(x) AS hi FROM {base}) r)
+GROUP BY bin, lo, hi"""
+
+
+ORACLE["agg29"] = sql(_hist("monetary", True) + "\nUNION ALL\n" + _hist("recency", False))
+
+
+@o("agg33")
+def _agg33():
+    cats = ("top_category", "customer_state", "payment_type")
+    cols = [(f"CAST(0.0 AS DOUBLE) AS {f}" if f in cats else rnd(f"coalesce(median({f}), 0.0)", f)) for f in FEATURES]
+    return sql(f"SELECT {', '.join(cols)} FROM panel WHERE split = 'test'")
+
+
+# ---------------------------------------------------------------- sources / sinks
+@o("src1")
+def _src1():
+    return sql("SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(customer_id AS VARCHAR) AS customer_id, order_status, "
+               "order_purchase_timestamp, order_approved_at, order_delivered_carrier_date, order_delivered_customer_date, "
+               "order_estimated_delivery_date FROM r_orders")
+
+
+@o("src2")
+def _src2():
+    names = [("customers", "r_customers"), ("orders", "r_orders"), ("order_items", "r_items"),
+             ("order_payments", "r_payments"), ("order_reviews", "r_reviews"), ("products", "r_products"),
+             ("sellers", "r_sellers"), ("category_translation", "r_translation"), ("geolocation", "r_geolocation")]
+    return sql("\nUNION ALL\n".join(f"SELECT '{n}' AS table_name, count(*) AS n_rows FROM {c}" for n, c in names))
+
+
+@o("src4")
+def _src4():
+    return "SELECT o_orderkey, o_custkey, o_orderdate FROM orders WHERE o_orderstatus = 'F'"
+
+
+@o("snk1")
+def _snk1():
+    return sql(f"SELECT {OM_COLS} FROM om")
+
+
+@o("snk2")
+def _snk2():
+    return sql(f"""
+SELECT order_id, customer_unique_id, order_purchase_timestamp, order_month,
+       {rnd('CAST(order_revenue AS FLOAT)', 'order_revenue')}, CAST(n_items AS INTEGER) AS n_items,
+       {rnd('CAST(review_score AS FLOAT)', 'review_score')}, delivered_late,
+       {rnd('CAST(delivery_days AS FLOAT)', 'delivery_days')}, customer_state, top_category, payment_type FROM om""")
+
+
+@o("snk3")
+def _snk3():
+    return sql("""
+SELECT 'aov' AS key, printf('%.6f', aov) AS value FROM thresholds
+UNION ALL SELECT 'monetary_cut_low', printf('%.6f', monetary_cut_low) FROM thresholds
+UNION ALL SELECT 'monetary_cut_high', printf('%.6f', monetary_cut_high) FROM thresholds
+UNION ALL SELECT 'recency_cuts', '90,180,365'
+UNION ALL SELECT 'snapshot_date', strftime(snapshot, '%Y-%m-%d') FROM snap
+UNION ALL SELECT 'total_revenue', printf('%.6f', sum(order_revenue)) FROM om
+UNION ALL SELECT 'n_customers', CAST(count(DISTINCT customer_unique_id) AS VARCHAR) FROM om
+UNION ALL SELECT 'n_orders', CAST(count(*) AS VARCHAR) FROM om""")

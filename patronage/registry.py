@@ -435,3 +435,145 @@ def _joi8(ctx):
 def reduce_union(parts):
     from functools import reduce as _r
     return _r(DataFrame.unionByName, parts)
+
+
+# ---------------------------------------------------------------- slices
+from patronage.operators import dashboard as DB  # noqa: E402
+from patronage.operators import slices as SL  # noqa: E402
+
+SAMPLE_FILTERS = SL.Filters(date_start="2000-01-01", date_end="2000-06-30",
+                            states=("NATION_1", "NATION_2", "NATION_3"), categories=())
+
+
+@register("fil13")
+def _fil13(ctx):
+    return SL.apply_filters(ctx.orders, SAMPLE_FILTERS)
+
+
+@register("fil14")
+def _fil14(ctx):
+    return SL.filter_customers(segmented(ctx), SL.Filters(states=("NATION_1", "NATION_2"),
+                                                          categories=("economy", "large")))
+
+
+@register("fil15")
+def _fil15(ctx):
+    return SL.date_presets(ctx.orders, ("2000-01-01", "2000-03-31"))
+
+
+@register("fil16")
+def _fil16(ctx):
+    return SL.dimension_values(ctx.orders)
+
+
+@register("fil17")
+def _fil17(ctx):
+    return SL.lookup_customers(RF.build_rfm(ctx.orders), exact="42", prefix="13") \
+        .select("customer_unique_id", "monetary", "frequency")
+
+
+# ---------------------------------------------------------------- dashboard
+def seg_scores(ctx):
+    return DB.scores_with_segments(spend_scores(ctx), segmented(ctx))
+
+
+@register("agg24")
+def _agg24(ctx):
+    return DB.segment_shares(segmented(ctx))
+
+
+@register("agg25", "joi15")
+def _agg25(ctx):
+    return DB.score_by_segment(seg_scores(ctx))
+
+
+@register("agg26")
+def _agg26(ctx):
+    return DB.score_totals(spend_scores(ctx))
+
+
+@register("agg27")
+def _agg27(ctx):
+    return DB.box_stats(seg_scores(ctx), "segment", "p")
+
+
+@register("agg28")
+def _agg28(ctx):
+    return DB.segment_drilldown(segmented(ctx))
+
+
+@register("agg29")
+def _agg29(ctx):
+    s = segmented(ctx)
+    return DB.histogram(s, "monetary", 50, 0.99).unionByName(DB.histogram(s, "recency", 50, None))
+
+
+@register("agg33")
+def _agg33(ctx):
+    test = panel(ctx).where(F.col("split") == "test")
+    return DB.population_medians(test, list(PN.FEATURES))
+
+
+# ---------------------------------------------------------------- sources / sinks
+from patronage.session import scratch_path  # noqa: E402
+from patronage.sources import files as FS  # noqa: E402
+from patronage.sources import sinks as SK  # noqa: E402
+from patronage.sources.specs import TABLES  # noqa: E402
+
+
+def csv_root(ctx):
+    """The canonical raw tables written once as CSV (header, quoted) under the
+    shared checkpoint folder — the input format of the declared-schema scan."""
+    def build():
+        root = scratch_path(ctx.spark, "csv-raw")
+        for spec in TABLES:
+            df = ctx.raw[spec.name]
+            (df.write.mode("overwrite").option("header", True).option("quoteAll", True)
+             .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(f"{root}/{spec.filename}"))
+        return root
+    return ctx._get("csv_root", build)
+
+
+@register("src1")
+def _src1(ctx):
+    from patronage.sources.specs import ORDERS
+    return FS.load_table(ctx.spark, ORDERS, csv_root(ctx), "csv")
+
+
+@register("src2")
+def _src2(ctx):
+    tables = FS.load_all(ctx.spark, csv_root(ctx), "csv", register_views=True)
+    parts = [ctx.spark.sql(f"SELECT '{name}' AS table_name, count(*) AS n_rows FROM {name}") for name in tables]
+    return reduce_union(parts)
+
+
+@register("src3")
+def _src3(ctx):
+    raw = {k: v for k, v in ctx.raw.items()}
+    pks = {s.name: s.primary_key for s in TABLES}
+    return FS.profile(raw, pks)
+
+
+@register("src4")
+def _src4(ctx):
+    """Parquet scan: the filter and the 3-column projection reach the scan
+    (PushedFilters / ReadSchema)."""
+    return FS.read_parquet(ctx.spark, f"{ctx.sf_dir}/orders.parquet") \
+        .where(F.col("o_orderstatus") == "F").select("o_orderkey", "o_custkey", "o_orderdate")
+
+
+@register("snk1")
+def _snk1(ctx):
+    path = scratch_path(ctx.spark, "mart-orders")
+    SK.write_mart(ctx.orders, path, "order_month", ["customer_unique_id", "order_purchase_timestamp"])
+    return ctx.spark.read.parquet(path)
+
+
+@register("snk2")
+def _snk2(ctx):
+    return SK.shrink(ctx.orders, SK.ORDER_COLS)
+
+
+@register("snk3")
+def _snk3(ctx):
+    return SK.meta_table(ctx.orders, RF.derive_thresholds(ctx.orders, ctx.params), RF.snapshot_date(ctx.orders))
