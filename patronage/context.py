@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from patronage.config import TESTDATA_PARAMS, Params
 from patronage.operators.clean import Ledger, clean_all
 from patronage.operators.marts import build_orders, build_transactions
+from patronage.session import materialize
 from patronage.sources.testdata import canonical_tables, purchase_events
 
 
@@ -47,11 +48,13 @@ class Context:
 
     @property
     def transactions(self) -> DataFrame:
-        return self._get("tx", lambda: build_transactions(self.clean, self._clean()[1]))
+        """The order-line mart, written once to the shared checkpoint folder
+        (the ETL → analytics boundary; every downstream query reads it)."""
+        return self._get("tx", lambda: materialize(build_transactions(self.clean, self._clean()[1])))
 
     @property
     def orders(self) -> DataFrame:
-        return self._get("orders", lambda: build_orders(self.transactions))
+        return self._get("orders", lambda: materialize(build_orders(self.transactions)))
 
     @property
     def purchases(self) -> DataFrame:

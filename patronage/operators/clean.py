@@ -209,7 +209,7 @@ def dedup_translation(df: DataFrame) -> DataFrame:
 
 
 def clean_products(df: DataFrame, ledger: Ledger, translation: DataFrame,
-                   dim_rows_limit: int = 1_000_000) -> DataFrame:
+                   dim_rows_limit: int | None = None) -> DataFrame:
     """FIL9 + JOI7: null category → 'unknown'; English name when translated, else original."""
     order = [c for c in df.columns if c != "product_id"]
     deduped, part = _table(600, "products", df, ["product_id"], order, [], [],

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from patronage.config import CUSTOMER_KEY
 from patronage.functions.columns import days_between, month_start, null_safe_gt
 from patronage.operators.clean import Ledger
-from patronage.plans.joins import DEFAULT_DIM_ROWS, dimension_join
+from patronage.plans.joins import dimension_join
 
 TRANSACTION_COLUMNS = (
     "order_id", "order_item_id", CUSTOMER_KEY, "customer_id",
@@ -49,7 +49,7 @@ def _ledger_join(ledger: Ledger | None, step_id: int, reason: str, before: DataF
 
 
 def build_transactions(clean: dict[str, DataFrame], ledger: Ledger | None = None,
-                       dim_rows_limit: int = DEFAULT_DIM_ROWS) -> DataFrame:
+                       dim_rows_limit: int | None = None) -> DataFrame:
     items = clean["order_items"]
     orders = clean["orders"].select(
         "order_id", "customer_id", "order_status", "order_purchase_timestamp",

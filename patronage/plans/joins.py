@@ -14,10 +14,17 @@ def fits(df: DataFrame, max_rows: int) -> bool:
 
 
 def dimension_join(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                   max_rows: int = DEFAULT_DIM_ROWS) -> DataFrame:
-    """Join a dimension: broadcast it when its size is proven small, else let
-    the planner shuffle (AQE may still switch to a broadcast at run time)."""
-    if fits(dim, max_rows):
+                   max_rows: int | None = None) -> DataFrame:
+    """Join a dimension whose size is not known up front.
+
+    Default: no hint. Spark broadcasts only when the side's size — the static
+    estimate, or AQE's measured shuffle size at run time — is under
+    ``spark.sql.autoBroadcastJoinThreshold``; beyond it the join shuffles
+    (sort-merge, skew-split by AQE). That is a checked broadcast with no extra
+    job. With ``max_rows`` the bound is checked explicitly first (one bounded
+    job reading at most max_rows+1 rows) and the side is broadcast when it holds.
+    """
+    if max_rows is not None and fits(dim, max_rows):
         return fact.join(F.broadcast(dim), on, how)
     return fact.join(dim, on, how)
 
