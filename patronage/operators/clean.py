@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from patronage.config import Params
 from patronage.functions.columns import add_days, ntz
+from patronage.plans.joins import with_one_row
 
 LEDGER_COLUMNS = ("step_id", "table_name", "reason", "rows_before", "rows_after", "dropped", "pct")
 
@@ -123,12 +124,12 @@ def _table(step_base, table, raw, key, order, preds, pred_reasons, notes=(), not
     counts = head
     if tail_aggs:
         tail = deduped.agg(*[a.alias(f"t{i}") for i, a in enumerate(tail_aggs)])
-        counts = head.crossJoin(tail)
+        counts = with_one_row(head, tail)
     counts = counts.select(*cols)
     if collapse is not None:
         clean = collapse(clean)
         n = n_head + len(preds) + len(notes)
-        counts = counts.crossJoin(clean.agg(F.count(F.lit(1)).alias(f"c{n}")))
+        counts = with_one_row(counts, clean.agg(F.count(F.lit(1)).alias(f"c{n}")))
         reasons.append(collapse_reason)
         kinds.append("drop")
     return clean, _steps_ledger(step_base, table, counts, reasons, kinds)

@@ -58,7 +58,9 @@ def _grid_cumsum(orders: DataFrame, counts: DataFrame, value: str, months: DataF
     its window are tiny whatever the data size.
     """
     sizes = cohort_sizes(orders)
-    grid = sizes.crossJoin(F.broadcast(months)).join(counts, ["cohort_month", "month_index"], "left") \
+    axis = months.agg(F.array_sort(F.collect_set("month_index")).alias("__months"))  # calendar-bounded
+    grid = with_one_row(sizes, axis).select("cohort_month", "customers", F.explode("__months").alias("month_index")) \
+        .join(counts, ["cohort_month", "month_index"], "left") \
         .withColumn(value, F.coalesce(F.col(value), F.lit(0)))
     w = Window.partitionBy("cohort_month").orderBy("month_index").rowsBetween(Window.unboundedPreceding, 0)
     return grid.withColumn("cum_" + value, F.sum(value).over(w))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from patronage.config import CUSTOMER_KEY
 from patronage.functions.columns import days_between, month_start, null_safe_gt
 from patronage.operators.clean import Ledger
-from patronage.plans.joins import dimension_join
+from patronage.plans.joins import dimension_join, with_one_row
 
 TRANSACTION_COLUMNS = (
     "order_id", "order_item_id", CUSTOMER_KEY, "customer_id",
@@ -44,7 +44,7 @@ def _ledger_join(ledger: Ledger | None, step_id: int, reason: str, before: DataF
         return
     b = before.agg(F.count(F.lit(1)).alias("rows_before"))
     a = after.agg(F.count(F.lit(1)).alias("rows_after"))
-    ledger.add(b.crossJoin(a).select(F.lit(step_id).alias("step_id"), F.lit("transactions").alias("table_name"),
+    ledger.add(with_one_row(b, a).select(F.lit(step_id).alias("step_id"), F.lit("transactions").alias("table_name"),
                                      F.lit(reason).alias("reason"), "rows_before", "rows_after"))
 
 

@@ -32,7 +32,7 @@ def headline_metrics(orders: DataFrame) -> DataFrame:
         F.avg("review_score").alias("avg_review_score"),
         (F.avg(F.col("delivered_late").cast("double")) * 100.0).alias("late_delivery_rate"),
     )
-    one = o.crossJoin(cust).withColumn("revenue_per_customer", safe_div("total_revenue", "n_customers"))
+    one = with_one_row(o, cust).withColumn("revenue_per_customer", safe_div("total_revenue", "n_customers"))
     empty = F.col("n_orders") == 0
     cols = []
     for n in KPI_NAMES:
@@ -125,4 +125,4 @@ def etl_summary(transactions: DataFrame, orders: DataFrame) -> DataFrame:
                    F.count(F.lit(1)).alias("n_orders"), F.count_distinct(CUSTOMER_KEY).alias("n_customers"),
                    F.sum("order_revenue").alias("revenue"), F.avg("order_revenue").alias("aov"))
     t = transactions.agg(F.count(F.lit(1)).alias("n_lines"))
-    return o.crossJoin(t)
+    return with_one_row(o, t)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patronage.config import CUSTOMER_KEY
+from patronage.plans.joins import with_one_row
 from patronage.sources.specs import TABLES_BY_NAME
 
 CLEAN_ORDER = ("customers", "orders", "order_items", "order_payments", "order_reviews", "products", "sellers",
@@ -123,7 +124,7 @@ def check_orders_reconcile(tx: DataFrame, orders: DataFrame) -> list[DataFrame]:
         F.sum(F.when(F.col("payment_total").isNotNull(), F.col("order_revenue"))).alias("rev_p"),
         F.sum(F.when(F.col("payment_total").isNotNull(), F.col("payment_total"))).alias("pay_p"),
         F.count_if(F.col("payment_total").isNull()).alias("no_pay"))
-    one = t.crossJoin(o)
+    one = with_one_row(t, o)
     rows, txo = F.col("rows"), F.col("tx_orders")
     drift = F.abs(F.coalesce(F.col("tx_rev"), F.lit(0.0)) - F.coalesce(F.col("o_rev"), F.lit(0.0)))
     gap = F.lit(100.0) * F.abs(F.col("pay_p") - F.col("rev_p")) / F.col("rev_p")
@@ -151,7 +152,7 @@ def check_temporal_sanity(orders: DataFrame) -> list[DataFrame]:
                    F.count_if(F.col("delivery_days") < 0).alias("neg"))
     monthly = orders.groupBy("order_month").agg(F.count(F.lit(1)).alias("n"))
     med = monthly.agg(F.median("n").alias("med"), F.min("n").alias("mn"))
-    thin = monthly.crossJoin(F.broadcast(med)).agg(
+    thin = with_one_row(monthly, med).agg(
         F.count_if(F.col("n") < 0.25 * F.col("med")).alias("thin"), F.max("med").alias("med"), F.max("mn").alias("mn"))
     th = F.col("thin")
     neg = F.col("neg")
@@ -173,7 +174,7 @@ def check_customer_identity(orders: DataFrame) -> list[DataFrame]:
     a = per.agg(F.count(F.lit(1)).alias("uniq"), F.count_if(F.col("n") > 1).alias("rep"),
                 F.count_if(F.col("occ") > 1).alias("rep_occ"))
     b = orders.agg(F.count_distinct("customer_id").alias("sur"))
-    one = a.crossJoin(b)
+    one = with_one_row(a, b)
     u, s, r = F.col("uniq"), F.col("sur"), F.col("rep")
     return [
         _row(one, 700, "identity: customer_unique_id collapses surrogates", F.when(u < s, "PASS").otherwise("FAIL"),
@@ -204,5 +205,5 @@ def fanout_guard(before: DataFrame, after: DataFrame) -> DataFrame:
     """JOI8: rows before vs after the dimension joins (must be equal)."""
     b = before.agg(F.count(F.lit(1)).alias("rows_before"))
     a = after.agg(F.count(F.lit(1)).alias("rows_after"))
-    return b.crossJoin(a).withColumn("status", F.when(F.col("rows_before") == F.col("rows_after"), "PASS")
+    return with_one_row(b, a).withColumn("status", F.when(F.col("rows_before") == F.col("rows_after"), "PASS")
                                      .otherwise("FAIL"))

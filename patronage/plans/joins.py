@@ -30,9 +30,10 @@ def dimension_join(fact: DataFrame, dim: DataFrame, on, how: str = "left",
 
 
 def with_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach a one-row frame (a global aggregate) to every row.
+    """Attach the columns of a one-row global aggregate to every row.
 
-    A global aggregate has exactly one row, so this broadcast is bounded by
-    construction; nothing is collected to the driver.
+    Each column becomes a scalar subquery (``DataFrame.scalar``): Catalyst
+    merges subqueries over the same aggregate, runs it once and inlines the
+    values — no join, nothing collected by user code.
     """
-    return df.crossJoin(F.broadcast(one_row))
+    return df.withColumns({c: one_row.select(c).scalar() for c in one_row.columns})

@@ -228,6 +228,7 @@ def _agg21(ctx):
 
 # ---------------------------------------------------------------- concentration
 from patronage.operators import concentration as CN  # noqa: E402
+from patronage.plans.joins import with_one_row  # noqa: E402
 from patronage.plans.ranking import global_rank, rank_bin  # noqa: E402
 
 
@@ -258,7 +259,7 @@ def _rnk2(ctx):
     """Quintile bins of the spend rank (qcut on ranks)."""
     r = _rnk1(ctx)
     n = r.agg(F.count(F.lit(1)).alias("n"))
-    return r.crossJoin(F.broadcast(n)).withColumn("bin", rank_bin("rank", "n", 5)).drop("n")
+    return with_one_row(r, n).withColumn("bin", rank_bin("rank", "n", 5)).drop("n")
 
 
 # ---------------------------------------------------------------- panels

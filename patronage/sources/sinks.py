@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from patronage.config import CUSTOMER_KEY
+from patronage.plans.joins import with_one_row
 
 ORDER_COLS = ("order_id", CUSTOMER_KEY, "order_purchase_timestamp", "order_month", "order_revenue", "n_items",
               "review_score", "delivered_late", "delivery_days", "customer_state", "top_category", "payment_type")
@@ -73,7 +74,7 @@ def meta_table(orders: DataFrame, thresholds: DataFrame, snapshot: DataFrame) ->
     one-row aggregates and unpivoted — nothing collected."""
     tot = orders.agg(F.sum("order_revenue").alias("rev"), F.count_distinct(CUSTOMER_KEY).alias("nc"),
                      F.count(F.lit(1)).alias("no"))
-    one = thresholds.crossJoin(snapshot).crossJoin(tot)
+    one = with_one_row(with_one_row(thresholds, snapshot), tot)
     kv = [
         ("aov", F.format_string("%.6f", "aov")),
         ("monetary_cut_low", F.format_string("%.6f", "monetary_cut_low")),

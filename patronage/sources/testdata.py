@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patronage.functions.columns import add_days
+from patronage.plans.joins import with_one_row
 
 TPCH_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -110,7 +111,7 @@ def canonical_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     types = part.select(F.col("p_type").alias("product_category_name")).distinct()
     top = part.agg(F.max("p_type").alias("__max"))
     translation = (
-        types.crossJoin(F.broadcast(top))
+        with_one_row(types, top)
         .where(F.col("product_category_name") < F.col("__max"))
         .select("product_category_name",
                 F.lower("product_category_name").alias("product_category_name_english"))
