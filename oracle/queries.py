@@ -952,3 +952,18 @@ UNION ALL SELECT 'snapshot_date', strftime(snapshot, '%Y-%m-%d') FROM snap
 UNION ALL SELECT 'total_revenue', printf('%.6f', sum(order_revenue)) FROM om
 UNION ALL SELECT 'n_customers', CAST(count(DISTINCT customer_unique_id) AS VARCHAR) FROM om
 UNION ALL SELECT 'n_orders', CAST(count(*) AS VARCHAR) FROM om""")
+
+
+# ---------------------------------------------------------------- models
+@o("agg32")
+def _agg32():
+    ot = f"TIMESTAMP '{P.test_origin} 00:00:00'"
+    return sql(f"""
+SELECT n, CASE WHEN n >= 30 THEN {rnd('r', 'x')[:-5]} END AS corr,
+       CASE WHEN n < 30 THEN 'untestable' WHEN abs(r) < 0.1 THEN 'OK' WHEN abs(r) > 0.3 THEN 'VIOLATED' ELSE 'marginal' END AS verdict
+FROM (SELECT count(*) AS n, corr(CAST(frequency AS DOUBLE), monetary_value) AS r FROM (
+  SELECT customer_unique_id, count(*) - 1 AS frequency,
+         CASE WHEN count(*) > 1 THEN (sum(rev) - arg_min(rev, day)) / (count(*) - 1) ELSE 0.0 END AS monetary_value
+  FROM (SELECT customer_unique_id, CAST(order_purchase_timestamp AS DATE) AS day, sum(order_revenue) AS rev
+        FROM om WHERE order_purchase_timestamp < {ot} GROUP BY 1, 2)
+  GROUP BY customer_unique_id) WHERE frequency > 0 AND monetary_value > 0)""")

@@ -14,7 +14,7 @@ import math
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,24 +68,68 @@ def _minimise(evaluate, u0: list[float], h: float = 1e-3, max_iter: int = 60, to
     return u, f0
 
 
-def _batch_eval(table: DataFrame, ll_of: callable, weight: str, penalizer: float):
-    """Objective for each candidate: −Σw·ll/Σw + penalizer·Σθ² (θ = exp(u))."""
+def _batch_eval(table: DataFrame, ll_np: callable, columns: list[str], weight: str, penalizer: float):
+    """Objective for each candidate: −Σw·ll/Σw + penalizer·Σθ² (θ = exp(u)).
+
+    One Spark job per call: every partition of the compressed table returns
+    its weighted log-likelihood partial sums for all candidates (numpy inside
+    the task), and Spark adds them up; only K numbers reach the driver.
+    """
     def evaluate(points: list[list[float]]) -> list[float]:
-        aggs = [F.sum(F.col(weight)).alias("__w")]
-        for k, u in enumerate(points):
-            theta = [math.exp(v) for v in u]
-            aggs.append(F.sum(F.col(weight) * ll_of(*theta)).alias(f"l{k}"))
-        row = table.agg(*aggs).first()
+        thetas = [[math.exp(v) for v in u] for u in points]
+        k = len(thetas)
+
+        def part(it):
+            import numpy as np
+            import pandas as pd
+            acc = np.zeros(k + 1)
+            for pdf in it:
+                w = pdf[weight].to_numpy(dtype=float)
+                cols = [pdf[c].to_numpy(dtype=float) for c in columns]
+                acc[k] += w.sum()
+                for j, th in enumerate(thetas):
+                    with np.errstate(all="ignore"):
+                        acc[j] += float(np.sum(w * ll_np(*cols, *th)))
+            yield pd.DataFrame([acc], columns=[f"l{j}" for j in range(k)] + ["__w"])
+
+        schema = ", ".join(f"l{j} double" for j in range(k)) + ", __w double"
+        row = table.select(weight, *columns).mapInPandas(part, schema) \
+            .agg(*[F.sum(f"l{j}").alias(f"l{j}") for j in range(k)], F.sum("__w").alias("__w")).first()
         out = []
-        for k, u in enumerate(points):
-            theta = [math.exp(v) for v in u]
-            ll = row[f"l{k}"]
-            val = math.inf if ll is None or ll != ll else -ll / row["__w"] + penalizer * sum(t * t for t in theta)
-            out.append(val)
+        for j, th in enumerate(thetas):
+            ll = row[f"l{j}"]
+            bad = ll is None or ll != ll or row["__w"] in (None, 0)
+            out.append(math.inf if bad else -ll / row["__w"] + penalizer * sum(t * t for t in th))
         return out
     return evaluate
 
 
+def _lgamma_np(x):
+    import numpy as np
+    return np.frompyfunc(math.lgamma, 1, 1)(x).astype(float)
+
+
+def bgnbd_loglik_np(x, tx, T, r, alpha, a, b):
+    """Same log-likelihood as ``bgnbd_loglik``, vectorised in numpy (for the fit)."""
+    import numpy as np
+    lg = _lgamma_np
+    a1a2 = lg(r + x) - math.lgamma(r) + r * math.log(alpha) + math.lgamma(a + b) + lg(b + x) - math.lgamma(b) \
+        - lg(a + b + x)
+    a3 = -(r + x) * np.log(alpha + T)
+    with np.errstate(all="ignore"):
+        a4 = math.log(a) - np.log(np.where(x > 0, b + x - 1, 1.0)) - (r + x) * np.log(alpha + tx)
+    m = np.maximum(a3, a4)
+    lse = m + np.log(np.exp(a3 - m) + np.exp(a4 - m))
+    return a1a2 + np.where(x > 0, lse, a3)
+
+
+def gamma_gamma_loglik_np(x, m, p, q, v):
+    import numpy as np
+    px = p * x
+    return (_lgamma_np(px + q) - _lgamma_np(px) - math.lgamma(q) + q * math.log(v) + (px - 1) * np.log(m)
+            + px * np.log(x) - (px + q) * np.log(x * m + v))
+
+
 # ---------------------------------------------------------------------------
 # BG/NBD (Fader, Hardie & Lee 2005) and Gamma-Gamma (Fader & Hardie 2013)
 # ---------------------------------------------------------------------------
@@ -166,7 +210,7 @@ def fit_probabilistic(orders: DataFrame, origin: str, horizon_days: int = 90,
     """MOD1-MOD6 at one origin."""
     summary = materialize(lifetimes_summary(orders, origin))
     comp = materialize(summary.groupBy("frequency", "recency", "T").agg(F.count(F.lit(1)).alias("w")))
-    ev = _batch_eval(comp, bgnbd_loglik, "w", penalizer)
+    ev = _batch_eval(comp, bgnbd_loglik_np, ["frequency", "recency", "T"], "w", penalizer)
     u, _ = _minimise(ev, [0.0, 0.0, 0.0, 0.0])
     r, alpha, a, b = (math.exp(v) for v in u)
     params = {"r": r, "alpha": alpha, "a": a, "b": b}
@@ -176,7 +220,7 @@ def fit_probabilistic(orders: DataFrame, origin: str, horizon_days: int = 90,
     n_gg = gg_comp.agg(F.coalesce(F.sum("w"), F.lit(0)).alias("n")).first()["n"]
     gg_fitted = False
     if n_gg >= min_repeat:
-        ev_gg = _batch_eval(gg_comp, gamma_gamma_loglik, "w", penalizer)
+        ev_gg = _batch_eval(gg_comp, gamma_gamma_loglik_np, ["frequency", "monetary_value"], "w", penalizer)
         ug, _ = _minimise(ev_gg, [0.0, 0.0, 0.0])
         p, q, v = (math.exp(x) for x in ug)
         params.update({"gg_p": p, "gg_q": q, "gg_v": v})
@@ -246,12 +290,29 @@ def feature_names(one_hot: bool) -> list[str]:
     return [*NUMERIC_FEATURES, *[f"{c}_missing" for c in NUMERIC_FEATURES], *CATEGORICAL_FEATURES]
 
 
+@dataclass
+class ScaledModel:
+    """A fitted pipeline whose label was divided by ``scale``; predictions are scaled back."""
+    pipeline: object
+    scale: float
+
+    def transform(self, df: DataFrame, out: str = "prediction") -> DataFrame:
+        return self.pipeline.transform(_prep(df)).withColumn(out, F.col("prediction") * self.scale)
+
+
 def fit_tweedie_glm(train: DataFrame, power: float = TWEEDIE_POWER, reg: float = 1e-3, max_iter: int = 50):
-    """MOD7 (fast form): log-link Tweedie GLM on the stacked train panel."""
-    glm = GeneralizedLinearRegression(family="tweedie", variancePower=power, linkPower=0.0, labelCol="target",
-                                      featuresCol="features", predictionCol="prediction", maxIter=max_iter,
+    """MOD7 (fast form): log-link Tweedie GLM on the stacked train panel.
+
+    Fit on y / c (c = mean positive target) with standardised features: with a
+    log link that only moves the intercept, and it keeps IRLS weights in range.
+    """
+    c = train.agg(F.avg(F.when(F.col("target") > 0, F.col("target")))).first()[0] or 1.0
+    glm = GeneralizedLinearRegression(family="tweedie", variancePower=power, linkPower=0.0, labelCol="__y",
+                                      featuresCol="scaled", predictionCol="prediction", maxIter=max_iter,
                                       regParam=reg)
-    return Pipeline(stages=feature_pipeline(True) + [glm]).fit(_prep(train))
+    stages = feature_pipeline(True) + [StandardScaler(inputCol="features", outputCol="scaled", withMean=False), glm]
+    model = Pipeline(stages=stages).fit(_prep(train).withColumn("__y", F.col("target") / c))
+    return ScaledModel(model, float(c))
 
 
 def fit_l2_gbt(train: DataFrame, valid: DataFrame, max_iter: int = 60, step: float = 0.1, depth: int = 5,

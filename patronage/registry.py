@@ -578,3 +578,129 @@ def _snk2(ctx):
 @register("snk3")
 def _snk3(ctx):
     return SK.meta_table(ctx.orders, RF.derive_thresholds(ctx.orders, ctx.params), RF.snapshot_date(ctx.orders))
+
+
+# ---------------------------------------------------------------- models
+from patronage.operators import models as MD  # noqa: E402
+
+
+def prob_fit(ctx):
+    return ctx._get("prob_fit", lambda: MD.fit_probabilistic(ctx.orders, ctx.params.test_origin,
+                                                             ctx.params.horizon_days))
+
+
+def split(ctx, name):
+    return panel(ctx).where(F.col("split") == name)
+
+
+def glm_model(ctx):
+    return ctx._get("glm", lambda: MD.fit_tweedie_glm(split(ctx, "train")))
+
+
+def gbt_model(ctx):
+    return ctx._get("gbt", lambda: MD.fit_l2_gbt(split(ctx, "train"), split(ctx, "valid")))
+
+
+@register("mod1", "mod3")
+def _mod1(ctx):
+    return prob_fit(ctx).params_frame(ctx.spark)
+
+
+@register("mod2", "mod5", "joi17")
+def _mod2(ctx):
+    return prob_fit(ctx).predictions
+
+
+@register("mod4")
+def _mod4(ctx):
+    f = prob_fit(ctx)
+    return ctx.spark.createDataFrame([(f.params.get("gg_q"), f.gg_valid, f.note)],
+                                     "gg_q double, gg_valid boolean, note string")
+
+
+@register("mod6")
+def _mod6(ctx):
+    return prob_fit(ctx).diagnostics
+
+
+@register("agg32")
+def _agg32(ctx):
+    return MD.gamma_gamma_assumption(PN.lifetimes_summary(ctx.orders, ctx.params.test_origin))
+
+
+def model_scores(ctx):
+    """JOI13 + JOI14: every model's test-origin prediction aligned to the test
+    panel (missing → 0), with the features."""
+    def build():
+        test = split(ctx, "test")
+        glm = glm_model(ctx).transform(test, "pred_glm").select("customer_unique_id", "pred_glm")
+        prep, gbt, _ = gbt_model(ctx)
+        l2 = gbt.setPredictionCol("pred_gbt_l2").transform(prep.transform(MD._prep(test))) \
+            .select("customer_unique_id", "pred_gbt_l2")
+        pb = prob_fit(ctx).predictions.select("customer_unique_id", "pred_bgnbd", "pred_bgnbd_empirical")
+        preds = glm.join(l2, "customer_unique_id", "full").join(pb, "customer_unique_id", "full")
+        return materialize(DB.aligned_scores(test.withColumnRenamed("target", "actual_90d_spend"), preds))
+    return ctx._get("model_scores", build)
+
+
+@register("mod7", "joi13", "joi14")
+def _mod7(ctx):
+    return model_scores(ctx)
+
+
+@register("mod8")
+def _mod8(ctx):
+    prep, gbt, best = gbt_model(ctx)
+    return model_scores(ctx).select("customer_unique_id", "actual_90d_spend", "pred_gbt_l2") \
+        .withColumn("rounds", F.lit(best))
+
+
+@register("mod9", "srt5")
+def _mod9(ctx):
+    return MD.feature_importances(gbt_model(ctx)[1], MD.feature_names(False))
+
+
+def all_scores(ctx):
+    return EV.scores_long(model_scores(ctx), "customer_unique_id", "actual_90d_spend", {
+        "Tweedie GLM": "pred_glm", "Boosted trees, L2": "pred_gbt_l2", "BG/NBD + Gamma-Gamma": "pred_bgnbd",
+        "BG/NBD x observed AOV": "pred_bgnbd_empirical", "Historical-spend sort": "monetary"})
+
+
+@register("eva10")
+def _eva10(ctx):
+    return EV.model_comparison(all_scores(ctx), 200, ctx.params.seed, ctx.params.top_fraction)
+
+
+@register("mod10")
+def _mod10(ctx):
+    """What-if: hypothetical profiles on top of the population medians,
+    scored by the Tweedie model, with the percentile among test scores."""
+    test = split(ctx, "test")
+    med = DB.population_medians(test, list(PN.FEATURES))
+    base = med.withColumns({"top_category": F.lit(None).cast("string"), "customer_state": F.lit(None).cast("string"),
+                            "payment_type": F.lit(None).cast("string")})
+    profiles = [("median customer", {}),
+                ("recent repeat buyer", {"recency": 30.0, "frequency": 2.0, "n_orders": 2.0, "is_repeat": 1.0}),
+                ("lapsed one-timer", {"recency": 400.0, "tenure": 400.0, "frequency": 1.0, "is_repeat": 0.0})]
+    parts = []
+    for name, over in profiles:
+        parts.append(base.withColumns({k: F.lit(v) for k, v in over.items()}).withColumn("profile", F.lit(name)))
+    prof = reduce_union(parts).where(F.col("tenure") >= F.col("recency"))   # reject impossible profiles
+    cast = {c: F.col(c).cast(test.schema[c].dataType) for c in PN.FEATURES}
+    scored = glm_model(ctx).transform(prof.withColumns(cast), "score")
+    scores = model_scores(ctx).select(F.col("pred_glm").alias("p"))
+    pct = EV.score_percentile(scores, scored.select(F.col("profile").alias("probe_id"), F.col("score").alias("value")))
+    return pct.withColumnRenamed("probe_id", "profile")
+
+
+@register("snk4")
+def _snk4(ctx):
+    """Model bundle: the fitted pipeline, the probabilistic parameters, the
+    evaluation and ROI tables, written under the shared folder; returns the
+    parameter table read back."""
+    root = scratch_path(ctx.spark, "bundle")
+    glm_model(ctx).pipeline.write().overwrite().save(f"{root}/tweedie_glm")
+    prob_fit(ctx).params_frame(ctx.spark).write.mode("overwrite").parquet(f"{root}/params")
+    EV.point_metrics(all_scores(ctx)).write.mode("overwrite").parquet(f"{root}/evaluation")
+    EV.channel_grid(EV.target_top(all_scores(ctx))).write.mode("overwrite").parquet(f"{root}/roi")
+    return ctx.spark.read.parquet(f"{root}/params")
