@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 __all__ = [
     "ntz", "days_between", "month_start", "month_index", "add_days",
-    "safe_div", "pct", "first_by_time", "null_safe_gt", "cumulative_flags",
+    "safe_div", "pct", "first_by_time", "null_safe_gt", "cumulative_flags", "safe_corr",
 ]
 
 MICROS_PER_DAY = 86_400_000_000.0
@@ -76,3 +76,11 @@ def cumulative_flags(conditions: list[Column]) -> Column:
     for i in reversed(range(len(conditions))):
         expr = F.when(~F.coalesce(conditions[i], F.lit(False)), F.lit(i + 1)).otherwise(expr)
     return expr
+
+
+def safe_corr(a, b) -> Column:
+    """Pearson correlation (aggregate), null when either side is constant.
+
+    ``corr`` raises DIVIDE_BY_ZERO under ANSI mode for a constant column."""
+    x, y = _c(a).cast("double"), _c(b).cast("double")
+    return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from patronage.functions.columns import safe_corr
 from patronage.config import BREAKEVEN_UPLIFTS, CHANNEL_COSTS, GRID_UPLIFTS, TOP_FRACTION
 from patronage.plans.joins import dimension_join, with_one_row
 from patronage.plans.ranking import global_rank, rank_bin, replicate_weights
@@ -69,7 +70,7 @@ def point_metrics(scores: DataFrame, fraction: float = TOP_FRACTION) -> DataFram
         F.sum("y").alias("actual_total"),
         F.count_if(F.col("y") > 0).alias("n_positives"),
         F.sum(F.when(F.col("y") > 0, F.col("mr_p")).otherwise(0.0)).alias("__rpos"),
-        F.corr("mr_y", "mr_p").alias("spearman"),
+        safe_corr("mr_y", "mr_p").alias("spearman"),
         F.sum(F.when(F.col("rank_desc") <= k, F.col("y")).otherwise(0.0)).alias("__top"),
     )
     P = F.col("n_positives").cast("double")

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from patronage.config import (BGNBD_PENALIZER, CATEGORICAL_FEATURES, CUSTOMER_KEY, LEARNING_RATE, MIN_LEAF,
                               TWEEDIE_POWER)
+from patronage.functions.columns import safe_corr
 from patronage.functions.special import hyp2f1, lgamma, rising_log_sum
 from patronage.operators.panel import NUMERIC_FEATURES, lifetimes_summary, observed_aov
 from patronage.plans.joins import with_one_row
@@ -198,7 +199,7 @@ class ProbabilisticFit:
 def gamma_gamma_assumption(summary: DataFrame) -> DataFrame:
     """AGG32: corr(frequency, monetary) on repeat customers, with the verdict."""
     sub = summary.where((F.col("frequency") > 0) & (F.col("monetary_value") > 0))
-    one = sub.agg(F.count(F.lit(1)).alias("n"), F.corr(F.col("frequency").cast("double"), "monetary_value").alias("r"))
+    one = sub.agg(F.count(F.lit(1)).alias("n"), safe_corr("frequency", "monetary_value").alias("r"))
     ar = F.abs(F.col("r"))
     return one.select("n", F.when(F.col("n") >= 30, F.col("r")).alias("corr"),
                       F.when(F.col("n") < 30, "untestable").when(ar < 0.1, "OK").when(ar > 0.3, "VIOLATED")
