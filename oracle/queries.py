@@ -967,3 +967,69 @@ FROM (SELECT count(*) AS n, corr(CAST(frequency AS DOUBLE), monetary_value) AS r
   FROM (SELECT customer_unique_id, CAST(order_purchase_timestamp AS DATE) AS day, sum(order_revenue) AS rev
         FROM om WHERE order_purchase_timestamp < {ot} GROUP BY 1, 2)
   GROUP BY customer_unique_id) WHERE frequency > 0 AND monetary_value > 0)""")
+
+
+@o("fea7")
+def _fea7():
+    rows = []
+    bound = {"train": P.valid_origin or P.test_origin, "valid": P.test_origin, "test": None}
+    for s, org in ORIGINS_:
+        b = f"TIMESTAMP '{bound[s]} 00:00:00'" if bound[s] else "CAST(NULL AS TIMESTAMP)"
+        rows.append(f"SELECT '{s}' AS split, TIMESTAMP '{org} 00:00:00' AS origin, {b} AS must_close_by")
+    dim = " UNION ALL ".join(rows)
+    return sql(f"""
+SELECT d.split, d.origin, d.must_close_by, d.origin + INTERVAL {P.horizon_days} DAY AS window_end,
+       coalesce(d.origin + INTERVAL {P.horizon_days} DAY <= d.must_close_by, true) AS ok,
+       (SELECT count(*) FROM om WHERE order_purchase_timestamp >= d.origin
+          AND order_purchase_timestamp < d.origin + INTERVAL {P.horizon_days} DAY) AS orders_in_window
+FROM ({dim}) d""")
+
+
+@o("srt1")
+def _srt1():
+    return sql(f"SELECT {TX_COLS} FROM tx ORDER BY order_purchase_timestamp, order_id, order_item_id")
+
+
+# Adapter output types (Spark names) for the profile's dtype column.
+_RAW_TYPES = {
+    "customers": [("customer_id", "bigint"), ("customer_unique_id", "bigint"), ("customer_zip_code_prefix", "int"),
+                  ("customer_city", "string"), ("customer_state", "string")],
+    "orders": [("order_id", "bigint"), ("customer_id", "bigint"), ("order_status", "string"),
+               ("order_purchase_timestamp", "timestamp_ntz"), ("order_approved_at", "timestamp_ntz"),
+               ("order_delivered_carrier_date", "timestamp_ntz"), ("order_delivered_customer_date", "timestamp_ntz"),
+               ("order_estimated_delivery_date", "timestamp_ntz")],
+    "order_items": [("order_id", "bigint"), ("order_item_id", "smallint"), ("product_id", "bigint"),
+                    ("seller_id", "bigint"), ("shipping_limit_date", "timestamp_ntz"), ("price", "double"),
+                    ("freight_value", "double")],
+    "order_payments": [("order_id", "bigint"), ("payment_sequential", "smallint"), ("payment_type", "string"),
+                       ("payment_installments", "smallint"), ("payment_value", "double")],
+    "order_reviews": [("review_id", "string"), ("order_id", "bigint"), ("review_score", "tinyint"),
+                      ("review_creation_date", "timestamp_ntz"), ("review_answer_timestamp", "timestamp_ntz")],
+    "products": [("product_id", "bigint"), ("product_category_name", "string")],
+    "sellers": [("seller_id", "bigint"), ("seller_zip_code_prefix", "int"), ("seller_state", "string")],
+    "category_translation": [("product_category_name", "string"), ("product_category_name_english", "string")],
+    "geolocation": [("geolocation_zip_code_prefix", "int"), ("geolocation_lat", "double"), ("geolocation_lng", "double"),
+                    ("geolocation_city", "string"), ("geolocation_state", "string")],
+}
+_RAW_CTE = {"customers": "r_customers", "orders": "r_orders", "order_items": "r_items", "order_payments": "r_payments",
+            "order_reviews": "r_reviews_full", "products": "r_products", "sellers": "r_sellers",
+            "category_translation": "r_translation", "geolocation": "r_geolocation"}
+_PKS = {"customers": ["customer_id"], "orders": ["order_id"], "order_items": ["order_id", "order_item_id"],
+        "order_payments": ["order_id", "payment_sequential"], "products": ["product_id"], "sellers": ["seller_id"],
+        "category_translation": ["product_category_name"]}
+
+
+@o("src3")
+def _src3():
+    parts = []
+    for t, cols in _RAW_TYPES.items():
+        src = _RAW_CTE[t]
+        pk = _PKS.get(t)
+        dup = (f"(SELECT count(*) - count(DISTINCT ({', '.join(pk)})) FROM {src})" if pk else "CAST(NULL AS BIGINT)")
+        for c, dt in cols:
+            parts.append(
+                f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{dt}' AS dtype, count(*) AS n_rows, "
+                f"count(*) FILTER (WHERE {c} IS NULL) AS n_null, "
+                f"{rnd(f'100.0 * count(*) FILTER (WHERE {c} IS NULL) / nullif(count(*), 0)', 'null_pct')}, "
+                f"count(DISTINCT {c}) AS n_distinct, {dup} AS pk_duplicates FROM {src}")
+    return sql("\nUNION ALL\n".join(parts))

@@ -704,3 +704,14 @@ def _snk4(ctx):
     EV.point_metrics(all_scores(ctx)).write.mode("overwrite").parquet(f"{root}/evaluation")
     EV.channel_grid(EV.target_top(all_scores(ctx))).write.mode("overwrite").parquet(f"{root}/roi")
     return ctx.spark.read.parquet(f"{root}/params")
+
+
+@register("fea7")
+def _fea7(ctx):
+    return PN.window_schedule(ctx.orders, ctx.params)
+
+
+@register("srt1")
+def _srt1(ctx):
+    """The order-line mart in its documented order (a range-partitioned global sort)."""
+    return ctx.transactions.orderBy("order_purchase_timestamp", "order_id", "order_item_id")

@@ -70,7 +70,6 @@ def profile(tables: dict[str, DataFrame], primary_keys: dict[str, tuple[str, ...
             one.select(F.lit(name).alias("table_name"), F.col("__rows").alias("n_rows"),
                        dup.alias("pk_duplicates"), F.explode(F.array(*rows)).alias("c"))
             .select("table_name", "c.column_name", "c.dtype", "n_rows", "c.n_null",
-                    F.round(F.lit(100.0) * F.col("c.n_null") / F.nullif(F.col("n_rows"), F.lit(0)), 2)
-                    .alias("null_pct"),
+                    (F.lit(100.0) * F.col("c.n_null") / F.nullif(F.col("n_rows"), F.lit(0))).alias("null_pct"),
                     "c.n_distinct", "pk_duplicates"))
     return reduce(DataFrame.unionByName, parts)
