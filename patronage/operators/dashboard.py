@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from patronage.config import CUSTOMER_KEY
 from patronage.functions.columns import pct
 from patronage.plans.joins import with_one_row
+from patronage.plans.ranking import group_quantiles
 
 
 def segment_shares(segmented: DataFrame) -> DataFrame:
@@ -47,27 +48,34 @@ def score_totals(scored: DataFrame) -> DataFrame:
                       F.sum("y").alias("total_actual"), F.count_if(F.col("y") > 0).alias("returned"))
 
 
+def _pivot_quantiles(q: DataFrame, group: str, names: dict[float, str]) -> DataFrame:
+    return q.groupBy(group).agg(*[F.max(F.when(F.col("p") == p, F.col("quantile"))).alias(n) for p, n in names.items()])
+
+
 def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
-    """AGG27: quartiles, min/max and 1.5·IQR whiskers per group, ordered by median desc."""
-    q = df.where(F.col(group).isNotNull()).groupBy(group).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile(value, F.lit(0.25)).alias("q1"), F.median(value).alias("median"),
-        F.percentile(value, F.lit(0.75)).alias("q3"), F.min(value).alias("min"), F.max(value).alias("max"))
-    j = df.join(F.broadcast(q.select(group, "q1", "q3")), group)   # one row per group (dimension-sized)
+    """AGG27: quartiles, min/max and 1.5·IQR whiskers per group, ordered by median desc.
+    Quartiles are exact (rank-based, distributed)."""
+    d = df.where(F.col(group).isNotNull())
+    q = _pivot_quantiles(group_quantiles(d, group, value, [0.25, 0.5, 0.75]), group,
+                         {0.25: "q1", 0.5: "median", 0.75: "q3"})
+    base = d.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.min(value).alias("min"), F.max(value).alias("max"))
+    j = d.join(q.select(group, "q1", "q3"), group)     # one row per group
     iqr = F.col("q3") - F.col("q1")
     wh = j.groupBy(group).agg(
         F.min(F.when(F.col(value) >= F.col("q1") - 1.5 * iqr, F.col(value))).alias("lower_whisker"),
         F.max(F.when(F.col(value) <= F.col("q3") + 1.5 * iqr, F.col(value))).alias("upper_whisker"))
-    return q.join(wh, group).orderBy(F.desc("median"), group)
+    return base.join(q, group).join(wh, group).select(group, "n", "q1", "median", "q3", "min", "max",
+                                                      "lower_whisker", "upper_whisker").orderBy(F.desc("median"), group)
 
 
 def segment_drilldown(segmented: DataFrame, top_n: int = 10) -> DataFrame:
     """AGG28: per segment n, revenue, median spend, median recency, and its
     top-``top_n`` states and categories by customers (long form, kind column)."""
+    med_s = group_quantiles(segmented, "segment", "monetary", [0.5]).select("segment", F.col("quantile").alias("median_spend"))
+    med_r = group_quantiles(segmented, "segment", "recency", [0.5]).select("segment", F.col("quantile").alias("median_recency"))
     stats = segmented.groupBy("segment").agg(
-        F.count(F.lit(1)).alias("customers"), F.sum("monetary").alias("revenue"),
-        F.median("monetary").alias("median_spend"), F.median("recency").alias("median_recency")
-    ).select("segment", F.lit("stats").alias("kind"), F.lit(None).cast("string").alias("value"),
+        F.count(F.lit(1)).alias("customers"), F.sum("monetary").alias("revenue")
+    ).join(med_s, "segment", "left").join(med_r, "segment", "left").select("segment", F.lit("stats").alias("kind"), F.lit(None).cast("string").alias("value"),
              F.lit(None).cast("int").alias("rank"), "customers", "revenue", "median_spend", "median_recency")
     parts = [stats]
     for kind, col in (("state", "customer_state"), ("category", "top_category")):
@@ -86,7 +94,7 @@ def histogram(df: DataFrame, value: str, bins: int = 50, clip_pct: float | None
     percentile); (bin, lo, hi, count)."""
     base = df.select(F.col(value).cast("double").alias("x")).where(F.col("x").isNotNull())
     if clip_pct is not None:
-        cap = base.agg(F.percentile("x", F.lit(clip_pct)).alias("__cap"))
+        cap = group_quantiles(base, None, "x", [clip_pct]).select(F.col("quantile").alias("__cap"))
         base = with_one_row(base, cap).select(F.least(F.col("x"), F.col("__cap")).alias("x"))
     rng = base.agg(F.min("x").alias("__lo"), F.max("x").alias("__hi"))
     b = with_one_row(base, rng)
@@ -100,12 +108,18 @@ def histogram(df: DataFrame, value: str, bins: int = 50, clip_pct: float | None
 
 
 def population_medians(df: DataFrame, names: list[str]) -> DataFrame:
-    """AGG33: one row of medians of the named numeric columns (others / missing → 0)."""
-    numeric = {f.name for f in df.schema.fields if f.dataType.typeName() in
-               ("double", "float", "integer", "long", "short", "byte", "decimal")}
-    aggs = [(F.coalesce(F.median(n), F.lit(0.0)) if n in numeric else F.lit(0.0)).cast("double").alias(n)
-            for n in names]
-    return df.agg(*aggs)
+    """AGG33: one row of medians of the named numeric columns (others / missing → 0).
+
+    All features are unpivoted to (feature, value) and ranked once, so every
+    median is exact without buffering a column in one task."""
+    numeric = [n for n in names if n in {f.name for f in df.schema.fields if f.dataType.typeName() in
+               ("double", "float", "integer", "long", "short", "byte", "decimal")}]
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(n).alias("feature"), F.col(n).cast("double").alias("v"))
+                                         for n in numeric])).alias("r")).select("r.*")
+    med = group_quantiles(long, "feature", "v", [0.5])
+    row = med.agg(*[F.max(F.when(F.col("feature") == n, F.col("quantile"))).alias(n) for n in numeric])
+    return row.select(*[(F.coalesce(F.col(n), F.lit(0.0)) if n in numeric else F.lit(0.0)).cast("double").alias(n)
+                        for n in names])
 
 
 def aligned_scores(panel_test: DataFrame, preds: DataFrame, key: str = CUSTOMER_KEY) -> DataFrame:

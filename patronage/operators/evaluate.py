@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 from patronage.functions.columns import safe_corr
 from patronage.config import BREAKEVEN_UPLIFTS, CHANNEL_COSTS, GRID_UPLIFTS, TOP_FRACTION
 from patronage.plans.joins import dimension_join, with_one_row
-from patronage.plans.ranking import global_rank, rank_bin, replicate_weights
+from patronage.plans.ranking import global_rank, grouped_prefix, rank_bin, replicate_weights
 from patronage.session import materialize
 
 KEY = "key"
@@ -106,9 +106,7 @@ def bootstrap_metrics(scores: DataFrame, n_boot: int = 1000, seed: int = 0,
         F.sum(F.when(F.col("y") > 0, F.col("w")).otherwise(0)).alias("wpos"),
         F.sum(F.when(F.col("y") > 0, 0).otherwise(F.col("w"))).alias("wneg"),
         F.sum("w").alias("wall"))
-    wp = Window.partitionBy(*part).orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
-    byp = byp.withColumns({"__negb": F.coalesce(F.sum("wneg").over(wp), F.lit(0)),
-                           "__allb": F.coalesce(F.sum("wall").over(wp), F.lit(0))})
+    byp = grouped_prefix(byp, part, [F.col("p").asc()], {"__negb": "wneg", "__allb": "wall"})
     auc = byp.groupBy(*part).agg(
         F.sum(F.col("wpos") * (F.col("__negb") + F.col("wneg") / 2.0)).alias("__u"),
         F.sum("wpos").alias("P"), F.sum("wneg").alias("N"))
@@ -116,10 +114,9 @@ def bootstrap_metrics(scores: DataFrame, n_boot: int = 1000, seed: int = 0,
         .select(*part, (F.col("__u") / (F.col("P") * F.col("N"))).alias("auc"))
     # Mid-ranks under integer weights (multiplicities): below + (tie weight + 1) / 2.
     mr_p = byp.select(*part, "p", (F.col("__allb") + (F.col("wall") + 1) / 2.0).alias("mr_p"))
-    byy = w.groupBy(*part, "y").agg(F.sum("w").alias("wall"))
-    wy = Window.partitionBy(*part).orderBy("y").rowsBetween(Window.unboundedPreceding, -1)
-    mr_y = byy.select(*part, "y", (F.coalesce(F.sum("wall").over(wy), F.lit(0)) + (F.col("wall") + 1) / 2.0)
-                      .alias("mr_y"))
+    byy = grouped_prefix(w.groupBy(*part, "y").agg(F.sum("w").alias("wall")), part, [F.col("y").asc()],
+                         {"__allb": "wall"})
+    mr_y = byy.select(*part, "y", (F.col("__allb") + (F.col("wall") + 1) / 2.0).alias("mr_y"))
     wr = w.join(mr_p, [*part, "p"]).join(mr_y, [*part, "y"])
     a, b, ww = F.col("mr_y"), F.col("mr_p"), F.col("w").cast("double")
     mom = wr.groupBy(*part).agg(
@@ -139,10 +136,8 @@ def weighted_top_capture(w: DataFrame, fraction: float) -> DataFrame:
     ``max(floor(f·Σw), 1)``, splitting the boundary row's weight."""
     part = ["model", "replicate"]
     tot = w.groupBy(*part).agg(F.sum("w").alias("__sw"), F.sum(F.col("w") * F.col("y")).alias("__swy"))
-    ww = w.join(tot, part)
-    order = Window.partitionBy(*part).orderBy(F.col("p").desc(), F.col(KEY).asc()) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    ww = ww.withColumn("__before", F.coalesce(F.sum("w").over(order), F.lit(0)))
+    ww = grouped_prefix(w.select(*part, KEY, "p", "y", "w"), part, [F.col("p").desc(), F.col(KEY).asc()],
+                        {"__before": "w"}).join(tot, part)
     k = F.greatest(F.floor(F.col("__sw") * fraction), F.lit(1))
     take = F.least(F.col("w"), F.greatest(k - F.col("__before"), F.lit(0)))
     return ww.groupBy(*part).agg(

@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 from patronage.config import CUSTOMER_KEY, REPURCHASE_DAYS, SEGMENTS, Params
 from patronage.functions.columns import days_between, first_by_time, pct, safe_div
 from patronage.plans.joins import with_one_row
+from patronage.plans.sequence import lag_within
 
 TS = "order_purchase_timestamp"
 
@@ -168,8 +169,8 @@ def run_rfm(orders: DataFrame, params: Params = Params()):
 def repurchase_curve(orders: DataFrame, days=REPURCHASE_DAYS) -> DataFrame:
     """AGG13 + WIN2: share of consecutive-order gaps (all, and genuine ≥ 1 day)
     within each horizon. One lag window per customer, then one aggregation."""
-    w = Window.partitionBy(CUSTOMER_KEY).orderBy(TS, "order_id")
-    gaps = orders.select(days_between(F.lag(TS).over(w), F.col(TS)).alias("gap")).where(F.col("gap").isNotNull())
+    prev = lag_within(orders.select(CUSTOMER_KEY, TS, "order_id"), CUSTOMER_KEY, [TS, "order_id"], TS, "__prev")
+    gaps = prev.select(days_between("__prev", TS).alias("gap")).where(F.col("gap").isNotNull())
     aggs = []
     for d in days:
         aggs.append(F.avg(F.when(F.col("gap") <= d, 100.0).otherwise(0.0)).alias(f"a{d}"))

@@ -65,6 +65,66 @@ def mid_rank(df: DataFrame, value: str, key: str, rank_col: str, ascending: bool
     return dimension_join(ranked.drop("__r"), mids, value, "inner")
 
 
+def grouped_prefix(df: DataFrame, group: list[str], order: list[Column], sums: dict[str, str],
+                   n_parts: int | None = None) -> DataFrame:
+    """Exclusive running sums within each group in ``order`` (a total order
+    within the group), without putting a whole group in one task.
+
+    Two levels: rows are range-partitioned on (group, order), so a large group
+    spans several ranges; running sums are taken inside each (range, group);
+    each (range, group) gets the totals of the same group in earlier ranges
+    from a table with at most ranges + groups rows. ``sums`` maps output column
+    → summed column.
+    """
+    n = _n_parts(df, n_parts)
+    gcols = [F.col(c) for c in group]
+    tagged = (df.repartitionByRange(n, *gcols, *order).sortWithinPartitions(*gcols, *order)
+              .withColumn("__pid", F.spark_partition_id())
+              .withColumn("__mid", F.monotonically_increasing_id())
+              .persist(StorageLevel.MEMORY_AND_DISK))
+    w = Window.partitionBy("__pid", *group).orderBy("__mid").rowsBetween(Window.unboundedPreceding, -1)
+    local = tagged.withColumns({f"__l_{o}": F.coalesce(F.sum(c).over(w), F.lit(0)) for o, c in sums.items()})
+    totals = tagged.groupBy("__pid", *group).agg(*[F.sum(c).alias(f"__t_{o}") for o, c in sums.items()])
+    wo = Window.partitionBy(*group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("__pid", *group, *[F.coalesce(F.sum(f"__t_{o}").over(wo), F.lit(0)).alias(f"__o_{o}")
+                                               for o in sums])
+    out = local.join(offsets, ["__pid", *group], "inner")
+    return out.withColumns({o: F.col(f"__o_{o}") + F.col(f"__l_{o}") for o in sums}) \
+        .drop("__pid", "__mid", *[f"__l_{o}" for o in sums], *[f"__o_{o}" for o in sums])
+
+
+def group_quantiles(df: DataFrame, group: str | None, value: str, probs: list[float],
+                    n_parts: int | None = None) -> DataFrame:
+    """Exact linear-interpolation quantiles (numpy / ``percentile`` semantics)
+    per group, without buffering a group's values in one task.
+
+    Rows are ranked within their group with the distributed global rank; for
+    each probability the order statistics at ⌊(n−1)p⌋ and ⌈(n−1)p⌉ are picked
+    by a join on (group, rank) against a table of needed ranks (groups × probs
+    × 2 rows), then interpolated. Output: (group, p, quantile).
+    """
+    g = group or "__g"
+    base = df.select((F.col(group) if group else F.lit(0)).alias(g), F.col(value).cast("double").alias("__v")) \
+        .where(F.col("__v").isNotNull())
+    ranked = global_rank(base, [F.col(g).asc(), F.col("__v").asc()], "__r", n_parts)
+    stats = ranked.groupBy(g).agg(F.min("__r").alias("__r0"), F.count(F.lit(1)).alias("__n"))
+    probs_arr = F.array(*[F.lit(float(p)) for p in probs])
+    need = stats.select(g, "__r0", "__n", F.explode(probs_arr).alias("p")) \
+        .withColumn("__pos", (F.col("__n") - 1) * F.col("p")) \
+        .withColumn("__lo", F.floor("__pos")).withColumn("__hi", F.ceil("__pos"))
+    wanted = need.select(g, (F.col("__r0") + F.col("__lo")).alias("__r")) \
+        .unionByName(need.select(g, (F.col("__r0") + F.col("__hi")).alias("__r"))).distinct()
+    picked = ranked.join(wanted, [g, "__r"], "left_semi").select(g, "__r", "__v")
+    lo = picked.select(F.col(g).alias("__gl"), F.col("__r").alias("__rl"), F.col("__v").alias("__vl"))
+    hi = picked.select(F.col(g).alias("__gh"), F.col("__r").alias("__rh"), F.col("__v").alias("__vh"))
+    q = need.join(lo, (F.col(g) == F.col("__gl")) & (F.col("__rl") == F.col("__r0") + F.col("__lo"))) \
+        .join(hi, (F.col(g) == F.col("__gh")) & (F.col("__rh") == F.col("__r0") + F.col("__hi")))
+    frac = F.col("__pos") - F.col("__lo")
+    out = q.select(g, "p", F.when(F.col("__hi") == F.col("__lo"), F.col("__vl"))
+                   .otherwise(F.col("__vl") + frac * (F.col("__vh") - F.col("__vl"))).alias("quantile"))
+    return out if group else out.drop(g)
+
+
 def rank_bin(rank: str | Column, n: str | Column, k: int) -> Column:
     """RNK2: ``qcut`` of ranks 1..n into k equal-count bins (1-based), exact
     integer form of ``max(1, ceil((rank-1)·k/(n-1)))``. Not ``ntile``."""

@@ -71,3 +71,28 @@ def test_bgnbd_likelihood_catalyst_equals_numpy(spark):
     x, tx, T = (np.array([r[i] for r in rows], dtype=float) for i in range(3))
     exp = bgnbd_loglik_np(x, tx, T, *th)
     assert np.allclose(got, exp, atol=1e-9)
+
+
+def test_grouped_prefix_matches_window(spark):
+    from patronage.plans.ranking import grouped_prefix
+    rnd = random.Random(11)
+    rows = [(0 if rnd.random() < 0.6 else rnd.randint(1, 5), rnd.randint(0, 50), i, rnd.randint(0, 3)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "g long, o long, id long, x long")
+    w = Window.partitionBy("g").orderBy("o", "id").rowsBetween(Window.unboundedPreceding, -1)
+    exp = {r["id"]: r["c"] for r in df.withColumn("c", F.coalesce(F.sum("x").over(w), F.lit(0))).collect()}
+    got = {r["id"]: r["c"] for r in grouped_prefix(df, ["g"], [F.col("o").asc(), F.col("id").asc()], {"c": "x"},
+                                                   n_parts=7).collect()}
+    assert got == exp
+
+
+def test_group_quantiles_match_numpy(spark):
+    import numpy as np
+    from patronage.plans.ranking import group_quantiles
+    rnd = random.Random(5)
+    rows = [("a" if rnd.random() < 0.7 else "b", float(rnd.randint(0, 40))) for _ in range(999)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {(r["g"], r["p"]): r["quantile"] for r in group_quantiles(df, "g", "v", [0.25, 0.5, 0.99], n_parts=5).collect()}
+    for g in ("a", "b"):
+        vals = np.array([v for k, v in rows if k == g])
+        for p in (0.25, 0.5, 0.99):
+            assert abs(got[(g, p)] - np.percentile(vals, 100 * p)) < 1e-9
