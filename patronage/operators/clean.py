@@ -97,12 +97,10 @@ def _apply(df: DataFrame, preds: list[Column]) -> DataFrame:
     return df.where(reduce(lambda a, b: a & b, [F.coalesce(p, F.lit(False)) for p in preds]))
 
 
-def _dedup_counts(raw: DataFrame, key: list[str] | None) -> DataFrame:
-    """rows, distinct rows, distinct keys — one aggregation over the raw table."""
-    aggs = [F.count(F.lit(1)).alias("c0"), F.count_distinct(F.struct(*raw.columns)).alias("c1")]
-    if key:
-        aggs.append(F.count_distinct(F.struct(*key)).alias("c2"))
-    return raw.agg(*aggs)
+def _dedup_counts(raw: DataFrame) -> DataFrame:
+    """rows and distinct rows — two partial aggregations, no Expand."""
+    return with_one_row(raw.agg(F.count(F.lit(1)).alias("c0")),
+                        raw.distinct().agg(F.count(F.lit(1)).alias("c1")))
 
 
 def _table(step_base, table, raw, key, order, preds, pred_reasons, notes=(), note_reasons=(),
@@ -114,13 +112,14 @@ def _table(step_base, table, raw, key, order, preds, pred_reasons, notes=(), not
     else:
         deduped = raw.dropDuplicates()
     clean = _apply(deduped, preds)
-    head = _dedup_counts(raw, key)
+    head = _dedup_counts(raw)
     n_head = 3 if key else 2
-    tail_aggs = _cumulative(deduped, preds, notes)
+    # With a key, the distinct-key count is the size of the keep-first result.
+    tail_aggs = ([F.count(F.lit(1))] if key else []) + _cumulative(deduped, preds, notes)
     reasons = ["exact duplicate rows"] + ([key_reason] if key else []) + list(pred_reasons) + list(note_reasons)
     kinds = ["drop"] * (len(reasons) - len(notes)) + ["note"] * len(notes)
-    cols = [F.col(f"c{i}") for i in range(n_head)]
-    cols += [F.col(f"t{i}").alias(f"c{n_head + i}") for i in range(len(preds) + len(notes))]
+    cols = [F.col("c0"), F.col("c1")]
+    cols += [F.col(f"t{i}").alias(f"c{2 + i}") for i in range(len(tail_aggs))]
     counts = head
     if tail_aggs:
         tail = deduped.agg(*[a.alias(f"t{i}") for i, a in enumerate(tail_aggs)])
