@@ -97,37 +97,46 @@ def _apply(df: DataFrame, preds: list[Column]) -> DataFrame:
     return df.where(reduce(lambda a, b: a & b, [F.coalesce(p, F.lit(False)) for p in preds]))
 
 
-def _dedup_counts(raw: DataFrame) -> DataFrame:
-    """rows and distinct rows — two partial aggregations, no Expand."""
-    return with_one_row(raw.agg(F.count(F.lit(1)).alias("c0")),
-                        raw.distinct().agg(F.count(F.lit(1)).alias("c1")))
+def _ledger_counts(raw: DataFrame, key: list[str] | None, order: list[str], preds: list[Column],
+                   notes: list[Column]) -> DataFrame:
+    """One row of cumulative counts for a table's cleaning steps, in one chain:
+    ``groupBy(all columns)`` gives distinct rows with their multiplicity, a
+    keep-first over those rows (by key) carries per-key row counts, and a
+    single aggregation returns c0 = rows, c1 = distinct rows, c2 = distinct keys
+    (with a key), then the running conjunctions of the predicates and notes.
+    """
+    distinct = raw.groupBy(*raw.columns).agg(F.count(F.lit(1)).alias("__n"))
+    if key:
+        rest = [c for c in raw.columns if c not in key]
+        order_rest = order + [c for c in rest if c not in order]
+        packed = F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(order_rest)])
+        per_key = distinct.groupBy(*key).agg(F.min(packed).alias("__r"), F.sum("__n").alias("__n"),
+                                             F.count(F.lit(1)).alias("__d"))
+        base = per_key.select(*key, *[F.col(f"__r._{i}").alias(c) for i, c in enumerate(order_rest)], "__n", "__d")
+        head = [F.sum("__n").alias("c0"), F.sum("__d").alias("c1"), F.count(F.lit(1)).alias("c2")]
+    else:
+        base = distinct
+        head = [F.sum("__n").alias("c0"), F.count(F.lit(1)).alias("c1")]
+    tail = [a.alias(f"c{len(head) + i}") for i, a in enumerate(_cumulative(base, preds, notes))]
+    return base.agg(*head, *tail)
 
 
 def _table(step_base, table, raw, key, order, preds, pred_reasons, notes=(), note_reasons=(),
            key_reason=None, collapse=None, collapse_reason=None):
-    """Generic cleaner: dedup (exact, then optional key keep-first), predicates, notes."""
+    """Generic cleaner: dedup (exact, then optional key keep-first), predicates, notes.
+
+    Returns the clean frame (one keep-first aggregation, then the predicates)
+    and the ledger fragment (computed separately, see ``_ledger_counts``).
+    """
     notes = list(notes)
-    if key:
-        deduped = keep_first(raw, key, order)
-    else:
-        deduped = raw.dropDuplicates()
+    deduped = keep_first(raw, key, order) if key else raw.dropDuplicates()
     clean = _apply(deduped, preds)
-    head = _dedup_counts(raw)
-    n_head = 3 if key else 2
-    # With a key, the distinct-key count is the size of the keep-first result.
-    tail_aggs = ([F.count(F.lit(1))] if key else []) + _cumulative(deduped, preds, notes)
+    counts = _ledger_counts(raw, key, order, preds, notes)
     reasons = ["exact duplicate rows"] + ([key_reason] if key else []) + list(pred_reasons) + list(note_reasons)
     kinds = ["drop"] * (len(reasons) - len(notes)) + ["note"] * len(notes)
-    cols = [F.col("c0"), F.col("c1")]
-    cols += [F.col(f"t{i}").alias(f"c{2 + i}") for i in range(len(tail_aggs))]
-    counts = head
-    if tail_aggs:
-        tail = deduped.agg(*[a.alias(f"t{i}") for i, a in enumerate(tail_aggs)])
-        counts = with_one_row(head, tail)
-    counts = counts.select(*cols)
     if collapse is not None:
         clean = collapse(clean)
-        n = n_head + len(preds) + len(notes)
+        n = len(reasons) + 1      # counts hold c0 .. c{len(reasons)}
         counts = with_one_row(counts, clean.agg(F.count(F.lit(1)).alias(f"c{n}")))
         reasons.append(collapse_reason)
         kinds.append("drop")
