@@ -32,41 +32,73 @@ from patronage.session import materialize
 # ---------------------------------------------------------------------------
 
 
-def _minimise(evaluate, u0: list[float], h: float = 1e-3, max_iter: int = 60, tol: float = 1e-9):
-    """Diagonal-Newton descent in log-parameter space with a batched line search.
-
-    ``evaluate(list_of_points) -> list_of_values`` runs one Spark aggregation
-    per call. Per iteration: one pass for centre ± h·e_i (gradient and
-    diagonal curvature), one pass for step lengths 1, 1/2, … 1/32.
+def _minimise(evaluate, u0: list[float], h: float = 1e-4, max_iter: int = 80, tol: float = 1e-10):
+    """Trust-region Newton in log-parameter space, ONE Spark pass per iteration.
+
+    ``evaluate(points) -> values`` is one aggregation. Each pass evaluates the
+    finite-difference stencil around the current point (centre, ±h·e_i,
+    h·(e_i + e_j)), giving gradient and full Hessian; the step solves the
+    damped Newton system inside a trust radius. The next pass is centred on the
+    proposed point, so its centre value accepts or rejects the step.
     """
-    u = list(u0)
-    d = len(u)
-    f0 = evaluate([u])[0]
-    for _ in range(max_iter):
-        pts = []
+    import numpy as np
+    d = len(u0)
+    pairs = [(i, j) for i in range(d) for j in range(i + 1, d)]
+
+    def stencil(u):
+        pts = [list(u)]
         for i in range(d):
-            for s in (1, -1):
+            for sgn in (1, -1):
                 p = list(u)
-                p[i] += s * h
+                p[i] += sgn * h
                 pts.append(p)
-        vals = evaluate(pts)
-        step = []
+        for i, j in pairs:
+            p = list(u)
+            p[i] += h
+            p[j] += h
+            pts.append(p)
+        return pts
+
+    def model(u, vals):
+        f0 = vals[0]
+        fp = [vals[1 + 2 * i] for i in range(d)]
+        fm = [vals[2 + 2 * i] for i in range(d)]
+        g = np.array([(fp[i] - fm[i]) / (2 * h) for i in range(d)])
+        H = np.zeros((d, d))
         for i in range(d):
-            fp, fm = vals[2 * i], vals[2 * i + 1]
-            g = (fp - fm) / (2 * h)
-            hess = (fp - 2 * f0 + fm) / (h * h)
-            delta = -g / hess if hess > 1e-12 else -g
-            step.append(max(-1.0, min(1.0, delta)))
-        cands = [[u[i] + t * step[i] for i in range(d)] for t in (1.0, 0.5, 0.25, 0.125, 0.0625, 0.03125)]
-        cvals = evaluate(cands)
-        best = min(range(len(cands)), key=lambda k: cvals[k] if cvals[k] == cvals[k] else math.inf)
-        if not (cvals[best] < f0):
-            break
-        improvement = f0 - cvals[best]
-        u, f0 = cands[best], cvals[best]
-        if improvement < tol * max(1.0, abs(f0)):
+            H[i, i] = (fp[i] - 2 * f0 + fm[i]) / (h * h)
+        for k, (i, j) in enumerate(pairs):
+            fij = vals[1 + 2 * d + k]
+            H[i, j] = H[j, i] = (fij - fp[i] - fp[j] + f0) / (h * h)
+        return f0, g, H
+
+    def step(g, H, radius):
+        lam = max(0.0, -float(np.linalg.eigvalsh(H).min()) + 1e-8)
+        delta = -np.linalg.solve(H + lam * np.eye(d), g)
+        norm = float(np.linalg.norm(delta))
+        return delta * (radius / norm) if norm > radius else delta
+
+    u = np.array(u0, dtype=float)
+    vals = evaluate(stencil(list(u)))
+    f_cur, g, H = model(u, vals)
+    radius = 1.0
+    for _ in range(max_iter):
+        if not np.all(np.isfinite(g)) or float(np.linalg.norm(g)) < 1e-9:
             break
-    return u, f0
+        cand = u + step(g, H, radius)
+        vals = evaluate(stencil(list(cand)))
+        f_new = vals[0]
+        if np.isfinite(f_new) and f_new < f_cur:
+            improvement = f_cur - f_new
+            u, (f_cur, g, H) = cand, model(cand, vals)
+            radius = min(radius * 2.0, 5.0)
+            if improvement < tol * max(1.0, abs(f_cur)):
+                break
+        else:
+            radius /= 4.0
+            if radius < 1e-8:
+                break
+    return list(u), f_cur
 
 
 def _batch_eval(table: DataFrame, ll_np: callable, columns: list[str], weight: str, penalizer: float):
@@ -316,10 +348,45 @@ def fit_tweedie_glm(train: DataFrame, power: float = TWEEDIE_POWER, reg: float =
     return ScaledModel(model, float(c))
 
 
+@dataclass
+class TruncatedEnsemble:
+    """The first ``rounds`` trees of a fitted GBT model (the round count chosen
+    on the validation origin) — predicts without refitting."""
+    model: object
+    rounds: int
+
+    def transform(self, features_df: DataFrame, out: str = "prediction") -> DataFrame:
+        trees, weights = self.model.trees[: self.rounds], self.model.treeWeights[: self.rounds]
+        x = features_df.withColumn(out, F.lit(0.0))
+        for t, w in zip(trees, weights):
+            x = t.setPredictionCol("__t").transform(x).withColumn(out, F.col(out) + w * F.col("__t")).drop("__t")
+        return x
+
+    @property
+    def featureImportances(self):
+        """Normalised sum of the kept trees' normalised importances (Spark's ensemble rule)."""
+        import numpy as np
+        total = None
+        for t in self.model.trees[: self.rounds]:
+            v = t.featureImportances.toArray()
+            v = v / v.sum() if v.sum() > 0 else v
+            total = v if total is None else total + v
+        total = total if total is not None else np.zeros(self.model.numFeatures)
+        s = total.sum()
+
+        class _V:
+            def __init__(self, a):
+                self._a = a
+
+            def toArray(self):
+                return self._a
+        return _V(total / s if s > 0 else total)
+
+
 def fit_l2_gbt(train: DataFrame, valid: DataFrame, max_iter: int = 60, step: float = 0.1, depth: int = 5,
                min_leaf: int = MIN_LEAF, seed: int = 42):
     """MOD8: L2 gradient-boosted trees; the round count is chosen on the
-    validation origin (``evaluateEachIteration``), then refit to that count."""
+    validation origin (``evaluateEachIteration``) and the ensemble is cut there."""
     prep = Pipeline(stages=feature_pipeline(False)).fit(_prep(train))
     tr, va = prep.transform(_prep(train)), prep.transform(_prep(valid))
     gbt = GBTRegressor(labelCol="target", featuresCol="features", maxIter=max_iter, stepSize=step, maxDepth=depth,
@@ -327,8 +394,7 @@ def fit_l2_gbt(train: DataFrame, valid: DataFrame, max_iter: int = 60, step: flo
     model = gbt.fit(tr)
     errs = model.evaluateEachIteration(va, "squared")
     best = int(min(range(len(errs)), key=lambda i: errs[i])) + 1
-    final = gbt.setMaxIter(best).fit(tr) if best < max_iter else model
-    return prep, final, best
+    return prep, TruncatedEnsemble(model, best), best
 
 
 def tweedie_boost(train: DataFrame, valid: DataFrame, power: float = TWEEDIE_POWER, lr: float = LEARNING_RATE,

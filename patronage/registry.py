@@ -635,8 +635,7 @@ def model_scores(ctx):
         test = split(ctx, "test")
         glm = glm_model(ctx).transform(test, "pred_glm").select("customer_unique_id", "pred_glm")
         prep, gbt, _ = gbt_model(ctx)
-        l2 = gbt.setPredictionCol("pred_gbt_l2").transform(prep.transform(MD._prep(test))) \
-            .select("customer_unique_id", "pred_gbt_l2")
+        l2 = gbt.transform(prep.transform(MD._prep(test)), "pred_gbt_l2").select("customer_unique_id", "pred_gbt_l2")
         pb = prob_fit(ctx).predictions.select("customer_unique_id", "pred_bgnbd", "pred_bgnbd_empirical")
         preds = glm.join(l2, "customer_unique_id", "full").join(pb, "customer_unique_id", "full")
         return materialize(DB.aligned_scores(test.withColumnRenamed("target", "actual_90d_spend"), preds))
