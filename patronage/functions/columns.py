@@ -25,9 +25,21 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def _micro_of_day(ts: Column) -> Column:
+    secs = F.date_part(F.lit("SECOND"), ts) * F.lit(1_000_000)          # decimal seconds incl. micros
+    return (F.hour(ts).cast("long") * 3_600_000_000 + F.minute(ts).cast("long") * 60_000_000
+            + secs.cast("long"))
+
+
 def days_between(start, end) -> Column:
-    """Elapsed days as a double (``end - start``), microsecond exact."""
-    return F.timestamp_diff("MICROSECOND", _c(start), _c(end)) / F.lit(MICROS_PER_DAY)
+    """Elapsed days as a double (``end - start``), microsecond exact.
+
+    Computed from calendar fields of the timezone-free timestamps (whole days
+    by ``datediff`` plus microseconds of day), so the result does not depend
+    on the session time zone (``timestamp_diff`` casts NTZ through it)."""
+    a, b = _c(start), _c(end)
+    micros = F.datediff(F.to_date(b), F.to_date(a)).cast("long") * 86_400_000_000 + (_micro_of_day(b) - _micro_of_day(a))
+    return micros / F.lit(MICROS_PER_DAY)
 
 
 def add_days(ts, n) -> Column:
