@@ -464,5 +464,6 @@ def feature_importances(model, names: list[str]) -> DataFrame:
     rows = [(n, float(v)) for n, v in zip(names, imp)]
     df = spark.createDataFrame(rows, "feature string, gain double")
     tot = df.agg(F.sum("gain").alias("__t"))
-    return with_one_row(df, tot).withColumn("gain_pct", F.lit(100.0) * F.col("gain") / F.col("__t")) \
+    return with_one_row(df, tot).withColumn("gain_pct", F.try_divide(F.lit(100.0) * F.col("gain"),
+                                                                    F.nullif(F.col("__t"), F.lit(0.0)))) \
         .drop("__t").orderBy(F.desc("gain"), "feature")
