@@ -19,3 +19,32 @@ def test_every_query_has_a_callable_and_oracles_are_subset():
     q, o = E.queries(), E.oracle_sql()
     assert len(q) > 100
     assert set(o) <= set(q)
+
+
+SF01 = "/root/testdata/sf0.01"
+
+
+@pytest.mark.skipif(not os.path.isdir(SF01), reason="driver test data not present")
+def test_quality_verdicts_on_test_data(spark):
+    from patronage.registry import QUERIES
+    rows = {r["check_id"]: r["status"] for r in QUERIES["qua9"](spark, SF01).collect()}
+    assert len(rows) == 31
+    assert rows[502] == "WARN"                                   # payments unrelated to item totals
+    assert all(rows[i] == "PASS" for i in rows if 100 <= i < 400)  # keys, required columns, FKs
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
+def test_partition_invariance(spark):
+    from patronage import context as C
+    from patronage.registry import QUERIES
+    out = {}
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in ("1", "8"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            C._CONTEXTS.clear()
+            out[n] = {q: sorted(map(str, QUERIES[q](spark, SF).collect())) for q in ("agg14", "agg22", "agg19", "eva1")}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        C._CONTEXTS.clear()
+    assert out["1"] == out["8"]
