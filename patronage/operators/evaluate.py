@@ -272,8 +272,11 @@ def compare_strategies(scores: DataFrame, fraction: float = TOP_FRACTION, n_boot
         F.col("model").alias("strategy"), F.col("n_targeted").alias("customers_targeted"),
         F.col("n_returners").alias("returners_reached"), F.col("revenue_in_group").alias("revenue_captured"),
         "capture_pct", "capture_lo", "capture_hi", "lift")
-    one_model = scores.groupBy("model").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("y") > 0).alias("pos"),
-                                            F.sum("y").alias("tot")).limit(1)
+    # Every strategy scores the same customers; take the counts of the first
+    # strategy by name (a global aggregate, deterministic).
+    per_model = scores.groupBy("model").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("y") > 0).alias("pos"),
+                                            F.sum("y").alias("tot"))
+    one_model = per_model.agg(F.min_by(F.struct("n", "pos", "tot"), F.col("model")).alias("s")).select("s.*")
     rnd = one_model.select(
         F.lit("Random targeting").alias("strategy"), F.floor(F.col("n") * fraction).cast("long").alias("customers_targeted"),
         F.round(F.col("pos") * fraction).cast("long").alias("returners_reached"),
