@@ -565,9 +565,13 @@ def _src4(ctx):
 
 @register("snk1")
 def _snk1(ctx):
-    path = scratch_path(ctx.spark, "mart-orders")
-    SK.write_mart(ctx.orders, path, "order_month", ["customer_unique_id", "order_purchase_timestamp"])
-    return ctx.spark.read.parquet(path)
+    """Marts written to a staging folder, partitioned by month, and published
+    only when the quality report has no FAIL; returns the published order mart."""
+    root = scratch_path(ctx.spark, "marts")
+    ok = SK.publish_if_clean(ctx.spark, {"orders": ctx.orders, "transactions": ctx.transactions}, report(ctx), root)
+    if not ok:
+        raise RuntimeError("quality report has FAIL rows; marts left in staging")
+    return ctx.spark.read.parquet(f"{root}/orders")
 
 
 @register("snk2")

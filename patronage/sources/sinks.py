@@ -39,7 +39,8 @@ def publish_if_clean(spark: SparkSession, marts: dict[str, DataFrame], report: D
     when the quality report has no FAIL (the reference wrote them regardless)."""
     staging = f"{root.rstrip('/')}/_staging"
     for name, df in marts.items():
-        write_mart(df, f"{staging}/{name}", "order_month" if "order_month" in df.columns else None)
+        sort = [c for c in ("customer_unique_id", "order_purchase_timestamp") if c in df.columns]
+        write_mart(df, f"{staging}/{name}", "order_month" if "order_month" in df.columns else None, sort)
     failed = report.where(F.col("status") == "FAIL").limit(1).count() > 0
     if failed:
         return False
