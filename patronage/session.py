@@ -62,10 +62,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df):
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
+    """Cut lineage by writing a parquet table in the shared checkpoint folder
+    and reading it back.
 
-    Used where a plan is re-joined with itself several times (ranks, bootstrap):
-    the written copy survives executor loss and keeps the logical plan small.
+    One computation of the plan (an eager ``checkpoint()`` of an unpersisted
+    frame computes it twice: once for the count, once for the write). The
+    written copy survives executor loss, and keeps the logical plan small where
+    a frame is re-joined with itself (ranks, bootstrap, model inputs).
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    import uuid
+    spark = df.sparkSession
+    path = scratch_path(spark, f"table-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
