@@ -29,17 +29,22 @@ from pyspark.sql.window import Window
 from patronage.plans.joins import dimension_join
 
 
-def _n_parts(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+def range_partition(df: DataFrame, order: list[Column], n_parts: int | None = None) -> DataFrame:
+    """Range-partition on ``order`` and sort within partitions.
+
+    Without ``n_parts`` the count comes from ``spark.sql.shuffle.partitions``
+    and AQE may coalesce small ranges; coalesced partitions are contiguous runs
+    of ranges, so partition ids stay in global order (offsets are computed from
+    the ids actually present, never from a planned count).
+    """
+    ranged = df.repartitionByRange(n_parts, *order) if n_parts else df.repartitionByRange(*order)
+    return ranged.sortWithinPartitions(*order)
 
 
 def global_rank(df: DataFrame, order: list[Column], rank_col: str = "rank",
                 n_parts: int | None = None) -> DataFrame:
     """RNK1: 1-based position of each row in the total order ``order``."""
-    n = _n_parts(df, n_parts)
-    tagged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    tagged = (range_partition(df, order, n_parts)
               .withColumn("__pid", F.spark_partition_id())
               .withColumn("__mid", F.monotonically_increasing_id())
               .persist(StorageLevel.MEMORY_AND_DISK))
@@ -76,9 +81,8 @@ def grouped_prefix(df: DataFrame, group: list[str], order: list[Column], sums: d
     from a table with at most ranges + groups rows. ``sums`` maps output column
     → summed column.
     """
-    n = _n_parts(df, n_parts)
     gcols = [F.col(c) for c in group]
-    tagged = (df.repartitionByRange(n, *gcols, *order).sortWithinPartitions(*gcols, *order)
+    tagged = (range_partition(df, [*gcols, *order], n_parts)
               .withColumn("__pid", F.spark_partition_id())
               .withColumn("__mid", F.monotonically_increasing_id())
               .persist(StorageLevel.MEMORY_AND_DISK))

@@ -15,15 +15,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from patronage.plans.ranking import range_partition
+
 
 def lag_within(df: DataFrame, key: str, order: list[str], value: str, out: str,
                n_parts: int | None = None) -> DataFrame:
     """Adds ``out`` = ``value`` of the previous row of the same ``key`` in
     ``order`` (which must make rows unique within a key), null for a key's first row."""
-    n = n_parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     cols = [key] + order
-    ranged = (df.repartitionByRange(n, *[F.col(c).asc() for c in cols])
-              .sortWithinPartitions(*cols)
+    ranged = (range_partition(df, [F.col(c).asc() for c in cols], n_parts)
               .withColumn("__pid", F.spark_partition_id())
               .withColumn("__mid", F.monotonically_increasing_id())
               .persist(StorageLevel.MEMORY_AND_DISK))

@@ -96,3 +96,21 @@ def test_group_quantiles_match_numpy(spark):
         vals = np.array([v for k, v in rows if k == g])
         for p in (0.25, 0.5, 0.99):
             assert abs(got[(g, p)] - np.percentile(vals, 100 * p)) < 1e-9
+
+
+def test_rank_and_lag_with_aqe_coalesced_ranges(spark):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        rnd = random.Random(9)
+        rows = [(i, float(rnd.randint(0, 15)), rnd.randint(0, 3)) for i in range(1500)]
+        df = spark.createDataFrame(rows, "k long, v double, g long")
+        expected = {k: i + 1 for i, (k, v, g) in enumerate(sorted(rows, key=lambda r: (r[1], r[0])))}
+        got = {x["k"]: x["r"] for x in global_rank(df, [F.col("v").asc(), F.col("k").asc()], "r").collect()}
+        assert got == expected
+        w = Window.partitionBy("g").orderBy("v", "k")
+        exp = {r["k"]: r["p"] for r in df.withColumn("p", F.lag("v").over(w)).collect()}
+        lag = {r["k"]: r["p"] for r in lag_within(df, "g", ["v", "k"], "v", "p").collect()}
+        assert lag == exp
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
