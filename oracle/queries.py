@@ -502,7 +502,9 @@ SELECT {ot} AS origin, customer_unique_id, count(*) AS n,
        count(*) FILTER (WHERE review_creation_date >= {ot}) AS lr,
        count(*) FILTER (WHERE order_delivered_customer_date >= {ot} OR review_creation_date >= {ot}) AS leaky,
        count(*) FILTER (WHERE order_delivered_customer_date < {ot}) AS not_ld,
-       count(*) FILTER (WHERE review_creation_date < {ot}) AS not_lr
+       count(*) FILTER (WHERE review_creation_date < {ot}) AS not_lr,
+       avg(delivery_days) AS naive_d, avg(delivery_days) FILTER (WHERE order_delivered_customer_date < {ot}) AS masked_d,
+       avg(review_score) AS naive_r, avg(review_score) FILTER (WHERE review_creation_date < {ot}) AS masked_r
 FROM om WHERE order_purchase_timestamp < {ot} GROUP BY customer_unique_id""")
     pc = "\nUNION ALL\n".join(blocks)
     return sql(f"""
@@ -511,6 +513,7 @@ SELECT c.origin, sum(n) AS pre_origin_orders, sum(ld) AS orders_delivered_after_
        count(*) AS scored_customers,
        count(*) FILTER (WHERE ld > 0 AND not_ld = 0 AND p.avg_delivery_days IS NOT NULL) AS delivery_violations,
        count(*) FILTER (WHERE lr > 0 AND not_lr = 0 AND p.avg_review IS NOT NULL) AS review_violations,
+       count(*) FILTER (WHERE naive_d IS DISTINCT FROM masked_d OR naive_r IS DISTINCT FROM masked_r) AS customers_naive_differs,
        {rnd('100.0 * count(*) FILTER (WHERE leaky > 0) / greatest(count(*), 1)', 'pct_customers_affected')}
 FROM ({pc}) c LEFT JOIN panel p ON c.origin = p.origin AND c.customer_unique_id = p.customer_unique_id
 GROUP BY c.origin""")
