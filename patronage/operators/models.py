@@ -383,16 +383,18 @@ class TruncatedEnsemble:
         return _V(total / s if s > 0 else total)
 
 
-def fit_l2_gbt(train: DataFrame, valid: DataFrame, max_iter: int = 60, step: float = 0.1, depth: int = 5,
+def fit_l2_gbt(train: DataFrame, valid: DataFrame | None, max_iter: int = 60, step: float = 0.1, depth: int = 5,
                min_leaf: int = MIN_LEAF, seed: int = 42):
     """MOD8: L2 gradient-boosted trees; the round count is chosen on the
     validation origin (``evaluateEachIteration``) and the ensemble is cut there."""
     prep = Pipeline(stages=feature_pipeline(False)).fit(_prep(train))
-    tr, va = prep.transform(_prep(train)), prep.transform(_prep(valid))
+    tr = prep.transform(_prep(train))
     gbt = GBTRegressor(labelCol="target", featuresCol="features", maxIter=max_iter, stepSize=step, maxDepth=depth,
                        minInstancesPerNode=min_leaf, maxBins=64, seed=seed, subsamplingRate=0.8)
     model = gbt.fit(tr)
-    errs = model.evaluateEachIteration(va, "squared")
+    if valid is None:                       # no validation origin: keep every round
+        return prep, TruncatedEnsemble(model, max_iter), max_iter
+    errs = model.evaluateEachIteration(prep.transform(_prep(valid)), "squared")
     best = int(min(range(len(errs)), key=lambda i: errs[i])) + 1
     return prep, TruncatedEnsemble(model, best), best
 

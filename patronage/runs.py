@@ -96,7 +96,7 @@ def run_training(orders: DataFrame, params: Params, n_boot: int = 1000) -> dict:
     audit = PN.leakage_audit(orders, panel, params)
     prob = MD.fit_probabilistic(orders, params.test_origin, params.horizon_days)
     glm = MD.fit_tweedie_glm(split("train"))
-    prep, gbt, rounds = MD.fit_l2_gbt(split("train"), split("valid"))
+    prep, gbt, rounds = MD.fit_l2_gbt(split("train"), split("valid") if params.valid_origin else None)
     test = split("test")
     preds = (glm.transform(test, "pred_glm").select("customer_unique_id", "pred_glm")
              .join(gbt.transform(prep.transform(MD._prep(test)), "pred_gbt_l2").select("customer_unique_id", "pred_gbt_l2"),

@@ -66,3 +66,10 @@ def test_event_time_masking(spark):
     assert got[2] == (None, 0, None)
     assert got[3] == (None, 0, None)
     assert got[4] == (None, 0, None)
+
+
+def test_validation_origin_is_optional(spark):
+    from patronage.operators.panel import origin_splits
+    p = TESTDATA_PARAMS.with_(valid_origin=None)
+    check_window_order(p)
+    assert [s for s, _ in origin_splits(p)] == ["train"] * 4 + ["test"]
