@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -38,11 +41,17 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def _is_local(spark: SparkSession) -> bool:
+    """Driver and executors are one process, so a local folder is shared."""
+    return spark.sparkContext.master.split("[")[0] == "local"
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 
-    Read from ``spark.checkpoint.dir`` (the cluster names it); only when it is
-    unset — as in unit tests — a private folder is created and registered.
+    Read from ``spark.checkpoint.dir`` (the cluster names it). Only a local
+    master may leave it unset — as unit tests do — and gets a private folder; on
+    a cluster executors would write to their own disks, so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -50,15 +59,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not _is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="patronage-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-path of the shared checkpoint folder for written tables."""
+    """A sub-path of the shared folder, private to this application."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{os.getpid()}"
+    return f"{base}/{name}-{spark.sparkContext.applicationId}"
 
 
 def materialize(df):
@@ -70,8 +81,25 @@ def materialize(df):
     written copy survives executor loss, and keeps the logical plan small where
     a frame is re-joined with itself (ranks, bootstrap, model inputs).
     """
-    import uuid
     spark = df.sparkSession
     path = scratch_path(spark, f"table-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so that
+    functions run in them wherever the driver was started from."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    path = os.path.join(tempfile.mkdtemp(prefix="patronage-code-"), f"{root.name}-code.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
