@@ -34,6 +34,8 @@ from patronage.session import materialize
 
 #: Pages that a template needs; share of a host's pages that a class is on at least.
 PAGES, SHARE = 4, 0.5
+#: Depth to which elements have places of their own.
+DEEP = 200
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
                  r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
@@ -164,7 +166,10 @@ class Page:
                             name = " ".join(found)
                     out = out or tag in APART or (tag == "header" and not article) \
                         or bool(name and ASIDE.search(name)) or bool(rest and HIDDEN.search(rest))
-                    place = f"{up}/{tag}.{name}" if name else f"{up}/{tag}"
+                    if len(stack) > DEEP:  # elements nested deeper share a place
+                        place = up
+                    else:
+                        place = f"{up}/{tag}.{name}" if name else f"{up}/{tag}"
                     if not article and not out and (tag in ("article", "main") or name and tag not in ("html", "body", "p")
                                                     and tag not in INLINE and MAIN.search(name)):
                         article = place
@@ -183,6 +188,7 @@ class Page:
 
 
 _PLACES: dict[str, int] = {}
+_SLOTS: dict[str, set[int]] = {}
 TAGS, BLOCKS, SLOTS, ALL = 1, 2, 3, 0
 
 
@@ -273,15 +279,27 @@ def covered(page: Page, root: list[int], classes: list[list[int]]) -> set[int]:
     return out
 
 
+def slots_of(place: str) -> set[int]:
+    """Numbers of an element's place and of all that it lies in."""
+    got = _SLOTS.get(place)
+    if got is None:
+        if len(_SLOTS) > 20_000:
+            _SLOTS.clear()
+        cuts = [k for k, c in enumerate(place) if c == "/" and k] + [len(place)]
+        got = _SLOTS[place] = {number("slot" + place[:k]) for k in cuts}
+    return got
+
+
 def main_blocks(page: Page, root: list[int] | None, classes: list[list[int]] | None, slot: int | None) -> list[str]:
     blocks = page.blocks
     if not blocks:
         return []
     template = covered(page, root or [], classes or []) if root or classes else set()
-    own = [x for x in blocks if slot is not None and number("slot" + (x.article or x.holder)) == slot]
+    own = [x for x in blocks if slot is not None and slot in slots_of(x.article or x.holder)]
     chosen = own or [x for x in blocks if x.article] or blocks
-    # Inside an article a passage may stand on many pages and still be text.
-    return [x.text for x in chosen if x.article or x.at not in template]
+    # Inside an article a passage may stand on many pages and still be text; so may a page that is there twice.
+    left = [x for x in chosen if x.article or x.at not in template]
+    return [x.text for x in left or chosen]
 
 
 def extract(pages: DataFrame) -> DataFrame:
