@@ -1,23 +1,23 @@
 """Merkle fixity audit of WARC replicas, in DataFrame functions.
 
 Records are hashed where they lie; above them stand hashes of ordered offset
-ranges, each of ``FAN`` ranges of the level below, then whole files, then groups
-of files, up to one root. Two replicas are compared from the root down, and only
-the children of ranges that differ are looked at; at the bottom the records of a
-differing range are matched by offset.
+ranges, each of some ranges of the level below, then whole files, then groups of
+files, up to one root. The trees of two replicas are grown side by side and
+compared from the root down; only the children of ranges that differ are looked
+at, and at the bottom the records of a differing range are matched by offset.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from patronage.session import materialize
 
-#: Bytes of a lowest range (a power of two), ranges in a range above, levels of ranges and of files.
-RANGE_BITS, FAN_BITS, RANGES, FILES = 13, 3, 4, 6
+#: Bits of a lowest range's bytes, of the ranges in a range above, and of the files in a group.
+RANGE_BITS, FAN_BITS, GROUP_BITS = 13, 4, 8
+#: Levels of ranges, and of groups of files.
+RANGES, GROUPS = 3, 3
 #: Page ids that share a WARC file.
 PER_FILE = 256
 
@@ -29,18 +29,17 @@ def record(uri: Column, payload: Column) -> Column:
 
 
 def archive(pages: DataFrame) -> DataFrame:
-    """Pages laid out as WARC files: file, offset, uri, content.
+    """Pages as records of WARC files: file, page_id, uri, content.
 
     A file holds the pages of ``PER_FILE`` consecutive ids in order of id, uri
     and content. Null urls and payloads count as empty; pages without an id lie
     in file -1; repeated rows are records of their own.
     """
-    body = pages.select(
+    rows = pages.select(
         F.coalesce(F.floor(F.col("page_id") / PER_FILE), F.lit(-1)).cast("bigint").alias("file"),
         F.col("page_id").cast("bigint").alias("page_id"), F.coalesce(F.col("url").cast("string"), F.lit("")).alias("uri"),
         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
-    made = body.select("file", "page_id", "uri", record(F.col("uri"), F.col("html")).alias("content"))
-    return made
+    return rows.select("file", "page_id", "uri", record(F.col("uri"), F.col("html")).alias("content"))
 
 
 def hashed(records: DataFrame, content: Column | None = None) -> DataFrame:
@@ -57,34 +56,32 @@ def laid_out(records: DataFrame) -> DataFrame:
 
 
 def _node(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """One hash for each key, over the ordered hashes below (a bounded number)."""
+    """One hash for each side and key, over the ordered hashes below (a bounded number)."""
     said = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(order, "sha256"))),
                                     lambda x: F.concat_ws(":", x[order].cast("string"), x["sha256"])), "\n")
-    return rows.groupBy(*keys).agg(F.sha2(said, 256).alias("sha256"))
+    return materialize(rows.groupBy("side", *keys).agg(F.sha2(said, 256).alias("sha256")))
 
 
 def tree(records: DataFrame) -> list[DataFrame]:
-    """Levels of (file, at, sha256) from records (file, offset, sha256) up: offset
-    ranges, each file's whole, groups of files, and one root."""
-    low = records.select("file", "offset", F.shiftright("offset", RANGE_BITS).alias("at"), "sha256")
-    levels = [materialize(_node(low, ["file", "at"], "offset"))]
+    """Levels of (side, file, at, sha256) from records (side, file, offset,
+    sha256) up: offset ranges, each file's whole, groups of files, and one root."""
+    low = records.select("side", "file", "offset", F.shiftright("offset", RANGE_BITS).alias("at"), "sha256")
+    levels = [_node(low, ["file", "at"], "offset")]
     for _ in range(RANGES - 1):
         up = levels[-1].withColumnRenamed("at", "below").withColumn("at", F.shiftright("below", FAN_BITS))
-        levels.append(materialize(_node(up, ["file", "at"], "below")))
-    # Above the fixed levels a file's ranges are few; they are joined whole.
-    levels.append(materialize(_node(levels[-1], ["file"], "at").withColumn("at", F.lit(0).cast("bigint"))))
-    for _ in range(FILES):
-        up = levels[-1].select(F.col("file").alias("below"), F.shiftright("file", FAN_BITS).alias("file"), "sha256")
-        levels.append(materialize(_node(up, ["file"], "below").withColumn("at", F.lit(0).cast("bigint"))))
+        levels.append(_node(up, ["file", "at"], "below"))
+    # Above the levels of ranges a file has few left: they are joined whole.
+    levels.append(_node(levels[-1], ["file"], "at"))
+    for _ in range(GROUPS):
+        up = levels[-1].select("side", F.col("file").alias("below"), F.shiftright("file", GROUP_BITS).alias("file"), "sha256")
+        levels.append(_node(up, ["file"], "below"))
     return levels
 
 
-def differing(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys whose hashes differ, or that one side lacks."""
-    y = b.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("sha256").alias("__sha"))
-    met = a.join(y, reduce(lambda p, q: p & q, [F.col(k) == F.col(f"__{k}") for k in keys]), "full")
-    return met.where(~F.col("sha256").eqNullSafe(F.col("__sha"))) \
-        .select(*[F.coalesce(k, f"__{k}").alias(k) for k in keys])
+def differing(level: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys whose hashes differ between the sides, or that one side lacks."""
+    sides = [F.max(F.when(F.col("side") == k, F.col("sha256"))) for k in (0, 1)]
+    return level.groupBy(*keys).agg(sides[0].alias("a"), sides[1].alias("b")).where("not a <=> b").select(*keys)
 
 
 def audit(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -93,43 +90,35 @@ def audit(a: DataFrame, b: DataFrame) -> DataFrame:
     uri, length, sha256): changed, missing from the copy, or extra in it.
 
     Equal or empty replicas give no rows. Rows that repeat an offset are
-    compared by their hashes together.
+    compared by their hashes together. Rows without file or offset are left out.
     """
-    def joined(r: DataFrame) -> DataFrame:
-        """One row for each offset."""
-        return r.groupBy("file", "offset").agg(
-            F.min("uri").alias("uri"), F.min("length").alias("length"),
-            F.array_join(F.sort_array(F.collect_list("sha256")), "+").alias("sha256"))
-    a, b = materialize(joined(a)), materialize(joined(b))
-    x, y = tree(a), tree(b)
-    top = RANGES + FILES
-    bad = differing(x[top], y[top], ["file"])
-    for level in range(top - 1, RANGES - 1, -1):  # files below a differing group
-        def below(t: DataFrame, bad: DataFrame = bad) -> DataFrame:
-            near = bad.select(F.col("file").alias("__up"))
-            return t.join(near, F.shiftright("file", FAN_BITS) == F.col("__up"), "left_semi")
-        bad = differing(below(x[level]), below(y[level]), ["file"])
+    cols = ["file", "offset", "uri", "length", "sha256"]
+    both = a.select(F.lit(0).alias("side"), *cols).unionByName(b.select(F.lit(1).alias("side"), *cols))
+    both = materialize(both.where("file is not null and offset is not null").groupBy("side", "file", "offset").agg(
+        F.min("uri").alias("uri"), F.min("length").alias("length"),
+        F.array_join(F.sort_array(F.collect_list("sha256")), "+").alias("sha256")))
+    levels = tree(both)
+    bad = differing(levels[-1], ["file"])
+    for level in reversed(levels[RANGES:-1]):  # groups and files of a differing group
+        near = bad.select(F.col("file").alias("__up"))
+        bad = differing(level.join(near, F.shiftright("file", GROUP_BITS) == F.col("__up"), "left_semi"), ["file"])
     bad = materialize(bad)
-    wide = [t.join(bad, "file", "left_semi") for t in (x[RANGES - 1], y[RANGES - 1])]
-    bad = differing(*wide, ["file", "at"])
-    for level in range(RANGES - 2, -1, -1):  # ranges of a differing range
-        def inside(t: DataFrame, bad: DataFrame = bad) -> DataFrame:
-            near = bad.select(F.col("file").alias("__f"), F.col("at").alias("__a"))
-            return t.join(near, (F.col("file") == F.col("__f"))
-                          & (F.shiftright("at", FAN_BITS) == F.col("__a")), "left_semi")
-        bad = differing(inside(x[level]), inside(y[level]), ["file", "at"])
-    bad = materialize(bad).select(F.col("file").alias("__f"), F.col("at").alias("__a"))
-
-    def suspect(r: DataFrame) -> DataFrame:
-        return r.join(bad, (F.col("file") == F.col("__f"))
-                      & (F.shiftright("offset", RANGE_BITS) == F.col("__a")), "left_semi")
-    left, right = suspect(a), suspect(b).select(*[F.col(c).alias(f"__{c}") for c in ("file", "offset", "uri", "length", "sha256")])
-    met = left.join(right, (F.col("file") == F.col("__file")) & (F.col("offset") == F.col("__offset")), "full")
-    status = F.when(F.col("__sha256").isNull(), "missing").when(F.col("sha256").isNull(), "extra").otherwise("changed")
-    return met.where(~F.col("sha256").eqNullSafe(F.col("__sha256"))).select(
-        F.coalesce("file", "__file").alias("file"), F.coalesce("offset", "__offset").alias("offset"),
-        F.coalesce("uri", "__uri").alias("uri"), F.coalesce("length", "__length").alias("length"), "sha256",
-        F.col("__sha256").alias("found_sha256"), status.alias("status"))
+    bad = differing(levels[RANGES - 1].join(bad, "file", "left_semi"), ["file", "at"])
+    for level in reversed(levels[:RANGES - 1]):  # ranges of a differing range
+        near = bad.select(F.col("file").alias("__f"), F.col("at").alias("__a"))
+        bad = differing(level.join(near, (F.col("file") == F.col("__f"))
+                                   & (F.shiftright("at", FAN_BITS) == F.col("__a")), "left_semi"), ["file", "at"])
+    near = materialize(bad).select(F.col("file").alias("__f"), F.col("at").alias("__a"))
+    suspect = both.join(near, (F.col("file") == F.col("__f"))
+                        & (F.shiftright("offset", RANGE_BITS) == F.col("__a")), "left_semi")
+
+    def of(side: int, c: str):
+        return F.max(F.when(F.col("side") == side, F.col(c)))
+    met = suspect.groupBy("file", "offset").agg(
+        F.coalesce(of(0, "uri"), of(1, "uri")).alias("uri"), F.coalesce(of(0, "length"), of(1, "length")).alias("length"),
+        of(0, "sha256").alias("sha256"), of(1, "sha256").alias("found_sha256"))
+    status = F.when(F.col("found_sha256").isNull(), "missing").when(F.col("sha256").isNull(), "extra").otherwise("changed")
+    return met.where("not sha256 <=> found_sha256").withColumn("status", status)
 
 
 def damaged_copy(records: DataFrame) -> tuple[DataFrame, DataFrame]:
