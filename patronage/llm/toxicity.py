@@ -86,9 +86,11 @@ def fit(rows: list[tuple[list[int], int]], share: float) -> Machine:
     """A machine from (buckets, label) rows; share: of positives among all labelled rows."""
     y = np.array([label for _, label in rows], np.float64)
     ones, zeros = max(1.0, y.sum()), max(1.0, (1 - y).sum())
-    flat = np.concatenate([np.asarray(t, np.int64) for t, _ in rows] or [np.zeros(0, np.int64)])
-    owner = np.repeat(np.arange(len(rows)), [len(t) for t, _ in rows])
-    found, place = np.unique(flat, return_inverse=True)
+    flat = np.concatenate([np.asarray(t, np.int32) for t, _ in rows] or [np.zeros(0, np.int32)])
+    owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(t) for t, _ in rows])
+    found = np.unique(flat)
+    place = np.searchsorted(found, flat).astype(np.int32)
+    del flat
     pos = np.bincount(place, y[owner], len(found))
     neg = np.bincount(place, 1 - y[owner], len(found))
     p = (pos + neg) / (ones + zeros)
