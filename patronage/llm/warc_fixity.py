@@ -59,19 +59,22 @@ def _node(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
     """One hash for each side and key, over the ordered hashes below (a bounded number)."""
     said = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(order, "sha256"))),
                                     lambda x: F.concat_ws(":", x[order].cast("string"), x["sha256"])), "\n")
-    return materialize(rows.groupBy("side", *keys).agg(F.sha2(said, 256).alias("sha256")))
+    return rows.groupBy("side", *keys).agg(F.sha2(said, 256).alias("sha256"))
 
 
 def tree(records: DataFrame) -> list[DataFrame]:
     """Levels of (side, file, at, sha256) from records (side, file, offset,
-    sha256) up: offset ranges, each file's whole, groups of files, and one root."""
+    sha256) up: offset ranges, each file's whole, groups of files, and one root.
+
+    The lowest level and the files' are written; each level between and above
+    is a small part of the one below it, and grown from it where it is read."""
     low = records.select("side", "file", "offset", F.shiftright("offset", RANGE_BITS).alias("at"), "sha256")
-    levels = [_node(low, ["file", "at"], "offset")]
+    levels = [materialize(_node(low, ["file", "at"], "offset"))]
     for _ in range(RANGES - 1):
         up = levels[-1].withColumnRenamed("at", "below").withColumn("at", F.shiftright("below", FAN_BITS))
         levels.append(_node(up, ["file", "at"], "below"))
     # Above the levels of ranges a file has few left: they are joined whole.
-    levels.append(_node(levels[-1], ["file"], "at"))
+    levels.append(materialize(_node(levels[-1], ["file"], "at")))
     for _ in range(GROUPS):
         up = levels[-1].select("side", F.col("file").alias("below"), F.shiftright("file", GROUP_BITS).alias("file"), "sha256")
         levels.append(_node(up, ["file"], "below"))
@@ -102,13 +105,12 @@ def audit(a: DataFrame, b: DataFrame) -> DataFrame:
     for level in reversed(levels[RANGES:-1]):  # groups and files of a differing group
         near = bad.select(F.col("file").alias("__up"))
         bad = differing(level.join(near, F.shiftright("file", GROUP_BITS) == F.col("__up"), "left_semi"), ["file"])
-    bad = materialize(bad)
     bad = differing(levels[RANGES - 1].join(bad, "file", "left_semi"), ["file", "at"])
     for level in reversed(levels[:RANGES - 1]):  # ranges of a differing range
         near = bad.select(F.col("file").alias("__f"), F.col("at").alias("__a"))
         bad = differing(level.join(near, (F.col("file") == F.col("__f"))
                                    & (F.shiftright("at", FAN_BITS) == F.col("__a")), "left_semi"), ["file", "at"])
-    near = materialize(bad).select(F.col("file").alias("__f"), F.col("at").alias("__a"))
+    near = bad.select(F.col("file").alias("__f"), F.col("at").alias("__a"))
     suspect = both.join(near, (F.col("file") == F.col("__f"))
                         & (F.shiftright("offset", RANGE_BITS) == F.col("__a")), "left_semi")
 
