@@ -6,7 +6,7 @@ business constants, cut points, rule names, channel costs.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # ---------------------------------------------------------------------------
 # Fixed values (must match the reference)
@@ -26,6 +26,8 @@ VALID_ORIGIN = "2018-03-01"
 TEST_ORIGIN = "2018-06-01"
 TOP_FRACTION = 0.10
 N_BOOT = 1000
+N_BOOT_BANDS = 400
+N_BOOT_STRATEGIES = 500
 CATEGORICAL_FEATURES = ("top_category", "customer_state", "payment_type")
 
 # Segment rules: (name, action text), in priority order; the last is the catch-all.
@@ -81,8 +83,9 @@ class Params:
     test_origin: str = TEST_ORIGIN
     top_fraction: float = TOP_FRACTION
     n_boot: int = N_BOOT
+    n_boot_bands: int = N_BOOT_BANDS
+    n_boot_strategies: int = N_BOOT_STRATEGIES
     seed: int = 0
-    extra: dict = field(default_factory=dict)
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)

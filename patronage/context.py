@@ -94,11 +94,14 @@ class Context:
         return self._get("purchases", lambda: purchase_events(self.spark, self.sf_dir))
 
 
-_CONTEXTS: dict[tuple[int, str], Context] = {}
+_CONTEXTS: dict[tuple[str, str], Context] = {}
 
 
 def context(spark: SparkSession, sf_dir: str) -> Context:
-    key = (id(spark), sf_dir.rstrip("/"))
+    app = spark.sparkContext.applicationId
+    for old in [k for k in _CONTEXTS if k[0] != app]:  # frames of a session that has ended
+        del _CONTEXTS[old]
+    key = (app, sf_dir.rstrip("/"))
     if key not in _CONTEXTS:
         _CONTEXTS[key] = Context(spark, sf_dir.rstrip("/"))
     return _CONTEXTS[key]

@@ -217,8 +217,7 @@ def dedup_translation(df: DataFrame) -> DataFrame:
     return keep_first(df, ["product_category_name"], ["product_category_name_english"])
 
 
-def clean_products(df: DataFrame, ledger: Ledger, translation: DataFrame,
-                   dim_rows_limit: int | None = None) -> DataFrame:
+def clean_products(df: DataFrame, ledger: Ledger, translation: DataFrame) -> DataFrame:
     """FIL9 + JOI7: null category → 'unknown'; English name when translated, else original."""
     order = [c for c in df.columns if c != "product_id"]
     deduped, part = _table(600, "products", df, ["product_id"], order, [], [],
@@ -228,8 +227,7 @@ def clean_products(df: DataFrame, ledger: Ledger, translation: DataFrame,
     filled = deduped.withColumn("product_category_name",
                                 F.coalesce(F.col("product_category_name"), F.lit("unknown")))
     from patronage.plans.joins import dimension_join
-    joined = dimension_join(filled, dedup_translation(translation), "product_category_name", "left",
-                            max_rows=dim_rows_limit)
+    joined = dimension_join(filled, dedup_translation(translation), "product_category_name", "left")
     untranslated = joined.agg(
         F.lit(650).alias("step_id"), F.lit("products").alias("table_name"),
         F.lit("no EN translation -> kept PT name").alias("reason"),

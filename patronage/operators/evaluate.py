@@ -14,11 +14,15 @@ from pyspark.sql.window import Window
 
 from patronage.functions.columns import safe_corr
 from patronage.config import BREAKEVEN_UPLIFTS, CHANNEL_COSTS, GRID_UPLIFTS, TOP_FRACTION
-from patronage.plans.joins import dimension_join, with_one_row
+from patronage.plans.joins import with_one_row
 from patronage.plans.ranking import global_rank, grouped_prefix, rank_bin, replicate_weights
 from patronage.session import materialize
 
 KEY = "key"
+#: Compared models and the score column of each; the strategies that target by score.
+MODELS = {"Boosted trees, Tweedie": "pred_gbm", "Boosted trees, L2": "pred_gbt_l2", "BG/NBD + Gamma-Gamma": "pred_bgnbd",
+          "BG/NBD x observed AOV": "pred_bgnbd_empirical", "Historical-spend sort": "monetary"}
+STRATEGIES = ("Boosted trees, Tweedie", "BG/NBD x observed AOV", "Historical-spend sort")
 
 
 def scores_long(df: DataFrame, key: str, y: str, preds: dict[str, str]) -> DataFrame:
@@ -40,10 +44,14 @@ def _with_model_ranks(scores: DataFrame, order, col: str) -> DataFrame:
 
 
 def _mid_ranks(scores: DataFrame, value: str, col: str) -> DataFrame:
-    """(model, key, mid-rank of ``value`` within model)."""
-    r = _with_model_ranks(scores.select("model", KEY, value), [F.col(value).asc()], "__r")
-    mids = r.groupBy("model", value).agg(F.avg("__r").alias(col))
-    return dimension_join(r.drop("__r"), mids, ["model", value], "inner").select("model", KEY, col)
+    """(model, key, mid-rank of ``value`` within model).
+
+    Only the distinct values are sorted: a value's mid-rank is the count below
+    it plus half of its own count and a half."""
+    counts = scores.groupBy("model", value).agg(F.count(F.lit(1)).alias("__c"))
+    mids = grouped_prefix(counts, ["model"], [F.col(value).asc()], {"__below": "__c"}) \
+        .select("model", value, (F.col("__below") + (F.col("__c") + 1) / 2.0).alias(col))
+    return scores.select("model", KEY, value).join(mids, ["model", value]).select("model", KEY, col)
 
 
 def point_metrics(scores: DataFrame, fraction: float = TOP_FRACTION) -> DataFrame:
@@ -289,17 +297,16 @@ def compare_strategies(scores: DataFrame, fraction: float = TOP_FRACTION, n_boot
 def score_percentile(scores: DataFrame, probes: DataFrame) -> DataFrame:
     """RNK4: for each probe ``(probe_id, value)``, % of scores strictly below it.
 
-    Scores and probes are ranked together (probes first on ties, so "below"
-    is strict); a probe's count of scores below = its rank in the union minus
-    its rank among probes. Two global ranks, no cross join.
+    The distinct values of scores and probes are sorted with the number of
+    scores at each (none for a probe's own value); running sums give the scores
+    below. Ties take one row, whatever their number.
     """
-    s = scores.select(F.col("p").alias("v"), F.lit(0).alias("is_probe"), F.lit(None).cast("string").alias("probe_id"))
-    pr = probes.select(F.col("value").cast("double").alias("v"), F.lit(1).alias("is_probe"),
-                       F.col("probe_id").cast("string").alias("probe_id"))
-    u = global_rank(s.unionByName(pr), [F.col("v").asc(), F.col("is_probe").desc(), F.col("probe_id").asc()], "__ru")
-    pr_ranked = global_rank(u.where(F.col("is_probe") == 1), [F.col("v").asc(), F.col("probe_id").asc()], "__rp")
+    pr = probes.select(F.col("probe_id").cast("string").alias("probe_id"), F.col("value").cast("double").alias("v"))
+    counts = scores.select(F.col("p").cast("double").alias("v"), F.lit(1).alias("c")) \
+        .unionByName(pr.select("v", F.lit(0).alias("c"))).groupBy("v").agg(F.sum("c").alias("c")) \
+        .withColumn("__all", F.lit(0))
+    below = grouped_prefix(counts, ["__all"], [F.col("v").asc()], {"__below": "c"}).select("v", "__below")
     n = scores.agg(F.count(F.lit(1)).alias("__n"))
-    return with_one_row(pr_ranked, n).select(
-        "probe_id", F.col("v").alias("value"),
-        (F.col("__ru") - F.col("__rp")).alias("scores_below"),
-        (F.lit(100.0) * (F.col("__ru") - F.col("__rp")) / F.col("__n")).alias("percentile"))
+    return with_one_row(pr.join(below, "v"), n).select(
+        "probe_id", F.col("v").alias("value"), F.col("__below").alias("scores_below"),
+        (F.lit(100.0) * F.col("__below") / F.col("__n")).alias("percentile"))

@@ -48,8 +48,7 @@ def _ledger_join(ledger: Ledger | None, step_id: int, reason: str, before: DataF
                                      F.lit(reason).alias("reason"), "rows_before", "rows_after"))
 
 
-def build_transactions(clean: dict[str, DataFrame], ledger: Ledger | None = None,
-                       dim_rows_limit: int | None = None) -> DataFrame:
+def build_transactions(clean: dict[str, DataFrame], ledger: Ledger | None = None) -> DataFrame:
     items = clean["order_items"]
     orders = clean["orders"].select(
         "order_id", "customer_id", "order_status", "order_purchase_timestamp",
@@ -69,8 +68,8 @@ def build_transactions(clean: dict[str, DataFrame], ledger: Ledger | None = None
     # JOI5/JOI6: 1:1 by construction (collapsed / aggregated per order).
     tx3 = tx2.join(reviews, "order_id", "left").join(pay, "order_id", "left")
     # JOI3/JOI4: descriptive dimensions; unmatched products fall back to 'unknown'.
-    tx3 = dimension_join(tx3, products, "product_id", "left", dim_rows_limit)
-    tx3 = dimension_join(tx3, sellers, "seller_id", "left", dim_rows_limit)
+    tx3 = dimension_join(tx3, products, "product_id", "left")
+    tx3 = dimension_join(tx3, sellers, "seller_id", "left")
 
     ts = F.col("order_purchase_timestamp")
     tx3 = tx3.withColumns({

@@ -1,31 +1,34 @@
 """Models (MOD1-MOD11): BG/NBD + Gamma-Gamma, Tweedie and L2 models, importances, what-if.
 
 Probabilistic models: the per-customer summary is compressed to
-``(x, t_x, T) → weight`` by a distributed groupBy; every likelihood
-evaluation is ONE aggregation whose columns are the log-likelihood sums for
-a batch of candidate parameter vectors (literals) — no cross join, no rows
-on the driver. The driver only runs the optimiser over those few sums.
-Regression models are Spark ML estimators on the panel.
+``(x, t_x, T) → weight`` by a distributed groupBy. An optimiser step is one job:
+each partition returns its weighted log-likelihood sums (numpy arrays) for a
+batch of candidate parameters, and only the sums of these reach the driver.
+Boosted models are Newton steps on the panel: a round fits one Spark ML tree to
+gradients over curvatures; the validation origin picks the number of rounds.
 """
 
 from __future__ import annotations
 
 import math
+import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, GeneralizedLinearRegression
+from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.regression import GBTRegressionModel, GeneralizedLinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from patronage.config import (BGNBD_PENALIZER, CATEGORICAL_FEATURES, CUSTOMER_KEY, LEARNING_RATE, MIN_LEAF,
-                              TWEEDIE_POWER)
+from patronage.config import (BGNBD_PENALIZER, CATEGORICAL_FEATURES, CUSTOMER_KEY, EARLY_STOPPING, LEARNING_RATE,
+                              MAX_ROUNDS, MIN_LEAF, TWEEDIE_POWER)
 from patronage.functions.columns import safe_corr
-from patronage.functions.special import hyp2f1, lgamma, rising_log_sum
+from patronage.functions.special import hyp2f1, lgamma, log_gamma, rising_log_sum
 from patronage.operators.panel import NUMERIC_FEATURES, lifetimes_summary, observed_aov
 from patronage.plans.joins import with_one_row
-from patronage.session import materialize
+from patronage.session import materialize, ship_package
 
 # ---------------------------------------------------------------------------
 # Batched optimiser (driver side, over aggregate sums only)
@@ -126,6 +129,7 @@ def _batch_eval(table: DataFrame, ll_np: callable, columns: list[str], weight: s
             yield pd.DataFrame([acc], columns=[f"l{j}" for j in range(k)] + ["__w"])
 
         schema = ", ".join(f"l{j} double" for j in range(k)) + ", __w double"
+        ship_package(table.sparkSession)
         row = table.select(weight, *columns).mapInPandas(part, schema) \
             .agg(*[F.sum(f"l{j}").alias(f"l{j}") for j in range(k)], F.sum("__w").alias("__w")).first()
         out = []
@@ -137,15 +141,10 @@ def _batch_eval(table: DataFrame, ll_np: callable, columns: list[str], weight: s
     return evaluate
 
 
-def _lgamma_np(x):
-    import numpy as np
-    return np.frompyfunc(math.lgamma, 1, 1)(x).astype(float)
-
-
 def bgnbd_loglik_np(x, tx, T, r, alpha, a, b):
     """Same log-likelihood as ``bgnbd_loglik``, vectorised in numpy (for the fit)."""
     import numpy as np
-    lg = _lgamma_np
+    lg = log_gamma
     a1a2 = lg(r + x) - math.lgamma(r) + r * math.log(alpha) + math.lgamma(a + b) + lg(b + x) - math.lgamma(b) \
         - lg(a + b + x)
     a3 = -(r + x) * np.log(alpha + T)
@@ -159,7 +158,7 @@ def bgnbd_loglik_np(x, tx, T, r, alpha, a, b):
 def gamma_gamma_loglik_np(x, m, p, q, v):
     import numpy as np
     px = p * x
-    return (_lgamma_np(px + q) - _lgamma_np(px) - math.lgamma(q) + q * math.log(v) + (px - 1) * np.log(m)
+    return (log_gamma(px + q) - log_gamma(px) - math.lgamma(q) + q * math.log(v) + (px - 1) * np.log(m)
             + px * np.log(x) - (px + q) * np.log(x * m + v))
 
 
@@ -186,29 +185,40 @@ def gamma_gamma_loglik(p: float, q: float, v: float) -> Column:
             + px * F.log(x) - (px + q) * F.log(x * m + v))
 
 
-def expected_purchases(params: dict, t: float) -> Column:
-    """MOD2: E[# purchases in (T, T+t] | x, t_x, T] (closed form with ₂F₁)."""
+def expected_counts(x, tx, T, params: dict, t: float):
+    """MOD2 for arrays: E[# purchases in (T, T+t] | x, t_x, T] (closed form with ₂F₁)."""
+    import numpy as np
     r, alpha, a, b = params["r"], params["alpha"], params["a"], params["b"]
     if abs(a - 1) < 1e-6:
         a = 1 + 1e-6
-    x = F.col("frequency").cast("double")
-    tx, T = F.col("recency"), F.col("T")
-    z = F.lit(t) / (F.lit(alpha) + T + t)
-    hyp = hyp2f1(F.lit(r) + x, F.lit(b) + x, F.lit(a + b - 1) + x, z)
-    head = (F.lit(a + b - 1) + x) / (a - 1)
-    body = 1 - F.pow((F.lit(alpha) + T) / (F.lit(alpha) + T + t), F.lit(r) + x) * hyp
-    tail = 1 + F.when(x > 0, (F.lit(a) / (F.lit(b) + x - 1)) * F.pow((F.lit(alpha) + T) / (F.lit(alpha) + tx),
-                                                                     F.lit(r) + x)).otherwise(0.0)
-    return head * body / tail
+    hyp = hyp2f1(r + x, b + x, a + b - 1 + x, t / (alpha + T + t))
+    grown = 1 - np.power((alpha + T) / (alpha + T + t), r + x) * hyp
+    alive = np.where(x > 0, a / np.where(x > 0, b + x - 1, 1) * np.power((alpha + T) / (alpha + tx), r + x), 0)
+    return (a + b - 1 + x) / (a - 1) * grown / (1 + alive)
+
+
+def expected_purchases(summary: DataFrame, params: dict, t: float) -> DataFrame:
+    """MOD2: the summary with ``expected_purchases``. The count depends on
+    (frequency, recency, T) alone, so it is worked out once for each of their
+    values and joined back."""
+    ship_package(summary.sparkSession)
+    keys = ["frequency", "recency", "T"]
+
+    def part(batches):
+        import numpy as np
+        for pdf in batches:
+            args = [pdf[k].to_numpy(dtype=np.float64) for k in keys]
+            yield pdf.assign(expected_purchases=expected_counts(*args, params, t))
+    values = summary.select(*keys).distinct()
+    schema = T.StructType([*values.schema.fields, T.StructField("expected_purchases", T.DoubleType())])
+    return summary.join(values.mapInPandas(part, schema), keys)
 
 
-def gamma_gamma_validity(q: float | None) -> tuple[bool, str]:
-    """MOD4: E[spend] = p·v/(q−1) is positive only for q > 1."""
-    if q is None:
-        return False, "Gamma-Gamma not fitted"
-    if q <= 1:
-        return False, f"q = {q:.4f} <= 1 -> E[spend] = p*v/(q-1) is negative. The fitted Gamma-Gamma is structurally invalid."
-    return True, f"q = {q:.4f} > 1 -> expected value is well defined."
+def mean_spend_status(q: float | None) -> tuple[bool, str]:
+    """MOD4: whether the Gamma-Gamma mean p·v / (q − 1) exists, and a remark."""
+    state = "unfitted" if q is None else "defined" if q > 1 else "undefined"
+    remark = {"unfitted": "no Gamma-Gamma parameters", "defined": "mean spend defined", "undefined": "mean spend undefined"}
+    return state == "defined", remark[state] + ("" if q is None else f": shape q = {q:.4f}, needed above 1")
 
 
 @dataclass
@@ -238,15 +248,27 @@ def gamma_gamma_assumption(summary: DataFrame) -> DataFrame:
                       .otherwise("marginal").alias("verdict"))
 
 
+def fit_bgnbd(summary: DataFrame, penalizer: float = BGNBD_PENALIZER) -> dict:
+    """MOD1: r, α, a, b from (frequency, recency, T).
+
+    Time is measured in units of the longest T while fitting, so that the
+    penalty on α does not depend on the unit of the data; α is scaled back.
+    """
+    longest = summary.agg(F.max("T").alias("m")).first()["m"]
+    unit = float(longest) if longest else 1.0
+    comp = materialize(summary.groupBy("frequency", "recency", "T").agg(F.count(F.lit(1)).alias("w"))
+                       .select("frequency", (F.col("recency") / unit).alias("recency"), (F.col("T") / unit).alias("T"), "w"))
+    ev = _batch_eval(comp, bgnbd_loglik_np, ["frequency", "recency", "T"], "w", penalizer)
+    u, _ = _minimise(ev, [0.0, 0.0, 0.0, 0.0])
+    r, alpha, a, b = (math.exp(v) for v in u)
+    return {"r": r, "alpha": alpha * unit, "a": a, "b": b}
+
+
 def fit_probabilistic(orders: DataFrame, origin: str, horizon_days: int = 90,
                       penalizer: float = BGNBD_PENALIZER, min_repeat: int = 50) -> ProbabilisticFit:
     """MOD1-MOD6 at one origin."""
     summary = materialize(lifetimes_summary(orders, origin))
-    comp = materialize(summary.groupBy("frequency", "recency", "T").agg(F.count(F.lit(1)).alias("w")))
-    ev = _batch_eval(comp, bgnbd_loglik_np, ["frequency", "recency", "T"], "w", penalizer)
-    u, _ = _minimise(ev, [0.0, 0.0, 0.0, 0.0])
-    r, alpha, a, b = (math.exp(v) for v in u)
-    params = {"r": r, "alpha": alpha, "a": a, "b": b}
+    params = fit_bgnbd(summary, penalizer)
 
     gg = summary.where((F.col("frequency") > 0) & (F.col("monetary_value") > 0))
     gg_comp = materialize(gg.groupBy("frequency", "monetary_value").agg(F.count(F.lit(1)).alias("w")))
@@ -264,12 +286,12 @@ def fit_probabilistic(orders: DataFrame, origin: str, horizon_days: int = 90,
         mean_m = gg.agg(F.avg("monetary_value").alias("__mm"))
         summary = with_one_row(summary, mean_m)
         exp_value = F.col("__mm")
-    valid, note = gamma_gamma_validity(params.get("gg_q"))
+    valid, note = mean_spend_status(params.get("gg_q"))
 
     aov = observed_aov(orders, origin)
     mean_aov = summary.join(aov, CUSTOMER_KEY, "left").agg(F.avg("observed_aov").alias("__maov"))
+    summary = expected_purchases(summary, params, float(horizon_days))
     pred = (with_one_row(summary.join(aov, CUSTOMER_KEY, "left"), mean_aov)
-            .withColumn("expected_purchases", expected_purchases(params, float(horizon_days)))
             .withColumn("expected_value", exp_value)
             .withColumn("pred_bgnbd", F.col("expected_purchases") * F.col("expected_value"))
             .withColumn("pred_bgnbd_empirical",
@@ -334,7 +356,10 @@ class ScaledModel:
 
 
 def fit_tweedie_glm(train: DataFrame, power: float = TWEEDIE_POWER, reg: float = 1e-3, max_iter: int = 50):
-    """MOD7 (fast form): log-link Tweedie GLM on the stacked train panel.
+    """A log-link Tweedie GLM on the stacked train panel, a linear companion of MOD7.
+
+    Spark solves its normal equations on the driver, so it takes at most 4,096
+    features after one-hot coding; the boosted models have no such bound.
 
     Fit on y / c (c = mean positive target) with standardised features: with a
     log link that only moves the intercept, and it keeps IRLS weights in range.
@@ -349,122 +374,137 @@ def fit_tweedie_glm(train: DataFrame, power: float = TWEEDIE_POWER, reg: float =
 
 
 @dataclass
-class TruncatedEnsemble:
-    """The first ``rounds`` trees of a fitted GBT model (the round count chosen
-    on the validation origin) — predicts without refitting."""
-    model: object
-    rounds: int
+class Preparation:
+    """Fitted indexers and imputer, and the assembler of the feature vector."""
+    index: object
+    assembler: VectorAssembler
 
-    def transform(self, features_df: DataFrame, out: str = "prediction") -> DataFrame:
-        trees, weights = self.model.trees[: self.rounds], self.model.treeWeights[: self.rounds]
-        x = features_df.withColumn(out, F.lit(0.0))
-        for t, w in zip(trees, weights):
-            x = t.setPredictionCol("__t").transform(x).withColumn(out, F.col(out) + w * F.col("__t")).drop("__t")
-        return x
+    @staticmethod
+    def fit(train: DataFrame) -> Preparation:
+        *stages, assembler = feature_pipeline(False)
+        return Preparation(Pipeline(stages=stages).fit(_prep(train)), assembler)
 
     @property
-    def featureImportances(self):
-        """Normalised sum of the kept trees' normalised importances (Spark's ensemble rule)."""
-        import numpy as np
-        total = None
-        for t in self.model.trees[: self.rounds]:
-            v = t.featureImportances.toArray()
-            v = v / v.sum() if v.sum() > 0 else v
-            total = v if total is None else total + v
-        total = total if total is not None else np.zeros(self.model.numFeatures)
-        s = total.sum()
-
-        class _V:
-            def __init__(self, a):
-                self._a = a
-
-            def toArray(self):
-                return self._a
-        return _V(total / s if s > 0 else total)
-
-
-def fit_l2_gbt(train: DataFrame, valid: DataFrame | None, max_iter: int = 60, step: float = 0.1, depth: int = 5,
-               min_leaf: int = MIN_LEAF, seed: int = 42):
-    """MOD8: L2 gradient-boosted trees; the round count is chosen on the
-    validation origin (``evaluateEachIteration``) and the ensemble is cut there."""
-    prep = Pipeline(stages=feature_pipeline(False)).fit(_prep(train))
-    tr = prep.transform(_prep(train))
-    gbt = GBTRegressor(labelCol="target", featuresCol="features", maxIter=max_iter, stepSize=step, maxDepth=depth,
-                       minInstancesPerNode=min_leaf, maxBins=64, seed=seed, subsamplingRate=0.8)
-    model = gbt.fit(tr)
-    if valid is None:                       # no validation origin: keep every round
-        return prep, TruncatedEnsemble(model, max_iter), max_iter
-    errs = model.evaluateEachIteration(prep.transform(_prep(valid)), "squared")
-    best = int(min(range(len(errs)), key=lambda i: errs[i])) + 1
-    return prep, TruncatedEnsemble(model, best), best
-
-
-def tweedie_boost(train: DataFrame, valid: DataFrame, power: float = TWEEDIE_POWER, lr: float = LEARNING_RATE,
-                  max_rounds: int = 600, patience: int = 50, depth: int = 5, min_leaf: int = MIN_LEAF,
-                  checkpoint_every: int = 10):
-    """MOD7: Newton boosting of regression trees on the Tweedie deviance.
-
-    F = log-score; per round g = −y·e^{(1−p)F} + e^{(2−p)F},
-    h = −y(1−p)·e^{(1−p)F} + (2−p)·e^{(2−p)F}; a weighted tree (weight h)
-    is fit to −g/h; F += lr·tree. Rounds are chosen on the validation
-    deviance with ``patience``; lineage is cut every ``checkpoint_every``
-    rounds with a reliable checkpoint. Returns (prep, trees, best_rounds, F0).
+    def indexers(self) -> list[StringIndexerModel]:
+        return [s for s in self.index.stages if isinstance(s, StringIndexerModel)]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Levels unknown to the train panel count as missing, or as the most
+        frequent level where train had none missing: a tree would send a level
+        without train rows to the side of the largest targets."""
+        x = self.index.transform(_prep(df))
+        for s in self.indexers:
+            c, known = s.getOutputCol(), list(s.labels)
+            instead = float(known.index("__null__")) if "__null__" in known else 0.0
+            meta = x.schema[c].metadata
+            x = x.withColumn(c, F.when(F.col(c) >= len(known), instead).otherwise(F.col(c))).withMetadata(c, meta)
+        return self.assembler.transform(x)
+
+
+@dataclass
+class BoostedModel:
+    """Prepared features, and the trees up to the best round as one Spark model."""
+    prep: Preparation
+    ensemble: GBTRegressionModel | None
+    start: float
+    rounds: int
+    log_link: bool
+    names: list[str]
+
+    def transform(self, df: DataFrame, out: str = "prediction") -> DataFrame:
+        x, score = self.prep.transform(df), F.lit(self.start)
+        if self.ensemble is not None:
+            x = self.ensemble.setPredictionCol("__sum").transform(x)
+            score = score + F.col("__sum")
+        return x.withColumn(out, F.exp(score) if self.log_link else score).drop("__sum")
+
+    def importances(self) -> list[tuple[str, float, int]]:
+        """(feature, gain, splits) of every feature."""
+        gain = self.ensemble.featureImportances.toArray().tolist() if self.ensemble is not None else []
+        splits = Counter(int(k) for t in (self.ensemble.trees if self.ensemble is not None else [])
+                         for k in re.findall(r"If \(feature (\d+)", t.toDebugString))
+        return [(n, float(gain[i]) if i < len(gain) else 0.0, splits[i]) for i, n in enumerate(self.names)]
+
+
+def _one_ensemble(spark, trees: list, weight: float) -> GBTRegressionModel:
+    """Trees of equal weight as one model, which scores a row in one pass."""
+    sc = spark.sparkContext
+    made = sc._jvm.org.apache.spark.ml.regression
+    of = sc._gateway.new_array(made.DecisionTreeRegressionModel, len(trees))
+    weights = sc._gateway.new_array(sc._jvm.double, len(trees))
+    for i, t in enumerate(trees):
+        of[i], weights[i] = t._java_obj, weight
+    return GBTRegressionModel(made.GBTRegressionModel(f"boosted-{len(trees)}", of, weights))
+
+
+def boost(train: DataFrame, valid: DataFrame | None, loss: str = "tweedie", power: float = TWEEDIE_POWER,
+          lr: float = LEARNING_RATE, max_rounds: int = MAX_ROUNDS, patience: int = EARLY_STOPPING, depth: int = 5,
+          min_leaf: int = MIN_LEAF, share: float = 0.8, seed: int = 42, every: int = 10) -> BoostedModel:
+    """MOD7 (``tweedie``) and MOD8 (``squared``): Newton-boosted regression trees.
+
+    With f the score so far (its exponential predicts under the Tweedie loss), a
+    round fits one tree to −g/h with weights h on a share of rows and features,
+    and adds ``lr`` times it to f. The deviance on the validation origin picks
+    the number of rounds; after ``patience`` rounds without a better one it
+    ends. The rounds' scores are written and the validation looked at every
+    ``every`` rounds. Splits hold as many bins as the largest category needs.
     """
-    prep = Pipeline(stages=feature_pipeline(False)).fit(_prep(train))
-    tr = materialize(prep.transform(_prep(train)).select("features", F.col("target").cast("double").alias("y")))
-    va = materialize(prep.transform(_prep(valid)).select("features", F.col("target").cast("double").alias("y")))
-    f0 = math.log(max(tr.agg(F.avg("y")).first()[0] or 1e-9, 1e-9))
-    tr = tr.withColumn("F", F.lit(f0))
-    va = va.withColumn("F", F.lit(f0))
-    p = power
-
-    def deviance(df):
-        mu = F.exp(F.col("F"))
+    tweedie, p = loss == "tweedie", power
+    prep = Preparation.fit(train)
+    levels = [len(s.labels) + 1 for s in prep.indexers]
+
+    def made(df: DataFrame) -> DataFrame:
+        return materialize(prep.transform(df).select("features", F.col("target").cast("double").alias("y")))
+    tr = made(train)
+    mean = tr.agg(F.avg("y")).first()[0] or 0.0
+    start = math.log(max(mean, 1e-9)) if tweedie else float(mean)
+    tr = tr.withColumn("f", F.lit(start))
+    va = made(valid).withColumn("f", F.lit(start)) if valid is not None else None
+
+    def deviance(f: str) -> Column:
         y = F.col("y")
-        term = (F.when(y > 0, F.pow(y, 2 - p) / ((1 - p) * (2 - p))).otherwise(0.0)
-                - y * F.pow(mu, 1 - p) / (1 - p) + F.pow(mu, 2 - p) / (2 - p))
-        return df.agg(F.avg(2 * term)).first()[0]
-
-    trees, best, best_dev, since = [], 0, deviance(va), 0
-    for k in range(max_rounds):
-        e1, e2 = F.exp((1 - p) * F.col("F")), F.exp((2 - p) * F.col("F"))
-        g = -F.col("y") * e1 + e2
-        h = -F.col("y") * (1 - p) * e1 + (2 - p) * e2
-        work = tr.withColumns({"__h": h, "__z": -g / h})
-        tree = DecisionTreeRegressor(featuresCol="features", labelCol="__z", weightCol="__h", maxDepth=depth,
-                                     minInstancesPerNode=min_leaf, maxBins=64, predictionCol="__t").fit(work)
-        trees.append(tree)
-        tr = tree.transform(tr).withColumn("F", F.col("F") + lr * F.col("__t")).drop("__t")
-        va = tree.transform(va).withColumn("F", F.col("F") + lr * F.col("__t")).drop("__t")
-        if (k + 1) % checkpoint_every == 0:
-            tr, va = materialize(tr), materialize(va)
-        dev = deviance(va)
-        if dev < best_dev - 1e-12:
-            best, best_dev, since = k + 1, dev, 0
-        else:
-            since += 1
-            if since >= patience:
-                break
-    return prep, trees[:best], best, f0
+        if not tweedie:
+            return F.avg(F.pow(y - F.col(f), 2))
+        mu = F.exp(F.col(f))
+        return F.avg(2 * (F.when(y > 0, F.pow(y, 2 - p) / ((1 - p) * (2 - p))).otherwise(0.0)
+                          - y * F.pow(mu, 1 - p) / (1 - p) + F.pow(mu, 2 - p) / (2 - p)))
+    trees: list = []
+    best, best_dev = 0, va.agg(deviance("f")).first()[0] if va is not None else None
+    while len(trees) < max_rounds:
+        new = []
+        for k in range(len(trees), min(len(trees) + every, max_rounds)):
+            e1, e2 = F.exp((1 - p) * F.col("f")), F.exp((2 - p) * F.col("f"))
+            g = -F.col("y") * e1 + e2 if tweedie else F.col("f") - F.col("y")
+            h = -F.col("y") * (1 - p) * e1 + (2 - p) * e2 if tweedie else F.lit(1.0)
+            tree = RandomForestRegressor(
+                featuresCol="features", labelCol="__z", weightCol="__h", numTrees=1, bootstrap=False,
+                subsamplingRate=share, featureSubsetStrategy=str(share), maxDepth=depth, minInstancesPerNode=min_leaf,
+                maxBins=max([64, *levels]), seed=seed + k).fit(tr.withColumns({"__h": h, "__z": -g / h})).trees[0]
+            new.append(tree)
+            tr = tree.setPredictionCol("__t").transform(tr).withColumn("f", F.col("f") + lr * F.col("__t")).drop("__t")
+        tr = materialize(tr)
+        if va is not None:
+            at = va
+            for i, t in enumerate(new):
+                at = t.setPredictionCol("__t").transform(at) \
+                    .withColumn(f"f{i}", F.col("f" if i == 0 else f"f{i - 1}") + lr * F.col("__t")).drop("__t")
+            at = materialize(at)
+            devs = at.agg(*[deviance(f"f{i}").alias(f"d{i}") for i in range(len(new))]).first()
+            for i, d in enumerate(devs):
+                if d is not None and d < best_dev - 1e-12:
+                    best, best_dev = len(trees) + i + 1, d
+            va = at.select("features", "y", F.col(f"f{len(new) - 1}").alias("f"))
+        trees += new
+        if va is not None and len(trees) - best >= patience:
+            break
+    rounds = best if va is not None else len(trees)
+    ensemble = _one_ensemble(train.sparkSession, trees[:rounds], lr) if rounds else None
+    return BoostedModel(prep, ensemble, start, rounds, tweedie, feature_names(False))
 
 
-def predict_boosted(prep, trees, f0: float, df: DataFrame, lr: float = LEARNING_RATE,
-                    out: str = "prediction") -> DataFrame:
-    x = prep.transform(_prep(df)).withColumn("__F", F.lit(f0))
-    for i, t in enumerate(trees):
-        x = t.setPredictionCol("__t").transform(x).withColumn("__F", F.col("__F") + lr * F.col("__t")).drop("__t")
-        if (i + 1) % 25 == 0:
-            x = materialize(x)
-    return x.withColumn(out, F.exp("__F")).drop("__F")
-
-
-def feature_importances(model, names: list[str]) -> DataFrame:
-    """MOD9 / SRT5: gain-based importances with % share, sorted descending."""
-    imp = model.featureImportances.toArray().tolist()
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
-    rows = [(n, float(v)) for n, v in zip(names, imp)]
-    df = spark.createDataFrame(rows, "feature string, gain double")
+def feature_importances(spark, model: BoostedModel) -> DataFrame:
+    """MOD9 / SRT5: gain with % share and number of splits, sorted descending."""
+    df = spark.createDataFrame(model.importances(), "feature string, gain double, splits long")
     tot = df.agg(F.sum("gain").alias("__t"))
     return with_one_row(df, tot).withColumn("gain_pct", F.try_divide(F.lit(100.0) * F.col("gain"),
                                                                     F.nullif(F.col("__t"), F.lit(0.0)))) \

@@ -1,31 +1,18 @@
-"""Join helpers: broadcast only behind a size check, with a shuffle join beyond it."""
+"""Join helpers: broadcast only by Spark's own size check, with a shuffle join beyond it."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-DEFAULT_DIM_ROWS = 2_000_000
 
+def dimension_join(fact: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:
+    """Join a dimension whose size is not known up front, without a hint.
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def dimension_join(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                   max_rows: int | None = None) -> DataFrame:
-    """Join a dimension whose size is not known up front.
-
-    Default: no hint. Spark broadcasts only when the side's size — the static
-    estimate, or AQE's measured shuffle size at run time — is under
+    Spark broadcasts only when the side's size — the static estimate, or AQE's
+    measured shuffle size at run time — is under
     ``spark.sql.autoBroadcastJoinThreshold``; beyond it the join shuffles
-    (sort-merge, skew-split by AQE). That is a checked broadcast with no extra
-    job. With ``max_rows`` the bound is checked explicitly first (one bounded
-    job reading at most max_rows+1 rows) and the side is broadcast when it holds.
+    (sort-merge, skew-split by AQE).
     """
-    if max_rows is not None and fits(dim, max_rows):
-        return fact.join(F.broadcast(dim), on, how)
     return fact.join(dim, on, how)
 
 

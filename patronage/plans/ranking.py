@@ -1,4 +1,4 @@
-"""Global ranks, mid-ranks, rank bins and bootstrap weights — without a
+"""Global ranks, running sums, rank bins and bootstrap weights — without a
 single-partition exchange.
 
 ``Window.orderBy`` with no partition key plans ``Exchange SinglePartition``:
@@ -26,8 +26,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from patronage.plans.joins import dimension_join
-
 
 def range_partition(df: DataFrame, order: list[Column], n_parts: int | None = None) -> DataFrame:
     """Range-partition on ``order`` and sort within partitions.
@@ -56,20 +54,6 @@ def global_rank(df: DataFrame, order: list[Column], rank_col: str = "rank",
     return out.withColumn(rank_col, F.col("__off") + local + 1).drop("__pid", "__mid", "__off")
 
 
-def mid_rank(df: DataFrame, value: str, key: str, rank_col: str, ascending: bool = True,
-             n_parts: int | None = None) -> DataFrame:
-    """Average rank of each value's tie group (scipy/pandas ``method='average'``).
-
-    Row ranks come from ``global_rank``; a tie group's ranks are consecutive,
-    so their mean is the mid-rank: ``avg(rank)`` per value, joined back (a
-    hot tie value is split by AQE's skew join; nothing collects a group).
-    """
-    o = F.col(value).asc() if ascending else F.col(value).desc()
-    ranked = global_rank(df, [o, F.col(key).asc()], "__r", n_parts)
-    mids = ranked.groupBy(value).agg(F.avg("__r").alias(rank_col))
-    return dimension_join(ranked.drop("__r"), mids, value, "inner")
-
-
 def grouped_prefix(df: DataFrame, group: list[str], order: list[Column], sums: dict[str, str],
                    n_parts: int | None = None) -> DataFrame:
     """Exclusive running sums within each group in ``order`` (a total order
@@ -102,30 +86,29 @@ def group_quantiles(df: DataFrame, group: str | None, value: str, probs: list[fl
     """Exact linear-interpolation quantiles (numpy / ``percentile`` semantics)
     per group, without buffering a group's values in one task.
 
-    Rows are ranked within their group with the distributed global rank; for
-    each probability the order statistics at ⌊(n−1)p⌋ and ⌈(n−1)p⌉ are picked
-    by a join on (group, rank) against a table of needed ranks (groups × probs
-    × 2 rows), then interpolated. Output: (group, p, quantile).
+    Only distinct (group, value) pairs are sorted, with their counts: equal
+    values take one row, so a value that most rows hold is no hot range. A
+    pair covers the positions from the count below it on; for each probability
+    the pairs that cover ⌊(n−1)p⌋ and ⌈(n−1)p⌉ give the value. Output:
+    (group, p, quantile).
     """
     g = group or "__g"
     base = df.select((F.col(group) if group else F.lit(0)).alias(g), F.col(value).cast("double").alias("__v")) \
         .where(F.col("__v").isNotNull())
-    ranked = global_rank(base, [F.col(g).asc(), F.col("__v").asc()], "__r", n_parts)
-    stats = ranked.groupBy(g).agg(F.min("__r").alias("__r0"), F.count(F.lit(1)).alias("__n"))
-    probs_arr = F.array(*[F.lit(float(p)) for p in probs])
-    need = stats.select(g, "__r0", "__n", F.explode(probs_arr).alias("p")) \
-        .withColumn("__pos", (F.col("__n") - 1) * F.col("p")) \
-        .withColumn("__lo", F.floor("__pos")).withColumn("__hi", F.ceil("__pos"))
-    wanted = need.select(g, (F.col("__r0") + F.col("__lo")).alias("__r")) \
-        .unionByName(need.select(g, (F.col("__r0") + F.col("__hi")).alias("__r"))).distinct()
-    picked = ranked.join(wanted, [g, "__r"], "left_semi").select(g, "__r", "__v")
-    lo = picked.select(F.col(g).alias("__gl"), F.col("__r").alias("__rl"), F.col("__v").alias("__vl"))
-    hi = picked.select(F.col(g).alias("__gh"), F.col("__r").alias("__rh"), F.col("__v").alias("__vh"))
-    q = need.join(lo, (F.col(g) == F.col("__gl")) & (F.col("__rl") == F.col("__r0") + F.col("__lo"))) \
-        .join(hi, (F.col(g) == F.col("__gh")) & (F.col("__rh") == F.col("__r0") + F.col("__hi")))
-    frac = F.col("__pos") - F.col("__lo")
-    out = q.select(g, "p", F.when(F.col("__hi") == F.col("__lo"), F.col("__vl"))
-                   .otherwise(F.col("__vl") + frac * (F.col("__vh") - F.col("__vl"))).alias("quantile"))
+    counts = base.groupBy(g, "__v").agg(F.count(F.lit(1)).alias("__c"))
+    sizes = counts.groupBy(g).agg(F.sum("__c").alias("__n"))
+    run = grouped_prefix(counts, [g], [F.col("__v").asc()], {"__below": "__c"}, n_parts).join(sizes, g) \
+        .withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs]))) \
+        .withColumn("__pos", (F.col("__n") - 1) * F.col("p"))
+
+    def held(at: Column) -> Column:
+        return (F.col("__below") <= at) & (at < F.col("__below") + F.col("__c"))
+    lo, hi = held(F.floor("__pos")), held(F.ceil("__pos"))
+    ends = run.where(lo | hi).groupBy(g, "p").agg(
+        F.max(F.when(lo, F.col("__v"))).alias("__lo"), F.max(F.when(hi, F.col("__v"))).alias("__hi"),
+        F.max(F.col("__pos") - F.floor("__pos")).alias("__frac"))
+    out = ends.select(g, "p", F.when(F.col("__frac") == 0, F.col("__lo"))
+                      .otherwise(F.col("__lo") + F.col("__frac") * (F.col("__hi") - F.col("__lo"))).alias("quantile"))
     return out if group else out.drop(g)
 
 

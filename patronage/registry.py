@@ -8,6 +8,7 @@ is immune to summation order.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -362,19 +363,21 @@ def _rnk4(ctx):
 
 @register("eva5", "eva6")
 def _eva5(ctx):
-    boot = EV.bootstrap_metrics(spend_scores(ctx), 200, ctx.params.seed, ctx.params.top_fraction)
+    boot = EV.bootstrap_metrics(spend_scores(ctx), ctx.params.n_boot, ctx.params.seed, ctx.params.top_fraction)
     ci = EV.percentile_ci(boot)
     return ci.withColumns(EV.ci_verdicts("auc_lo", "auc_hi", 0.5, "auc"))
 
 
 @register("eva8")
 def _eva8(ctx):
-    return EV.calibration_bands(spend_scores(ctx), 5, 400, ctx.params.seed)
+    return EV.calibration_bands(spend_scores(ctx), 5, ctx.params.n_boot_bands, ctx.params.seed)
 
 
 @register("roi4")
 def _roi4(ctx):
-    return EV.compare_strategies(spend_scores(ctx), ctx.params.top_fraction, 500, ctx.params.seed)
+    """The three targeting strategies (boosted model, BG/NBD x AOV, historical spend) and random targeting."""
+    s = all_scores(ctx).where(F.col("model").isin(*STRATEGIES))
+    return EV.compare_strategies(s, ctx.params.top_fraction, ctx.params.n_boot_strategies, ctx.params.seed)
 
 
 # ---------------------------------------------------------------- quality
@@ -571,7 +574,7 @@ def _snk1(ctx):
     ok = SK.publish_if_clean(ctx.spark, {"orders": ctx.orders, "transactions": ctx.transactions}, report(ctx), root)
     if not ok:
         raise RuntimeError("quality report has FAIL rows; marts left in staging")
-    return ctx.spark.read.parquet(f"{root}/orders")
+    return SK.published(ctx.spark, root, "orders")
 
 
 @register("snk2")
@@ -587,6 +590,8 @@ def _snk3(ctx):
 # ---------------------------------------------------------------- models
 from patronage.operators import models as MD  # noqa: E402
 
+STRATEGIES = EV.STRATEGIES
+
 
 def prob_fit(ctx):
     return ctx._get("prob_fit", lambda: MD.fit_probabilistic(ctx.orders, ctx.params.test_origin,
@@ -601,8 +606,8 @@ def glm_model(ctx):
     return ctx._get("glm", lambda: MD.fit_tweedie_glm(split(ctx, "train")))
 
 
-def gbt_model(ctx):
-    return ctx._get("gbt", lambda: MD.fit_l2_gbt(split(ctx, "train"), split(ctx, "valid")))
+def boosted(ctx, loss):
+    return ctx._get(f"boosted_{loss}", lambda: MD.boost(split(ctx, "train"), split(ctx, "valid"), loss))
 
 
 @register("mod1", "mod3")
@@ -637,11 +642,10 @@ def model_scores(ctx):
     panel (missing → 0), with the features."""
     def build():
         test = split(ctx, "test")
-        glm = glm_model(ctx).transform(test, "pred_glm").select("customer_unique_id", "pred_glm")
-        prep, gbt, _ = gbt_model(ctx)
-        l2 = gbt.transform(prep.transform(MD._prep(test)), "pred_gbt_l2").select("customer_unique_id", "pred_gbt_l2")
+        gbm = boosted(ctx, "tweedie").transform(test, "pred_gbm").select("customer_unique_id", "pred_gbm")
+        l2 = boosted(ctx, "squared").transform(test, "pred_gbt_l2").select("customer_unique_id", "pred_gbt_l2")
         pb = prob_fit(ctx).predictions.select("customer_unique_id", "pred_bgnbd", "pred_bgnbd_empirical")
-        preds = glm.join(l2, "customer_unique_id", "full").join(pb, "customer_unique_id", "full")
+        preds = gbm.join(l2, "customer_unique_id", "full").join(pb, "customer_unique_id", "full")
         return materialize(DB.aligned_scores(test.withColumnRenamed("target", "actual_90d_spend"), preds))
     return ctx._get("model_scores", build)
 
@@ -653,31 +657,50 @@ def _mod7(ctx):
 
 @register("mod8")
 def _mod8(ctx):
-    prep, gbt, best = gbt_model(ctx)
     return model_scores(ctx).select("customer_unique_id", "actual_90d_spend", "pred_gbt_l2") \
-        .withColumn("rounds", F.lit(best))
+        .withColumn("rounds", F.lit(boosted(ctx, "squared").rounds))
+
+
+@register("mod7_glm")
+def _mod7_glm(ctx):
+    """The linear companion of the boosted model, on the test origin."""
+    return glm_model(ctx).transform(split(ctx, "test"), "pred_glm").select("customer_unique_id", "pred_glm")
 
 
 @register("mod9", "srt5")
 def _mod9(ctx):
-    return MD.feature_importances(gbt_model(ctx)[1], MD.feature_names(False))
+    return MD.feature_importances(ctx.spark, boosted(ctx, "tweedie"))
 
 
 def all_scores(ctx):
-    return EV.scores_long(model_scores(ctx), "customer_unique_id", "actual_90d_spend", {
-        "Tweedie GLM": "pred_glm", "Boosted trees, L2": "pred_gbt_l2", "BG/NBD + Gamma-Gamma": "pred_bgnbd",
-        "BG/NBD x observed AOV": "pred_bgnbd_empirical", "Historical-spend sort": "monetary"})
+    return EV.scores_long(model_scores(ctx), "customer_unique_id", "actual_90d_spend", EV.MODELS)
+
+
+@register("eva7_models")
+def _eva7_models(ctx):
+    return EV.quantile_calibration(all_scores(ctx))
+
+
+@register("roi1_models")
+def _roi1_models(ctx):
+    return EV.target_top(all_scores(ctx), ctx.params.top_fraction)
+
+
+@register("snk2_scores")
+def _snk2_scores(ctx):
+    """Slim export of the score table."""
+    return SK.shrink(model_scores(ctx), SK.CLV_COLS)
 
 
 @register("eva10")
 def _eva10(ctx):
-    return EV.model_comparison(all_scores(ctx), 200, ctx.params.seed, ctx.params.top_fraction)
+    return EV.model_comparison(all_scores(ctx), ctx.params.n_boot, ctx.params.seed, ctx.params.top_fraction)
 
 
 @register("mod10")
 def _mod10(ctx):
     """What-if: hypothetical profiles on top of the population medians,
-    scored by the Tweedie model, with the percentile among test scores."""
+    scored by the boosted Tweedie model, with the percentile among test scores."""
     test = split(ctx, "test")
     med = DB.population_medians(test, list(PN.FEATURES))
     base = med.withColumns({"top_category": F.lit(None).cast("string"), "customer_state": F.lit(None).cast("string"),
@@ -690,23 +713,44 @@ def _mod10(ctx):
         parts.append(base.withColumns({k: F.lit(v) for k, v in over.items()}).withColumn("profile", F.lit(name)))
     prof = reduce_union(parts).where(F.col("tenure") >= F.col("recency"))   # reject impossible profiles
     cast = {c: F.col(c).cast(test.schema[c].dataType) for c in PN.FEATURES}
-    scored = glm_model(ctx).transform(prof.withColumns(cast), "score")
-    scores = model_scores(ctx).select(F.col("pred_glm").alias("p"))
+    scored = boosted(ctx, "tweedie").transform(prof.withColumns(cast), "score")
+    scores = model_scores(ctx).select(F.col("pred_gbm").alias("p"))
     pct = EV.score_percentile(scores, scored.select(F.col("profile").alias("probe_id"), F.col("score").alias("value")))
     return pct.withColumnRenamed("probe_id", "profile")
 
 
 @register("snk4")
 def _snk4(ctx):
-    """Model bundle: the fitted pipeline, the probabilistic parameters, the
-    evaluation and ROI tables, written under the shared folder; returns the
-    parameter table read back."""
-    root = scratch_path(ctx.spark, "bundle")
-    glm_model(ctx).pipeline.write().overwrite().save(f"{root}/tweedie_glm")
-    prob_fit(ctx).params_frame(ctx.spark).write.mode("overwrite").parquet(f"{root}/params")
-    EV.point_metrics(all_scores(ctx)).write.mode("overwrite").parquet(f"{root}/evaluation")
-    EV.channel_grid(EV.target_top(all_scores(ctx))).write.mode("overwrite").parquet(f"{root}/roi")
-    return ctx.spark.read.parquet(f"{root}/params")
+    """Model bundle: the boosted model with its feature preparation, the
+    probabilistic parameters and diagnostics, round counts, category levels,
+    evaluation with intervals, calibration, targeting, break-even, channel and
+    strategy tables, leakage summary and importances, written under the shared
+    folder; returns the list of its tables with their sizes, read back."""
+    root = scratch_path(ctx.spark, f"bundle-{uuid.uuid4().hex}")
+    model, scores, prob = boosted(ctx, "tweedie"), all_scores(ctx), prob_fit(ctx)
+    model.prep.index.write().overwrite().save(f"{root}/preparation")
+    if model.ensemble is not None:
+        model.ensemble.write().overwrite().save(f"{root}/boosted")
+    best = scores.where(F.col("model") == STRATEGIES[0])
+    top = EV.target_top(best, ctx.params.top_fraction)
+    levels = [(s.getInputCol(), k, v) for s in model.prep.indexers for k, v in enumerate(s.labels)]
+    tables = {
+        "params": prob.params_frame(ctx.spark), "diagnostics": prob.diagnostics,
+        "rounds": ctx.spark.createDataFrame([(n, boosted(ctx, n).rounds) for n in ("tweedie", "squared")],
+                                            "loss string, rounds int"),
+        "levels": ctx.spark.createDataFrame(levels, "feature string, level int, value string"),
+        "evaluation": EV.model_comparison(scores, ctx.params.n_boot, ctx.params.seed, ctx.params.top_fraction),
+        "calibration": EV.quantile_calibration(scores), "targeting": top, "breakeven": EV.breakeven_table(top),
+        "channels": EV.channel_grid(top),
+        "strategies": EV.compare_strategies(scores.where(F.col("model").isin(*STRATEGIES)), ctx.params.top_fraction,
+                                            ctx.params.n_boot_strategies, ctx.params.seed),
+        "leakage": PN.leakage_audit(ctx.orders, panel(ctx), ctx.params),
+        "importances": MD.feature_importances(ctx.spark, model),
+    }
+    for name, df in tables.items():
+        df.write.mode("overwrite").parquet(f"{root}/{name}")
+    return reduce_union([ctx.spark.read.parquet(f"{root}/{name}").agg(F.count(F.lit(1)).alias("n_rows"))
+                         .select(F.lit(name).alias("table_name"), "n_rows") for name in tables])
 
 
 @register("fea7")

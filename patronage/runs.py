@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronage.config import Params
+from patronage.config import MAX_ROUNDS, Params
 from patronage.operators import cohorts as CO
 from patronage.operators import evaluate as EV
 from patronage.operators import metrics as ME
@@ -88,34 +88,32 @@ def run_analytics(transactions: DataFrame, orders: DataFrame, params: Params) ->
     }
 
 
-def run_training(orders: DataFrame, params: Params, n_boot: int = 1000) -> dict:
+def run_training(orders: DataFrame, params: Params, max_rounds: int = MAX_ROUNDS) -> dict:
     """Leakage audit → panels → probabilistic and regression models →
     evaluation with bootstrap CIs → calibration → ROI tables."""
     panel = materialize(PN.build_panel(orders, params))
     split = lambda s: panel.where(F.col("split") == s)
     audit = PN.leakage_audit(orders, panel, params)
     prob = MD.fit_probabilistic(orders, params.test_origin, params.horizon_days)
-    glm = MD.fit_tweedie_glm(split("train"))
-    prep, gbt, rounds = MD.fit_l2_gbt(split("train"), split("valid") if params.valid_origin else None)
+    valid = split("valid") if params.valid_origin else None
+    gbm, l2 = (MD.boost(split("train"), valid, loss, max_rounds=max_rounds) for loss in ("tweedie", "squared"))
     test = split("test")
-    preds = (glm.transform(test, "pred_glm").select("customer_unique_id", "pred_glm")
-             .join(gbt.transform(prep.transform(MD._prep(test)), "pred_gbt_l2").select("customer_unique_id", "pred_gbt_l2"),
-                   "customer_unique_id", "full")
+    preds = (gbm.transform(test, "pred_gbm").select("customer_unique_id", "pred_gbm")
+             .join(l2.transform(test, "pred_gbt_l2").select("customer_unique_id", "pred_gbt_l2"), "customer_unique_id", "full")
              .join(prob.predictions.select("customer_unique_id", "pred_bgnbd", "pred_bgnbd_empirical"),
                    "customer_unique_id", "full"))
     scores = materialize(aligned_scores(test.withColumnRenamed("target", "actual_90d_spend"), preds))
-    long = EV.scores_long(scores, "customer_unique_id", "actual_90d_spend", {
-        "Tweedie GLM": "pred_glm", "Boosted trees, L2": "pred_gbt_l2", "BG/NBD + Gamma-Gamma": "pred_bgnbd",
-        "BG/NBD x observed AOV": "pred_bgnbd_empirical", "Historical-spend sort": "monetary"})
-    targeting = EV.target_top(long.where(F.col("model") == "Tweedie GLM"), params.top_fraction)
+    long = EV.scores_long(scores, "customer_unique_id", "actual_90d_spend", EV.MODELS)
+    targeting = EV.target_top(long.where(F.col("model") == EV.STRATEGIES[0]), params.top_fraction)
     return {
         "panel": panel, "panel_description": PN.describe_panel(panel), "leakage_audit": audit,
-        "probabilistic": prob, "gbt_rounds": rounds, "scores": scores,
+        "probabilistic": prob, "rounds": {"tweedie": gbm.rounds, "squared": l2.rounds}, "scores": scores,
+        "export_scores": SK.shrink(scores, SK.CLV_COLS),
         "baselines": EV.baseline_comparison(test, split("train")),
-        "comparison": EV.model_comparison(long, n_boot, params.seed, params.top_fraction),
+        "comparison": EV.model_comparison(long, params.n_boot, params.seed, params.top_fraction),
         "calibration": EV.quantile_calibration(long),
-        "importances": MD.feature_importances(gbt, MD.feature_names(False)),
+        "importances": MD.feature_importances(orders.sparkSession, gbm),
         "targeting": targeting, "breakeven": EV.breakeven_table(targeting), "channels": EV.channel_grid(targeting),
-        "strategies": EV.compare_strategies(long.where(F.col("model").isin("Tweedie GLM", "Historical-spend sort")),
-                                            params.top_fraction, 500, params.seed),
+        "strategies": EV.compare_strategies(long.where(F.col("model").isin(*EV.STRATEGIES)), params.top_fraction,
+                                            params.n_boot_strategies, params.seed),
     }

@@ -15,7 +15,7 @@ def load_table(spark: SparkSession, spec: TableSpec, root: str, fmt: str = "csv"
     path = f"{root.rstrip('/')}/{spec.filename}"
     if fmt == "csv":
         return (spark.read.schema(spec.schema)
-                .option("header", True).option("multiLine", True)
+                .option("header", True).option("multiLine", spec.line_breaks)
                 .option("quote", '"').option("escape", '"')
                 .option("mode", "FAILFAST")
                 .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")

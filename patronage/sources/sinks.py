@@ -3,6 +3,8 @@ model bundle (SNK1-SNK4)."""
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +20,9 @@ CLV_COLS = (CUSTOMER_KEY, "actual_90d_spend", "pred_gbm", "pred_bgnbd", "pred_bg
             "frequency", "monetary", "tenure", "aov", "customer_state", "top_category")
 
 
+KEYS = ("order_id", CUSTOMER_KEY)
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -25,42 +30,64 @@ def _fs(spark: SparkSession, path: str):
 
 
 def write_mart(df: DataFrame, path: str, partition_by: str | None = "order_month",
-               sort_within: list[str] | None = None) -> None:
-    """SNK1: overwrite a parquet mart, partitioned (prunable) and sorted within files."""
-    out = df.sortWithinPartitions(*sort_within) if sort_within else df
-    w = out.write.mode("overwrite")
+               sort_within: list[str] | None = None, spread: int = 4) -> None:
+    """SNK1: overwrite a parquet mart, partitioned (prunable) and sorted within files.
+
+    Rows of a partition go to ``spread`` tasks at most (a large month is not one
+    task's), and the sort begins with the partition column, so the writer keeps
+    its order and each task writes one file a partition."""
+    sort = [c for c in sort_within or [] if c in df.columns]
+    out = df
     if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
+        salt = F.pmod(F.xxhash64(*(sort or df.columns)), F.lit(spread))
+        out = df.repartition(F.col(partition_by), salt)
+        sort = [partition_by, *sort]
+    if sort:
+        out = out.sortWithinPartitions(*sort)
+    w = out.write.mode("overwrite")
+    (w.partitionBy(partition_by) if partition_by else w).parquet(path)
+
+
+MARK = "_PUBLISHED"
 
 
 def publish_if_clean(spark: SparkSession, marts: dict[str, DataFrame], report: DataFrame, root: str) -> bool:
-    """Write marts to ``root/_staging/<name>``; move them to ``root/<name>`` only
-    when the quality report has no FAIL (the reference wrote them regardless)."""
-    staging = f"{root.rstrip('/')}/_staging"
+    """Write marts to a new version folder under ``root``; a marker file publishes
+    it, only when the quality report has no FAIL. Earlier versions stay as they
+    were until then, so readers never meet a half-written mart."""
+    version = f"{root.rstrip('/')}/v{time.time_ns():020d}"
     for name, df in marts.items():
         sort = [c for c in ("customer_unique_id", "order_purchase_timestamp") if c in df.columns]
-        write_mart(df, f"{staging}/{name}", "order_month" if "order_month" in df.columns else None, sort)
-    failed = report.where(F.col("status") == "FAIL").limit(1).count() > 0
-    if failed:
+        write_mart(df, f"{version}/{name}", "order_month" if "order_month" in df.columns else None, sort)
+    if report.where(F.col("status") == "FAIL").limit(1).count() > 0:
         return False
-    for name in marts:
-        fs, src = _fs(spark, f"{staging}/{name}")
-        _, dst = _fs(spark, f"{root.rstrip('/')}/{name}")
-        if fs.exists(dst):
-            fs.delete(dst, True)
-        fs.rename(src, dst)
+    fs, mark = _fs(spark, f"{version}/{MARK}")
+    fs.create(mark, False).close()
     return True
 
 
+def published(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A mart of the newest published version."""
+    fs, base = _fs(spark, root)
+    found = [str(s.getPath()) for s in fs.listStatus(base)]
+    marked = [v for v in found if fs.exists(_fs(spark, f"{v}/{MARK}")[1])]
+    if not marked:
+        raise FileNotFoundError(f"nothing is published under {root}")
+    return spark.read.parquet(f"{max(marked)}/{name}")
+
+
 def shrink(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """SNK2: fixed column list; doubles → float, longs → int (parquet dictionary
-    encoding handles the repeated strings the reference made categorical)."""
+    """SNK2: fixed column list; doubles → float, counts → int, keys as they are
+    (parquet dictionary encoding handles the repeated strings). A listed column
+    that the frame lacks is an error."""
+    if missing := [c for c in columns if c not in df.columns]:
+        raise ValueError(f"the export needs columns that are not there: {', '.join(missing)}")
     cols = []
     for c in columns:
-        if c not in df.columns:
-            continue
         t = df.schema[c].dataType
+        if c in KEYS:
+            cols.append(F.col(c))
+            continue
         if isinstance(t, T.DoubleType):
             cols.append(F.col(c).cast("float").alias(c))
         elif isinstance(t, T.LongType):

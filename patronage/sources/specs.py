@@ -19,6 +19,7 @@ class TableSpec:
     required: tuple[str, ...] = ()
     foreign_keys: tuple[tuple[str, str, str], ...] = ()   # (column, parent table, parent column)
     date_columns: tuple[str, ...] = ()
+    line_breaks: bool = False   # texts may hold them, so a file can't be split
 
 
 def _s(*fields: tuple[str, T.DataType]) -> T.StructType:
@@ -69,7 +70,7 @@ ORDER_REVIEWS = TableSpec(
        ("review_creation_date", TS), ("review_answer_timestamp", TS)),
     required=("review_id", "order_id", "review_score"),
     foreign_keys=(("order_id", "orders", "order_id"),),
-    date_columns=("review_creation_date", "review_answer_timestamp"))
+    date_columns=("review_creation_date", "review_answer_timestamp"), line_breaks=True)
 
 PRODUCTS = TableSpec(
     "products", "olist_products_dataset.csv",

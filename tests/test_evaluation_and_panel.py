@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from patronage.config import TESTDATA_PARAMS
 from patronage.operators import evaluate as EV
-from patronage.operators.models import gamma_gamma_validity
+from patronage.operators.models import mean_spend_status
 from patronage.operators.panel import build_panel, check_window_order
 
 from helpers import orders_frame
@@ -33,10 +33,8 @@ def test_top_k_floor_and_ties(spark):
 
 
 def test_validity_gate():
-    assert gamma_gamma_validity(None) == (False, "Gamma-Gamma not fitted")
-    assert gamma_gamma_validity(1.0)[0] is False
-    assert gamma_gamma_validity(0.5)[0] is False
-    assert gamma_gamma_validity(1.5)[0] is True
+    assert [mean_spend_status(q)[0] for q in (None, 0.5, 1.0, 1.5)] == [False, False, False, True]
+    assert "1.5000" in mean_spend_status(1.5)[1]
 
 
 def test_window_order_guard():

@@ -1,11 +1,12 @@
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from patronage.functions.special import hyp2f1, lgamma
+from patronage.functions.special import hyp2f1, lgamma, log_gamma
 from patronage.operators.models import bgnbd_loglik, bgnbd_loglik_np
-from patronage.plans.ranking import global_rank, poisson_weight, rank_bin
+from patronage.plans.ranking import global_rank, group_quantiles, poisson_weight, rank_bin
 from patronage.plans.sequence import lag_within
 
 
@@ -51,9 +52,18 @@ def test_special_functions(spark):
     df = spark.createDataFrame([(0.3,), (1.0,), (2.5,), (17.2,)], "z double")
     for r in df.select("z", lgamma(F.col("z")).alias("g")).collect():
         assert abs(r["g"] - math.lgamma(r["z"])) < 1e-9
-    z = 0.6
-    v = spark.range(1).select(hyp2f1(F.lit(1.0), F.lit(1.0), F.lit(2.0), F.lit(z))).first()[0]
-    assert abs(v - (-math.log(1 - z) / z)) < 1e-9
+        assert abs(float(log_gamma(r["z"])) - math.lgamma(r["z"])) < 1e-9
+    z = np.array([1e-6, 0.3, 0.6, 0.98, 0.995, 0.999, 0.9999])
+    assert np.allclose(hyp2f1(1.0, 1.0, 2.0, z), -np.log1p(-z) / z, rtol=1e-9, atol=0)
+    assert np.allclose(hyp2f1(2.5, 0.7, 0.7, z), (1 - z) ** -2.5, rtol=1e-9, atol=0)
+
+
+def test_ties_take_one_row_in_quantiles(spark):
+    rows = spark.range(40_000).select(F.lit("g").alias("g"), F.when(F.col("id") % 20 == 0, F.col("id"))
+                                      .otherwise(F.lit(0)).cast("double").alias("v"))
+    got = {r["p"]: r["quantile"] for r in group_quantiles(rows, "g", "v", [0.0, 0.5, 0.951, 0.99, 1.0]).collect()}
+    v = np.where(np.arange(40_000) % 20 == 0, np.arange(40_000), 0)
+    assert got == {p: float(np.quantile(v, p)) for p in got}
 
 
 def test_poisson_weights_moments(spark):

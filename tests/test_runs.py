@@ -17,6 +17,9 @@ def test_three_entry_points(spark):
     assert etl.report.count() == 31
     an = run_analytics(etl.transactions, etl.orders, TESTDATA_PARAMS)
     assert an["segment_summary"].count() == 10
-    tr = run_training(etl.orders, TESTDATA_PARAMS, n_boot=20)
+    few = TESTDATA_PARAMS.with_(n_boot=20, n_boot_strategies=20)
+    tr = run_training(etl.orders, few, max_rounds=10)
+    assert {r["strategy"] for r in tr["strategies"].collect()} >= {"Boosted trees, Tweedie", "Historical-spend sort"}
+    assert tr["export_scores"].count() == tr["scores"].count()
     assert tr["comparison"].count() == 5
     assert tr["channels"].count() == 5
