@@ -154,5 +154,7 @@ def quality(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows that are kept, with the columns they came with."""
-    return judge(docs).where("kept").select(*docs.columns)
+    """The rows that are kept, with the columns they came with (whatever their names)."""
+    rows = docs.select(F.struct("*").alias("__row"), "text", F.col("lang").cast("string").alias("lang"),
+                       F.col("source").cast("string").alias("source"))
+    return judge_counted(counts(rows).drop("text")).where("kept").select("__row.*")

@@ -73,7 +73,9 @@ def test_quality_of_nulls_and_empty_tables(spark):
     got = quality_rules.quality(docs).select("doc_id", "kept").collect()
     assert sorted(map(tuple, got), key=str) == sorted([(None, False), (1, True), (1, True), (2, True)], key=str)
     assert quality_rules.quality(docs.limit(0)).count() == 0
-    assert quality_rules.keep_good(docs.drop("kept").limit(0)).count() == 0
+    kept = quality_rules.keep_good(docs)
+    assert kept.columns == docs.columns and [r["kept"] for r in kept.collect()] == ["clash"] * 3
+    assert quality_rules.keep_good(docs.limit(0)).count() == 0
 
 
 # -------------------------------------------------------------- chat windows
