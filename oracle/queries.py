@@ -331,6 +331,15 @@ SELECT order_month, product_category, {rnd('sum(item_revenue)', 'revenue')}, cou
 FROM tx WHERE product_category IS NOT NULL AND order_month IS NOT NULL GROUP BY 1, 2""")
 
 
+@o("agg9_totals")
+def _agg9_totals():
+    return sql(f"""
+SELECT product_category, {rnd('sum(revenue)', 'revenue')}, sum(items)::BIGINT AS items, sum(orders)::BIGINT AS orders
+FROM (SELECT order_month, product_category, sum(item_revenue) AS revenue, count(*) AS items,
+             count(DISTINCT order_id) AS orders
+      FROM tx WHERE product_category IS NOT NULL AND order_month IS NOT NULL GROUP BY 1, 2) GROUP BY 1""")
+
+
 @o("agg30")
 def _agg30():
     return sql(f"""

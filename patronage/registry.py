@@ -190,6 +190,11 @@ def _agg9(ctx):
     return ME.category_monthly(ctx.transactions)
 
 
+@register("agg9_totals")
+def _agg9_totals(ctx):
+    return ME.category_totals(ME.category_monthly(ctx.transactions))
+
+
 @register("agg30")
 def _agg30(ctx):
     return ME.etl_summary(ctx.transactions, ctx.orders)
@@ -476,6 +481,13 @@ def _fil17(ctx):
         .select("customer_unique_id", "monetary", "frequency")
 
 
+@register("fil17_random")
+def _fil17_random(ctx):
+    """The seeded random draw of one customer."""
+    return SL.random_customer(RF.build_rfm(ctx.orders), ctx.params.seed) \
+        .select("customer_unique_id", "monetary", "frequency")
+
+
 # ---------------------------------------------------------------- dashboard
 def seg_scores(ctx):
     return DB.scores_with_segments(spend_scores(ctx), segmented(ctx))

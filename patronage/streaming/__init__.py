@@ -3,7 +3,5 @@
 The analytics this package rebuilds read whole files in batch; there is no
 watermark, window, stateful operator or late-data rule to reproduce. The
 nearest idea — masking post-purchase measures by their own event time — is a
-batch predicate (see ``patronage.operators.panel``). Every batch operator
-here is lazy and never collects, so each can run inside a Structured
-Streaming ``foreachBatch`` unchanged if a stream is ever added.
+batch predicate (see ``patronage.operators.panel``).
 """
