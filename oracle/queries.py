@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from oracle.ctes import ORIGINS as ORIGINS_, STATUSES, WEND1, WSTART, P, rnd, sql
 
 ORACLE: dict[str, str] = {}
@@ -478,16 +480,12 @@ def _fea1():
 
 @o("fea8")
 def _fea8():
-    cols = []
-    for f in ["split", "origin", "customer_unique_id"] + list(FEATURES) + ["target"]:
-        if f in ("top_category", "customer_state", "payment_type"):
-            cols.append(f"CASE WHEN {f} IN (SELECT {f} FROM panel WHERE split = 'train' AND {f} IS NOT NULL) "
-                        f"THEN {f} END AS {f}")
-        elif f in _DOUBLE_FEATS or f == "target":
-            cols.append(rnd(f, f))
-        else:
-            cols.append(f)
-    return sql(f"SELECT {', '.join(cols)} FROM panel")
+    cats = ("top_category", "customer_state", "payment_type")
+    cols = [f"l_{f}.v AS {f}" if f in cats else rnd(f, f) if f in _DOUBLE_FEATS or f == "target" else f
+            for f in ["split", "origin", "customer_unique_id"] + list(FEATURES) + ["target"]]
+    levels = " ".join(f"LEFT JOIN (SELECT DISTINCT {f} AS v FROM panel WHERE split = 'train') l_{f} ON l_{f}.v = panel.{f}"
+                      for f in cats)
+    return sql(f"SELECT {', '.join(cols)} FROM panel {levels}").replace("panel AS (", "panel AS MATERIALIZED (", 1)
 
 
 @o("fea10")
@@ -602,6 +600,114 @@ FROM (SELECT *, row_number() OVER (ORDER BY p DESC, key) AS rk, greatest(floor(c
       FROM {SCORES}) GROUP BY model"""
 
 
+# Poisson(1) weights of the bootstrap: integers modulo 2^31 - 1, as in the library.
+_M = 2147483647
+_LIMITS = [math.floor(_M * math.exp(-1) * sum(
+    1 / math.factorial(j) for j in range(k + 1))) for k in range(12)]
+
+
+def _weighted(rows: str, n_boot: int) -> str:
+    """``rows`` (with key) once for each replicate: replicate, w."""
+    def fifth(x, cols):
+        sq = f"SELECT *, {x} * {x} % {_M} AS s2 FROM {cols}"
+        return f"(SELECT * EXCLUDE ({x}, s2), (s2 * s2 % {_M}) * {x} % {_M} AS {x} FROM ({sq}))"
+    digest = "md5(CAST(key AS VARCHAR))"
+    base = f"""(SELECT r.*, b.replicate, CAST('0x' || substr({digest}, 8, 7) AS BIGINT) AS h2,
+  (CAST('0x' || substr({digest}, 1, 7) AS BIGINT) + CAST(b.replicate AS BIGINT) * 1000003) % {_M} AS x
+  FROM {rows} r CROSS JOIN (SELECT unnest(range(1, {n_boot + 1})) AS replicate) b)"""
+    once = fifth("x", base)
+    twice = fifth("x", f"(SELECT * EXCLUDE (x), (x + h2) % {_M} AS x FROM {once})")
+    w = " + ".join(f"CAST(x >= {t} AS INTEGER)" for t in _LIMITS)
+    return f"(SELECT * FROM (SELECT * EXCLUDE (x, h2), {w} AS w FROM {twice}) WHERE w > 0)"
+
+
+def _captures(n_boot: int) -> str:
+    return f"""(SELECT model, replicate, 100.0 * sum(greatest(least(w, k - upto), 0) * y) / greatest(any_value(wy), 1e-9) AS top_capture
+  FROM (SELECT *, greatest(floor(sw * CAST(0.1 AS DOUBLE)), 1) AS k FROM (
+    SELECT *, sum(w) OVER (PARTITION BY model, replicate) AS sw, sum(w * y) OVER (PARTITION BY model, replicate) AS wy,
+           coalesce(sum(w) OVER (PARTITION BY model, replicate ORDER BY p DESC, key
+                                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS upto
+    FROM {_weighted(SCORES, n_boot)}))
+  GROUP BY model, replicate HAVING count(*) FILTER (WHERE y > 0) > 0 AND count(*) FILTER (WHERE y <= 0) > 0)"""
+
+
+def _ends(v: str, alias: str) -> str:
+    return f"quantile_cont({v}, 0.025) AS {alias}_lo, quantile_cont({v}, 0.975) AS {alias}_hi"
+
+
+def _intervals(n_boot: int) -> str:
+    tie = "sum(w) OVER (PARTITION BY model, replicate, {v})"
+    below = "(sum(w) OVER (PARTITION BY model, replicate ORDER BY {v} RANGE UNBOUNDED PRECEDING) - " + tie + ")"
+    mid = "CAST(" + below + " AS DOUBLE) + (" + tie + " + 1) / 2.0"
+    return f"""(SELECT model, {_ends('auc', 'auc')}, {_ends('spearman', 'spearman')}, {_ends('top_capture', 'top_capture')}
+FROM (SELECT model, replicate, (sum(w * mp) FILTER (WHERE y > 0) - wpos * (wpos + 1) / 2.0) / (wpos * (sw - wpos)) AS auc,
+             (sum(w * mp * my) / sw - sum(w * mp) / sw * (sum(w * my) / sw))
+               / sqrt((sum(w * mp * mp) / sw - pow(sum(w * mp) / sw, 2)) * (sum(w * my * my) / sw - pow(sum(w * my) / sw, 2)))
+               AS spearman
+      FROM (SELECT *, {mid.format(v='p')} AS mp, {mid.format(v='y')} AS my,
+                   CAST(sum(w) OVER (PARTITION BY model, replicate) AS DOUBLE) AS sw,
+                   CAST(sum(CASE WHEN y > 0 THEN w ELSE 0 END) OVER (PARTITION BY model, replicate) AS DOUBLE) AS wpos
+            FROM {_weighted(SCORES, n_boot)})
+      WHERE wpos > 0 AND wpos < sw GROUP BY model, replicate, sw, wpos)
+JOIN {_captures(n_boot)} USING (model, replicate) GROUP BY model)"""
+
+
+def _verdict(lo: str, hi: str) -> str:
+    return f"CASE WHEN {lo} > 0.5 THEN 'yes' WHEN {hi} < 0.5 THEN 'WORSE' ELSE 'no' END"
+
+
+_ENDS = [f"{m}_{e}" for m in ("auc", "spearman", "top_capture") for e in ("lo", "hi")]
+
+
+@o("eva5", "eva6")
+def _eva5():
+    return sql(f"""
+SELECT model, {', '.join(rnd(c, c) for c in _ENDS)}, auc_lo > 0.5 AS auc_beats, auc_hi < 0.5 AS auc_loses,
+       {_verdict('auc_lo', 'auc_hi')} AS auc_verdict, {rnd('auc_hi - auc_lo', 'auc_width')}
+FROM {_intervals(P.n_boot)}""")
+
+
+@o("eva10_spend")
+def _eva10_spend():
+    point = ORACLE["eva1"]
+    head, tail = point.rsplit("\nSELECT model, count(*) AS n,", 1)
+    return f"""{head},
+point AS (SELECT model, count(*) AS n,{tail})
+SELECT model, mae, rmse, auc, {rnd('auc_lo', 'auc_lo')}, {rnd('auc_hi', 'auc_hi')}, spearman,
+       {', '.join(rnd(c, c) for c in _ENDS[2:])}, top_capture, top_lift, auc_lo > 0.5 AS beats_random,
+       {_verdict('auc_lo', 'auc_hi')} AS verdict_vs_random, n_positives, predicted_total, actual_total
+FROM point JOIN {_intervals(P.n_boot)} USING (model)"""
+
+
+@o("eva8")
+def _eva8():
+    binned = f"""(SELECT *, 'Q' || CAST(CAST(greatest(1, least(5, ceil((rk - 1) * 5.0 / greatest(n - 1, 1)))) AS INTEGER) AS VARCHAR) AS bin
+  FROM (SELECT *, row_number() OVER (ORDER BY p DESC, key) AS rk, count(*) OVER () AS n FROM {SCORES}))"""
+    ends = [(m, e) for m in ("actual", "return_rate") for e in ("lo", "hi")]
+    return sql(f"""
+SELECT model, bin, {', '.join(rnd(f'{m}_{e}', f'{m}_{e}') for m, e in ends)}
+FROM (SELECT model, bin, {_ends('m', 'actual')}, {_ends('rr', 'return_rate')}
+      FROM (SELECT model, bin, replicate, CAST(sum(w * y) AS DOUBLE) / sum(w) AS m,
+                   100.0 * sum(CASE WHEN y > 0 THEN w ELSE 0 END) / sum(w) AS rr
+            FROM {_weighted(binned, P.n_boot_bands)} GROUP BY model, bin, replicate)
+      GROUP BY model, bin)""")
+
+
+@o("roi4_spend")
+def _roi4_spend():
+    return sql(f"""
+SELECT t.model AS strategy, n_targeted AS customers_targeted, n_returners AS returners_reached,
+       {rnd('revenue_in_group', 'revenue_captured')}, {rnd('100.0 * revenue_in_group / greatest(revenue_total, 1e-9)', 'capture_pct')},
+       {rnd('capture_lo', 'capture_lo')}, {rnd('capture_hi', 'capture_hi')},
+       {rnd('100.0 * revenue_in_group / greatest(revenue_total, 1e-9) / (100.0 * 0.1)', 'lift')}
+FROM ({cte_top}) t JOIN (SELECT model, {_ends('top_capture', 'capture')} FROM {_captures(P.n_boot_strategies)} GROUP BY model) USING (model)
+UNION ALL
+SELECT 'Random targeting', CAST(floor(count(*) * 0.1) AS BIGINT), CAST(round(count(*) FILTER (WHERE y > 0) * 0.1) AS BIGINT),
+       {rnd('sum(y) * 0.1', 'revenue_captured')}, {rnd('10.0', 'capture_pct')}, CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE),
+       {rnd('1.0', 'lift')}
+FROM {SCORES}""")
+
+
 @o("roi1", "srt4")
 def _roi1():
     return sql(f"""

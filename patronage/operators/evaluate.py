@@ -3,7 +3,8 @@
 Input is a long score frame ``(model, key, y, p)``: every model is evaluated
 in the same grouped plan (the reference loops per model). Ranks come from
 the two-pass global rank; AUC is the Mann-Whitney statistic on mid-ranks;
-bootstrap CIs use hash-seeded Poisson(1) weights grouped by replicate.
+bootstrap CIs use hash-seeded Poisson(1) weights, all replicates summed in one
+pass over the sorted rows (``plans/replicates.py``).
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ from pyspark.sql.window import Window
 from patronage.functions.columns import safe_corr
 from patronage.config import BREAKEVEN_UPLIFTS, CHANNEL_COSTS, GRID_UPLIFTS, TOP_FRACTION
 from patronage.plans.joins import with_one_row
-from patronage.plans.ranking import global_rank, grouped_prefix, rank_bin, replicate_weights
+from patronage.plans.ranking import global_rank, grouped_prefix, rank_bin
+from patronage.plans.replicates import bootstrap, replicate_weights
 from patronage.session import materialize
 
 KEY = "key"
@@ -105,51 +107,9 @@ def bootstrap_metrics(scores: DataFrame, n_boot: int = 1000, seed: int = 0,
     """EVA5: per model and replicate, weighted AUC, Spearman and top capture.
 
     Replicates with one class only are dropped (as the reference skips them).
-    Everything is grouped by ``(model, replicate)``; no group is collected.
+    The rows are sorted once; all replicates are summed together.
     """
-    w = replicate_weights(scores, KEY, n_boot, seed)
-    part = ["model", "replicate"]
-    # AUC: weighted negatives strictly below + half the tied, per distinct score.
-    byp = w.groupBy(*part, "p").agg(
-        F.sum(F.when(F.col("y") > 0, F.col("w")).otherwise(0)).alias("wpos"),
-        F.sum(F.when(F.col("y") > 0, 0).otherwise(F.col("w"))).alias("wneg"),
-        F.sum("w").alias("wall"))
-    byp = grouped_prefix(byp, part, [F.col("p").asc()], {"__negb": "wneg", "__allb": "wall"})
-    auc = byp.groupBy(*part).agg(
-        F.sum(F.col("wpos") * (F.col("__negb") + F.col("wneg") / 2.0)).alias("__u"),
-        F.sum("wpos").alias("P"), F.sum("wneg").alias("N"))
-    auc = auc.where((F.col("P") > 0) & (F.col("N") > 0)) \
-        .select(*part, (F.col("__u") / (F.col("P") * F.col("N"))).alias("auc"))
-    # Mid-ranks under integer weights (multiplicities): below + (tie weight + 1) / 2.
-    mr_p = byp.select(*part, "p", (F.col("__allb") + (F.col("wall") + 1) / 2.0).alias("mr_p"))
-    byy = grouped_prefix(w.groupBy(*part, "y").agg(F.sum("w").alias("wall")), part, [F.col("y").asc()],
-                         {"__allb": "wall"})
-    mr_y = byy.select(*part, "y", (F.col("__allb") + (F.col("wall") + 1) / 2.0).alias("mr_y"))
-    wr = w.join(mr_p, [*part, "p"]).join(mr_y, [*part, "y"])
-    a, b, ww = F.col("mr_y"), F.col("mr_p"), F.col("w").cast("double")
-    mom = wr.groupBy(*part).agg(
-        F.sum(ww).alias("sw"), F.sum(ww * a).alias("sa"), F.sum(ww * b).alias("sb"),
-        F.sum(ww * a * a).alias("saa"), F.sum(ww * b * b).alias("sbb"), F.sum(ww * a * b).alias("sab"))
-    cov = F.col("sab") / F.col("sw") - (F.col("sa") / F.col("sw")) * (F.col("sb") / F.col("sw"))
-    va = F.col("saa") / F.col("sw") - F.pow(F.col("sa") / F.col("sw"), 2)
-    vb = F.col("sbb") / F.col("sw") - F.pow(F.col("sb") / F.col("sw"), 2)
-    spear = mom.select(*part, F.when((va > 0) & (vb > 0), cov / F.sqrt(va * vb)).alias("spearman"))
-    cap = weighted_top_capture(w, fraction)
-    return auc.join(spear, part, "left").join(cap, part, "left")
-
-
-def weighted_top_capture(w: DataFrame, fraction: float) -> DataFrame:
-    """Top-fraction capture per (model, replicate) under integer weights: take
-    rows by score desc (key asc) until cumulative weight reaches
-    ``max(floor(f·Σw), 1)``, splitting the boundary row's weight."""
-    part = ["model", "replicate"]
-    tot = w.groupBy(*part).agg(F.sum("w").alias("__sw"), F.sum(F.col("w") * F.col("y")).alias("__swy"))
-    ww = grouped_prefix(w.select(*part, KEY, "p", "y", "w"), part, [F.col("p").desc(), F.col(KEY).asc()],
-                        {"__before": "w"}).join(tot, part)
-    k = F.greatest(F.floor(F.col("__sw") * fraction), F.lit(1))
-    take = F.least(F.col("w"), F.greatest(k - F.col("__before"), F.lit(0)))
-    return ww.groupBy(*part).agg(
-        (F.lit(100.0) * F.sum(take * F.col("y")) / F.greatest(F.max("__swy"), F.lit(1e-9))).alias("top_capture"))
+    return bootstrap(scores, n_boot, seed, fraction)
 
 
 def percentile_ci(boot: DataFrame, metrics=("auc", "spearman", "top_capture")) -> DataFrame:
@@ -273,7 +233,7 @@ def compare_strategies(scores: DataFrame, fraction: float = TOP_FRACTION, n_boot
     """ROI4: captured revenue per strategy with a bootstrap CI, plus the
     closed-form random-targeting row."""
     pt = target_top(scores, fraction)
-    boot = weighted_top_capture(replicate_weights(scores, KEY, n_boot, seed), fraction)
+    boot = bootstrap(scores, n_boot, seed, fraction, ranks=False)
     ci = boot.groupBy("model").agg(F.percentile("top_capture", F.lit(0.025)).alias("capture_lo"),
                                    F.percentile("top_capture", F.lit(0.975)).alias("capture_hi"))
     s = pt.join(ci, "model", "left").select(

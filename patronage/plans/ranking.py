@@ -19,8 +19,6 @@ rank is deterministic and recomputation after a lost executor reproduces it.
 
 from __future__ import annotations
 
-import math
-
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -120,40 +118,3 @@ def rank_bin(rank: str | Column, n: str | Column, k: int) -> Column:
     num = (r - 1) * k
     den = F.greatest(m - 1, F.lit(1))
     return F.greatest(F.lit(1), F.least(F.lit(k), F.floor((num + den - 1) / den).cast("int")))
-
-
-# --- Poisson bootstrap weights --------------------------------------------
-
-def _poisson1_cdf(kmax: int = 15) -> list[float]:
-    """CDF of Poisson(1) at 0..kmax: e^-1 · Σ 1/j!."""
-    out, acc = [], 0.0
-    for k in range(kmax + 1):
-        acc += math.exp(-1.0) / math.factorial(k)
-        out.append(acc)
-    return out
-
-
-def uniform_hash(*cols: Column) -> Column:
-    """A deterministic uniform [0, 1) from the hash of ``cols`` (partitioning-independent)."""
-    h = F.xxhash64(*cols)
-    return F.pmod(h, F.lit(2 ** 53)).cast("double") / float(2 ** 53)
-
-
-def poisson_weight(*cols: Column) -> Column:
-    """Poisson(1) draw by inverse CDF of a hashed uniform (Chamandy et al. 2012).
-
-    Same weight for the same (key, replicate, seed) on any cluster layout."""
-    u = uniform_hash(*cols)
-    cdf = _poisson1_cdf()
-    expr = F.lit(len(cdf))
-    for k in reversed(range(len(cdf))):
-        expr = F.when(u < cdf[k], F.lit(k)).otherwise(expr)
-    return expr.cast("int")
-
-
-def replicate_weights(df: DataFrame, key: str, n_boot: int, seed: int) -> DataFrame:
-    """Explode B replicates per row with Poisson weights; zero weights (~37 %)
-    are dropped before anything shuffles."""
-    rep = df.withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(n_boot))))
-    rep = rep.withColumn("w", poisson_weight(F.col(key), F.col("replicate"), F.lit(seed)))
-    return rep.where(F.col("w") > 0)

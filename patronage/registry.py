@@ -373,6 +373,18 @@ def _eva5(ctx):
     return ci.withColumns(EV.ci_verdicts("auc_lo", "auc_hi", 0.5, "auc"))
 
 
+@register("eva10_spend")
+def _eva10_spend(ctx):
+    """The comparison row of the historical-spend score alone."""
+    return EV.model_comparison(spend_scores(ctx), ctx.params.n_boot, ctx.params.seed, ctx.params.top_fraction)
+
+
+@register("roi4_spend")
+def _roi4_spend(ctx):
+    """The historical-spend strategy against random targeting."""
+    return EV.compare_strategies(spend_scores(ctx), ctx.params.top_fraction, ctx.params.n_boot_strategies, ctx.params.seed)
+
+
 @register("eva8")
 def _eva8(ctx):
     return EV.calibration_bands(spend_scores(ctx), 5, ctx.params.n_boot_bands, ctx.params.seed)

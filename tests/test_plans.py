@@ -1,12 +1,14 @@
 import random
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from patronage.functions.special import hyp2f1, lgamma, log_gamma
 from patronage.operators.models import bgnbd_loglik, bgnbd_loglik_np
-from patronage.plans.ranking import global_rank, group_quantiles, poisson_weight, rank_bin
+from patronage.plans.ranking import global_rank, group_quantiles, rank_bin
+from patronage.plans.replicates import bootstrap, draws, key_hashes, replicate_weights
 from patronage.plans.sequence import lag_within
 
 
@@ -66,10 +68,49 @@ def test_ties_take_one_row_in_quantiles(spark):
     assert got == {p: float(np.quantile(v, p)) for p in got}
 
 
-def test_poisson_weights_moments(spark):
-    w = spark.range(200_000).select(poisson_weight(F.col("id"), F.lit(3), F.lit(0)).alias("w"))
-    r = w.agg(F.avg("w").alias("m"), F.variance("w").alias("v"), F.avg((F.col("w") == 0).cast("double")).alias("z")).first()
-    assert abs(r["m"] - 1) < 0.01 and abs(r["v"] - 1) < 0.02 and abs(r["z"] - 0.3679) < 0.01
+def test_poisson_weights_moments():
+    rng = np.random.default_rng(1)
+    w = draws(rng.integers(0, 1 << 28, 2000), rng.integers(0, 1 << 28, 2000), 200, 0)
+    assert abs(w.mean() - 1) < 0.01 and abs(w.var() - 1) < 0.02 and abs((w == 0).mean() - 0.3679) < 0.01
+    rows = np.corrcoef(w[:, :50].T) - np.eye(50)
+    assert abs(rows).max() < 0.12   # replicates do not go together
+
+
+def test_weights_agree_between_numpy_and_catalyst(spark):
+    keys = spark.range(300).select(F.concat(F.lit("c"), "id").alias("key"))
+    got = {(r["key"], r["replicate"]): r["w"] for r in replicate_weights(keys, "key", 20, 5).collect()}
+    pdf = keys.withColumns(key_hashes("key")).toPandas()
+    w = draws(pdf["__h1"].to_numpy(), pdf["__h2"].to_numpy(), 20, 5)
+    assert got == {(k, b + 1): int(w[i, b]) for i, k in enumerate(pdf["key"]) for b in range(20) if w[i, b]}
+
+
+def test_bootstrap_against_brute_force(spark, monkeypatch):
+    """Ties that lie across chunks and ranges, negative targets, a score that most rows share."""
+    from patronage.plans import replicates
+    monkeypatch.setattr(replicates, "CELLS", 40)
+    rng = np.random.default_rng(3)
+    n, n_boot = 400, 8
+    y = np.where(rng.random(n) < 0.7, 0.0, rng.integers(-2, 6, n))
+    p = np.where(rng.random(n) < 0.6, 1.0, rng.integers(0, 30, n) / 2)
+    df = spark.createDataFrame([("m", f"k{i:04d}", float(y[i]), float(p[i])) for i in range(n)]
+                               + [("one class", f"k{i:04d}", 0.0, float(p[i])) for i in range(n)],
+                               "model string, key string, y double, p double").repartition(4)
+    got = {r["replicate"]: r for r in bootstrap(df, n_boot, 7, 0.1).collect()}
+    pdf = df.where("model = 'm'").withColumns(key_hashes("key")).toPandas().sort_values("key")
+    w = draws(pdf["__h1"].to_numpy(), pdf["__h2"].to_numpy(), n_boot, 7).astype(int)
+    assert sorted(got) == list(range(1, n_boot + 1))
+    for b in range(n_boot):
+        at = np.repeat(np.arange(n), w[:, b])
+        yy, pp = y[at], p[at]
+        up = pp[yy > 0][:, None] - pp[yy <= 0][None, :]
+        order = np.lexsort((at, -pp))
+        top = yy[order][:max(int(len(at) * 0.1), 1)].sum()
+        r = got[b + 1]
+        assert r["model"] == "m"
+        assert abs(r["auc"] - ((up > 0) + (up == 0) / 2).mean()) < 1e-9
+        assert abs(r["spearman"] - np.corrcoef(pd.Series(yy).rank(), pd.Series(pp).rank())[0, 1]) < 1e-9
+        assert abs(r["top_capture"] - 100 * top / max(yy.sum(), 1e-9)) < 1e-6
+    assert bootstrap(df.limit(0), n_boot, 7, 0.1).count() == 0
 
 
 def test_bgnbd_likelihood_catalyst_equals_numpy(spark):
