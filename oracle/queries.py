@@ -1151,3 +1151,14 @@ def _src3():
                 f"{rnd(f'100.0 * count(*) FILTER (WHERE {c} IS NULL) / nullif(count(*), 0)', 'null_pct')}, "
                 f"count(DISTINCT {c}) AS n_distinct, {dup} AS pk_duplicates FROM {src}")
     return sql("\nUNION ALL\n".join(parts))
+
+
+@o("snk1_analytics")
+def _snk1_analytics():
+    tables = {"kpis": "agg4", "monthly_trend": "agg5", "states": "agg8", "category_monthly": "agg9",
+              "repurchase_curve": "agg13", "segments": "rfm2", "segment_summary": "agg14", "thresholds": "agg12",
+              "frequency_impact": "agg15", "cohort_sizes": "agg17", "cohort_retention": "agg18",
+              "cohort_cumulative": "agg19", "cohort_revenue": "agg20", "cohort_summary": "agg21",
+              "export_orders": "snk2", "export_segments": "rfm2", "meta": "snk3", "categories": "agg7"}
+    return "\nUNION ALL\n".join(f"SELECT '{t}' AS table_name, (SELECT count(*) FROM ({ORACLE[q]})) AS n_rows"
+                                for t, q in tables.items())

@@ -601,6 +601,16 @@ def _snk1(ctx):
     return SK.published(ctx.spark, root, "orders")
 
 
+@register("snk1_analytics")
+def _snk1_analytics(ctx):
+    """Every table of the analytics run (segments, summaries, cohort matrices,
+    exports) written and published; returns their sizes, read back."""
+    from patronage.runs import run_analytics
+    tables = run_analytics(ctx.transactions, ctx.orders, ctx.params, scratch_path(ctx.spark, "analytics"))
+    return reduce_union([df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
+                         for name, df in tables.items()])
+
+
 @register("snk2")
 def _snk2(ctx):
     return SK.shrink(ctx.orders, SK.ORDER_COLS)

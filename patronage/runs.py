@@ -62,11 +62,13 @@ def run_etl(spark: SparkSession, raw: dict[str, DataFrame], params: Params, out_
     return EtlResult(clean, tx, orders, report, led.frame(), ME.etl_summary(tx, orders), published)
 
 
-def run_analytics(transactions: DataFrame, orders: DataFrame, params: Params) -> dict[str, DataFrame]:
+def run_analytics(transactions: DataFrame, orders: DataFrame, params: Params,
+                  out_root: str | None = None) -> dict[str, DataFrame]:
     """KPIs, repurchase curve, RFM (table, thresholds, segments, summary),
-    frequency-definition impact, cohort matrices and the dashboard exports."""
+    frequency-definition impact, cohort matrices and the dashboard exports;
+    written and published under ``out_root`` if that is given."""
     segmented, summary, th = RF.run_rfm(orders, params)
-    return {
+    tables = {
         "kpis": ME.headline_metrics(orders),
         "monthly_trend": ME.monthly_trend(orders),
         "categories": ME.category_breakdown(transactions),
@@ -86,11 +88,18 @@ def run_analytics(transactions: DataFrame, orders: DataFrame, params: Params) ->
         "export_segments": SK.shrink(segmented, SK.RFM_COLS),
         "meta": SK.meta_table(orders, th, RF.snapshot_date(orders)),
     }
+    if not out_root:
+        return tables
+    spark = orders.sparkSession
+    SK.publish(spark, tables, out_root)
+    return {name: SK.published(spark, out_root, name) for name in tables}
 
 
-def run_training(orders: DataFrame, params: Params, max_rounds: int = MAX_ROUNDS) -> dict:
+def run_training(orders: DataFrame, params: Params, max_rounds: int = MAX_ROUNDS, out_root: str | None = None) -> dict:
     """Leakage audit → panels → probabilistic and regression models →
-    evaluation with bootstrap CIs → calibration → ROI tables."""
+    evaluation with bootstrap CIs → calibration → ROI tables. The score table,
+    its slim export, the importances and the predictions of the probabilistic
+    model are published under ``out_root`` if that is given."""
     panel = materialize(PN.build_panel(orders, params))
     split = lambda s: panel.where(F.col("split") == s)
     audit = PN.leakage_audit(orders, panel, params)
@@ -105,7 +114,7 @@ def run_training(orders: DataFrame, params: Params, max_rounds: int = MAX_ROUNDS
     scores = materialize(aligned_scores(test.withColumnRenamed("target", "actual_90d_spend"), preds))
     long = EV.scores_long(scores, "customer_unique_id", "actual_90d_spend", EV.MODELS)
     targeting = EV.target_top(long.where(F.col("model") == EV.STRATEGIES[0]), params.top_fraction)
-    return {
+    out = {
         "panel": panel, "panel_description": PN.describe_panel(panel), "leakage_audit": audit,
         "probabilistic": prob, "rounds": {"tweedie": gbm.rounds, "squared": l2.rounds}, "scores": scores,
         "export_scores": SK.shrink(scores, SK.CLV_COLS),
@@ -117,3 +126,7 @@ def run_training(orders: DataFrame, params: Params, max_rounds: int = MAX_ROUNDS
         "strategies": EV.compare_strategies(long.where(F.col("model").isin(*EV.STRATEGIES)), params.top_fraction,
                                             params.n_boot_strategies, params.seed),
     }
+    if out_root:
+        written = {name: out[name] for name in ("scores", "export_scores", "importances")}
+        SK.publish(orders.sparkSession, {**written, "probabilistic": prob.predictions}, out_root)
+    return out

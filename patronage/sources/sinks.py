@@ -51,21 +51,28 @@ def write_mart(df: DataFrame, path: str, partition_by: str | None = "order_month
 MARK = "_PUBLISHED"
 
 
-def publish_if_clean(spark: SparkSession, marts: dict[str, DataFrame], report: DataFrame, root: str) -> bool:
-    """Write marts to a new version folder under ``root``; a marker file publishes
-    it, only when the quality report has no FAIL. Earlier versions stay as they
-    were until then, so readers never meet a half-written mart."""
+def publish(spark: SparkSession, tables: dict[str, DataFrame], root: str, report: DataFrame | None = None) -> bool:
+    """Write tables to a new version folder under ``root``; a marker file
+    publishes it, only when the quality report (if given) has no FAIL. Earlier
+    versions stay as they were until then, so readers never meet a half-written
+    table."""
     version = f"{root.rstrip('/')}/v{time.time_ns():020d}"
-    for name, df in marts.items():
+    for name, df in tables.items():
         sort = [c for c in ("customer_unique_id", "order_purchase_timestamp") if c in df.columns]
-        write_mart(df, f"{version}/{name}", "order_month" if "order_month" in df.columns else None, sort)
-    if report.where(F.col("status") == "FAIL").limit(1).count() > 0:
+        by_month = "order_month" in df.columns and "order_purchase_timestamp" in df.columns
+        write_mart(df, f"{version}/{name}", "order_month" if by_month else None, sort)
+    if report is not None and report.where(F.col("status") == "FAIL").limit(1).count() > 0:
         return False
     fs, mark = _fs(spark, f"{version}/{MARK}")
     fs.create(mark, False).close()
     return True
 
 
+def publish_if_clean(spark: SparkSession, marts: dict[str, DataFrame], report: DataFrame, root: str) -> bool:
+    """The marts, published unless the quality report has a FAIL."""
+    return publish(spark, marts, root, report)
+
+
 def published(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A mart of the newest published version."""
     fs, base = _fs(spark, root)

@@ -15,7 +15,7 @@ def test_three_entry_points(spark):
     etl = run_etl(spark, canonical_tables(spark, SF), TESTDATA_PARAMS, scratch_path(spark, "runs-test"))
     assert etl.published is True
     assert etl.report.count() == 31
-    an = run_analytics(etl.transactions, etl.orders, TESTDATA_PARAMS)
+    an = run_analytics(etl.transactions, etl.orders, TESTDATA_PARAMS, scratch_path(spark, "runs-analytics"))
     assert an["segment_summary"].count() == 10
     few = TESTDATA_PARAMS.with_(n_boot=20, n_boot_strategies=20)
     tr = run_training(etl.orders, few, max_rounds=10)
