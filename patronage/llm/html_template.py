@@ -12,8 +12,9 @@ left out by their element, role or class name.
 
 Vectors are not collected: a vector is known by its number of pages, number of
 occurrences and two sums of page hashes weighted by count, which add up over
-tasks, so the pages of a large host are counted where they lie. Pages are parsed
-twice and never shuffled; the templates are small, and Spark decides by their
+tasks, so the pages of a large host are counted where they lie. Pages of a host
+with equal html count as one, so that copies do not make a text template. Pages
+are parsed twice and never shuffled; the templates are small, and Spark decides by their
 written size whether every task gets them.
 """
 
@@ -34,6 +35,8 @@ from patronage.session import materialize
 
 #: Pages that a template needs; share of a host's pages that a class is on at least.
 PAGES, SHARE = 4, 0.5
+#: Inside an article, a block is template if a valid class has it on this share of the host's pages, and the host has so many.
+NEARLY, MANY = 0.9, 8
 #: Depth to which elements have places of their own.
 DEEP = 200
 
@@ -198,13 +201,17 @@ def host_of(url: Column) -> Column:
 
 
 def occurrences(pages: DataFrame) -> DataFrame:
-    """(host, kind, token, pages, n, u, v, at) from (page_id, host, url, html):
-    partial sums of each token's occurrence vector; for slots n counts words,
-    for ALL pages."""
+    """(host, copy, kind, token, pages, n, u, v, at) from (host, mark, again,
+    html): partial sums of each token's occurrence vector; for slots n counts
+    words, for ALL pages. Pages that stand ``again`` have rows of their own, by
+    their mark (copy), which are equal for equal pages."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sums: dict[tuple[str, int, int], list[int]] = {}
-            for key, host, url, source in zip(*[c.to_pylist() for c in b.columns], strict=True):
+            sums: dict[tuple[str, int | None, int, int], list[int]] = {}
+            for host, mark, again, source in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                copy = mark if again else None
+                if again and (host, copy, ALL, 0) in sums:
+                    continue
                 page = Page(source)
                 seen: dict[tuple[int, int], list[int]] = {(ALL, 0): [1, 0]}
                 for kind, tokens in ((TAGS, page.tags), (BLOCKS, [(x.token, x.at) for x in page.blocks])):
@@ -216,10 +223,9 @@ def occurrences(pages: DataFrame) -> DataFrame:
                 for x in page.blocks:
                     s = seen.setdefault((SLOTS, number("slot" + (x.article or x.holder))), [0, x.at])
                     s[0] += x.text.count(" ") + 1
-                mark = number(f"{key}\n{url}")
                 for (kind, t), (n, at) in seen.items():
                     mixed = (mark ^ (n * 0x9E3779B97F4A7C15)) * 0xBF58476D1CE4E5B9
-                    s = sums.setdefault((host, kind, t), [0, 0, 0, 0, 0])
+                    s = sums.setdefault((host, copy, kind, t), [0, 0, 0, 0, 0])
                     s[0] += 1
                     s[1] += n
                     s[2] += mixed >> 33 & 0x7FFFFFFF
@@ -228,31 +234,42 @@ def occurrences(pages: DataFrame) -> DataFrame:
             keys = list(sums)
             cols = list(zip(*sums.values(), strict=True)) or [()] * 5
             yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()),
-                 pa.array([k[2] for k in keys], pa.int64()), *[pa.array(c, pa.int64()) for c in cols]],
-                names=["host", "kind", "token", "pages", "n", "u", "v", "at"])
-    return pages.mapInArrow(run, "host string, kind int, token long, pages long, n long, u long, v long, at long")
+                [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int64()),
+                 pa.array([k[2] for k in keys], pa.int32()), pa.array([k[3] for k in keys], pa.int64()),
+                 *[pa.array(c, pa.int64()) for c in cols]],
+                names=["host", "copy", "kind", "token", "pages", "n", "u", "v", "at"])
+    return pages.mapInArrow(
+        run, "host string, copy long, kind int, token long, pages long, n long, u long, v long, at long")
 
 
 def templates(pages: DataFrame) -> DataFrame:
     """One row for each host with enough pages: root (tokens in order), classes
-    (the other classes' tokens in order) and slot (the richest slot's number).
+    (the other classes' tokens in order), firm (blocks on nearly all of many
+    pages) and slot (the richest slot's number), from (host, html).
 
     A class is on at least ``SHARE`` of the host's pages, so there are at most
     1 / SHARE times as many tokens as a page has: rows are bounded.
     """
-    sums = occurrences(pages).groupBy("host", "kind", "token").agg(*[F.sum(c).alias(c) for c in ("pages", "n", "u", "v", "at")])
+    marked = pages.select("host", F.xxhash64("html").alias("mark"), "html")
+    copies = materialize(marked.groupBy("host", "mark").agg(F.count("*").alias("again")).where("again > 1"))
+    marked = marked.join(copies, ["host", "mark"], "left").select("host", "mark", F.col("again").isNotNull().alias("again"), "html")
+    each = ("pages", "n", "u", "v", "at")
+    sums = occurrences(marked).groupBy("host", "copy", "kind", "token").agg(
+        *[F.when(F.col("copy").isNull(), F.sum(c)).otherwise(F.max(c)).alias(c) for c in each])
+    sums = sums.groupBy("host", "kind", "token").agg(*[F.sum(c).alias(c) for c in each])
     sums = materialize(sums.where(f"kind != {BLOCKS} or pages > 1"))
     hosts = sums.where(f"kind = {ALL} and pages >= {PAGES}").select("host", F.col("pages").alias("every"))
     slots = sums.where(f"kind = {SLOTS}").groupBy("host").agg(F.max_by("token", F.struct("n", "token")).alias("slot"))
     often = sums.where(f"kind in ({TAGS}, {BLOCKS})").join(hosts, "host").where(F.col("pages") >= F.col("every") * SHARE)
+    firm = (F.col("kind") == BLOCKS) & (F.col("every") >= MANY) & (F.col("pages") >= F.col("every") * NEARLY)
     classes = often.groupBy("host", "every", "pages", "n", "u", "v").agg(
         F.transform(F.sort_array(F.collect_list(F.struct((F.col("at") / F.col("pages")).alias("at"), "token"))),
-                    lambda x: x["token"]).alias("tokens"))
+                    lambda x: x["token"]).alias("tokens"),
+        F.collect_list(F.when(firm, F.col("token"))).alias("firm"))
     root = (F.col("pages") == F.col("every")) & (F.col("n") == F.col("every"))
     made = classes.groupBy("host").agg(
         F.max(F.when(root, F.col("tokens"))).alias("root"),
-        F.collect_list(F.when(~root, F.col("tokens"))).alias("classes"))
+        F.collect_list(F.when(~root, F.col("tokens"))).alias("classes"), F.flatten(F.collect_list("firm")).alias("firm"))
     return materialize(made.join(slots, "host", "left"))
 
 
@@ -290,15 +307,17 @@ def slots_of(place: str) -> set[int]:
     return got
 
 
-def main_blocks(page: Page, root: list[int] | None, classes: list[list[int]] | None, slot: int | None) -> list[str]:
+def main_blocks(page: Page, root: list[int] | None, classes: list[list[int]] | None, firm: list[int] | None,
+                slot: int | None) -> list[str]:
     blocks = page.blocks
     if not blocks:
         return []
     template = covered(page, root or [], classes or []) if root or classes else set()
     own = [x for x in blocks if slot is not None and slot in slots_of(x.article or x.holder)]
     chosen = own or [x for x in blocks if x.article] or blocks
-    # Inside an article a passage may stand on many pages and still be text; so may a page that is there twice.
-    left = [x for x in chosen if x.article or x.at not in template]
+    # Inside an article a passage may stand on many pages and still be text, but not on nearly all of them.
+    fixed = set(firm or ())
+    left = [x for x in chosen if x.at not in template or x.article and x.token not in fixed]
     return [x.text for x in left or chosen]
 
 
@@ -314,15 +333,15 @@ def extract(pages: DataFrame) -> DataFrame:
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.col("html").cast("string").alias("html"))
     rows = rows.select("page_id", host_of(F.col("url")).alias("__host"), "url", "html")
-    made = templates(rows)
+    made = templates(rows.select(F.col("__host").alias("host"), "html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = ["\n\n".join(main_blocks(Page(s), *t))
-                     for s, *t in zip(*[b.column(c).to_pylist() for c in ("html", "root", "classes", "slot")], strict=True)]
+                     for s, *t in zip(*[b.column(c).to_pylist() for c in ("html", "root", "classes", "firm", "slot")], strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [b.column("page_id"), b.column("url"), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
     return rows.join(made, F.col("__host") == F.col("host"), "left") \
-        .select("page_id", "url", "html", "root", "classes", "slot") \
+        .select("page_id", "url", "html", "root", "classes", "firm", "slot") \
         .mapInArrow(run, "page_id long, url string, text string, n_chars long")

@@ -259,6 +259,25 @@ def test_template_tells_text_from_frame(spark):
                                       "Second " + " ".join([f"word{i}"] * 30), f"one{i}", f"two{i}"])
 
 
+def texts_of(spark, rows):
+    """Blocks by page id; the pages are of one host."""
+    rows = [(i, f"http://one.example/{i}", s) for i, s in rows]
+    out = html_template.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    return {r["page_id"]: r["text"].split("\n\n") for r in out.collect()}
+
+
+def test_template_text_inside_an_article_goes(spark):
+    def page(i):
+        told = "" if i == 3 else "<p>Read more in our app</p>"
+        twice = "<p>Said by half</p>" if i % 2 else ""
+        return f"<body><article><p>Please note the terms</p><h1>T{i}</h1>{twice}<p>a{i} b{i}</p>{told}</article></body>"
+    want = {i: [f"T{i}", *["Said by half"] * (i % 2), f"a{i} b{i}"] for i in range(20)}
+    assert texts_of(spark, [(i, page(i)) for i in range(20)]) == want
+    # copies count as one page: here three pages, which make no template
+    few = texts_of(spark, [(i, page(i % 3)) for i in range(30)])
+    assert all(x[0] == "Please note the terms" and x[-1] == "Read more in our app" for x in few.values())
+
+
 def test_classes_are_nested_or_ignored():
     page = html_template.Page("<body><div><i>a</i><p>x</p><p>y</p></div><section><p>z</p></section></body>")
     tags = [t for t, _ in page.tags]
