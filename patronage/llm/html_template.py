@@ -44,13 +44,20 @@ TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\
                  r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
 NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe template svg math object".split())
+RAW = frozenset("script style textarea title noscript iframe template svg annotation annotation-xml".split())
 RAW_END = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in RAW}
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)", re.I)
+HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=/]|$)", re.I)
+VALUE = re.compile(r"""=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)""")
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s "
-                   "samp small span strike strong sub sup time tt u var wbr".split())
+                   "samp small span strike strong sub sup time tt u var wbr object math mi mn mo ms mtext mrow mfrac msqrt mroot "
+                   "msub msup msubsup munder mover munderover mstyle mpadded menclose mtable mtr mtd semantics annotation annotation-xml".split())
 APART = frozenset("nav footer aside form script style noscript template iframe svg button select dialog head menu "
-                  "option optgroup fieldset canvas audio video object".split())
+                  "option optgroup fieldset canvas audio video".split())
+#: Elements that no name leaves out; elements whose id is a link target (sections: inside an article).
+FRAME = frozenset("html body main article".split())
+LINKED = frozenset("h1 h2 h3 h4 h5 h6 p".split())
+#: Class names that say what an element has, not what it is.
+HAS = re.compile(r"(?<!\S)(?:has|no|with|without|hide|show)[_-]\S*", re.I)
 #: Class names, ids and roles of what is not main text (fixed values).
 ASIDE = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|adsense|sponsor(?:ed)?|promo(?:tion)?|banner|cookies?|"
@@ -66,12 +73,14 @@ ENDS = {k: (frozenset(a.split()), frozenset(b)) for k, (a, b) in ENDS.items()}
 
 
 class Block(NamedTuple):
-    """A text block: token, the element that holds it, the article around it, and its order among tokens."""
+    """A text block: token, the element that holds it, the article around it, its order among tokens, and the element
+    around it that its name leaves out."""
     text: str
     token: int
     holder: str
     article: str
     at: int
+    aside: str = ""
 
 
 def number(said: str) -> int:
@@ -79,16 +88,22 @@ def number(said: str) -> int:
     return int.from_bytes(xxhash.xxh64_digest(said.encode("utf-8", "surrogatepass")), "big", signed=True)
 
 
+def hidden(rest: str) -> bool:
+    """Whether a tag has the attribute hidden (not in a value)."""
+    return bool(rest) and "hidden" in rest.lower() and bool(HIDDEN.search(VALUE.sub("=''", rest)))
+
+
 class Page:
     """The tokens of a page: ``tags`` (numbers of opened elements' places, in
-    order, with their order among all tokens) and ``blocks`` outside of what is
-    left out by name."""
+    order, with their order among all tokens), ``blocks`` outside of what is left
+    out by name, and ``aside`` the blocks that only a class, id or role leaves out."""
 
     def __init__(self, source: str | None):
         self.tags: list[tuple[int, int]] = []
         self.blocks: list[Block] = []
-        # (tag, place, left out, article's place)
-        stack: list[tuple[str, str, bool, str]] = [("", "", False, "")]
+        self.aside: list[Block] = []
+        # (tag, place, left out, article's place, place of what its name leaves out)
+        stack: list[tuple[str, str, bool, str, str]] = [("", "", False, "", "")]
         held: list[str] = []
         source = source or ""
         places = _PLACES
@@ -110,7 +125,8 @@ class Page:
                 place = stack[k][1]
                 holder = stack[k - 1][1] if k > 1 and stack[k][0] not in ("article", "main", "div", "section", "body") \
                     else place
-                self.blocks.append(Block(text, number(f"{place}\n{text}"), holder, stack[k][3], n))
+                (self.aside if stack[-1][4] else self.blocks).append(
+                    Block(text, number(f"{place}\n{text}"), holder, stack[k][3], n, stack[-1][4]))
                 n += 1
 
         m = TAG.search(source)
@@ -161,22 +177,31 @@ class Page:
                             if stack[k][0] not in INLINE:
                                 break
                 if tag not in VOID and not (rest.endswith("/") and tag in RAW):
-                    _, up, out, article = stack[-1]
+                    _, up, out, article, aside = stack[-1]
                     name = ""
                     if rest:
-                        found = [a or b or c for _, a, b, c in NAMED.findall(rest)]
+                        found = [(k, a or b or c) for k, a, b, c in NAMED.findall(rest)]
                         if found:
-                            name = " ".join(found)
-                    out = out or tag in APART or (tag == "header" and not article) \
-                        or bool(name and ASIDE.search(name)) or bool(rest and HIDDEN.search(rest))
+                            name = " ".join([x for _, x in found])
+                    out = out or tag in APART or (tag == "header" and not article) or hidden(rest)
+                    if tag == "main":
+                        aside = ""
+                    elif name and not aside and tag not in FRAME:
+                        said = name
+                        if tag in LINKED or tag == "section" and article:
+                            said = " ".join([x for k, x in found if k.lower() != "id"])
+                        if ASIDE.search(said) and ASIDE.search(HAS.sub(" ", said)):
+                            aside = "new"
                     if len(stack) > DEEP:  # elements nested deeper share a place
                         place = up
                     else:
                         place = f"{up}/{tag}.{name}" if name else f"{up}/{tag}"
+                    if aside == "new":
+                        aside = place
                     if not article and not out and (tag in ("article", "main") or name and tag not in ("html", "body", "p")
                                                     and tag not in INLINE and MAIN.search(name)):
                         article = place
-                    stack.append((tag, place, out, article))
+                    stack.append((tag, place, out, article, aside))
                     if tag not in INLINE:
                         token = places.get(place)
                         if token is None:

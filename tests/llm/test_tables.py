@@ -278,6 +278,20 @@ def test_template_text_inside_an_article_goes(spark):
     assert all(x[0] == "Please note the terms" and x[-1] == "Read more in our app" for x in few.values())
 
 
+def test_names_leave_out_frames_and_not_pages_or_passages():
+    def kept(source):
+        return [x.text for x in html_template.Page(source).blocks]
+    assert kept('<html class="menu"><body class="blog has-sidebar"><p>a</p></body></html>') == ["a"]
+    assert kept('<body><div class="wrap no-sidebar"><main class="search" id="search"><p>a</p></main></div></body>') == ["a"]
+    assert kept('<body><div id="sidebar-page"><main><p>a</p></main><p>b</p></div></body>') == ["a"]
+    assert kept('<article class="post widget"><section id="discussion"><h2 id="search">h</h2><p id="notice">p</p></section>'
+                '<div class="share">x</div><div id="comments">y</div><section class="related">z</section></article>') == ["h", "p"]
+    assert kept('<article><p title="a hidden cost">a</p><p hidden>b</p><p class="x" hidden="">c</p>'
+                "<p data-is=hidden aria-hidden='false'>d</p></article>") == ["a", "d"]
+    assert kept("<article><p>so <math><mi>x</mi><mo>+</mo><mn>1</mn><annotation>x+1</annotation></math> holds</p>"
+                "<object data=f.svg><p>a drawing</p></object></article>") == ["so x+1 holds", "a drawing"]
+
+
 def test_classes_are_nested_or_ignored():
     page = html_template.Page("<body><div><i>a</i><p>x</p><p>y</p></div><section><p>z</p></section></body>")
     tags = [t for t, _ in page.tags]
