@@ -5,10 +5,12 @@ its text blocks. Tokens of one host that occur equally often on every page have
 equal occurrence vectors; each vector's tokens form an equivalence class. The
 class that is on all pages once is the root of the template; a class is nested
 in it, on a page, if its tokens come in the template's order and fall in one gap
-between root tokens. What no valid class covers are slots. The richest slot of
-the host is its main text; on pages without it the page's own article element
-is. Menus, headers, footers, sidebars, notices, adverts, forms and comments are
-left out by their element, role or class name.
+between root tokens. What no valid class covers are slots. If most of a host's
+words in slots are in articles, the richest article is its main text, and on
+pages without it their own articles are; else all slots are, so that a title or
+introduction beside the longest part stays. Menus, headers, footers, sidebars, notices, adverts, forms and comments are
+left out by their element, role or class name, except a named element that
+holds nearly all words of the host's slots.
 
 Vectors are not collected: a vector is known by its number of pages, number of
 occurrences and two sums of page hashes weighted by count, which add up over
@@ -50,7 +52,8 @@ HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=/]|$)", re.I)
 VALUE = re.compile(r"""=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)""")
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s "
                    "samp small span strike strong sub sup time tt u var wbr object math mi mn mo ms mtext mrow mfrac msqrt mroot "
-                   "msub msup msubsup munder mover munderover mstyle mpadded menclose mtable mtr mtd semantics annotation annotation-xml".split())
+                   "msub msup msubsup munder mover munderover mstyle mpadded menclose mtable mtr mtd semantics "
+                   "annotation annotation-xml".split())
 APART = frozenset("nav footer aside form script style noscript template iframe svg button select dialog head menu "
                   "option optgroup fieldset canvas audio video".split())
 #: Elements that no name leaves out; elements whose id is a link target (sections: inside an article).
@@ -73,11 +76,10 @@ ENDS = {k: (frozenset(a.split()), frozenset(b)) for k, (a, b) in ENDS.items()}
 
 
 class Block(NamedTuple):
-    """A text block: token, the element that holds it, the article around it, its order among tokens, and the element
-    around it that its name leaves out."""
+    """A text block: token, the article around it, its order among tokens, and the innermost element around it that its
+    name leaves out."""
     text: str
     token: int
-    holder: str
     article: str
     at: int
     aside: str = ""
@@ -123,10 +125,8 @@ class Page:
                 while k > 0 and stack[k][0] in INLINE:
                     k -= 1
                 place = stack[k][1]
-                holder = stack[k - 1][1] if k > 1 and stack[k][0] not in ("article", "main", "div", "section", "body") \
-                    else place
                 (self.aside if stack[-1][4] else self.blocks).append(
-                    Block(text, number(f"{place}\n{text}"), holder, stack[k][3], n, stack[-1][4]))
+                    Block(text, number(f"{place}\n{text}"), stack[k][3], n, stack[-1][4]))
                 n += 1
 
         m = TAG.search(source)
@@ -186,7 +186,7 @@ class Page:
                     out = out or tag in APART or (tag == "header" and not article) or hidden(rest)
                     if tag == "main":
                         aside = ""
-                    elif name and not aside and tag not in FRAME:
+                    elif name and tag not in FRAME:
                         said = name
                         if tag in LINKED or tag == "section" and article:
                             said = " ".join([x for k, x in found if k.lower() != "id"])
@@ -216,8 +216,22 @@ class Page:
 
 
 _PLACES: dict[str, int] = {}
-_SLOTS: dict[str, set[int]] = {}
-TAGS, BLOCKS, SLOTS, ALL = 1, 2, 3, 0
+_SLOTS: dict[str, int] = {"": 0}
+#: Kinds of rows; the words of a block in articles or outside, and of one that a name leaves out, make the last two.
+ALL, TAGS, BLOCKS, SLOTS, ASIDES = 0, 1, 2, 3, 4
+#: A named element holds the host's slot if all that no name leaves out has less than this share of its words.
+REST = 0.1
+
+
+def slot_of(place: str) -> int:
+    """Number of a place that blocks lie in; 0 outside."""
+    got = _SLOTS.get(place)
+    if got is None:
+        if len(_SLOTS) > 20_000:
+            _SLOTS.clear()
+            _SLOTS[""] = 0
+        got = _SLOTS[place] = number("slot" + place)
+    return got
 
 
 def host_of(url: Column) -> Column:
@@ -226,9 +240,9 @@ def host_of(url: Column) -> Column:
 
 
 def occurrences(pages: DataFrame) -> DataFrame:
-    """(host, copy, kind, token, pages, n, u, v, at) from (host, mark, again,
-    html): partial sums of each token's occurrence vector; for slots n counts
-    words, for ALL pages. Pages that stand ``again`` have rows of their own, by
+    """(host, copy, kind, token, pages, n, u, v, at, words, slot) from (host,
+    mark, again, html): partial sums of each token's occurrence vector; blocks
+    have their words and slot; for slots n counts words, for ALL pages. Pages that stand ``again`` have rows of their own, by
     their mark (copy), which are equal for equal pages."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -238,54 +252,72 @@ def occurrences(pages: DataFrame) -> DataFrame:
                 if again and (host, copy, ALL, 0) in sums:
                     continue
                 page = Page(source)
-                seen: dict[tuple[int, int], list[int]] = {(ALL, 0): [1, 0]}
-                for kind, tokens in ((TAGS, page.tags), (BLOCKS, [(x.token, x.at) for x in page.blocks])):
-                    for t, at in tokens:
-                        if (s := seen.get((kind, t))) is None:
-                            seen[kind, t] = [1, at]
-                        else:
-                            s[0] += 1
-                for x in page.blocks:
-                    s = seen.setdefault((SLOTS, number("slot" + (x.article or x.holder))), [0, x.at])
-                    s[0] += x.text.count(" ") + 1
-                for (kind, t), (n, at) in seen.items():
+                seen: dict[tuple[int, int], list[int]] = {(ALL, 0): [1, 0, 0, 0]}
+                for t, at in page.tags:
+                    if (s := seen.get((TAGS, t))) is None:
+                        seen[TAGS, t] = [1, at, 0, 0]
+                    else:
+                        s[0] += 1
+                for x in (*page.blocks, *page.aside):
+                    n = x.text.count(" ") + 1
+                    kind, slot = (ASIDES, slot_of(x.aside)) if x.aside else (SLOTS, slot_of(x.article))
+                    s = seen.setdefault((BLOCKS, x.token), [0, x.at, 0, slot])
+                    s[0] += 1
+                    s[2] += n
+                    seen.setdefault((kind, slot), [0, x.at, 0, slot])[0] += n
+                for (kind, t), (n, at, w, slot) in seen.items():
                     mixed = (mark ^ (n * 0x9E3779B97F4A7C15)) * 0xBF58476D1CE4E5B9
-                    s = sums.setdefault((host, copy, kind, t), [0, 0, 0, 0, 0])
+                    s = sums.setdefault((host, copy, kind, t), [0, 0, 0, 0, 0, 0, slot])
                     s[0] += 1
                     s[1] += n
                     s[2] += mixed >> 33 & 0x7FFFFFFF
                     s[3] += mixed >> 2 & 0x7FFFFFFF
                     s[4] += at
+                    s[5] += w
             keys = list(sums)
-            cols = list(zip(*sums.values(), strict=True)) or [()] * 5
+            cols = list(zip(*sums.values(), strict=True)) or [()] * 7
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int64()),
                  pa.array([k[2] for k in keys], pa.int32()), pa.array([k[3] for k in keys], pa.int64()),
                  *[pa.array(c, pa.int64()) for c in cols]],
-                names=["host", "copy", "kind", "token", "pages", "n", "u", "v", "at"])
-    return pages.mapInArrow(
-        run, "host string, copy long, kind int, token long, pages long, n long, u long, v long, at long")
+                names=["host", "copy", "kind", "token", "pages", "n", "u", "v", "at", "words", "slot"])
+    return pages.mapInArrow(run, "host string, copy long, kind int, token long, pages long, n long, u long, v long, at long, "
+                                 "words long, slot long")
 
 
 def templates(pages: DataFrame) -> DataFrame:
     """One row for each host with enough pages: root (tokens in order), classes
     (the other classes' tokens in order), firm (blocks on nearly all of many
-    pages) and slot (the richest slot's number), from (host, html).
+    pages), slot (the richest article's number, or 0) and spare (the named
+    element that holds the slot, if one does), from (host, html).
 
     A class is on at least ``SHARE`` of the host's pages, so there are at most
     1 / SHARE times as many tokens as a page has: rows are bounded.
     """
     marked = pages.select("host", F.xxhash64("html").alias("mark"), "html")
     copies = materialize(marked.groupBy("host", "mark").agg(F.count("*").alias("again")).where("again > 1"))
-    marked = marked.join(copies, ["host", "mark"], "left").select("host", "mark", F.col("again").isNotNull().alias("again"), "html")
-    each = ("pages", "n", "u", "v", "at")
+    marked = marked.join(copies, ["host", "mark"], "left") \
+        .select("host", "mark", F.col("again").isNotNull().alias("again"), "html")
+    each = ("pages", "n", "u", "v", "at", "words")
     sums = occurrences(marked).groupBy("host", "copy", "kind", "token").agg(
-        *[F.when(F.col("copy").isNull(), F.sum(c)).otherwise(F.max(c)).alias(c) for c in each])
-    sums = sums.groupBy("host", "kind", "token").agg(*[F.sum(c).alias(c) for c in each])
+        *[F.when(F.col("copy").isNull(), F.sum(c)).otherwise(F.max(c)).alias(c) for c in each], F.max("slot").alias("slot"))
+    sums = sums.groupBy("host", "kind", "token").agg(*[F.sum(c).alias(c) for c in each], F.max("slot").alias("slot"))
     sums = materialize(sums.where(f"kind != {BLOCKS} or pages > 1"))
     hosts = sums.where(f"kind = {ALL} and pages >= {PAGES}").select("host", F.col("pages").alias("every"))
-    slots = sums.where(f"kind = {SLOTS}").groupBy("host").agg(F.max_by("token", F.struct("n", "token")).alias("slot"))
     often = sums.where(f"kind in ({TAGS}, {BLOCKS})").join(hosts, "host").where(F.col("pages") >= F.col("every") * SHARE)
+    # Words of slots: all words without those of blocks that the template may cover.
+    words = sums.where(f"kind in ({SLOTS}, {ASIDES})").select("host", "kind", "slot", F.col("n").alias("words")).union(
+        often.where(f"kind = {BLOCKS}").select("host", "kind", "slot", -F.col("words"))) \
+        .groupBy("host", "slot").agg(F.max("kind").alias("kind"), F.sum("words").alias("words"))
+    some = F.struct("words", "slot")
+    inside = (F.col("kind") == SLOTS) & (F.col("slot") != 0)
+    slots = words.groupBy("host").agg(
+        F.coalesce(F.sum(F.when((F.col("kind") == SLOTS) & ~inside, F.col("words"))), F.lit(0)).alias("out"),
+        F.coalesce(F.sum(F.when(inside, F.col("words"))), F.lit(0)).alias("in"),
+        F.max(F.when(inside, some)).alias("best"), F.max(F.when(F.col("kind") == ASIDES, some)).alias("aside"))
+    spare = F.when(F.expr(f"`in` + `out` < {REST} * aside.words"), F.col("aside.slot"))
+    slots = slots.select("host", spare.alias("spare"), F.when(
+        spare.isNull() & (F.col("in") >= F.col("out")), F.col("best.slot")).otherwise(0).alias("slot"))
     firm = (F.col("kind") == BLOCKS) & (F.col("every") >= MANY) & (F.col("pages") >= F.col("every") * NEARLY)
     classes = often.groupBy("host", "every", "pages", "n", "u", "v").agg(
         F.transform(F.sort_array(F.collect_list(F.struct((F.col("at") / F.col("pages")).alias("at"), "token"))),
@@ -301,7 +333,7 @@ def templates(pages: DataFrame) -> DataFrame:
 def covered(page: Page, root: list[int], classes: list[list[int]]) -> set[int]:
     """Orders of the page's tokens that valid classes of the template cover."""
     where: dict[int, list[int]] = {}
-    for t, at in [*page.tags, *((x.token, x.at) for x in page.blocks)]:
+    for t, at in [*page.tags, *((x.token, x.at) for x in (*page.blocks, *page.aside))]:
         where.setdefault(t, []).append(at)
     out: set[int] = set()
     borders = []
@@ -321,24 +353,15 @@ def covered(page: Page, root: list[int], classes: list[list[int]]) -> set[int]:
     return out
 
 
-def slots_of(place: str) -> set[int]:
-    """Numbers of an element's place and of all that it lies in."""
-    got = _SLOTS.get(place)
-    if got is None:
-        if len(_SLOTS) > 20_000:
-            _SLOTS.clear()
-        cuts = [k for k, c in enumerate(place) if c == "/" and k] + [len(place)]
-        got = _SLOTS[place] = {number("slot" + place[:k]) for k in cuts}
-    return got
-
-
 def main_blocks(page: Page, root: list[int] | None, classes: list[list[int]] | None, firm: list[int] | None,
-                slot: int | None) -> list[str]:
+                slot: int | None, spare: int | None = None) -> list[str]:
     blocks = page.blocks
+    if spare is not None:
+        blocks = sorted([*blocks, *(x for x in page.aside if slot_of(x.aside) == spare)], key=lambda x: x.at)
     if not blocks:
         return []
     template = covered(page, root or [], classes or []) if root or classes else set()
-    own = [x for x in blocks if slot is not None and slot in slots_of(x.article or x.holder)]
+    own = [x for x in blocks if slot is not None and slot in (0, slot_of(x.article))]
     chosen = own or [x for x in blocks if x.article] or blocks
     # Inside an article a passage may stand on many pages and still be text, but not on nearly all of them.
     fixed = set(firm or ())
@@ -362,11 +385,11 @@ def extract(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = ["\n\n".join(main_blocks(Page(s), *t))
-                     for s, *t in zip(*[b.column(c).to_pylist() for c in ("html", "root", "classes", "firm", "slot")], strict=True)]
+            said = [b.column(c).to_pylist() for c in ("html", "root", "classes", "firm", "slot", "spare")]
+            texts = ["\n\n".join(main_blocks(Page(s), *t)) for s, *t in zip(*said, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [b.column("page_id"), b.column("url"), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
     return rows.join(made, F.col("__host") == F.col("host"), "left") \
-        .select("page_id", "url", "html", "root", "classes", "firm", "slot") \
+        .select("page_id", "url", "html", "root", "classes", "firm", "slot", "spare") \
         .mapInArrow(run, "page_id long, url string, text string, n_chars long")

@@ -278,6 +278,22 @@ def test_template_text_inside_an_article_goes(spark):
     assert all(x[0] == "Please note the terms" and x[-1] == "Read more in our app" for x in few.values())
 
 
+def test_slots_beside_the_longest_one_stay(spark):
+    def text(i):
+        return " ".join(f"w{i}x{k}" for k in range(60))
+    nested = [(i, f"<body><div>All the same</div><div id=content><h1>T{i}</h1><p>in{i}</p><section><p>{text(i)}</p></section>"
+                  f"</div><div class=side><article><p>Tip {i}</p></article></div></body>") for i in range(10)]
+    assert texts_of(spark, nested) == {i: [f"T{i}", f"in{i}", text(i), f"Tip {i}"] for i in range(10)}
+    beside = [(i, f"<body><b>Site</b><div class=lead>in{i}</div><div class=body>{text(i)}</div></body>") for i in range(10)]
+    assert texts_of(spark, beside) == {i: [f"in{i}", text(i)] for i in range(10)}
+    # a frame's words do not make it the slot, and a name does not take the slot away
+    framed = [(i, f"<body><div>{text(0)}</div><article><p>Short {i}</p></article></body>") for i in range(10)]
+    assert texts_of(spark, framed) == {i: [f"Short {i}"] for i in range(10)}
+    named = [(i, f"<body><div>Site</div><div id=banner-page><h1>T{i}</h1><p>{text(i)}</p><div class=share>s{i}</div></div></body>")
+             for i in range(10)]
+    assert texts_of(spark, named) == {i: [f"T{i}", text(i)] for i in range(10)}
+
+
 def test_names_leave_out_frames_and_not_pages_or_passages():
     def kept(source):
         return [x.text for x in html_template.Page(source).blocks]
