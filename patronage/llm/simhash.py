@@ -51,15 +51,17 @@ def fingerprint(text: str | None, size: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
-    """(doc_id, fp) for each row; fp is the fingerprint's 64 bits as a long."""
+    """(doc_id, fp) for each row; fp is the fingerprint's 64 bits as a long. A column __digest (string) is kept."""
     batches_of(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.array([fingerprint(t, size) for t in b.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-        .mapInArrow(run, "doc_id long, fp long")
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64)), *b.columns[2:]],
+                                             names=["doc_id", "fp", *b.schema.names[2:]])
+    more = [c for c in docs.columns if c == "__digest"]
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more) \
+        .mapInArrow(run, ", ".join(["doc_id long", "fp long", *[f"{c} string" for c in more]]))
 
 
 def segments_for(n: int, tile: int = TILE) -> int:
@@ -152,6 +154,13 @@ def _ball(s: int, radius: int) -> Iterator[tuple[int, ...]]:
             yield (x, *rest)
 
 
+def rooted(known: DataFrame, radius: int, tile: int) -> DataFrame:
+    """The rows (fp, least), one for each fp, with the root of the fingerprint's component."""
+    met = materialize(components(links(known.select("fp"), radius, tile)))
+    return known.join(met, known["fp"] == met["node"], "left") \
+        .select("fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, radius: int = 3, size: int = 3, tile: int = TILE) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id for each document row.
 
@@ -164,10 +173,7 @@ def near_duplicates(docs: DataFrame, radius: int = 3, size: int = 3, tile: int =
     columns are not read.
     """
     rows = materialize(fingerprints(docs, size))
-    known = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    met = materialize(components(links(known.select("fp"), radius, tile)))
-    named = known.join(met, known["fp"] == met["node"], "left") \
-        .select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    named = rooted(materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least"))), radius, tile)
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = named.join(least, "root").select("fp", "component_id")
     return rows.join(classes, "fp").select(
@@ -175,9 +181,13 @@ def near_duplicates(docs: DataFrame, radius: int = 3, size: int = 3, tile: int =
 
 
 def keep_one(docs: DataFrame, radius: int = 3, size: int = 3, tile: int = TILE) -> DataFrame:
-    """The documents without near duplicates: of each component the row with
-    the least doc_id stays. doc_id names a document, null included: of rows that
-    repeat one, one stays."""
-    marks = near_duplicates(docs, radius, size, tile).where("doc_id <=> component_id") \
-        .select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(marks, docs["doc_id"].eqNullSafe(marks["__kept"]), "left_semi").dropDuplicates(["doc_id"])
+    """The documents without near duplicates: of each component one row stays,
+    the one with the least doc_id (null after all others) and, of rows that share
+    it, the least digest of all columns. Rows that are equal in all columns are
+    one row; a component of null doc_ids alone keeps a row too."""
+    marked = docs.withColumn("__digest", F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns]))))
+    rows = materialize(fingerprints(marked, size))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col("__digest").alias("digest")))
+    named = rooted(materialize(rows.groupBy("fp").agg(first.alias("least"))), radius, tile)
+    marks = named.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.digest").alias("__kept"))
+    return marked.join(marks, marked["__digest"] == marks["__kept"], "left_semi").dropDuplicates(["__digest"]).drop("__digest")
