@@ -6,8 +6,10 @@ so a common stretch of ``GRAM + WINDOW - 1`` words always shares a fingerprint.
 An inverted index from fingerprint to template and position gives candidates
 with an offset; each candidate place is then aligned with its template inside a
 band around that offset, which finds the matched words and their span despite
-changed, missing or added words. The index is as large as the templates, so
-every task holds it.
+changed, missing or added words; what lies before and behind a place is searched
+again. Of places that overlap, the one stays that has most words in common with
+its template beyond those that differ. The index is as large as the templates,
+so every task holds it.
 """
 
 from __future__ import annotations
@@ -28,22 +30,63 @@ COVER = 800
 
 #: Short notices as they are commonly written, by SPDX name (fixed values).
 TEMPLATES = {
+    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "AGPL-3.0-or-later": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+                         "Affero General Public License as published by the Free Software Foundation, either version 3 of "
+                         "the License, or (at your option) any later version.",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-notice": "you may not use this file except in compliance with the License. You may obtain a copy of the "
                          "License at http://www.apache.org/licenses/LICENSE-2.0",
+    "BSL-1.0": "Distributed under the Boost Software License, Version 1.0.",
     "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted "
                     "provided that the following conditions are met",
+    "CC-BY-3.0": "This work is licensed under a Creative Commons Attribution 3.0 Unported License.",
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "CC-BY-4.0-short": "Licensed under CC BY 4.0.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+    "CC-BY-NC-4.0-notice": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "CC-BY-NC-ND-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 "
+                       "International License.",
+    "CC-BY-NC-ND-4.0-short": "Licensed under CC BY-NC-ND 4.0.",
+    "CC-BY-NC-SA-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 "
+                       "International License.",
+    "CC-BY-NC-SA-4.0-short": "Licensed under CC BY-NC-SA 4.0.",
+    "CC-BY-ND-4.0": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "CC-BY-ND-4.0-short": "Licensed under CC BY-ND 4.0.",
+    "CC-BY-SA-3.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License.",
     "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC-BY-SA-4.0-short": "Licensed under CC BY-SA 4.0.",
+    "CC0-1.0": "This work is dedicated to the public domain under the Creative Commons CC0 1.0 Universal Public Domain "
+               "Dedication.",
+    "EPL-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+               "2.0",
+    "GFDL-1.3-or-later": "Permission is granted to copy, distribute and/or modify this document under the terms of the GNU "
+                         "Free Documentation License, Version 1.3 or any later version published by the Free Software "
+                         "Foundation",
+    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
+    "GPL-2.0-or-later": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                        "General Public License as published by the Free Software Foundation; either version 2 of the "
+                        "License, or (at your option) any later version.",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
     "GPL-3.0-or-later": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
                         "General Public License as published by the Free Software Foundation, either version 3 of the "
                         "License, or (at your option) any later version.",
+    "ISC-notice": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+                  "hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "LGPL-2.1": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "LGPL-2.1-or-later": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                         "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of "
+                         "the License, or (at your option) any later version.",
+    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "LGPL-3.0-or-later": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+                         "Lesser General Public License as published by the Free Software Foundation, either version 3 of "
+                         "the License, or (at your option) any later version.",
     "MIT": "Released under the MIT License.",
     "MIT-notice": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
                   "associated documentation files (the \"Software\"), to deal in the Software without restriction",
+    "MPL-1.1": "The contents of this file are subject to the Mozilla Public License Version 1.1",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 #: ASCII bytes that are no letter or digit part words.
 APART = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
@@ -106,40 +149,70 @@ class Index:
             last = -1
             for x in [*starts, None]:
                 if group and (x is None or x - group[0] > BAND):
-                    first = max(0, group[0] - BAND, last + 1)
-                    got = self.align(s, t, first, group[-1] + len(self.said[t]) + BAND)
-                    if got and got[3] >= COVER:
-                        found.append((self.names[t], *got))
-                        last = got[1]
+                    got = self.places_in(s, t, max(0, group[0] - BAND, last + 1), group[-1] + len(self.said[t]) + BAND)
+                    found += [(self.names[t], *g) for g in got]
+                    last = max([last, *(g[1] for g in got)])
                     group = []
                 if x is not None:
                     group.append(x)
-        return found
+        return self.best(found)
+
+    def best(self, found: list[tuple[str, int, int, int, int]]) -> list[tuple[str, int, int, int, int]]:
+        """The places without those that share half of the shorter one's words
+        with a better one: a word of the template or of the place that the other
+        has not takes off one of the matched words."""
+        def worth(g: tuple[str, int, int, int, int]) -> int:
+            size = len(self.said[self.names.index(g[0])])
+            return g[3] - (size - g[3]) - (g[2] - g[1] + 1 - g[3])
+        out: list[tuple[str, int, int, int, int]] = []
+        for g in sorted(found, key=lambda g: (-worth(g), -g[3], g)):
+            if not any(2 * (min(g[2], o[2]) - max(g[1], o[1]) + 1) >= min(g[2] - g[1], o[2] - o[1]) + 1 for o in out):
+                out.append(g)
+        return sorted(out, key=lambda g: (g[0], g[1]))
+
+    def places_in(self, s: np.ndarray, t: int, first: int, past: int) -> list[tuple[int, int, int, int]]:
+        """Places of a template that cover it well enough, within text words first to past."""
+        todo, out = [(first, min(past, len(s)))], []
+        while todo:
+            first, past = todo.pop()
+            there = np.isin(self.said[t], s[first:past]).sum() if past > first else 0  # at least as many as can match
+            if 1000 * there // len(self.said[t]) < COVER:
+                continue
+            got = self.align(s, t, first, past)
+            if got and got[3] >= COVER:
+                out.append(got)
+                todo += [(first, got[0]), (got[1] + 1, past)]
+        return out
 
     def align(self, s: np.ndarray, t: int, first: int, past: int) -> tuple[int, int, int, int] | None:
         """Most template words matched in order within text words first to past,
-        staying in a band of offsets; of equal alignments the shortest span."""
+        staying in a band of offsets; of equal alignments the shortest span, and
+        of these the last."""
         a, b = self.said[t].tolist(), s[first:past].tolist()
         width = len(b) - len(a)
-        # row[j]: (matches, -start, end) of the best alignment of a[:i] with b[:j]; start is of its first match.
-        row: list[tuple[int, int, int]] = [(0, 0, -1)] * (len(b) + 1)
+        # row[j]: (matches, start) of the best alignment of a[:i] with b[:j]; start is of its first match.
+        row: list[tuple[int, int]] = [(0, -1)] * (len(b) + 1)
+        top = (0, 0, 0)  # matches, start - end, start
         for i, w in enumerate(a):
             low, high = max(0, i - BAND), min(len(b), i + max(0, width) + BAND)
             new = list(row)
             for j in range(low, high):
                 best = max(new[j], row[j + 1])
                 if b[j] == w:
-                    m, start, _ = row[j]
-                    best = max(best, (m + 1, start if m else -j, j))
+                    m, start = row[j]
+                    start = start if m else j
+                    best = max(best, (m + 1, start))
+                    top = max(top, (m + 1, start - j, start))
                 new[j + 1] = best
             row = new
-        m, start, end = max(row)
-        return (first - start, first + end, m, 1000 * m // len(a)) if m else None
+        m, span, start = top
+        return (first + start, first + start - span, m, 1000 * m // len(a)) if m else None
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     """doc_id, license, first_word, last_word, n_matched, cover_permille: one row
-    for each place of a text that covers a template well enough.
+    for each place of a text that covers a template well enough, and better than
+    the other templates' places that it overlaps.
 
     Words are runs of ASCII letters and digits and other bytes, lower-cased.
     Null and empty texts match nothing; a null doc_id is kept; repeated rows

@@ -201,6 +201,27 @@ def test_every_exact_line_of_the_table_is_found(spark):
     assert want and want <= got
 
 
+def test_each_place_counts_once_with_its_shortest_span():
+    index = license_scan.Index(license_scan.TEMPLATES)
+    for name in ("MIT", "CC-BY-NC-4.0", "Apache-2.0"):
+        said = license_scan.TEMPLATES[name]
+        size = len(license_scan.words(said))
+        for n in (2, 3, 5):
+            assert index.scan(" ".join([said] * n)) == [(name, k * size, (k + 1) * size - 1, size, 1000) for k in range(n)]
+    assert index.scan("a licensed b Licensed under the Apache License, Version 2.0 c 0 d") == [("Apache-2.0", 3, 10, 8, 1000)]
+    assert index.scan("released x Released under the MIT License y license") == [("MIT", 2, 6, 5, 1000)]
+
+
+def test_near_relatives_are_told_apart():
+    index = license_scan.Index(license_scan.TEMPLATES)
+    for name, said in license_scan.TEMPLATES.items():
+        words = said.split()
+        for text in (said, " ".join([*words[:4], "indeed", *words[4:]]) if len(words) > 9 else said.upper()):
+            assert [x[0] for x in index.scan(f"so it is {text} and so on")] == [name]
+    both = license_scan.TEMPLATES["GPL-2.0"] + " " + license_scan.TEMPLATES["MIT"]
+    assert sorted(x[0] for x in index.scan(both)) == ["GPL-2.0", "MIT"]
+
+
 # ------------------------------------------------------------------ toxicity
 def test_machine_learns_what_only_a_pair_means():
     rng = random.Random(2)
