@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from patronage.llm import (
-    ann_mih, chat_windows, html_template, license_scan, mixing, piece_bpe, quality_rules, simhash, toxicity, warc_fixity)
+    ann_mih, chat_windows, html_template, license_scan, mixing, periodic_runs, piece_bpe, quality_rules, simhash, toxicity, warc_fixity)
 from patronage.llm import sql as S
 from patronage.llm.common import table
 
@@ -89,6 +89,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_digests(periodic_runs.with_planted_runs(table(spark, sf_dir, "documents")))
+
+
+ORACLE["op11_periodic_runs"] = S.RUNS
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)

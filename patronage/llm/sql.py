@@ -163,3 +163,42 @@ select file, offset_ as "offset", uri, length, sha256, case when page_id % 89 =
   case when page_id % 89 = 7 then 'missing' else 'changed' end as status
 from o where page_id % 97 = 13 or page_id % 89 = 7
 """
+
+#: The unsigned CRC-32 of an ASCII string s, bit by bit.
+CRC = ("xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split({s}, ''), lambda ch: ascii(ch)::bigint)), "
+       "lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda r, z: xor(r >> 1, 3988292384 * (r & 1)))), 4294967295)")
+
+#: Runs as islands of equal groups of six words at one distance.
+RUNS = rf"""
+with d as (
+  select row_number() over () rid, doc_id, coalesce(text, '') as text, {CRC.format(s="doc_id::varchar")} h from documents),
+said as (
+  select rid, h, list_filter(string_split_regex(text, '{WS}+'), lambda x: x != '') ws from d),
+planted as (
+  select *, len(ws) n, case when h % 10 = 0 and len(ws) > 0 then (h // 10) % len(ws) end a from said),
+w as (
+  select rid, i, case when a is null or i < a then ws[i + 1] else ws[a + (i - a) % p + 1] end word from (
+    select *, unnest(range(n)) i, 1 + (n - a) // (3 + (h // 10) % 8) p from planted)),
+six as (
+  select rid, i, hash(word, lead(word) over o, lead(word, 2) over o, lead(word, 3) over o, lead(word, 4) over o, lead(word, 5) over o) k,
+    lead(word, 5) over o is not null whole
+  from w window o as (partition by rid order by i)),
+pairs as (
+  select x.rid, x.i, x.i - y.i q from six x join six y on x.rid = y.rid and x.k = y.k and y.i < x.i where x.whole and y.whole),
+spans as (
+  select rid, q, min(i) - q s, max(i) - min(i) + 6 + q size
+  from (select rid, q, i, i - row_number() over (partition by rid, q order by i) island from pairs) group by rid, q, island),
+long as (select * from spans where size >= greatest(12, 2 * q)),
+runs as (
+  select * from long x where not exists (
+    select 1 from long y where y.rid = x.rid and y.q < x.q and y.s <= x.s and y.s + y.size >= x.s + x.size)),
+told as (
+  select rid, count(*) n_runs, sha256(string_agg(s || ',' || size || ',' || q || chr(10), '' order by s, q)) runs_sha256,
+    min(struct_pack(less := -size, s := s, q := q)) best from runs group by rid),
+kept as (
+  select rid, sha256(coalesce(string_agg(word, ' ' order by i), '')) collapsed_sha256 from w
+  where not exists (select 1 from runs r where r.rid = w.rid and i >= r.s + r.q and i < r.s + r.size) group by rid)
+select doc_id, coalesce(n_runs, 0) n_runs, best.s as start, -best.less as length, best.q period,
+  (1000 * -best.less) // best.q exponent_milli, coalesce(runs_sha256, sha256('')) runs_sha256, coalesce(collapsed_sha256, sha256('')) collapsed_sha256
+from d left join told using (rid) left join kept using (rid)
+"""
