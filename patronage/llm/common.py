@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from patronage.session import ship_package
@@ -23,3 +26,15 @@ def batches_of(spark: SparkSession, rows: int = 500) -> None:
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key, "10000")) > rows:
         spark.conf.set(key, str(rows))
+
+
+@contextmanager
+def rows_at_once(spark: SparkSession, rows: int) -> Iterator[None]:
+    """For what is written inside, Python workers get so many rows at once; then the setting is as before."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key, "10000")
+    spark.conf.set(key, str(min(rows, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from patronage.llm import (
-    ann_mih, chat_windows, html_template, license_scan, mixing, periodic_runs, piece_bpe, quality_rules, simhash, toxicity, warc_fixity)
+    ann_mih, chat_windows, embedding_tiles, html_template, license_scan, mixing, periodic_runs, piece_bpe, quality_rules, simhash,
+    toxicity, warc_fixity)
 from patronage.llm import sql as S
 from patronage.llm.common import table
 
@@ -97,6 +98,14 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["op11_periodic_runs"] = S.RUNS
 
 
+@query
+def op12_embedding_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_tiles.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op12_embedding_tiles"] = S.VECTORS
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)

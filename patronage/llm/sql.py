@@ -202,3 +202,24 @@ select doc_id, coalesce(n_runs, 0) n_runs, best.s as start, -best.less as length
   (1000 * -best.less) // best.q exponent_milli, coalesce(runs_sha256, sha256('')) runs_sha256, coalesce(collapsed_sha256, sha256('')) collapsed_sha256
 from d left join told using (rid) left join kept using (rid)
 """
+
+#: Links by comparing all pairs of a label, components by walking them.
+VECTORS = r"""
+with recursive v as (
+  select row_number() over () rid, vec_id, label, embedding::double[] e from embeddings),
+u as (
+  select rid, vec_id, label, list_transform(e, lambda x: x / sqrt(list_dot_product(e, e))) e from v
+  where label is not null and len(e) > 0 and len(list_filter(e, lambda x: coalesce(isfinite(x), false))) = len(e)
+    and len(list_filter(e, lambda x: x <> 0)) > 0),
+links as (
+  select a.rid a, b.rid b, b.vec_id from u a join u b on a.label = b.label and a.rid <> b.rid and len(a.e) = len(b.e)
+    and list_dot_product(a.e, b.e) >= 0.98),
+reach as (
+  select rid start, rid at from v union select start, b from reach join links on a = at),
+least as (
+  select start rid, min(vec_id) component_id from reach join v on v.rid = at group by start),
+direct as (
+  select a rid, count(*) n_links from links group by a)
+select vec_id, coalesce(n_links, 0)::bigint n_links, component_id, vec_id is not distinct from component_id kept
+from v join least using (rid) left join direct using (rid)
+"""
