@@ -270,7 +270,8 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98, id_col: str = "vec_
     roots = materialize(components(found.where("b is not null").select("a", "b")))
     rooted = classes.select("key", "n", "least").join(roots.withColumnRenamed("node", "key"), "key", "left") \
         .withColumn("root", F.coalesce("root", "key")).join(counts, "key", "left")
-    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    # Written, so that the join's exchange on a hot root can be split.
+    ids = materialize(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
     known = rooted.join(ids, "root").select(
         "key", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), "component_id")
     out = marked.join(known, "key", "left")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from patronage.llm import (
     ann_mih, chat_windows, embedding_tiles, html_template, license_scan, mixing, periodic_runs, piece_bpe, quality_rules, simhash,
-    toxicity, warc_fixity)
+    toxicity, turn_repair, warc_fixity)
 from patronage.llm import sql as S
 from patronage.llm.common import table
 
@@ -106,6 +106,14 @@ def op12_embedding_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["op12_embedding_tiles"] = S.VECTORS
 
 
+@query
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair_digests(table(spark, sf_dir, "conversations"))
+
+
+ORACLE["op13_turn_repair"] = S.REPAIR
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)

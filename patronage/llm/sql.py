@@ -215,11 +215,71 @@ links as (
   select a.rid a, b.rid b, b.vec_id from u a join u b on a.label = b.label and a.rid <> b.rid and len(a.e) = len(b.e)
     and list_dot_product(a.e, b.e) >= 0.98),
 reach as (
-  select rid start, rid at from v union select start, b from reach join links on a = at),
+  select rid first, rid other from v union select first, b from reach join links on a = other),
 least as (
-  select start rid, min(vec_id) component_id from reach join v on v.rid = at group by start),
+  select first rid, min(vec_id) component_id from reach join v on v.rid = other group by first),
 direct as (
   select a rid, count(*) n_links from links group by a)
 select vec_id, coalesce(n_links, 0)::bigint n_links, component_id, vec_id is not distinct from component_id kept
 from v join least using (rid) left join direct using (rid)
 """
+
+#: The states of every turn one after the other; best alternatives by (cost, audit).
+REPAIR = rf"""
+with recursive t as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    {CRC.format(s="(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '))")} % 20 h from conversations),
+hurt as (
+  select conv_id, turn, case h when 4 then 'user' else role end as role,
+    case h when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+    unnest(range(case h when 3 then 2 else 1 end)) from t where h <> 0),
+seen as (
+  select conv_id, turn, role, text, left(role, 1) head, not regexp_matches(text, '[^\x20\x09-\x0D]') blank,
+    not regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') broken,
+    row_number() over (partition by conv_id order by turn nulls first, role, text) i from hurt),
+told_before as (
+  select *, row_number() over (partition by conv_id, role, text order by i) > 1 again from seen),
+r as (
+  select *, not blank and again dup, not blank and not again and broken cut,
+    lead(head) over (partition by conv_id order by i) after from told_before),
+more(f, t, cost, say) as (
+  values (0, 0, 0, ''), (0, 2, 3, 'I'), (0, 3, 6, 'II'), (1, 1, 0, ''), (1, 2, 3, 'I'), (1, 3, 6, 'II'), (2, 2, 0, ''), (2, 3, 3, 'I'),
+    (3, 3, 0, ''), (3, 2, 3, 'I')),
+act(f, t, cost, say, need) as (
+  values (0, 0, 4, 'D', ''), (1, 1, 4, 'D', ''), (2, 2, 4, 'D', ''), (3, 3, 4, 'D', ''), (0, 1, 0, 'K', 's'), (0, 2, 0, 'K', 'u'),
+    (1, 2, 0, 'K', 'u'), (3, 2, 0, 'K', 'u'), (2, 3, 0, 'K', 'a'), (0, 2, 3, 'R', ''), (1, 2, 3, 'R', ''), (3, 2, 3, 'R', ''), (2, 3, 3, 'R', '')),
+way as (
+  select distinct conv_id, 0::bigint i, 0 s, struct_pack(c := 0, a := '') best from r
+  union all
+  select way.conv_id, r.i, act.t, min(struct_pack(
+    c := best.c + more.cost + act.cost + case when cut and act.say <> 'D' then 3 else 0 end, a := best.a || more.say || act.say))
+  from way join r on r.conv_id is not distinct from way.conv_id and r.i = way.i + 1 join more on more.f = s join act on act.f = more.t
+    and (act.say = 'D' or not blank and not dup and (act.say = 'R' or need = head))
+  group by way.conv_id, r.i, act.t),
+best as (
+  select way.conv_id, min(struct_pack(c := best.c + cost, a := best.a || say)) best from way join more on f = s and t in (0, 3)
+    join (select conv_id, max(i) i from r group by conv_id) n on n.conv_id is not distinct from way.conv_id and n.i = way.i
+  group by way.conv_id),
+say as (
+  select conv_id, j, letter, count(*) filter (letter <> 'I') over o i, count(*) filter (letter <> 'D') over o k from (
+    select conv_id, unnest(string_split(best.a, '')) letter, generate_subscripts(string_split(best.a, ''), 1) j from best where best.a <> '')
+  window o as (partition by conv_id order by j)),
+put as (
+  select say.conv_id, j, letter, k, r.role, r.text, r.head from say left join r
+    on letter <> 'I' and r.conv_id is not distinct from say.conv_id and r.i = say.i where letter <> 'D'),
+led as (
+  select conv_id, bool_or(k = 1 and letter = 'K' and head = 's') led from put group by conv_id),
+told as (
+  select put.conv_id, sha256(string_agg(case when letter = 'K' then role when (k - led::int) % 2 = 1 then 'user' else 'assistant' end
+    || ':' || coalesce(text, ''), chr(10) order by j)) sha from put join led on led.conv_id is not distinct from put.conv_id
+  group by put.conv_id),
+sums as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) gaps, count(*) filter (blank) blank,
+    count(*) filter (dup) duplicate, count(*) filter (cut) truncated,
+    count(*) filter (after is not null and head || after not in ('su', 'ua', 'au')) illegal from r group by conv_id)
+select c.conv_id, coalesce(gaps, 0)::bigint gaps, coalesce(blank, 0)::bigint blank, coalesce(duplicate, 0)::bigint duplicate,
+  coalesce(truncated, 0)::bigint truncated, coalesce(illegal, 0)::bigint illegal, coalesce(best.c, 0)::bigint cost,
+  coalesce(best.a, '') audit, coalesce(sha, sha256('')) repaired_sha256
+from (select distinct conv_id from conversations) c left join sums on sums.conv_id is not distinct from c.conv_id
+  left join best on best.conv_id is not distinct from c.conv_id left join told on told.conv_id is not distinct from c.conv_id
+"""
