@@ -63,6 +63,9 @@ TWEEDIE_POWER = 1.5
 LEARNING_RATE = 0.03
 MIN_LEAF = 200
 MAX_ROUNDS = 600
+MAX_LEAVES = 31
+LEAF_L2 = 1.0
+SAMPLED_SHARE = 0.8
 EARLY_STOPPING = 50
 BGNBD_PENALIZER = 0.01
 

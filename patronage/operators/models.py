@@ -4,28 +4,25 @@ Probabilistic models: the per-customer summary is compressed to
 ``(x, t_x, T) → weight`` by a distributed groupBy. An optimiser step is one job:
 each partition returns its weighted log-likelihood sums (numpy arrays) for a
 batch of candidate parameters, and only the sums of these reach the driver.
-Boosted models are Newton steps on the panel: a round fits one Spark ML tree to
-gradients over curvatures; the validation origin picks the number of rounds.
+Boosted models are in ``boosting``; the linear companion is Spark ML's GLM.
 """
 
 from __future__ import annotations
 
 import math
-import re
-from collections import Counter
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GeneralizedLinearRegression, RandomForestRegressor
+from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from patronage.config import (BGNBD_PENALIZER, CATEGORICAL_FEATURES, CUSTOMER_KEY, EARLY_STOPPING, LEARNING_RATE,
-                              MAX_ROUNDS, MIN_LEAF, TWEEDIE_POWER)
+from patronage.config import BGNBD_PENALIZER, CATEGORICAL_FEATURES, CUSTOMER_KEY, TWEEDIE_POWER
 from patronage.functions.columns import safe_corr
 from patronage.functions.special import hyp2f1, lgamma, log_gamma, rising_log_sum
+from patronage.operators.boosting import BoostedModel, Settings, boost
 from patronage.operators.panel import NUMERIC_FEATURES, lifetimes_summary, observed_aov
 from patronage.plans.joins import with_one_row
 from patronage.session import materialize, ship_package
@@ -316,8 +313,8 @@ def fit_probabilistic(orders: DataFrame, origin: str, horizon_days: int = 90,
 # ---------------------------------------------------------------------------
 
 def _prep(panel: DataFrame) -> DataFrame:
-    """Nulls become a missing indicator + a value (trees and GLMs reject nulls);
-    categoricals keep null as their own level via the indexer."""
+    """Nulls become a missing indicator + a value; categoricals keep null as
+    their own level via the indexer."""
     cols = {}
     for c in NUMERIC_FEATURES:
         cols[f"{c}__missing"] = F.col(c).isNull().cast("double")
@@ -325,26 +322,20 @@ def _prep(panel: DataFrame) -> DataFrame:
     return panel.withColumns(cols).fillna("__null__", subset=list(CATEGORICAL_FEATURES))
 
 
-def feature_pipeline(one_hot: bool) -> list:
-    """FEA8 in model form: levels learned on train (unseen → the 'keep' slot),
+def feature_pipeline() -> list:
+    """FEA8 for the GLM: levels learned on train (unseen → the 'keep' slot),
     medians imputed from train."""
     stages = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep") for c in CATEGORICAL_FEATURES]
     imputed = [f"{c}__imp" for c in NUMERIC_FEATURES]
     stages.append(Imputer(inputCols=list(NUMERIC_FEATURES), outputCols=imputed, strategy="median"))
-    cat_cols = [f"{c}__idx" for c in CATEGORICAL_FEATURES]
-    if one_hot:
-        stages.append(OneHotEncoder(inputCols=cat_cols, outputCols=[f"{c}__oh" for c in CATEGORICAL_FEATURES],
-                                    handleInvalid="keep"))
-        cat_cols = [f"{c}__oh" for c in CATEGORICAL_FEATURES]
+    cat_cols = [f"{c}__oh" for c in CATEGORICAL_FEATURES]
+    stages.append(OneHotEncoder(inputCols=[f"{c}__idx" for c in CATEGORICAL_FEATURES], outputCols=cat_cols,
+                                handleInvalid="keep"))
     miss = [f"{c}__missing" for c in NUMERIC_FEATURES]
     stages.append(VectorAssembler(inputCols=imputed + miss + cat_cols, outputCol="features", handleInvalid="keep"))
     return stages
 
 
-def feature_names(one_hot: bool) -> list[str]:
-    return [*NUMERIC_FEATURES, *[f"{c}_missing" for c in NUMERIC_FEATURES], *CATEGORICAL_FEATURES]
-
-
 @dataclass
 class ScaledModel:
     """A fitted pipeline whose label was divided by ``scale``; predictions are scaled back."""
@@ -368,138 +359,17 @@ def fit_tweedie_glm(train: DataFrame, power: float = TWEEDIE_POWER, reg: float =
     glm = GeneralizedLinearRegression(family="tweedie", variancePower=power, linkPower=0.0, labelCol="__y",
                                       featuresCol="scaled", predictionCol="prediction", maxIter=max_iter,
                                       regParam=reg)
-    stages = feature_pipeline(True) + [StandardScaler(inputCol="features", outputCol="scaled", withMean=False), glm]
+    stages = feature_pipeline() + [StandardScaler(inputCol="features", outputCol="scaled", withMean=False), glm]
     model = Pipeline(stages=stages).fit(_prep(train).withColumn("__y", F.col("target") / c))
     return ScaledModel(model, float(c))
 
 
-@dataclass
-class Preparation:
-    """Fitted indexers and imputer, and the assembler of the feature vector."""
-    index: object
-    assembler: VectorAssembler
-
-    @staticmethod
-    def fit(train: DataFrame) -> Preparation:
-        *stages, assembler = feature_pipeline(False)
-        return Preparation(Pipeline(stages=stages).fit(_prep(train)), assembler)
-
-    @property
-    def indexers(self) -> list[StringIndexerModel]:
-        return [s for s in self.index.stages if isinstance(s, StringIndexerModel)]
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        """Levels unknown to the train panel count as missing, or as the most
-        frequent level where train had none missing: a tree would send a level
-        without train rows to the side of the largest targets."""
-        x = self.index.transform(_prep(df))
-        for s in self.indexers:
-            c, known = s.getOutputCol(), list(s.labels)
-            instead = float(known.index("__null__")) if "__null__" in known else 0.0
-            meta = x.schema[c].metadata
-            x = x.withColumn(c, F.when(F.col(c) >= len(known), instead).otherwise(F.col(c))).withMetadata(c, meta)
-        return self.assembler.transform(x)
-
-
-@dataclass
-class BoostedModel:
-    """Prepared features, and the trees up to the best round as one Spark model."""
-    prep: Preparation
-    ensemble: GBTRegressionModel | None
-    start: float
-    rounds: int
-    log_link: bool
-    names: list[str]
-
-    def transform(self, df: DataFrame, out: str = "prediction") -> DataFrame:
-        x, score = self.prep.transform(df), F.lit(self.start)
-        if self.ensemble is not None:
-            x = self.ensemble.setPredictionCol("__sum").transform(x)
-            score = score + F.col("__sum")
-        return x.withColumn(out, F.exp(score) if self.log_link else score).drop("__sum")
-
-    def importances(self) -> list[tuple[str, float, int]]:
-        """(feature, gain, splits) of every feature."""
-        gain = self.ensemble.featureImportances.toArray().tolist() if self.ensemble is not None else []
-        splits = Counter(int(k) for t in (self.ensemble.trees if self.ensemble is not None else [])
-                         for k in re.findall(r"If \(feature (\d+)", t.toDebugString))
-        return [(n, float(gain[i]) if i < len(gain) else 0.0, splits[i]) for i, n in enumerate(self.names)]
-
-
-def _one_ensemble(spark, trees: list, weight: float) -> GBTRegressionModel:
-    """Trees of equal weight as one model, which scores a row in one pass."""
-    sc = spark.sparkContext
-    made = sc._jvm.org.apache.spark.ml.regression
-    of = sc._gateway.new_array(made.DecisionTreeRegressionModel, len(trees))
-    weights = sc._gateway.new_array(sc._jvm.double, len(trees))
-    for i, t in enumerate(trees):
-        of[i], weights[i] = t._java_obj, weight
-    return GBTRegressionModel(made.GBTRegressionModel(f"boosted-{len(trees)}", of, weights))
-
-
-def boost(train: DataFrame, valid: DataFrame | None, loss: str = "tweedie", power: float = TWEEDIE_POWER,
-          lr: float = LEARNING_RATE, max_rounds: int = MAX_ROUNDS, patience: int = EARLY_STOPPING, depth: int = 5,
-          min_leaf: int = MIN_LEAF, share: float = 0.8, seed: int = 42, every: int = 10) -> BoostedModel:
-    """MOD7 (``tweedie``) and MOD8 (``squared``): Newton-boosted regression trees.
-
-    With f the score so far (its exponential predicts under the Tweedie loss), a
-    round fits one tree to −g/h with weights h on a share of rows and features,
-    and adds ``lr`` times it to f. The deviance on the validation origin picks
-    the number of rounds; after ``patience`` rounds without a better one it
-    ends. The rounds' scores are written and the validation looked at every
-    ``every`` rounds. Splits hold as many bins as the largest category needs.
-    """
-    tweedie, p = loss == "tweedie", power
-    prep = Preparation.fit(train)
-    levels = [len(s.labels) + 1 for s in prep.indexers]
-
-    def made(df: DataFrame) -> DataFrame:
-        return materialize(prep.transform(df).select("features", F.col("target").cast("double").alias("y")))
-    tr = made(train)
-    mean = tr.agg(F.avg("y")).first()[0] or 0.0
-    start = math.log(max(mean, 1e-9)) if tweedie else float(mean)
-    tr = tr.withColumn("f", F.lit(start))
-    va = made(valid).withColumn("f", F.lit(start)) if valid is not None else None
-
-    def deviance(f: str) -> Column:
-        y = F.col("y")
-        if not tweedie:
-            return F.avg(F.pow(y - F.col(f), 2))
-        mu = F.exp(F.col(f))
-        return F.avg(2 * (F.when(y > 0, F.pow(y, 2 - p) / ((1 - p) * (2 - p))).otherwise(0.0)
-                          - y * F.pow(mu, 1 - p) / (1 - p) + F.pow(mu, 2 - p) / (2 - p)))
-    trees: list = []
-    best, best_dev = 0, va.agg(deviance("f")).first()[0] if va is not None else None
-    while len(trees) < max_rounds:
-        new = []
-        for k in range(len(trees), min(len(trees) + every, max_rounds)):
-            e1, e2 = F.exp((1 - p) * F.col("f")), F.exp((2 - p) * F.col("f"))
-            g = -F.col("y") * e1 + e2 if tweedie else F.col("f") - F.col("y")
-            h = -F.col("y") * (1 - p) * e1 + (2 - p) * e2 if tweedie else F.lit(1.0)
-            tree = RandomForestRegressor(
-                featuresCol="features", labelCol="__z", weightCol="__h", numTrees=1, bootstrap=False,
-                subsamplingRate=share, featureSubsetStrategy=str(share), maxDepth=depth, minInstancesPerNode=min_leaf,
-                maxBins=max([64, *levels]), seed=seed + k).fit(tr.withColumns({"__h": h, "__z": -g / h})).trees[0]
-            new.append(tree)
-            tr = tree.setPredictionCol("__t").transform(tr).withColumn("f", F.col("f") + lr * F.col("__t")).drop("__t")
-        tr = materialize(tr)
-        if va is not None:
-            at = va
-            for i, t in enumerate(new):
-                at = t.setPredictionCol("__t").transform(at) \
-                    .withColumn(f"f{i}", F.col("f" if i == 0 else f"f{i - 1}") + lr * F.col("__t")).drop("__t")
-            at = materialize(at)
-            devs = at.agg(*[deviance(f"f{i}").alias(f"d{i}") for i in range(len(new))]).first()
-            for i, d in enumerate(devs):
-                if d is not None and d < best_dev - 1e-12:
-                    best, best_dev = len(trees) + i + 1, d
-            va = at.select("features", "y", F.col(f"f{len(new) - 1}").alias("f"))
-        trees += new
-        if va is not None and len(trees) - best >= patience:
-            break
-    rounds = best if va is not None else len(trees)
-    ensemble = _one_ensemble(train.sparkSession, trees[:rounds], lr) if rounds else None
-    return BoostedModel(prep, ensemble, start, rounds, tweedie, feature_names(False))
+def fit_boosted(train: DataFrame, valid: DataFrame | None, **settings) -> dict[str, BoostedModel]:
+    """MOD7 (``tweedie``) and MOD8 (``squared``) on the panel, grown in the same passes."""
+    losses = ("tweedie", "squared")
+    made = boost(train, valid, [Settings(loss=x, **settings) for x in losses], list(NUMERIC_FEATURES),
+                 list(CATEGORICAL_FEATURES), [CUSTOMER_KEY, "origin"])
+    return dict(zip(losses, made, strict=True))
 
 
 def feature_importances(spark, model: BoostedModel) -> DataFrame:

@@ -641,7 +641,7 @@ def glm_model(ctx):
 
 
 def boosted(ctx, loss):
-    return ctx._get(f"boosted_{loss}", lambda: MD.boost(split(ctx, "train"), split(ctx, "valid"), loss))
+    return ctx._get("boosted", lambda: MD.fit_boosted(split(ctx, "train"), split(ctx, "valid")))[loss]
 
 
 @register("mod1", "mod3")
@@ -755,24 +755,19 @@ def _mod10(ctx):
 
 @register("snk4")
 def _snk4(ctx):
-    """Model bundle: the boosted model with its feature preparation, the
-    probabilistic parameters and diagnostics, round counts, category levels,
-    evaluation with intervals, calibration, targeting, break-even, channel and
-    strategy tables, leakage summary and importances, written under the shared
-    folder; returns the list of its tables with their sizes, read back."""
+    """Model bundle: the boosted models as tables (settings, features, nodes),
+    the probabilistic parameters and diagnostics, evaluation with intervals,
+    calibration, targeting, break-even, channel and strategy tables, leakage
+    summary and importances, written under the shared folder; returns for each of
+    its tables, read back, rows, columns and a digest that does not depend on
+    the order of rows."""
     root = scratch_path(ctx.spark, f"bundle-{uuid.uuid4().hex}")
     model, scores, prob = boosted(ctx, "tweedie"), all_scores(ctx), prob_fit(ctx)
-    model.prep.index.write().overwrite().save(f"{root}/preparation")
-    if model.ensemble is not None:
-        model.ensemble.write().overwrite().save(f"{root}/boosted")
     best = scores.where(F.col("model") == STRATEGIES[0])
     top = EV.target_top(best, ctx.params.top_fraction)
-    levels = [(s.getInputCol(), k, v) for s in model.prep.indexers for k, v in enumerate(s.labels)]
     tables = {
         "params": prob.params_frame(ctx.spark), "diagnostics": prob.diagnostics,
-        "rounds": ctx.spark.createDataFrame([(n, boosted(ctx, n).rounds) for n in ("tweedie", "squared")],
-                                            "loss string, rounds int"),
-        "levels": ctx.spark.createDataFrame(levels, "feature string, level int, value string"),
+        **{f"{n}_{t}": df for n in ("tweedie", "squared") for t, df in boosted(ctx, n).tables(ctx.spark).items()},
         "evaluation": EV.model_comparison(scores, ctx.params.n_boot, ctx.params.seed, ctx.params.top_fraction),
         "calibration": EV.quantile_calibration(scores), "targeting": top, "breakeven": EV.breakeven_table(top),
         "channels": EV.channel_grid(top),
@@ -783,8 +778,7 @@ def _snk4(ctx):
     }
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{root}/{name}")
-    return reduce_union([ctx.spark.read.parquet(f"{root}/{name}").agg(F.count(F.lit(1)).alias("n_rows"))
-                         .select(F.lit(name).alias("table_name"), "n_rows") for name in tables])
+    return reduce_union([SK.contents(ctx.spark.read.parquet(f"{root}/{name}"), name) for name in tables])
 
 
 @register("fea7")

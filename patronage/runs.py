@@ -105,7 +105,7 @@ def run_training(orders: DataFrame, params: Params, max_rounds: int = MAX_ROUNDS
     audit = PN.leakage_audit(orders, panel, params)
     prob = MD.fit_probabilistic(orders, params.test_origin, params.horizon_days)
     valid = split("valid") if params.valid_origin else None
-    gbm, l2 = (MD.boost(split("train"), valid, loss, max_rounds=max_rounds) for loss in ("tweedie", "squared"))
+    gbm, l2 = MD.fit_boosted(split("train"), valid, max_rounds=max_rounds).values()
     test = split("test")
     preds = (gbm.transform(test, "pred_gbm").select("customer_unique_id", "pred_gbm")
              .join(l2.transform(test, "pred_gbt_l2").select("customer_unique_id", "pred_gbt_l2"), "customer_unique_id", "full")

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -128,3 +128,18 @@ def meta_table(orders: DataFrame, thresholds: DataFrame, snapshot: DataFrame) ->
 def read_meta(meta: DataFrame) -> dict[str, str]:
     """SNK3 reader: the (tiny, fixed-size) meta table as a dict."""
     return {r["key"]: r["value"] for r in meta.collect()}
+
+
+def contents(df: DataFrame, name: str) -> DataFrame:
+    """(table_name, column_name, n_rows, n_values, checksum) of each column that
+    holds a value: what a written table contains, whatever the order of its rows.
+    The checksum adds numbers (also those written as text) and, for all else, the
+    first 32 bits of the text's MD5."""
+    def number(c: str) -> Column:
+        text = F.col(f"`{c}`").cast("string")
+        return F.coalesce(text.try_cast("double"), F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double"))
+    one = df.agg(F.count(F.lit(1)).alias("n_rows"), F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.count(F.col(f"`{c}`")).alias("n_values"), F.sum(number(c)).alias("checksum"))
+        for c in df.columns]).alias("cols"))
+    return one.select(F.lit(name).alias("table_name"), "n_rows", F.explode("cols").alias("c")) \
+        .where("c.n_values > 0").select("table_name", "c.column_name", "n_rows", "c.n_values", "c.checksum")

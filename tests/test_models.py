@@ -5,7 +5,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from patronage.operators import models as MD
-from patronage.operators.panel import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 
 
 def customers(n=6000, r=0.9, alpha=60.0, a=0.9, b=2.5, seed=1):
@@ -46,31 +45,3 @@ def test_expected_purchases_are_worked_out_once_for_equal_customers(spark):
     # small steps of time add up: the derivative of the mean at 0 is the current rate if alive
     tiny = MD.expected_counts(np.array([2.0]), np.array([20.0]), np.array([100.0]), params, 1e-4)[0]
     assert 0 < tiny < 1e-4 * (0.7 + 2) / 400
-
-
-def panel(spark, n, seed, levels=80):
-    rng = np.random.default_rng(seed)
-    rows = []
-    for _ in range(n):
-        k = int(rng.integers(levels))
-        x = rng.random()
-        mean = np.exp(1.5 * x + (k % 4) * 0.5)
-        rows.append((float(x), f"c{k}", float(rng.gamma(20, mean / 20)) if rng.random() < 0.9 else 0.0))
-    df = spark.createDataFrame(rows, "x double, c string, target double")
-    cols = {f: F.lit(1.0) for f in NUMERIC_FEATURES} | {f: F.lit("same") for f in CATEGORICAL_FEATURES}
-    return df.withColumns(cols | {NUMERIC_FEATURES[0]: F.col("x"), CATEGORICAL_FEATURES[0]: F.col("c")})
-
-
-@pytest.mark.parametrize("loss", ["tweedie", "squared"])
-def test_boosting_takes_many_levels_and_stops_at_the_best_round(spark, loss):
-    train, valid, test = panel(spark, 1500, 1), panel(spark, 500, 2), panel(spark, 500, 3, levels=90)  # unseen levels
-    m = MD.boost(train, valid, loss, lr=0.3, max_rounds=30, patience=10, min_leaf=20)
-    assert 0 < m.rounds <= 30
-    got = m.transform(test).select("prediction", "target", "c").toPandas()
-    assert np.isfinite(got["prediction"]).all() and (loss == "squared" or (got["prediction"] > 0).all())
-    got = got[got["c"].str[1:].astype(int) < 80]
-    assert np.corrcoef(got["prediction"], got["target"])[0, 1] > 0.4
-    assert ((got["prediction"] - got["target"]) ** 2).mean() < got["target"].var()
-    rows = MD.feature_importances(spark, m).collect()
-    assert {r["feature"] for r in rows[:2]} == {NUMERIC_FEATURES[0], CATEGORICAL_FEATURES[0]}
-    assert sum(r["splits"] for r in rows) > 0 and sum(r["gain_pct"] for r in rows) == pytest.approx(100)
