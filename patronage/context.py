@@ -1,8 +1,7 @@
 """Per-dataset build context: the canonical tables and marts as lazy plans.
 
-Plans are memoised per (session, data folder) so the registry's many entry
-points share one set of DataFrame objects (and one dimension size check).
-Nothing here is cached in memory unless a caller asks for it.
+Plans and written tables are memoised per (session, data folder), so the
+registry's many entry points share them. Nothing here is cached in memory.
 """
 
 from __future__ import annotations
@@ -12,8 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from patronage.config import TESTDATA_PARAMS, Params
-from patronage.operators.clean import (Ledger, clean_all, clean_customers, clean_order_items,
-                                       clean_order_payments, clean_order_reviews)
+from patronage.operators.clean import Ledger, clean_all
 from patronage.operators.marts import build_orders, build_transactions
 from patronage.session import materialize
 from patronage.sources.testdata import canonical_tables, purchase_events
@@ -35,55 +33,26 @@ class Context:
     def raw(self) -> dict[str, DataFrame]:
         return self._get("raw", lambda: canonical_tables(self.spark, self.sf_dir))
 
-    def _clean(self):
-        return self._get("clean", lambda: clean_all(self.raw, self.params, Ledger()))
+    def _marts(self):
+        """Clean tables and the order-line mart, each written once to the shared
+        checkpoint folder (the ETL → analytics boundary; all else reads them),
+        and the ledger of what the writes dropped."""
+        def build():
+            clean, ledger = clean_all(self.raw, self.params, Ledger())
+            return clean, build_transactions(clean, ledger), ledger
+        return self._get("marts", build)
 
     @property
     def clean(self) -> dict[str, DataFrame]:
-        return self._clean()[0]
-
-    @property
-    def ledger(self) -> Ledger:
-        return self.ledger_with_joins
-
-    def mart_inputs(self) -> dict[str, DataFrame]:
-        """Clean tables for the marts, with the order filter pushed into the children.
-
-        Every child's dedup key contains ``order_id`` (items, payments, reviews)
-        or ``customer_id`` (customers), so a left-semi join on the clean orders'
-        keys keeps or drops whole key groups: the kept rows are exactly those the
-        unfiltered cleaners would keep for surviving orders, but the dedup
-        shuffles only rows that can reach the marts. The ledger still audits the
-        full tables (``self.ledger``).
-        """
-        def build():
-            raw, cl = self.raw, self.clean
-            orders = cl["orders"]
-            ok = orders.select("order_id")
-            ck = orders.select("customer_id")
-            scratch = Ledger()
-            out = dict(cl)
-            out["order_items"] = clean_order_items(raw["order_items"].join(ok, "order_id", "left_semi"), scratch)
-            out["order_payments"] = clean_order_payments(raw["order_payments"].join(ok, "order_id", "left_semi"), scratch)
-            out["order_reviews"] = clean_order_reviews(raw["order_reviews"].join(ok, "order_id", "left_semi"), scratch)
-            out["customers"] = clean_customers(raw["customers"].join(ck, "customer_id", "left_semi"), scratch)
-            return out
-        return self._get("mart_inputs", build)
+        return self._marts()[0]
 
     @property
     def transactions(self) -> DataFrame:
-        """The order-line mart, written once to the shared checkpoint folder
-        (the ETL → analytics boundary; every downstream query reads it)."""
-        return self._get("tx", lambda: materialize(build_transactions(self.mart_inputs())))
+        return self._marts()[1]
 
     @property
-    def ledger_with_joins(self) -> Ledger:
-        """FIL12 over the full tables, including the two inner-join steps."""
-        def build():
-            led = self._clean()[1]
-            build_transactions(self.clean, led)   # adds the join rows (lazy counts)
-            return led
-        return self._get("ledger_joins", build)
+    def ledger(self) -> Ledger:
+        return self._marts()[2]
 
     @property
     def orders(self) -> DataFrame:

@@ -1,44 +1,55 @@
 """Cleaning with an audited row ledger (FIL1-FIL9, FIL12).
 
-Design: every table is reduced by at most one aggregation (exact duplicates
-and key duplicates collapse together: keep-first = ``min(struct(order...))``
-per key, which partially aggregates map-side, so a hot key never lands whole
-in one task), followed by row predicates. The ledger is computed from
-aggregates over the same frames — ``count``, ``count(distinct row)``,
-``count(distinct key)`` and cumulative ``count_if`` of the predicates — one
-small job per table instead of one job per step.
+Each table is read once and written once. Exact duplicates collapse with their
+multiplicity, then key duplicates (keep-first = ``min(struct(order...))`` per key,
+which partially aggregates map-side, so a hot key never lands whole in one task),
+then row predicates drop rows. The counts of all these steps, and of nulls left in
+required columns, are observed while the table is written: they ride on the
+stage that writes, whose tasks count once however often they are tried. Marts,
+ledger and checks read the written tables.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from patronage.config import Params
 from patronage.functions.columns import add_days, ntz
-from patronage.plans.joins import with_one_row
+from patronage.plans.joins import dimension_join
+from patronage.session import materialize
+from patronage.sources.specs import TABLES_BY_NAME
 
-LEDGER_COLUMNS = ("step_id", "table_name", "reason", "rows_before", "rows_after", "dropped", "pct")
+LEDGER_SCHEMA = "step_id int, table_name string, reason string, rows_before long, rows_after long"
 
 
 @dataclass
 class Ledger:
-    """Collects per-table ledger fragments (each a small DataFrame)."""
+    """Counts of the cleaning steps, and of nulls left in each clean table's required columns."""
 
-    parts: list[DataFrame] = field(default_factory=list)
+    rows: list[tuple[int, str, str, int, int]] = field(default_factory=list)
+    nulls: dict[str, dict[str, int]] = field(default_factory=dict)
 
-    def add(self, part: DataFrame) -> None:
-        self.parts.append(part)
+    def add(self, step_id: int, table: str, reason: str, before: int, after: int) -> None:
+        self.rows.append((step_id, table, reason, before, after))
+
+    def steps(self, base: int, table: str, counts: list[int], reasons: list[str], notes: int = 0) -> None:
+        """Steps from each count to the next; the last ``notes`` are values that
+        changed: their rows before are their rows after."""
+        for i, reason in enumerate(reasons):
+            note = i >= len(reasons) - notes
+            self.add(base + i, table, reason, counts[i + 1] if note else counts[i], counts[i + 1])
 
     def frame(self) -> DataFrame:
         """FIL12: ``(step_id, table, reason, before, after, dropped, pct)``; pct 0 on empty input."""
-        df = reduce(DataFrame.unionByName, self.parts)
+        df = SparkSession.active().createDataFrame(sorted(self.rows), LEDGER_SCHEMA)
         return df.select(
-            "step_id", "table_name", "reason", "rows_before", "rows_after",
-            (F.col("rows_before") - F.col("rows_after")).alias("dropped"),
+            "*", (F.col("rows_before") - F.col("rows_after")).alias("dropped"),
             F.when(F.col("rows_before") > 0,
                    F.lit(100.0) * (F.col("rows_before") - F.col("rows_after")) / F.col("rows_before"))
              .otherwise(F.lit(0.0)).alias("pct"),
@@ -59,98 +70,67 @@ def keep_first(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     return out.select(*key, *[F.col(f"__r._{i}").alias(c) for i, c in enumerate(order_rest)]).select(*df.columns)
 
 
-def _steps_ledger(step_base: int, table: str, counts: DataFrame,
-                  reasons: list[str], kinds: list[str]) -> DataFrame:
-    """Turn a one-row frame of cumulative counts c0..cn into ledger rows.
+def _holds(p: Column) -> Column:
+    return F.coalesce(p, F.lit(False))
 
-    ``kinds[i] == 'drop'``: step i goes from c_i to c_{i+1};
-    ``'note'``: a value change, before = after = c_{i+1}.
-    """
-    rows = []
-    prev = "c0"
-    for i, (reason, kind) in enumerate(zip(reasons, kinds)):
-        cur = f"c{i + 1}"
-        before = F.col(cur) if kind == "note" else F.col(prev)
-        rows.append(F.struct(F.lit(step_base + i).alias("step_id"), F.lit(reason).alias("reason"),
-                             before.cast("long").alias("rows_before"),
-                             F.col(cur).cast("long").alias("rows_after")))
-        if kind != "note":
-            prev = cur
-    return counts.select(F.lit(table).alias("table_name"), F.explode(F.array(*rows)).alias("r")) \
-        .select("r.step_id", "table_name", "r.reason", "r.rows_before", "r.rows_after")
-
-
-def _cumulative(df: DataFrame, preds: list[Column], notes: list[Column] | None = None) -> list[Column]:
-    """count_if of the running conjunction of keep-predicates (nulls fail), plus notes on survivors."""
-    aggs, acc = [], F.lit(True)
-    for p in preds:
-        acc = acc & F.coalesce(p, F.lit(False))
-        aggs.append(F.count_if(acc))
-    for n in notes or []:
-        aggs.append(F.count_if(acc & F.coalesce(n, F.lit(False))))
-    return aggs
-
-
-def _apply(df: DataFrame, preds: list[Column]) -> DataFrame:
-    if not preds:
-        return df
-    return df.where(reduce(lambda a, b: a & b, [F.coalesce(p, F.lit(False)) for p in preds]))
-
-
-def _ledger_counts(raw: DataFrame, key: list[str] | None, order: list[str], preds: list[Column],
-                   notes: list[Column]) -> DataFrame:
-    """One row of cumulative counts for a table's cleaning steps, in one chain:
-    ``groupBy(all columns)`` gives distinct rows with their multiplicity, a
-    keep-first over those rows (by key) carries per-key row counts, and a
-    single aggregation returns c0 = rows, c1 = distinct rows, c2 = distinct keys
-    (with a key), then the running conjunctions of the predicates and notes.
-    """
+
+def observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """The frame with aggregates of its rows, and what returns them once it has
+    been written. To stand in the stage that writes, with no exchange above it: a
+    task of an earlier stage that is run again would count twice."""
+    seen = Observation()
+    out = df.observe(seen, *[F.coalesce(m, F.lit(0)).alias(n) for n, m in metrics.items()])
+    return out, lambda: {n: int(v) for n, v in seen.get.items()}
+
+
+def _collapsed(raw: DataFrame, key: list[str] | None, order: list[str]) -> DataFrame:
+    """One row per distinct row, or per key its first, with __n, the rows it
+    stands for, and __d, the distinct ones among them."""
     distinct = raw.groupBy(*raw.columns).agg(F.count(F.lit(1)).alias("__n"))
-    if key:
-        rest = [c for c in raw.columns if c not in key]
-        order_rest = order + [c for c in rest if c not in order]
-        packed = F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(order_rest)])
-        per_key = distinct.groupBy(*key).agg(F.min(packed).alias("__r"), F.sum("__n").alias("__n"),
-                                             F.count(F.lit(1)).alias("__d"))
-        base = per_key.select(*key, *[F.col(f"__r._{i}").alias(c) for i, c in enumerate(order_rest)], "__n", "__d")
-        head = [F.sum("__n").alias("c0"), F.sum("__d").alias("c1"), F.count(F.lit(1)).alias("c2")]
-    else:
-        base = distinct
-        head = [F.sum("__n").alias("c0"), F.count(F.lit(1)).alias("c1")]
-    tail = [a.alias(f"c{len(head) + i}") for i, a in enumerate(_cumulative(base, preds, notes))]
-    return base.agg(*head, *tail)
-
-
-def _table(step_base, table, raw, key, order, preds, pred_reasons, notes=(), note_reasons=(),
-           key_reason=None, collapse=None, collapse_reason=None):
-    """Generic cleaner: dedup (exact, then optional key keep-first), predicates, notes.
-
-    Returns the clean frame (one keep-first aggregation, then the predicates)
-    and the ledger fragment (computed separately, see ``_ledger_counts``).
-    """
-    notes = list(notes)
-    deduped = keep_first(raw, key, order) if key else raw.dropDuplicates()
-    clean = _apply(deduped, preds)
-    counts = _ledger_counts(raw, key, order, preds, notes)
-    reasons = ["exact duplicate rows"] + ([key_reason] if key else []) + list(pred_reasons) + list(note_reasons)
-    kinds = ["drop"] * (len(reasons) - len(notes)) + ["note"] * len(notes)
-    if collapse is not None:
-        clean = collapse(clean)
-        n = len(reasons) + 1      # counts hold c0 .. c{len(reasons)}
-        counts = with_one_row(counts, clean.agg(F.count(F.lit(1)).alias(f"c{n}")))
-        reasons.append(collapse_reason)
-        kinds.append("drop")
-    return clean, _steps_ledger(step_base, table, counts, reasons, kinds)
+    if not key:
+        return distinct.withColumn("__d", F.lit(1))
+    rest = [c for c in raw.columns if c not in key]
+    order_rest = order + [c for c in rest if c not in order]
+    packed = F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(order_rest)])
+    one = distinct.groupBy(*key).agg(F.min(packed).alias("__r"), F.sum("__n").alias("__n"), F.count(F.lit(1)).alias("__d"))
+    return one.select(*key, *[F.col(f"__r._{i}").alias(c) for i, c in enumerate(order_rest)], "__n", "__d") \
+        .select(*raw.columns, "__n", "__d")
+
+
+def _written(step_base: int, table: str, raw: DataFrame, ledger: Ledger, key: list[str] | None = None,
+             order: list[str] = (), preds: list[Column] = (), reasons: list[str] = (), key_reason: str | None = None,
+             notes: list[Column] = (), note_reasons: list[str] = (), change: Callable[[DataFrame], DataFrame] = lambda d: d) -> DataFrame:
+    """Generic cleaner: dedup (exact, then by key), predicates, notes, a change of
+    values; written, with the ledger's steps and the nulls left observed on the way."""
+    keeps, acc = [], F.lit(True)
+    for p in preds:
+        acc = acc & _holds(p)
+        keeps.append(F.count_if(acc))
+    counts = [F.sum("__n"), F.sum("__d"), *([F.count(F.lit(1))] if key else []), *keeps, *[F.count_if(acc & _holds(n)) for n in notes]]
+    base, stepped = observed(_collapsed(raw, key, list(order)), **{f"c{i}": c for i, c in enumerate(counts)})
+    kept = change(base.where(acc).drop("__n", "__d"))
+    made, gaps = _with_nulls(table, kept)
+    out = materialize(made)
+    got = stepped()
+    ledger.steps(step_base, table, [got[f"c{i}"] for i in range(len(counts))],
+                 ["exact duplicate rows", *([key_reason] if key else []), *reasons, *note_reasons], len(notes))
+    ledger.nulls[table] = gaps()
+    return out
+
+
+def _with_nulls(table: str, df: DataFrame) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """The frame, with the nulls in the table's required columns observed."""
+    required = [c for c in TABLES_BY_NAME[table].required if c in df.columns]
+    out, got = observed(df, **{f"n{i}": F.count_if(F.col(c).isNull()) for i, c in enumerate(required)}) if required else (df, dict)
+    return out, lambda: dict(zip(required, got().values(), strict=True))
 
 
 # --- per-table cleaners ----------------------------------------------------
 
 def clean_customers(df: DataFrame, ledger: Ledger) -> DataFrame:
-    clean, part = _table(100, "customers", df, None, [],
-                         [F.col("customer_id").isNotNull() & F.col("customer_unique_id").isNotNull()],
-                         ["null customer_unique_id"])
-    ledger.add(part)
-    return clean
+    return _written(100, "customers", df, ledger,
+                    preds=[F.col("customer_id").isNotNull() & F.col("customer_unique_id").isNotNull()],
+                    reasons=["null customer_unique_id"])
 
 
 def clean_orders(df: DataFrame, ledger: Ledger, params: Params) -> DataFrame:
@@ -166,33 +146,25 @@ def clean_orders(df: DataFrame, ledger: Ledger, params: Params) -> DataFrame:
     reasons = [f"status not in {statuses}", "null purchase timestamp",
                f"outside analysis window {params.window_start}..{params.window_end}",
                "delivered before purchased"]
-    order = [c for c in df.columns if c != "order_id"]
-    clean, part = _table(200, "orders", df, ["order_id"], order, preds, reasons,
-                         key_reason="duplicate order_id")
-    ledger.add(part)
-    return clean
+    return _written(200, "orders", df, ledger, ["order_id"], [c for c in df.columns if c != "order_id"], preds, reasons,
+                    "duplicate order_id")
 
 
 def clean_order_items(df: DataFrame, ledger: Ledger) -> DataFrame:
     order = ["product_id", "seller_id", "shipping_limit_date", "price", "freight_value"]
     preds = [F.col("price").isNotNull() & F.col("product_id").isNotNull() & F.col("order_id").isNotNull(),
              F.col("price") > 0]
-    clean, part = _table(300, "order_items", df, ["order_id", "order_item_id"], order, preds,
-                         ["null price or product_id", "price <= 0"],
-                         notes=[F.col("freight_value") < 0], note_reasons=["negative freight clipped to 0"],
-                         key_reason="duplicate (order_id, order_item_id)")
-    ledger.add(part)
     # FIL8: clip negative freight to 0 and fill nulls with 0 (a value change, not a row change).
-    return clean.withColumn("freight_value", F.greatest(F.coalesce(F.col("freight_value"), F.lit(0.0)), F.lit(0.0)))
+    return _written(300, "order_items", df, ledger, ["order_id", "order_item_id"], order, preds,
+                    ["null price or product_id", "price <= 0"], "duplicate (order_id, order_item_id)",
+                    [F.col("freight_value") < 0], ["negative freight clipped to 0"],
+                    lambda d: d.withColumn("freight_value", F.greatest(F.coalesce("freight_value", F.lit(0.0)), F.lit(0.0))))
 
 
 def clean_order_payments(df: DataFrame, ledger: Ledger) -> DataFrame:
-    order = ["payment_type", "payment_installments", "payment_value"]
-    clean, part = _table(400, "order_payments", df, ["order_id", "payment_sequential"], order,
-                         [F.col("payment_value").isNotNull()], ["null payment_value"],
-                         key_reason="duplicate (order_id, payment_sequential)")
-    ledger.add(part)
-    return clean
+    return _written(400, "order_payments", df, ledger, ["order_id", "payment_sequential"],
+                    ["payment_type", "payment_installments", "payment_value"],
+                    [F.col("payment_value").isNotNull()], ["null payment_value"], "duplicate (order_id, payment_sequential)")
 
 
 def collapse_reviews(df: DataFrame) -> DataFrame:
@@ -204,12 +176,20 @@ def collapse_reviews(df: DataFrame) -> DataFrame:
 
 
 def clean_order_reviews(df: DataFrame, ledger: Ledger) -> DataFrame:
-    clean, part = _table(500, "order_reviews", df, None, [],
-                         [F.col("review_score").isNotNull() & F.col("order_id").isNotNull()],
-                         ["null review_score"], collapse=collapse_reviews,
-                         collapse_reason="collapsed to mean score per order")
-    ledger.add(part)
-    return clean
+    fine = _written(500, "order_reviews", df, ledger, preds=[F.col("review_score").isNotNull() & F.col("order_id").isNotNull()],
+                    reasons=["null review_score"])
+    before = ledger_after(ledger, 501)
+    made, rows = observed(collapse_reviews(fine), rows=F.count(F.lit(1)))
+    made, gaps = _with_nulls("order_reviews", made)
+    out = materialize(made)
+    ledger.add(502, "order_reviews", "collapsed to mean score per order", before, rows()["rows"])
+    ledger.nulls["order_reviews"] = gaps()
+    return out
+
+
+def ledger_after(ledger: Ledger, step_id: int) -> int:
+    """Rows after a step."""
+    return next(r[4] for r in ledger.rows if r[0] == step_id)
 
 
 def dedup_translation(df: DataFrame) -> DataFrame:
@@ -219,46 +199,48 @@ def dedup_translation(df: DataFrame) -> DataFrame:
 
 def clean_products(df: DataFrame, ledger: Ledger, translation: DataFrame) -> DataFrame:
     """FIL9 + JOI7: null category → 'unknown'; English name when translated, else original."""
-    order = [c for c in df.columns if c != "product_id"]
-    deduped, part = _table(600, "products", df, ["product_id"], order, [], [],
-                           notes=[F.col("product_category_name").isNull()],
-                           note_reasons=["null category -> 'unknown'"],
-                           key_reason="duplicate product_id")
-    filled = deduped.withColumn("product_category_name",
-                                F.coalesce(F.col("product_category_name"), F.lit("unknown")))
-    from patronage.plans.joins import dimension_join
+    filled = _written(600, "products", df, ledger, ["product_id"], [c for c in df.columns if c != "product_id"],
+                      key_reason="duplicate product_id", notes=[F.col("product_category_name").isNull()],
+                      note_reasons=["null category -> 'unknown'"],
+                      change=lambda d: d.withColumn("product_category_name", F.coalesce("product_category_name", F.lit("unknown"))))
     joined = dimension_join(filled, dedup_translation(translation), "product_category_name", "left")
-    untranslated = joined.agg(
-        F.lit(650).alias("step_id"), F.lit("products").alias("table_name"),
-        F.lit("no EN translation -> kept PT name").alias("reason"),
-        F.count_if(F.col("product_category_name_english").isNull()).alias("rows_before"),
-        F.count_if(F.col("product_category_name_english").isNull()).alias("rows_after"))
-    ledger.add(part)
-    ledger.add(untranslated)
-    return joined.withColumn(
+    joined, kept = observed(joined, none=F.count_if(F.col("product_category_name_english").isNull()))
+    made = joined.withColumn(
         "product_category", F.coalesce(F.col("product_category_name_english"), F.col("product_category_name"))
     ).drop("product_category_name_english")
+    made, gaps = _with_nulls("products", made)
+    out = materialize(made)
+    n = kept()["none"]
+    ledger.add(650, "products", "no EN translation -> kept PT name", n, n)
+    ledger.nulls["products"] = gaps()
+    return out
 
 
 def clean_sellers(df: DataFrame, ledger: Ledger) -> DataFrame:
-    order = [c for c in df.columns if c != "seller_id"]
-    clean, part = _table(700, "sellers", df, ["seller_id"], order, [], [], key_reason="duplicate seller_id")
-    ledger.add(part)
-    return clean
+    return _written(700, "sellers", df, ledger, ["seller_id"], [c for c in df.columns if c != "seller_id"],
+                    key_reason="duplicate seller_id")
+
+
+def clean_translation(df: DataFrame, ledger: Ledger) -> DataFrame:
+    made, gaps = _with_nulls("category_translation", dedup_translation(df))
+    out = materialize(made)
+    ledger.nulls["category_translation"] = gaps()
+    return out
 
 
 def clean_all(raw: dict[str, DataFrame], params: Params, ledger: Ledger | None = None) -> tuple[dict[str, DataFrame], Ledger]:
-    """Run every cleaner. Geolocation is profiled only, never joined."""
+    """Run every cleaner, several tables at a time. Geolocation is profiled only, never joined."""
     ledger = ledger or Ledger()
-    translation = dedup_translation(raw["category_translation"])
-    clean = {
-        "customers": clean_customers(raw["customers"], ledger),
-        "orders": clean_orders(raw["orders"], ledger, params),
-        "order_items": clean_order_items(raw["order_items"], ledger),
-        "order_payments": clean_order_payments(raw["order_payments"], ledger),
-        "order_reviews": clean_order_reviews(raw["order_reviews"], ledger),
-        "products": clean_products(raw["products"], ledger, translation),
-        "sellers": clean_sellers(raw["sellers"], ledger),
-        "category_translation": translation,
+    work = {
+        "orders": lambda: clean_orders(raw["orders"], ledger, params),
+        "order_items": lambda: clean_order_items(raw["order_items"], ledger),
+        "order_payments": lambda: clean_order_payments(raw["order_payments"], ledger),
+        "order_reviews": lambda: clean_order_reviews(raw["order_reviews"], ledger),
+        "customers": lambda: clean_customers(raw["customers"], ledger),
+        "products": lambda: clean_products(raw["products"], ledger, raw["category_translation"]),
+        "sellers": lambda: clean_sellers(raw["sellers"], ledger),
+        "category_translation": lambda: clean_translation(raw["category_translation"], ledger),
     }
-    return clean, ledger
+    with ThreadPoolExecutor(len(work)) as pool:
+        made = {name: pool.submit(run) for name, run in work.items()}
+    return {name: f.result() for name, f in made.items()}, ledger

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from patronage.config import CUSTOMER_KEY
 from patronage.functions.columns import days_between, month_start, null_safe_gt
-from patronage.operators.clean import Ledger
-from patronage.plans.joins import dimension_join, with_one_row
+from patronage.operators.clean import Ledger, clean_all, ledger_after, observed
+from patronage.plans.joins import dimension_join
+from patronage.session import materialize
 
 TRANSACTION_COLUMNS = (
     "order_id", "order_item_id", CUSTOMER_KEY, "customer_id",
@@ -39,16 +40,10 @@ def aggregate_payments(payments: DataFrame) -> DataFrame:
     )
 
 
-def _ledger_join(ledger: Ledger | None, step_id: int, reason: str, before: DataFrame, after: DataFrame) -> None:
-    if ledger is None:
-        return
-    b = before.agg(F.count(F.lit(1)).alias("rows_before"))
-    a = after.agg(F.count(F.lit(1)).alias("rows_after"))
-    ledger.add(with_one_row(b, a).select(F.lit(step_id).alias("step_id"), F.lit("transactions").alias("table_name"),
-                                     F.lit(reason).alias("reason"), "rows_before", "rows_after"))
-
-
 def build_transactions(clean: dict[str, DataFrame], ledger: Ledger | None = None) -> DataFrame:
+    """The order lines with everything known about them. With a ledger the mart
+    is written and the two steps that lose rows are observed on the way: no join
+    after the first drops or adds rows, so both are counted in the stage that writes."""
     items = clean["order_items"]
     orders = clean["orders"].select(
         "order_id", "customer_id", "order_status", "order_purchase_timestamp",
@@ -59,28 +54,33 @@ def build_transactions(clean: dict[str, DataFrame], ledger: Ledger | None = None
     products = clean["products"].select("product_id", "product_category")
     sellers = clean["sellers"].select("seller_id", "seller_state")
 
-    # JOI1: items of filtered-out orders vanish.
-    tx = items.join(orders, "order_id", "inner")
-    _ledger_join(ledger, 800, "items whose order was filtered out", items, tx)
-    # JOI2: orders with no matching customer vanish.
-    tx2 = tx.join(customers, "customer_id", "inner")
-    _ledger_join(ledger, 801, "orders with no matching customer", tx, tx2)
+    # JOI1: items of filtered-out orders vanish. JOI2: orders with no matching
+    # customer vanish (below; a clean customer's key is never null).
+    tx = items.join(orders, "order_id", "inner").join(customers, "customer_id", "left" if ledger else "inner")
     # JOI5/JOI6: 1:1 by construction (collapsed / aggregated per order).
-    tx3 = tx2.join(reviews, "order_id", "left").join(pay, "order_id", "left")
+    tx = tx.join(reviews, "order_id", "left").join(pay, "order_id", "left")
     # JOI3/JOI4: descriptive dimensions; unmatched products fall back to 'unknown'.
-    tx3 = dimension_join(tx3, products, "product_id", "left")
-    tx3 = dimension_join(tx3, sellers, "seller_id", "left")
+    tx = dimension_join(tx, products, "product_id", "left")
+    tx = dimension_join(tx, sellers, "seller_id", "left")
 
     ts = F.col("order_purchase_timestamp")
-    tx3 = tx3.withColumns({
+    tx = tx.withColumns({
         "product_category": F.coalesce(F.col("product_category"), F.lit("unknown")),
         "item_revenue": F.col("price") + F.col("freight_value"),
         "order_month": month_start(ts),
         "order_date": F.to_date(ts),
         "delivery_days": days_between(ts, "order_delivered_customer_date"),
         "delivered_late": null_safe_gt("order_delivered_customer_date", "order_estimated_delivery_date"),
-    })
-    return tx3.select(*TRANSACTION_COLUMNS)
+    }).select(*TRANSACTION_COLUMNS)
+    if ledger is None:
+        return tx
+    known = F.col(CUSTOMER_KEY).isNotNull()
+    tx, counts = observed(tx, ordered=F.count(F.lit(1)), known=F.count_if(known))
+    out = materialize(tx.where(known))
+    n, lines = counts(), ledger_after(ledger, 303)
+    ledger.add(800, "transactions", "items whose order was filtered out", lines, n["ordered"])
+    ledger.add(801, "transactions", "orders with no matching customer", n["ordered"], n["known"])
+    return out
 
 
 def build_orders(tx: DataFrame) -> DataFrame:
@@ -109,8 +109,7 @@ def build_orders(tx: DataFrame) -> DataFrame:
 
 
 def build_marts(raw: dict[str, DataFrame], params, ledger: Ledger | None = None):
-    """Clean → transactions → orders. Returns (clean tables, transactions, orders, ledger)."""
-    from patronage.operators.clean import clean_all
+    """Clean → transactions → orders, all written. Returns (clean tables, transactions, orders, ledger)."""
     clean, ledger = clean_all(raw, params, ledger)
     tx = build_transactions(clean, ledger)
-    return clean, tx, build_orders(tx), ledger
+    return clean, tx, materialize(build_orders(tx)), ledger

@@ -402,7 +402,7 @@ from patronage.operators import quality as QA  # noqa: E402
 
 
 def report(ctx):
-    return QA.run_all(ctx.clean, ctx.transactions, ctx.orders)
+    return QA.run_all(ctx.clean, ctx.transactions, ctx.orders, ctx.ledger.nulls)
 
 
 @register("qua9")
@@ -417,7 +417,7 @@ def _qua1(ctx):
 
 @register("qua2")
 def _qua2(ctx):
-    return reduce_union(QA.check_required_not_null(ctx.clean))
+    return reduce_union(QA.check_required_not_null(ctx.clean, ctx.ledger.nulls))
 
 
 @register("qua3", "joi9", "set3")

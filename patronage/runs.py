@@ -20,10 +20,8 @@ from patronage.operators import models as MD
 from patronage.operators import panel as PN
 from patronage.operators import quality as QA
 from patronage.operators import rfm as RF
-from patronage.operators.clean import (Ledger, clean_all, clean_customers, clean_order_items,
-                                       clean_order_payments, clean_order_reviews)
 from patronage.operators.dashboard import aligned_scores
-from patronage.operators.marts import build_orders, build_transactions
+from patronage.operators.marts import build_marts
 from patronage.session import materialize
 from patronage.sources import sinks as SK
 
@@ -41,21 +39,8 @@ class EtlResult:
 
 def run_etl(spark: SparkSession, raw: dict[str, DataFrame], params: Params, out_root: str | None = None) -> EtlResult:
     """Clean (with ledger) → marts → quality report → staged publish."""
-    led = Ledger()
-    clean, led = clean_all(raw, params, led)
-    build_transactions(clean, led)                      # adds the join steps to the ledger (lazy counts)
-    keys = clean["orders"]
-    mart_in = dict(clean)
-    mart_in["order_items"] = clean_order_items(raw["order_items"].join(keys.select("order_id"), "order_id", "left_semi"), Ledger())
-    mart_in["order_payments"] = clean_order_payments(
-        raw["order_payments"].join(keys.select("order_id"), "order_id", "left_semi"), Ledger())
-    mart_in["order_reviews"] = clean_order_reviews(
-        raw["order_reviews"].join(keys.select("order_id"), "order_id", "left_semi"), Ledger())
-    mart_in["customers"] = clean_customers(raw["customers"].join(keys.select("customer_id"), "customer_id", "left_semi"),
-                                           Ledger())
-    tx = materialize(build_transactions(mart_in))
-    orders = materialize(build_orders(tx))
-    report = QA.run_all(clean, tx, orders)
+    clean, tx, orders, led = build_marts(raw, params)
+    report = QA.run_all(clean, tx, orders, led.nulls)
     published = None
     if out_root:
         published = SK.publish_if_clean(spark, {"orders": orders, "transactions": tx}, report, out_root)
