@@ -13,11 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from patronage.functions.columns import safe_corr
 from patronage.config import BREAKEVEN_UPLIFTS, CHANNEL_COSTS, GRID_UPLIFTS, TOP_FRACTION
 from patronage.plans.joins import with_one_row
 from patronage.plans.ranking import global_rank, grouped_prefix, rank_bin
-from patronage.plans.replicates import bootstrap, replicate_weights
+from patronage.plans.replicates import bootstrap, replicate_sums
 from patronage.session import materialize
 
 KEY = "key"
@@ -45,51 +44,76 @@ def _with_model_ranks(scores: DataFrame, order, col: str) -> DataFrame:
         .drop("__g", "__m0")
 
 
-def _mid_ranks(scores: DataFrame, value: str, col: str) -> DataFrame:
-    """(model, key, mid-rank of ``value`` within model).
+def _mid_ranks(counts: DataFrame, value: str) -> DataFrame:
+    """Mid-ranks of distinct values with their number ``n``: the count below a
+    value (``below``) plus half of its own and a half (``mid``)."""
+    return grouped_prefix(counts, ["model"], [F.col(value).asc()], {"below": "n"}) \
+        .withColumn("mid", F.col("below") + (F.col("n") + 1) / 2.0)
 
-    Only the distinct values are sorted: a value's mid-rank is the count below
-    it plus half of its own count and a half."""
-    counts = scores.groupBy("model", value).agg(F.count(F.lit(1)).alias("__c"))
-    mids = grouped_prefix(counts, ["model"], [F.col(value).asc()], {"__below": "__c"}) \
-        .select("model", value, (F.col("__below") + (F.col("__c") + 1) / 2.0).alias(col))
-    return scores.select("model", KEY, value).join(mids, ["model", value]).select("model", KEY, col)
+
+def _top_sums(values: DataFrame, scores: DataFrame, sizes: DataFrame, sums: dict[str, str]) -> DataFrame:
+    """(model, k, sums...) of the k rows with the highest scores (ties by key).
+
+    ``values`` has each distinct score with n, below and the sums of its rows:
+    scores above the cut count whole; only the rows that share the score at the
+    cut are ordered, by key."""
+    v = values.join(F.broadcast(sizes.select("model", "size", "k")), "model") \
+        .withColumn("above", F.col("size") - F.col("below") - F.col("n"))
+    sure = v.groupBy("model").agg(F.max("k").alias("k"), *[
+        F.sum(F.when(F.col("above") + F.col("n") <= F.col("k"), F.col(c)).otherwise(0)).alias(f"__s_{c}") for c in sums])
+    cut = v.where("above < k and above + n > k").select("model", "p", (F.col("k") - F.col("above")).alias("__left"))  # a row a model
+    tied = scores.join(F.broadcast(cut), ["model", "p"])
+    nth = grouped_prefix(tied.withColumn("__1", F.lit(1)), ["model"], [F.col(KEY).asc()], {"__nth": "__1"})
+    some = nth.where("__nth < __left").groupBy("model").agg(*[F.sum(F.expr(e)).alias(f"__t_{c}") for c, e in sums.items()])
+    return sure.join(some, "model", "left").select("model", "k", *[
+        (F.col(f"__s_{c}") + F.coalesce(f"__t_{c}", F.lit(0))).alias(c) for c in sums])
 
 
 def point_metrics(scores: DataFrame, fraction: float = TOP_FRACTION) -> DataFrame:
     """EVA1-EVA4 per model: MAE, RMSE, totals, positives, AUC, Spearman,
     top-fraction capture and lift.
 
-    The three rank tables are each built from the (checkpointed) scores and
-    joined on (model, key), keeping the plan linear.
+    Sorts distinct scores and distinct targets with their counts, once each. What
+    a rank statistic needs of rows with the most frequent target (0) follows from
+    the counts of a score; other rows are joined with both of their mid-ranks.
     """
     scores = materialize(scores.select("model", KEY, "y", "p"))
-    mr_p = _mid_ranks(scores, "p", "mr_p")
-    mr_y = _mid_ranks(scores, "y", "mr_y")
-    desc = _with_model_ranks(scores.select("model", KEY, "p"), [F.col("p").desc()], "rank_desc") \
-        .select("model", KEY, "rank_desc")
-    s = scores.join(mr_p, ["model", KEY]).join(mr_y, ["model", KEY]).join(desc, ["model", KEY])
-    n_model = scores.groupBy("model").agg(F.count(F.lit(1)).alias("__nm"))
-    s = s.join(F.broadcast(n_model), "model")
-    k = F.greatest(F.floor(F.lit(fraction) * F.col("__nm")), F.lit(1))
-    per = s.groupBy("model").agg(
-        F.count(F.lit(1)).alias("n"),
+    other = F.col("y") != 0
+    values = scores.groupBy("model", "p").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("y") > 0).alias("pos"), F.count_if(other).alias("moved"), F.sum("y").alias("top"))
+    values = materialize(_mid_ranks(values, "p"))
+    targets = materialize(_mid_ranks(scores.groupBy("model", "y").agg(F.count(F.lit(1)).alias("n")), "y"))
+    none = targets.where("y = 0").select("model", F.col("mid").alias("a0"))  # a row a model
+    per = scores.groupBy("model").agg(
+        F.count(F.lit(1)).alias("size"),
         F.avg(F.abs(F.col("p") - F.col("y"))).alias("mae"),
         F.sqrt(F.avg(F.pow(F.col("p") - F.col("y"), 2))).alias("rmse"),
         F.sum("p").alias("predicted_total"),
         F.sum("y").alias("actual_total"),
-        F.count_if(F.col("y") > 0).alias("n_positives"),
-        F.sum(F.when(F.col("y") > 0, F.col("mr_p")).otherwise(0.0)).alias("__rpos"),
-        safe_corr("mr_y", "mr_p").alias("spearman"),
-        F.sum(F.when(F.col("rank_desc") <= k, F.col("y")).otherwise(0.0)).alias("__top"),
-    )
+        F.count_if(F.col("y") > 0).alias("n_positives"))
+    per = per.withColumn("k", F.greatest(F.floor(F.lit(fraction) * F.col("size")), F.lit(1)))
+    middle = (F.col("size") + 1) / 2
+    sizes = F.broadcast(per.select("model", "size"))  # a row a model
+
+    def spread(d: DataFrame, out: str) -> DataFrame:
+        return d.join(sizes, "model").groupBy("model").agg(F.sum(F.col("n") * F.pow(F.col("mid") - middle, 2)).alias(out))
+    by_score = values.join(sizes, "model").groupBy("model").agg(
+        F.sum(F.col("mid") * F.col("pos")).alias("rpos"),
+        F.sum((F.col("mid") - middle) * (F.col("n") - F.col("moved"))).alias("b0"))
+    moved = scores.where(other).join(values.select("model", "p", F.col("mid").alias("b")), ["model", "p"]) \
+        .join(targets.select("model", "y", F.col("mid").alias("a")), ["model", "y"]).join(sizes, "model") \
+        .groupBy("model").agg(F.sum((F.col("a") - middle) * (F.col("b") - middle)).alias("ab"))
+    one = per.join(by_score, "model").join(spread(values, "vp"), "model").join(spread(targets, "vy"), "model") \
+        .join(none, "model", "left").join(moved, "model", "left") \
+        .join(_top_sums(values, scores, per, {"top": "y"}).drop("k"), "model")
     P = F.col("n_positives").cast("double")
-    N = (F.col("n") - F.col("n_positives")).cast("double")
-    auc = F.when((P > 0) & (N > 0), (F.col("__rpos") - P * (P + 1) / 2) / (P * N))
-    cap = F.lit(100.0) * F.col("__top") / F.greatest(F.col("actual_total"), F.lit(1e-9))
-    return per.select("model", "n", "mae", "rmse", "predicted_total", "actual_total", "n_positives",
-                      auc.alias("auc"), "spearman", cap.alias("top_capture"),
-                      (cap / (100.0 * fraction)).alias("top_lift"))
+    N = (F.col("size") - F.col("n_positives")).cast("double")
+    auc = F.when((P > 0) & (N > 0), (F.col("rpos") - P * (P + 1) / 2) / (P * N))
+    together = F.coalesce((F.col("a0") - middle) * F.col("b0"), F.lit(0.0)) + F.coalesce("ab", F.lit(0.0))
+    cap = F.lit(100.0) * F.col("top") / F.greatest(F.col("actual_total"), F.lit(1e-9))
+    return one.select("model", F.col("size").alias("n"), "mae", "rmse", "predicted_total", "actual_total", "n_positives",
+                      auc.alias("auc"), F.try_divide(together, F.nullif(F.sqrt(F.col("vp") * F.col("vy")), F.lit(0.0))).alias("spearman"),
+                      cap.alias("top_capture"), (cap / (100.0 * fraction)).alias("top_lift"))
 
 
 def ci_verdicts(lo: str, hi: str, null_value: float, prefix: str) -> dict:
@@ -153,14 +177,14 @@ def quantile_calibration(scores: DataFrame, n_bins: int = 5) -> DataFrame:
 
 
 def calibration_bands(scores: DataFrame, n_bins: int = 5, n_boot: int = 400, seed: int = 0) -> DataFrame:
-    """EVA8: per bin, bootstrap 95 % bands of mean actual and return rate."""
+    """EVA8: per bin, bootstrap 95 % bands of mean actual and return rate. Each
+    task sums all replicates of a bin together: tasks x bins x replicates are shuffled."""
     r = _with_model_ranks(scores, [F.col("p").desc()], "rank")
     n = r.groupBy("model").agg(F.count(F.lit(1)).alias("__n"))
     r = r.join(F.broadcast(n), "model").withColumn("bin", F.concat(F.lit("Q"), rank_bin("rank", "__n", n_bins)))
-    w = replicate_weights(r, KEY, n_boot, seed)
-    per = w.groupBy("model", "bin", "replicate").agg(
-        (F.sum(F.col("w") * F.col("y")) / F.sum("w")).alias("m"),
-        (F.lit(100.0) * F.sum(F.when(F.col("y") > 0, F.col("w")).otherwise(0)) / F.sum("w")).alias("rr"))
+    per = replicate_sums(r, ["model", "bin"], KEY, {"w": "1D", "wy": "y", "wpos": "if(y > 0, 1D, 0D)"}, n_boot, seed) \
+        .where("w > 0").select("model", "bin", (F.col("wy") / F.col("w")).alias("m"),
+                               (F.lit(100.0) * F.col("wpos") / F.col("w")).alias("rr"))
     return per.groupBy("model", "bin").agg(
         F.percentile("m", F.lit(0.025)).alias("actual_lo"), F.percentile("m", F.lit(0.975)).alias("actual_hi"),
         F.percentile("rr", F.lit(0.025)).alias("return_rate_lo"), F.percentile("rr", F.lit(0.975)).alias("return_rate_hi"))
@@ -182,18 +206,18 @@ def baseline_comparison(test: DataFrame, train: DataFrame, y: str = "target") ->
 # --- ROI --------------------------------------------------------------------
 
 def target_top(scores: DataFrame, fraction: float = TOP_FRACTION) -> DataFrame:
-    """ROI1 + SRT4: per model, the top max(floor(n·f), 1) by score (ties: key asc)."""
-    r = _with_model_ranks(scores, [F.col("p").desc()], "rank")
-    n = r.groupBy("model").agg(F.count(F.lit(1)).alias("__n"))
-    r = r.join(F.broadcast(n), "model")
-    k = F.greatest(F.floor(F.col("__n") * fraction), F.lit(1))
-    res = r.groupBy("model").agg(
-        F.max(k).alias("n_targeted"),
-        F.sum(F.when(F.col("rank") <= k, F.col("y")).otherwise(0.0)).alias("revenue_in_group"),
-        F.sum("y").alias("revenue_total"),
-        F.count_if((F.col("rank") <= k) & (F.col("y") > 0)).alias("n_returners"))
+    """ROI1 + SRT4: per model, the top max(floor(n·f), 1) by score (ties: key
+    asc). Distinct scores are sorted, and rows only where they tie at the cut."""
+    scores = materialize(scores.select("model", KEY, "p", "y"))
+    values = scores.groupBy("model", "p").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("revenue_in_group"),
+                                              F.count_if(F.col("y") > 0).alias("n_returners"))
+    sizes = scores.groupBy("model").agg(F.count(F.lit(1)).alias("size"), F.sum("y").alias("revenue_total")) \
+        .withColumn("k", F.greatest(F.floor(F.col("size") * fraction), F.lit(1)))
+    top = _top_sums(materialize(_mid_ranks(values, "p")), scores, sizes,
+                    {"revenue_in_group": "y", "n_returners": "cast(y > 0 as long)"})
+    res = top.join(sizes.select("model", "revenue_total"), "model")
     cap = F.lit(100.0) * F.col("revenue_in_group") / F.greatest(F.col("revenue_total"), F.lit(1e-9))
-    return res.select("model", F.lit(fraction).alias("fraction"), F.col("n_targeted").cast("long").alias("n_targeted"),
+    return res.select("model", F.lit(fraction).alias("fraction"), F.col("k").cast("long").alias("n_targeted"),
                       "revenue_in_group", "revenue_total", "n_returners", cap.alias("capture_pct"),
                       (cap / (100.0 * fraction)).alias("lift"))
 

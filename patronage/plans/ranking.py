@@ -1,17 +1,16 @@
-"""Global ranks, running sums, rank bins and bootstrap weights — without a
+"""Global ranks, running sums, rank bins and quantiles — without a
 single-partition exchange.
 
 ``Window.orderBy`` with no partition key plans ``Exchange SinglePartition``:
 one task would sort every row. Instead:
 
-1. ``repartitionByRange(N, order)`` + ``sortWithinPartitions(order)``;
-   each row is tagged with its partition id and its index inside the sorted
-   partition (``monotonically_increasing_id`` = pid·2^33 + index), then
-   persisted so the range split is computed once.
-2. An N-row table of partition counts gives each partition's offset (a
-   window over N rows, N = partition count, bounded by configuration).
-3. The offsets are broadcast back (N rows, proven bound):
-   ``rank = offset[pid] + index + 1``.
+1. ``repartitionByRange(N, order)`` + ``sortWithinPartitions(order)``: the only
+   exchange of rows. What a row needs of the rows before it in its own range is
+   taken in that stage (its index, or a scan that carries its state through the
+   sorted partition), and the result is written: the range split is computed
+   once, nothing stays in memory, and a lost executor costs a task.
+2. A table of ranges (N rows, N = partition count, bounded by configuration)
+   gives what the ranges before hold; it is joined back by range.
 
 The order must be total (callers append their key as a tie-break) so the
 rank is deterministic and recomputation after a lost executor reproduces it.
@@ -19,11 +18,17 @@ rank is deterministic and recomputation after a lost executor reproduces it.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from patronage.session import materialize, ship_package
+
 
 def range_partition(df: DataFrame, order: list[Column], n_parts: int | None = None) -> DataFrame:
     """Range-partition on ``order`` and sort within partitions.
@@ -37,13 +42,30 @@ def range_partition(df: DataFrame, order: list[Column], n_parts: int | None = No
     return ranged.sortWithinPartitions(*order)
 
 
+def scanned(df: DataFrame, order: list[Column], scan: Callable, added: str, n_parts: int | None = None) -> DataFrame:
+    """The rows in ranges of ``order``, with __pid (rising with the order), __mid
+    (rising within a range) and the columns ``added`` (DDL) that ``scan`` makes:
+    called once a range, it gives a function from a batch of rows to arrays, and
+    is called for the range's batches in order. Written."""
+    ship_package(df.sparkSession)
+    tagged = range_partition(df, order, n_parts).withColumns({"__pid": F.spark_partition_id(),
+                                                              "__mid": F.monotonically_increasing_id()})
+    schema = T.StructType([*tagged.schema.fields, *T._parse_datatype_string(added).fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = scan()
+        for b in batches:
+            if b.num_rows:
+                yield pa.RecordBatch.from_arrays([*b.columns, *step(b)], names=schema.names)
+    return materialize(tagged.mapInArrow(run, schema))
+
+
 def global_rank(df: DataFrame, order: list[Column], rank_col: str = "rank",
                 n_parts: int | None = None) -> DataFrame:
     """RNK1: 1-based position of each row in the total order ``order``."""
-    tagged = (range_partition(df, order, n_parts)
-              .withColumn("__pid", F.spark_partition_id())
-              .withColumn("__mid", F.monotonically_increasing_id())
-              .persist(StorageLevel.MEMORY_AND_DISK))
+    tagged = materialize(range_partition(df, order, n_parts)
+                         .withColumn("__pid", F.spark_partition_id())
+                         .withColumn("__mid", F.monotonically_increasing_id()))
     counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__pid", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
@@ -52,31 +74,73 @@ def global_rank(df: DataFrame, order: list[Column], rank_col: str = "rank",
     return out.withColumn(rank_col, F.col("__off") + local + 1).drop("__pid", "__mid", "__off")
 
 
+def segment_starts(columns: list[pa.Array]) -> np.ndarray:
+    """Where a row differs from the one before it in any of the columns (nulls are equal)."""
+    n = len(columns[0]) if columns else 0
+    new = np.zeros(n, bool)
+    new[:1] = True
+    for c in columns:
+        codes = c.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+        new[1:] |= codes[1:] != codes[:-1]
+    return new
+
+
+class _Prefix:
+    """Exclusive running sums within runs of equal group values, carried from batch to batch."""
+
+    def __init__(self, group: list[str], sums: list[str]):
+        self.group, self.sums = group, sums
+        self.last: list | None = None
+        self.carry = [0] * len(sums)
+
+    def __call__(self, b: pa.RecordBatch) -> list[pa.Array]:
+        keys = [b.column(g) for g in self.group]
+        new = segment_starts(keys)
+        same = self.last is not None and self.last == [k[0].as_py() for k in keys]
+        out = []
+        run = np.cumsum(new) - 1 if len(new) else np.zeros(0, np.int64)
+        starts = np.flatnonzero(new)
+        for i, c in enumerate(self.sums):
+            v = b.column(c).fill_null(0).to_numpy(zero_copy_only=False)
+            upto = np.concatenate([np.zeros(1, v.dtype), np.cumsum(v)])
+            base = upto[starts]
+            got = upto[:-1] - base[run]
+            if same:
+                got[run == 0] += self.carry[i]
+            self.carry[i] = got[-1] + v[-1]
+            out.append(pa.array(got))
+        self.last = [k[-1].as_py() for k in keys]
+        return out
+
+
 def grouped_prefix(df: DataFrame, group: list[str], order: list[Column], sums: dict[str, str],
                    n_parts: int | None = None) -> DataFrame:
     """Exclusive running sums within each group in ``order`` (a total order
     within the group), without putting a whole group in one task.
 
     Two levels: rows are range-partitioned on (group, order), so a large group
-    spans several ranges; running sums are taken inside each (range, group);
-    each (range, group) gets the totals of the same group in earlier ranges
+    spans several ranges; running sums are taken inside each (range, group) by a
+    scan; each (range, group) gets the totals of the same group in earlier ranges
     from a table with at most ranges + groups rows. ``sums`` maps output column
-    → summed column.
+    → summed column (numbers; a sum of integers is a long).
     """
-    gcols = [F.col(c) for c in group]
-    tagged = (range_partition(df, [*gcols, *order], n_parts)
-              .withColumn("__pid", F.spark_partition_id())
-              .withColumn("__mid", F.monotonically_increasing_id())
-              .persist(StorageLevel.MEMORY_AND_DISK))
-    w = Window.partitionBy("__pid", *group).orderBy("__mid").rowsBetween(Window.unboundedPreceding, -1)
-    local = tagged.withColumns({f"__l_{o}": F.coalesce(F.sum(c).over(w), F.lit(0)) for o, c in sums.items()})
-    totals = tagged.groupBy("__pid", *group).agg(*[F.sum(c).alias(f"__t_{o}") for o, c in sums.items()])
+    wide = df.withColumns({f"__v_{o}": F.col(c).cast("double" if df.schema[c].dataType in (T.DoubleType(), T.FloatType())
+                                                    else "long") for o, c in sums.items()})
+    kinds = {o: wide.schema[f"__v_{o}"].dataType.simpleString() for o in sums}
+    values = [f"__v_{o}" for o in sums]
+    groups = list(group)
+    local = scanned(wide, [*[F.col(c) for c in group], *order], lambda: _Prefix(groups, values),
+                    ", ".join(f"`__l_{o}` {k}" for o, k in kinds.items()), n_parts)
+    totals = local.groupBy("__pid", *group).agg(*[F.sum(f"__v_{o}").alias(f"__t_{o}") for o in sums])
     wo = Window.partitionBy(*group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("__pid", *group, *[F.coalesce(F.sum(f"__t_{o}").over(wo), F.lit(0)).alias(f"__o_{o}")
-                                               for o in sums])
-    out = local.join(offsets, ["__pid", *group], "inner")
-    return out.withColumns({o: F.col(f"__o_{o}") + F.col(f"__l_{o}") for o in sums}) \
-        .drop("__pid", "__mid", *[f"__l_{o}" for o in sums], *[f"__o_{o}" for o in sums])
+    offsets = totals.select(F.col("__pid").alias("__p"), *[F.col(g).alias(f"__g_{i}") for i, g in enumerate(group)],
+                            *[F.coalesce(F.sum(f"__t_{o}").over(wo), F.lit(0)).alias(f"__o_{o}") for o in sums])
+    same = F.col("__pid") == F.col("__p")
+    for i, g in enumerate(group):
+        same = same & F.col(g).eqNullSafe(F.col(f"__g_{i}"))
+    return local.join(offsets, same).withColumns({o: F.col(f"__o_{o}") + F.col(f"__l_{o}") for o in sums}) \
+        .drop("__pid", "__mid", "__p", *[f"__g_{i}" for i in range(len(group))],
+              *[f"{x}{o}" for o in sums for x in ("__l_", "__o_", "__v_")])
 
 
 def group_quantiles(df: DataFrame, group: str | None, value: str, probs: list[float],

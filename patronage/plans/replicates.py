@@ -21,6 +21,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from patronage.plans.ranking import grouped_prefix, range_partition
 from patronage.session import materialize, ship_package
@@ -66,6 +68,42 @@ def replicate_weights(df: DataFrame, key: str, n_boot: int, seed: int) -> DataFr
     return rep.withColumn("w", w).where("w > 0").drop("__h1", "__h2", "__x", "__s")
 
 
+def replicate_sums(df: DataFrame, group: list[str], key: str, sums: dict[str, str], n_boot: int, seed: int) -> DataFrame:
+    """(group, replicate, sums): the weighted sum of each expression in every
+    replicate. A task sums the matrices of its rows, so what is shuffled does not
+    depend on the rows. Few groups a task are meant (bins, models)."""
+    ship_package(df.sparkSession)
+    rows = df.select(*group, *[F.expr(e).cast("double").alias(f"__e_{c}") for c, e in sums.items()], key) \
+        .withColumns(key_hashes(key)).drop(key)
+    kinds = [rows.schema[g] for g in group]
+    n = len(group)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[tuple, np.ndarray] = {}
+        step = max(1, CELLS // n_boot)
+        for b in batches:
+            keys = pa.StructArray.from_arrays(b.columns[:n], names=group).to_pylist()
+            codes: dict[tuple, int] = {}
+            of = np.array([codes.setdefault(tuple(k.values()), len(codes)) for k in keys], np.int64)
+            values = np.stack([c.fill_null(0.0).to_numpy(zero_copy_only=False) for c in b.columns[n:-2]])
+            h1, h2 = (c.to_numpy(zero_copy_only=False) for c in b.columns[-2:])
+            for name, code in codes.items():
+                at = np.flatnonzero(of == code)
+                mine = total.setdefault(name, np.zeros((len(sums), n_boot)))
+                for i in range(0, len(at), step):
+                    some = at[i:i + step]
+                    mine += values[:, some] @ draws(h1[some], h2[some], n_boot, seed)
+        for name, got in total.items():
+            yield pa.RecordBatch.from_arrays(
+                [*[pa.array([v] * n_boot, f) for v, f in zip(name, arrow, strict=True)],
+                 pa.array(np.arange(1, n_boot + 1, dtype=np.int32)), *[pa.array(x) for x in got]],
+                names=[*group, "replicate", *sums])
+    schema = T.StructType([*kinds, T.StructField("replicate", T.IntegerType()),
+                           *[T.StructField(c, T.DoubleType()) for c in sums]])
+    arrow = [to_arrow_type(f.dataType) for f in kinds]
+    return rows.mapInArrow(run, schema).groupBy(*group, "replicate").agg(*[F.sum(c).alias(c) for c in sums])
+
+
 #: What a range gives: its totals (kind 0), pieces of ties (1), rows with a target other than 0 (2).
 FIGURES = ("w", "wy", "pos", "neg", "above_w", "above_neg", "d", "pos_in", "s0", "s1", "s2", "wm")
 GIVEN = "kind int, model string, pid int, replicate int, p double, y double, " + ", ".join(f"{f} double" for f in FIGURES)

@@ -7,8 +7,8 @@ from pyspark.sql.window import Window
 
 from patronage.functions.special import hyp2f1, lgamma, log_gamma
 from patronage.operators.models import bgnbd_loglik, bgnbd_loglik_np
-from patronage.plans.ranking import global_rank, group_quantiles, rank_bin
-from patronage.plans.replicates import bootstrap, draws, key_hashes, replicate_weights
+from patronage.plans.ranking import global_rank, group_quantiles, grouped_prefix, rank_bin
+from patronage.plans.replicates import bootstrap, draws, key_hashes, replicate_sums, replicate_weights
 from patronage.plans.sequence import lag_within
 
 
@@ -22,10 +22,24 @@ def test_global_rank_matches_sort_and_is_partition_invariant(spark):
         assert {x["k"]: x["rank"] for x in r.collect()} == expected
 
 
-def test_global_rank_plan_has_range_exchange_not_single_partition_over_data(spark):
+def test_rows_are_exchanged_once_by_range(spark, monkeypatch):
+    from patronage.plans import ranking
+    written, real = [], ranking.materialize
+
+    def seen(df):
+        written.append(df._jdf.queryExecution().executedPlan().toString().lower())
+        return real(df)
+    monkeypatch.setattr(ranking, "materialize", seen)
     df = spark.range(1000).withColumn("v", F.col("id") % 7)
-    plan = global_rank(df, [F.col("v").asc(), F.col("id").asc()], "r")._jdf.queryExecution().executedPlan().toString()
-    assert "rangepartitioning" in plan.lower()
+    order = [F.col("v").asc(), F.col("id").asc()]
+    made = [global_rank(df, order, "r"), lag_within(df, "v", ["id"], "id", "p"), grouped_prefix(df, ["v"], [F.col("id").asc()], {"c": "id"})]
+    for plan in written:
+        assert plan.count("exchange ") == plan.count("exchange rangepartitioning") == 1 and "window" not in plan
+    assert len(written) == len(made) == 3
+    for out in made:  # what follows reads the written ranges; only the table of ranges is in one partition
+        out.collect()
+        assert "rangepartitioning" not in out._jdf.queryExecution().executedPlan().toString().lower()
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
 
 
 def test_rank_bins_match_qcut_on_ranks(spark):
@@ -84,6 +98,20 @@ def test_weights_agree_between_numpy_and_catalyst(spark):
     assert got == {(k, b + 1): int(w[i, b]) for i, k in enumerate(pdf["key"]) for b in range(20) if w[i, b]}
 
 
+def test_replicate_sums_equal_sums_over_weighted_rows(spark, monkeypatch):
+    from patronage.plans import replicates
+    monkeypatch.setattr(replicates, "CELLS", 64)
+    df = spark.range(500).selectExpr("concat('c', id) key", "if(id % 3 = 0, 'a', null) g", "cast(id % 7 as int) bin",
+                                     "cast(id % 11 as double) - 3 y").repartition(5)
+    w = replicate_weights(df, "key", 12, 9)
+    want = {(r["g"], r["bin"], r["replicate"]): (r["w"], r["wy"]) for r in w.groupBy("g", "bin", "replicate").agg(
+        F.sum("w").alias("w"), F.sum(F.col("w") * F.col("y")).alias("wy")).collect()}
+    got = {(r["g"], r["bin"], r["replicate"]): (r["w"], r["wy"])
+           for r in replicate_sums(df, ["g", "bin"], "key", {"w": "1D", "wy": "y"}, 12, 9).collect() if r["w"]}
+    assert got == want
+    assert replicate_sums(df.limit(0), ["g"], "key", {"w": "1D"}, 3, 0).collect() == []
+
+
 def test_bootstrap_against_brute_force(spark, monkeypatch):
     """Ties that lie across chunks and ranges, negative targets, a score that most rows share."""
     from patronage.plans import replicates
@@ -125,7 +153,6 @@ def test_bgnbd_likelihood_catalyst_equals_numpy(spark):
 
 
 def test_grouped_prefix_matches_window(spark):
-    from patronage.plans.ranking import grouped_prefix
     rnd = random.Random(11)
     rows = [(0 if rnd.random() < 0.6 else rnd.randint(1, 5), rnd.randint(0, 50), i, rnd.randint(0, 3)) for i in range(2000)]
     df = spark.createDataFrame(rows, "g long, o long, id long, x long")
