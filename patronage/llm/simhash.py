@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patronage.llm.common import batches_of
@@ -50,8 +50,8 @@ def fingerprint(text: str | None, size: int = 3) -> int:
     return int.from_bytes(np.packbits(2 * votes > n).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
-    """(doc_id, fp) for each row; fp is the fingerprint's 64 bits as a long. A column __digest (string) is kept."""
+def fingerprints(docs: DataFrame, size: int = 3, mark: Column | None = None) -> DataFrame:
+    """(doc_id, fp) for each row, and mark if one is given; fp is the fingerprint's 64 bits as a long."""
     batches_of(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -59,9 +59,9 @@ def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
             fps = np.array([fingerprint(t, size) for t in b.column(1).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64)), *b.columns[2:]],
                                              names=["doc_id", "fp", *b.schema.names[2:]])
-    more = [c for c in docs.columns if c == "__digest"]
+    more = [] if mark is None else [mark.cast("string").alias("mark")]
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more) \
-        .mapInArrow(run, ", ".join(["doc_id long", "fp long", *[f"{c} string" for c in more]]))
+        .mapInArrow(run, "doc_id long, fp long" + (", mark string" if more else ""))
 
 
 def segments_for(n: int, tile: int = TILE) -> int:
@@ -184,10 +184,14 @@ def keep_one(docs: DataFrame, radius: int = 3, size: int = 3, tile: int = TILE)
     """The documents without near duplicates: of each component one row stays,
     the one with the least doc_id (null after all others) and, of rows that share
     it, the least digest of all columns. Rows that are equal in all columns are
-    one row; a component of null doc_ids alone keeps a row too."""
-    marked = docs.withColumn("__digest", F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns]))))
-    rows = materialize(fingerprints(marked, size))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col("__digest").alias("digest")))
+    one row; a component of null doc_ids alone keeps a row too. Columns may have
+    any name. Only rows that stand more than once are moved."""
+    marked = docs.select(F.struct("*").alias("row"), "doc_id", "text", F.md5(F.to_json(F.struct("*"))).alias("mark"))
+    rows = materialize(fingerprints(marked, size, F.col("mark")))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col("mark").alias("mark")))
     named = rooted(materialize(rows.groupBy("fp").agg(first.alias("least"))), radius, tile)
-    marks = named.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.digest").alias("__kept"))
-    return marked.join(marks, marked["__digest"] == marks["__kept"], "left_semi").dropDuplicates(["__digest"]).drop("__digest")
+    least = named.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.mark").alias("mark"))
+    marks = materialize(least.join(rows.groupBy("mark").agg((F.count("*") > 1).alias("copies")), "mark"))
+    kept = marked.select("row", "mark").join(marks, "mark")
+    return kept.where("not copies").select("row.*") \
+        .union(kept.where("copies").dropDuplicates(["mark"]).select("row.*"))
