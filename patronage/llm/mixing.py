@@ -3,12 +3,14 @@
 Source token shares are raised to an exponent and normalised. The exponent is
 the largest (nearest to the natural mix) whose weights reach a target entropy,
 or, if that would repeat a source too often, the least that keeps the
-repetition limit; both are found by sectioning its interval, each round one
-aggregate over the sources. The weights are realised as block permutations:
+repetition limit; both are found by bisecting its interval, four halvings (a
+section of 16) in each round, which is one aggregate over the sources. The weights are realised as block permutations:
 a source's budget is met by whole passes (blocks), each in an order of its own,
-and a cut in the order of the last pass. The cut is found in two levels, sums of
-key ranges and then the keys of one range, so a hot source is never one task's
-sort; choosing the rows then takes no shuffle of texts.
+and a cut in the order of the last pass: the documents up to the one that
+reaches the budget, so a source falls short of no budget and runs over by less
+than a document. The cut is found in two levels, sums of key ranges and then the
+keys of one range, so a hot source is never one task's sort; choosing the rows
+then takes no shuffle of texts.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from patronage.llm.common import WORD
 from patronage.session import materialize
 
 #: Share of the highest entropy to reach; passes over a source at most; budget as a share of all tokens.
-ENTROPY, REPEATS, BUDGET, SEED = 0.98, 4.0, 0.9, 42
+ENTROPY, REPEATS, BUDGET, SEED = 0.98, 4.0, 1.0, 42
 #: Points of a sectioning round, rounds, and decimals kept of the exponent.
 POINTS, ROUNDS, DECIMALS = 17, 7, 6
 #: Rows of a source that one key range should hold, about.
@@ -30,9 +32,14 @@ RANGE_ROWS = 50_000
 KEY_BITS = 60
 
 
+def digest(text: Column) -> Column:
+    """Tells texts of one doc_id (or of none) apart."""
+    return F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary"))
+
+
 def key(epoch: Column, seed: int = SEED) -> Column:
-    """Place of a document in the order of a pass (60 bits of a digest)."""
-    said = F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    """Place of a document (doc_id, digest) in the order of a pass (60 bits of a digest)."""
+    said = F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "digest")
     return F.conv(F.substring(F.md5(said), 1, KEY_BITS // 4), 16, 10).cast("bigint")
 
 
@@ -75,7 +82,7 @@ def exponent(sources: DataFrame, entropy: float = ENTROPY, repeats: float = REPE
 
 def plan(rows: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, budget: float = BUDGET,
          seed: int = SEED) -> DataFrame:
-    """(source, weight, tokens, budget, passes, cut) from (doc_id, source, t)
+    """(source, weight, tokens, budget, passes, cut) from (doc_id, digest, source, t)
     rows: a document of the source takes part in ``passes`` passes, and in one
     more if its key there is at most ``cut``."""
     sources = materialize(rows.groupBy("source").agg(F.sum("t").alias("t"), F.count("*").alias("n")).where("t > 0"))
@@ -100,34 +107,33 @@ def plan(rows: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, bu
         .withColumn("range", F.shiftright("key", shift))
     ranges = keyed.groupBy("source", "range", "left").agg(F.sum("t").alias("t"))
     upto = F.sum("t").over(Window.partitionBy("source").orderBy("range"))
-    ranges = ranges.withColumn("before", upto - F.col("t")).where("before <= left and before + t > left") \
+    ranges = ranges.withColumn("before", upto - F.col("t")).where("before < left and before + t >= left") \
         .select(F.col("source").alias("src"), F.col("range").alias("r"), "before")
     ranges = materialize(ranges)
     inside = keyed.join(ranges, keyed["source"].eqNullSafe(ranges["src"]) & (keyed["range"] == ranges["r"])) \
         .groupBy("source", "before", "left", "key").agg(F.sum("t").alias("t"))
-    sofar = F.col("before") + F.sum("t").over(Window.partitionBy("source").orderBy("key"))
-    cuts = inside.withColumn("sofar", sofar).where("sofar <= left").groupBy("source").agg(F.max("key").alias("in"))
-    cuts = ranges.select("src", (F.shiftleft(F.col("r"), shift) - 1).alias("below")) \
-        .join(cuts.withColumnRenamed("source", "s2"), F.col("src").eqNullSafe(F.col("s2")), "left") \
-        .select("src", F.coalesce("in", "below").alias("cut"))
+    earlier = F.col("before") + F.sum("t").over(Window.partitionBy("source").orderBy("key")) - F.col("t")
+    cuts = inside.withColumn("earlier", earlier).where("earlier < left").groupBy(F.col("source").alias("src")) \
+        .agg(F.max("key").alias("cut"))
     return materialize(wanted.join(cuts, F.col("source").eqNullSafe(F.col("src")), "left").select(
         "source", "weight", "tokens", "budget", "passes", F.coalesce("cut", F.lit(-1)).alias("cut")))
 
 
-def drawn(docs: DataFrame, chosen: DataFrame, seed: int = SEED) -> DataFrame:
-    """The rows of ``docs`` once for each pass that they take part in, with
-    __epoch and __place. Rows without tokens are in no pass."""
-    p = chosen.select(F.col("source").alias("__source"), F.col("passes").alias("__passes"), F.col("cut").alias("__cut"))
-    out = docs.join(p, docs["source"].eqNullSafe(p["__source"])) \
-        .withColumn("__n", F.col("__passes") + (key(F.col("__passes"), seed) <= F.col("__cut")).cast("int")) \
-        .where("__n > 0").withColumn("__epoch", F.explode(F.expr("sequence(0L, __n - 1)")))
-    return out.withColumn("__place", key(F.col("__epoch"), seed)).drop("__source", "__passes", "__cut", "__n")
+def drawn(rows: DataFrame, chosen: DataFrame, seed: int = SEED) -> DataFrame:
+    """The (doc_id, digest, source, ...) rows once for each pass that they take
+    part in, with epoch and place. Rows without tokens are in no pass."""
+    p = chosen.select(F.col("source").alias("src"), "passes", "cut")
+    out = rows.join(p, rows["source"].eqNullSafe(p["src"])) \
+        .withColumn("n", F.col("passes") + (key(F.col("passes"), seed) <= F.col("cut")).cast("int")) \
+        .where("n > 0").withColumn("epoch", F.explode(F.expr("sequence(0L, n - 1)")))
+    return out.withColumn("place", key(F.col("epoch"), seed))
 
 
 def narrow(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, t) of each row."""
-    return materialize(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
-                                   F.col("source").cast("string").alias("source"), tokens(F.col("text")).alias("t")))
+    """(doc_id, digest, source, t) of each row."""
+    return materialize(docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), digest(F.col("text")).alias("digest"),
+        F.col("source").cast("string").alias("source"), tokens(F.col("text")).alias("t")))
 
 
 def mixture(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, budget: float = BUDGET,
@@ -136,17 +142,19 @@ def mixture(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS,
     place (order within the source's pass).
 
     Texts without words (null, empty) have no tokens and are in no pass; a null
-    source is a source; rows that share a doc_id share a place and are taken or
-    left together; an empty table gives no rows; other columns are not read.
+    source is a source; rows that share doc_id and text share a place and are
+    taken or left together; an empty table gives no rows; other columns are not read.
     """
     rows = narrow(docs)
     out = drawn(rows.where("t > 0"), plan(rows, entropy, repeats, budget, seed), seed)
-    return out.select("doc_id", "source", F.col("t").alias("n_tokens"), F.col("__epoch").alias("epoch"),
-                      F.col("__place").alias("place"))
+    return out.select("doc_id", "source", F.col("t").alias("n_tokens"), "epoch", "place")
 
 
 def mixed(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, budget: float = BUDGET,
           seed: int = SEED) -> DataFrame:
-    """The mixture as rows of ``docs``: its columns, a row for each pass."""
+    """The mixture as rows of ``docs``: its columns, whatever their names, a row for each pass."""
     chosen = plan(narrow(docs), entropy, repeats, budget, seed)
-    return drawn(docs.where(F.col("text").rlike(WORD)), chosen, seed).select(*docs.columns)
+    rows = docs.where(F.col("text").rlike(WORD)).select(
+        F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), digest(F.col("text")).alias("digest"),
+        F.col("source").cast("string").alias("source"))
+    return drawn(rows, chosen, seed).select("row.*")

@@ -116,11 +116,11 @@ from base left join again on again.conv_id is not distinct from base.conv_id
   left join heads on heads.conv_id is not distinct from base.conv_id
 """
 
-_PLACE = "('0x' || substr(md5('42:' || {epoch}::varchar || ':' || coalesce(doc_id::varchar, '')), 1, 15))::bigint"
+_PLACE = "('0x' || substr(md5('42:' || {epoch}::varchar || ':' || coalesce(doc_id::varchar, '') || ':' || digest), 1, 15))::bigint"
 
 MIXING = f"""
 with recursive r as (
-  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::bigint as t from documents),
+  select doc_id, source, md5(coalesce(text, '')) as digest, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::bigint as t from documents),
 s as (select source, sum(t)::bigint as t from r where t > 0 group by source),
 p as (select source, t, t / (sum(t) over ())::double as p, count(*) over () as n from s),
 bisect(k, lo, hi, lo2, hi2) as (
@@ -129,23 +129,23 @@ bisect(k, lo, hi, lo2, hi2) as (
   select k + 1, if(h >= goal, m, lo), if(h >= goal, hi, m), if(most <= 4, lo2, m2), if(most <= 4, m2, hi2) from (
     select k, lo, hi, lo2, hi2, (lo + hi) / 2 as m, (lo2 + hi2) / 2 as m2,
       (select ln(sum(p ^ ((lo + hi) / 2))) - sum(p ^ ((lo + hi) / 2) * ((lo + hi) / 2) * ln(p)) / sum(p ^ ((lo + hi) / 2)) from p) as h,
-      (select 0.9 * max(p ^ ((lo2 + hi2) / 2) / p) / sum(p ^ ((lo2 + hi2) / 2)) from p) as most,
+      (select max(p ^ ((lo2 + hi2) / 2) / p) / sum(p ^ ((lo2 + hi2) / 2)) from p) as most,
       (select 0.98 * ln(max(n)) from p) as goal
     from bisect where k < 45)),
 a as (select case when (select count(*) from s) < 2 then 1.0 else round(greatest(hi, case when (
-    select 0.9 * max(1 / p) / count(*) from p) <= 4 then 0 else hi2 end), 6) end as a from bisect where k = 45),
+    select max(1 / p) / count(*) from p) <= 4 then 0 else hi2 end), 6) end as a from bisect where k = 45),
 w as (
-  select source, t, p ^ a / sum(p ^ a) over () as weight, floor(0.9 * sum(t) over ()) as whole from p, a),
+  select source, t, p ^ a / sum(p ^ a) over () as weight, sum(t) over () as whole from p, a),
 b as (
   select source, t, least(floor(weight * whole), floor(t * 4.0))::bigint as budget from w),
 q as (select source as src, budget // t as passes, budget - (budget // t) * t as rest from b),
 l as (
-  select doc_id, source, t, passes, rest, {_PLACE.format(epoch="passes")} as place
+  select doc_id, digest, source, t, passes, rest, {_PLACE.format(epoch="passes")} as place
   from r join q on source is not distinct from src where t > 0),
 u as (
-  select *, sum(t) over (partition by source order by place range unbounded preceding) <= rest as more from l)
+  select *, sum(t) over (partition by source order by place range unbounded preceding) - sum(t) over (partition by source, place) < rest as more from l)
 select doc_id, source, t as n_tokens, epoch, {_PLACE.format(epoch="epoch")} as place
-from (select doc_id, source, t, unnest(range(passes + more::int)) as epoch from u)
+from (select doc_id, digest, source, t, unnest(range(passes + more::int)) as epoch from u)
 """
 
 FIXITY = r"""
