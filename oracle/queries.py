@@ -1153,6 +1153,57 @@ def _src3():
     return sql("\nUNION ALL\n".join(parts))
 
 
+def _given_cte() -> str:
+    """Predictions under the registry's given parameters: the BG/NBD conditional
+    expectation with its hypergeometric series summed term by term."""
+    from patronage.registry import GIVEN as G
+    ot, h = f"TIMESTAMP '{P.test_origin} 00:00:00'", float(P.horizon_days)
+    life = (f"SELECT customer_unique_id, CAST(count(*) - 1 AS BIGINT) AS frequency, "
+            f"date_diff('microsecond', CAST(min(day) AS TIMESTAMP), CAST(max(day) AS TIMESTAMP)) / 86400000000.0 AS recency, "
+            f"date_diff('microsecond', CAST(min(day) AS TIMESTAMP), {ot}) / 86400000000.0 AS \"T\", "
+            f"CASE WHEN count(*) > 1 THEN (sum(rev) - arg_min(rev, day)) / (count(*) - 1) ELSE 0.0 END AS monetary_value, "
+            f"sum(rev) / sum(n) AS observed_aov "
+            f"FROM (SELECT customer_unique_id, CAST(order_purchase_timestamp AS DATE) AS day, sum(order_revenue) AS rev, count(*) AS n "
+            f"FROM om WHERE order_purchase_timestamp < {ot} GROUP BY 1, 2) GROUP BY customer_unique_id")
+    r, al, a, b = G["r"], G["alpha"], G["a"], G["b"]
+    series = (f"(SELECT sum(exp(lgamma({r} + x + k) - lgamma({r} + x) + lgamma({b} + x + k) - lgamma({b} + x) "
+              f"- lgamma({a + b - 1} + x + k) + lgamma({a + b - 1} + x) - lgamma(k + 1) + k * ln(z))) FROM range(0, 400) AS s(k))")
+    return f"""(SELECT *, expected_purchases * expected_value AS pred_bgnbd, expected_purchases * observed_aov AS pred_bgnbd_empirical FROM (
+SELECT *, ({a + b - 1} + x) / {a - 1} * (1 - pow(({al} + "T") / ({al} + "T" + {h}), {r} + x) * {series})
+  / (1 + CASE WHEN x > 0 THEN {a} / ({b} + x - 1) * pow(({al} + "T") / ({al} + recency), {r} + x) ELSE 0 END) AS expected_purchases,
+  {G['gg_p']} * ({G['gg_v']} + x * monetary_value) / ({G['gg_p']} * x + {G['gg_q']} - 1) AS expected_value
+FROM (SELECT *, CAST(frequency AS DOUBLE) AS x, {h} / ({al} + "T" + {h}) AS z FROM ({life}))))"""
+
+
+@o("mod2_given", "mod5_given", "joi17_given")
+def _mod2_given():
+    cols = ", ".join(rnd(f'"{c}"', f'"{c}"') for c in ("recency", "T", "monetary_value", "expected_purchases", "expected_value",
+                                                     "pred_bgnbd", "pred_bgnbd_empirical"))
+    return sql(f"SELECT customer_unique_id, frequency, {cols} FROM {_given_cte()}")
+
+
+@o("mod6_given", "mod4_given")
+def _mod6_given():
+    from patronage.operators.models import mean_spend_status
+    from patronage.registry import GIVEN
+    note = mean_spend_status(GIVEN["gg_q"])[1].replace("'", "''")
+    return sql(f"""SELECT count(*) AS n_customers, count(*) FILTER (WHERE frequency > 0) AS n_frequency_gt0,
+{rnd('100.0 * count(*) FILTER (WHERE frequency > 0) / count(*)', 'pct_frequency_gt0')},
+{rnd('min(expected_purchases)', 'expected_purchases_min')}, {rnd('max(expected_purchases)', 'expected_purchases_max')},
+{rnd('min(expected_value)', 'expected_value_min')}, count(*) FILTER (WHERE expected_value < 0) AS n_negative_expected_value,
+count(*) FILTER (WHERE pred_bgnbd < 0) AS n_negative_predictions, '{note}' AS gg_validity_note FROM {_given_cte()}""")
+
+
+@o("joi13_given", "joi14_given")
+def _joi13_given():
+    feats = ", ".join(rnd(f"p.{c}", c) if c in _DOUBLE_FEATS else f"p.{c}" for c in (
+        "recency", "frequency", "monetary", "tenure", "aov", "customer_state", "top_category"))
+    return sql(f"""SELECT p.customer_unique_id, {rnd('p.target', 'actual_90d_spend')},
+{rnd('coalesce(g.pred_bgnbd, 0.0)', 'pred_bgnbd')}, {rnd('coalesce(g.pred_bgnbd_empirical, 0.0)', 'pred_bgnbd_empirical')}, {feats}
+FROM (SELECT * FROM panel WHERE split = 'test') p LEFT JOIN (SELECT * FROM {_given_cte()} WHERE customer_unique_id % 3 <> 0) g
+ON g.customer_unique_id = p.customer_unique_id""")
+
+
 @o("snk1_analytics")
 def _snk1_analytics():
     tables = {"kpis": "agg4", "monthly_trend": "agg5", "states": "agg8", "category_monthly": "agg9",

@@ -91,7 +91,7 @@ def point_metrics(scores: DataFrame, fraction: float = TOP_FRACTION) -> DataFram
         F.sum("p").alias("predicted_total"),
         F.sum("y").alias("actual_total"),
         F.count_if(F.col("y") > 0).alias("n_positives"))
-    per = per.withColumn("k", F.greatest(F.floor(F.lit(fraction) * F.col("size")), F.lit(1)))
+    per = materialize(per.withColumn("k", F.greatest(F.floor(F.lit(fraction) * F.col("size")), F.lit(1))))
     middle = (F.col("size") + 1) / 2
     sizes = F.broadcast(per.select("model", "size"))  # a row a model
 
@@ -213,6 +213,7 @@ def target_top(scores: DataFrame, fraction: float = TOP_FRACTION) -> DataFrame:
                                               F.count_if(F.col("y") > 0).alias("n_returners"))
     sizes = scores.groupBy("model").agg(F.count(F.lit(1)).alias("size"), F.sum("y").alias("revenue_total")) \
         .withColumn("k", F.greatest(F.floor(F.col("size") * fraction), F.lit(1)))
+    sizes = materialize(sizes)
     top = _top_sums(materialize(_mid_ranks(values, "p")), scores, sizes,
                     {"revenue_in_group": "y", "n_returners": "cast(y > 0 as long)"})
     res = top.join(sizes.select("model", "revenue_total"), "model")

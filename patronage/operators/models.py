@@ -261,6 +261,43 @@ def fit_bgnbd(summary: DataFrame, penalizer: float = BGNBD_PENALIZER) -> dict:
     return {"r": r, "alpha": alpha * unit, "a": a, "b": b}
 
 
+def mean_spend(p: float, q: float, v: float) -> Column:
+    """The Gamma-Gamma model's expected value of a purchase."""
+    x = F.col("frequency").cast("double")
+    return F.lit(p) * (F.lit(v) + x * F.col("monetary_value")) / (F.lit(p) * x + q - 1)
+
+
+def predictions(summary: DataFrame, orders: DataFrame, origin: str, params: dict, exp_value: Column,
+                horizon_days: int) -> DataFrame:
+    """MOD2, MOD5, JOI17: expected purchases and value per customer of the
+    summary, and their product with the fitted and with the observed value
+    (aligned by customer; missing → the mean)."""
+    aov = observed_aov(orders, origin)
+    mean_aov = summary.join(aov, CUSTOMER_KEY, "left").agg(F.avg("observed_aov").alias("__maov"))
+    summary = expected_purchases(summary, params, float(horizon_days))
+    return (with_one_row(summary.join(aov, CUSTOMER_KEY, "left"), mean_aov)
+            .withColumn("expected_value", exp_value)
+            .withColumn("pred_bgnbd", F.col("expected_purchases") * F.col("expected_value"))
+            .withColumn("pred_bgnbd_empirical",
+                        F.col("expected_purchases") * F.coalesce(F.col("observed_aov"), F.col("__maov")))
+            .select(CUSTOMER_KEY, "frequency", "recency", "T", "monetary_value", "expected_purchases",
+                    "expected_value", "pred_bgnbd", "pred_bgnbd_empirical"))
+
+
+def diagnostics(pred: DataFrame, note: str) -> DataFrame:
+    """MOD6 of predictions."""
+    return pred.agg(
+        F.count(F.lit(1)).alias("n_customers"),
+        F.count_if(F.col("frequency") > 0).alias("n_frequency_gt0"),
+        (F.lit(100.0) * F.count_if(F.col("frequency") > 0) / F.count(F.lit(1))).alias("pct_frequency_gt0"),
+        F.min("expected_purchases").alias("expected_purchases_min"),
+        F.max("expected_purchases").alias("expected_purchases_max"),
+        F.min("expected_value").alias("expected_value_min"),
+        F.count_if(F.col("expected_value") < 0).alias("n_negative_expected_value"),
+        F.count_if(F.col("pred_bgnbd") < 0).alias("n_negative_predictions"),
+    ).withColumn("gg_validity_note", F.lit(note))
+
+
 def fit_probabilistic(orders: DataFrame, origin: str, horizon_days: int = 90,
                       penalizer: float = BGNBD_PENALIZER, min_repeat: int = 50) -> ProbabilisticFit:
     """MOD1-MOD6 at one origin."""
@@ -277,34 +314,14 @@ def fit_probabilistic(orders: DataFrame, origin: str, horizon_days: int = 90,
         p, q, v = (math.exp(x) for x in ug)
         params.update({"gg_p": p, "gg_q": q, "gg_v": v})
         gg_fitted = True
-        x, m = F.col("frequency").cast("double"), F.col("monetary_value")
-        exp_value = F.lit(p) * (F.lit(v) + x * m) / (F.lit(p) * x + q - 1)
+        exp_value = mean_spend(p, q, v)
     else:
         mean_m = gg.agg(F.avg("monetary_value").alias("__mm"))
         summary = with_one_row(summary, mean_m)
         exp_value = F.col("__mm")
     valid, note = mean_spend_status(params.get("gg_q"))
-
-    aov = observed_aov(orders, origin)
-    mean_aov = summary.join(aov, CUSTOMER_KEY, "left").agg(F.avg("observed_aov").alias("__maov"))
-    summary = expected_purchases(summary, params, float(horizon_days))
-    pred = (with_one_row(summary.join(aov, CUSTOMER_KEY, "left"), mean_aov)
-            .withColumn("expected_value", exp_value)
-            .withColumn("pred_bgnbd", F.col("expected_purchases") * F.col("expected_value"))
-            .withColumn("pred_bgnbd_empirical",
-                        F.col("expected_purchases") * F.coalesce(F.col("observed_aov"), F.col("__maov")))
-            .select(CUSTOMER_KEY, "frequency", "recency", "T", "monetary_value", "expected_purchases",
-                    "expected_value", "pred_bgnbd", "pred_bgnbd_empirical"))
-    diag = pred.agg(
-        F.count(F.lit(1)).alias("n_customers"),
-        F.count_if(F.col("frequency") > 0).alias("n_frequency_gt0"),
-        (F.lit(100.0) * F.count_if(F.col("frequency") > 0) / F.count(F.lit(1))).alias("pct_frequency_gt0"),
-        F.min("expected_purchases").alias("expected_purchases_min"),
-        F.max("expected_purchases").alias("expected_purchases_max"),
-        F.min("expected_value").alias("expected_value_min"),
-        F.count_if(F.col("expected_value") < 0).alias("n_negative_expected_value"),
-        F.count_if(F.col("pred_bgnbd") < 0).alias("n_negative_predictions"),
-    ).withColumn("gg_validity_note", F.lit(note))
+    pred = predictions(summary, orders, origin, params, exp_value, horizon_days)
+    diag = diagnostics(pred, note)
     return ProbabilisticFit(params, gg_fitted, valid, note, pred, diag)
 
 

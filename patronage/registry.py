@@ -666,6 +666,38 @@ def _mod6(ctx):
     return prob_fit(ctx).diagnostics
 
 
+#: Parameters as a caller may have them from an earlier fit; SQL can state what follows from them.
+GIVEN = {"r": 0.8, "alpha": 150.0, "a": 1.7, "b": 2.5, "gg_p": 6.0, "gg_q": 0.7, "gg_v": 1500.0}
+
+
+def given_predictions(ctx):
+    return ctx._get("given", lambda: materialize(MD.predictions(
+        PN.lifetimes_summary(ctx.orders, ctx.params.test_origin), ctx.orders, ctx.params.test_origin, GIVEN,
+        MD.mean_spend(GIVEN["gg_p"], GIVEN["gg_q"], GIVEN["gg_v"]), ctx.params.horizon_days)))
+
+
+@register("mod2_given", "mod5_given", "joi17_given")
+def _mod2_given(ctx):
+    """Expected purchases, values and both predictions under given parameters."""
+    return given_predictions(ctx)
+
+
+@register("mod6_given", "mod4_given")
+def _mod6_given(ctx):
+    """Diagnostics and validity note under given parameters."""
+    return MD.diagnostics(given_predictions(ctx), MD.mean_spend_status(GIVEN["gg_q"])[1])
+
+
+@register("joi13_given", "joi14_given")
+def _joi13_given(ctx):
+    """Given predictions of some of the customers aligned to the test panel (missing → 0), with the features."""
+    preds = given_predictions(ctx).where(F.pmod("customer_unique_id", F.lit(3)) != 0) \
+        .select("customer_unique_id", "pred_bgnbd", "pred_bgnbd_empirical")
+    return DB.aligned_scores(split(ctx, "test").withColumnRenamed("target", "actual_90d_spend"), preds) \
+        .select("customer_unique_id", "actual_90d_spend", "pred_bgnbd", "pred_bgnbd_empirical", "recency", "frequency",
+                "monetary", "tenure", "aov", "customer_state", "top_category")
+
+
 @register("agg32")
 def _agg32(ctx):
     return MD.gamma_gamma_assumption(PN.lifetimes_summary(ctx.orders, ctx.params.test_origin))
