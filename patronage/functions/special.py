@@ -80,3 +80,27 @@ def log_gamma(x) -> np.ndarray:
     for i in range(8):
         out = out - np.log(x + i)
     return out
+
+
+#: Bernoulli numbers B2, B4, ... of the asymptotic series.
+_BERNOULLI = (1 / 6, -1 / 30, 1 / 42, -1 / 30, 5 / 66, -691 / 2730)
+
+
+def digamma(x) -> np.ndarray:
+    """ψ(x), the derivative of ln Γ, for an array of x > 0: shift by 8, then the asymptotic series."""
+    x = np.asarray(x, dtype=float)
+    w = x + 8.0
+    out = np.log(w) - 1 / (2 * w) - sum(b / (2 * k * w ** (2 * k)) for k, b in enumerate(_BERNOULLI, 1))
+    for i in range(8):
+        out = out - 1 / (x + i)
+    return out
+
+
+def trigamma(x) -> np.ndarray:
+    """ψ'(x), the derivative of ``digamma``, for an array of x > 0."""
+    x = np.asarray(x, dtype=float)
+    w = x + 8.0
+    out = 1 / w + 1 / (2 * w * w) + sum(b / w ** (2 * k + 1) for k, b in enumerate(_BERNOULLI, 1))
+    for i in range(8):
+        out = out + 1 / (x + i) ** 2
+    return out

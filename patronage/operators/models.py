@@ -1,9 +1,8 @@
 """Models (MOD1-MOD11): BG/NBD + Gamma-Gamma, Tweedie and L2 models, importances, what-if.
 
 Probabilistic models: the per-customer summary is compressed to
-``(x, t_x, T) → weight`` by a distributed groupBy. An optimiser step is one job:
-each partition returns its weighted log-likelihood sums (numpy arrays) for a
-batch of candidate parameters, and only the sums of these reach the driver.
+``(x, t_x, T) → weight`` by a distributed groupBy and fitted in ``likelihood``,
+one job a pass.
 Boosted models are in ``boosting``; the linear companion is Spark ML's GLM.
 """
 
@@ -21,144 +20,13 @@ from pyspark.sql import types as T
 
 from patronage.config import BGNBD_PENALIZER, CATEGORICAL_FEATURES, CUSTOMER_KEY, TWEEDIE_POWER
 from patronage.functions.columns import safe_corr
-from patronage.functions.special import hyp2f1, lgamma, log_gamma, rising_log_sum
+from patronage.functions.special import hyp2f1, lgamma, rising_log_sum
 from patronage.operators.boosting import BoostedModel, Settings, boost
+from patronage.operators.likelihood import bgnbd_terms, fit, gamma_gamma_terms
 from patronage.operators.panel import NUMERIC_FEATURES, lifetimes_summary, observed_aov
 from patronage.plans.joins import with_one_row
 from patronage.session import materialize, ship_package
 
-# ---------------------------------------------------------------------------
-# Batched optimiser (driver side, over aggregate sums only)
-# ---------------------------------------------------------------------------
-
-
-def _minimise(evaluate, u0: list[float], h: float = 1e-4, max_iter: int = 80, tol: float = 1e-10):
-    """Trust-region Newton in log-parameter space, ONE Spark pass per iteration.
-
-    ``evaluate(points) -> values`` is one aggregation. Each pass evaluates the
-    finite-difference stencil around the current point (centre, ±h·e_i,
-    h·(e_i + e_j)), giving gradient and full Hessian; the step solves the
-    damped Newton system inside a trust radius. The next pass is centred on the
-    proposed point, so its centre value accepts or rejects the step.
-    """
-    import numpy as np
-    d = len(u0)
-    pairs = [(i, j) for i in range(d) for j in range(i + 1, d)]
-
-    def stencil(u):
-        pts = [list(u)]
-        for i in range(d):
-            for sgn in (1, -1):
-                p = list(u)
-                p[i] += sgn * h
-                pts.append(p)
-        for i, j in pairs:
-            p = list(u)
-            p[i] += h
-            p[j] += h
-            pts.append(p)
-        return pts
-
-    def model(u, vals):
-        f0 = vals[0]
-        fp = [vals[1 + 2 * i] for i in range(d)]
-        fm = [vals[2 + 2 * i] for i in range(d)]
-        g = np.array([(fp[i] - fm[i]) / (2 * h) for i in range(d)])
-        H = np.zeros((d, d))
-        for i in range(d):
-            H[i, i] = (fp[i] - 2 * f0 + fm[i]) / (h * h)
-        for k, (i, j) in enumerate(pairs):
-            fij = vals[1 + 2 * d + k]
-            H[i, j] = H[j, i] = (fij - fp[i] - fp[j] + f0) / (h * h)
-        return f0, g, H
-
-    def step(g, H, radius):
-        lam = max(0.0, -float(np.linalg.eigvalsh(H).min()) + 1e-8)
-        delta = -np.linalg.solve(H + lam * np.eye(d), g)
-        norm = float(np.linalg.norm(delta))
-        return delta * (radius / norm) if norm > radius else delta
-
-    u = np.array(u0, dtype=float)
-    vals = evaluate(stencil(list(u)))
-    f_cur, g, H = model(u, vals)
-    radius = 1.0
-    for _ in range(max_iter):
-        if not np.all(np.isfinite(g)) or float(np.linalg.norm(g)) < 1e-9:
-            break
-        cand = u + step(g, H, radius)
-        vals = evaluate(stencil(list(cand)))
-        f_new = vals[0]
-        if np.isfinite(f_new) and f_new < f_cur:
-            improvement = f_cur - f_new
-            u, (f_cur, g, H) = cand, model(cand, vals)
-            radius = min(radius * 2.0, 5.0)
-            if improvement < tol * max(1.0, abs(f_cur)):
-                break
-        else:
-            radius /= 4.0
-            if radius < 1e-8:
-                break
-    return list(u), f_cur
-
-
-def _batch_eval(table: DataFrame, ll_np: callable, columns: list[str], weight: str, penalizer: float):
-    """Objective for each candidate: −Σw·ll/Σw + penalizer·Σθ² (θ = exp(u)).
-
-    One Spark job per call: every partition of the compressed table returns
-    its weighted log-likelihood partial sums for all candidates (numpy inside
-    the task), and Spark adds them up; only K numbers reach the driver.
-    """
-    def evaluate(points: list[list[float]]) -> list[float]:
-        thetas = [[math.exp(v) for v in u] for u in points]
-        k = len(thetas)
-
-        def part(it):
-            import numpy as np
-            import pandas as pd
-            acc = np.zeros(k + 1)
-            for pdf in it:
-                w = pdf[weight].to_numpy(dtype=float)
-                cols = [pdf[c].to_numpy(dtype=float) for c in columns]
-                acc[k] += w.sum()
-                for j, th in enumerate(thetas):
-                    with np.errstate(all="ignore"):
-                        acc[j] += float(np.sum(w * ll_np(*cols, *th)))
-            yield pd.DataFrame([acc], columns=[f"l{j}" for j in range(k)] + ["__w"])
-
-        schema = ", ".join(f"l{j} double" for j in range(k)) + ", __w double"
-        ship_package(table.sparkSession)
-        row = table.select(weight, *columns).mapInPandas(part, schema) \
-            .agg(*[F.sum(f"l{j}").alias(f"l{j}") for j in range(k)], F.sum("__w").alias("__w")).first()
-        out = []
-        for j, th in enumerate(thetas):
-            ll = row[f"l{j}"]
-            bad = ll is None or ll != ll or row["__w"] in (None, 0)
-            out.append(math.inf if bad else -ll / row["__w"] + penalizer * sum(t * t for t in th))
-        return out
-    return evaluate
-
-
-def bgnbd_loglik_np(x, tx, T, r, alpha, a, b):
-    """Same log-likelihood as ``bgnbd_loglik``, vectorised in numpy (for the fit)."""
-    import numpy as np
-    lg = log_gamma
-    a1a2 = lg(r + x) - math.lgamma(r) + r * math.log(alpha) + math.lgamma(a + b) + lg(b + x) - math.lgamma(b) \
-        - lg(a + b + x)
-    a3 = -(r + x) * np.log(alpha + T)
-    with np.errstate(all="ignore"):
-        a4 = math.log(a) - np.log(np.where(x > 0, b + x - 1, 1.0)) - (r + x) * np.log(alpha + tx)
-    m = np.maximum(a3, a4)
-    lse = m + np.log(np.exp(a3 - m) + np.exp(a4 - m))
-    return a1a2 + np.where(x > 0, lse, a3)
-
-
-def gamma_gamma_loglik_np(x, m, p, q, v):
-    import numpy as np
-    px = p * x
-    return (log_gamma(px + q) - log_gamma(px) - math.lgamma(q) + q * math.log(v) + (px - 1) * np.log(m)
-            + px * np.log(x) - (px + q) * np.log(x * m + v))
-
-
 # ---------------------------------------------------------------------------
 # BG/NBD (Fader, Hardie & Lee 2005) and Gamma-Gamma (Fader & Hardie 2013)
 # ---------------------------------------------------------------------------
@@ -228,9 +96,10 @@ class ProbabilisticFit:
     diagnostics: DataFrame = field(default=None)
 
     def params_frame(self, spark) -> DataFrame:
-        """SNK4: fitted parameters as a one-row table."""
-        keys = ["r", "alpha", "a", "b", "gg_p", "gg_q", "gg_v"]
-        row = [float(self.params[k]) if self.params.get(k) is not None else None for k in keys]
+        """SNK4: fitted parameters and standard errors as a one-row table."""
+        names = ["r", "alpha", "a", "b", "gg_p", "gg_q", "gg_v"]
+        keys = names + [f"{k}_se" for k in names]
+        row = [float(self.params[k]) if math.isfinite(self.params.get(k, math.nan)) else None for k in keys]
         schema = ", ".join(f"{k} double" for k in keys) + ", gg_fitted boolean, gg_valid boolean, note string"
         return spark.createDataFrame([tuple(row) + (self.gg_fitted, self.gg_valid, self.note)], schema)
 
@@ -246,7 +115,7 @@ def gamma_gamma_assumption(summary: DataFrame) -> DataFrame:
 
 
 def fit_bgnbd(summary: DataFrame, penalizer: float = BGNBD_PENALIZER) -> dict:
-    """MOD1: r, α, a, b from (frequency, recency, T).
+    """MOD1: r, α, a, b from (frequency, recency, T), and their standard errors (``r_se`` ...).
 
     Time is measured in units of the longest T while fitting, so that the
     penalty on α does not depend on the unit of the data; α is scaled back.
@@ -255,10 +124,10 @@ def fit_bgnbd(summary: DataFrame, penalizer: float = BGNBD_PENALIZER) -> dict:
     unit = float(longest) if longest else 1.0
     comp = materialize(summary.groupBy("frequency", "recency", "T").agg(F.count(F.lit(1)).alias("w"))
                        .select("frequency", (F.col("recency") / unit).alias("recency"), (F.col("T") / unit).alias("T"), "w"))
-    ev = _batch_eval(comp, bgnbd_loglik_np, ["frequency", "recency", "T"], "w", penalizer)
-    u, _ = _minimise(ev, [0.0, 0.0, 0.0, 0.0])
-    r, alpha, a, b = (math.exp(v) for v in u)
-    return {"r": r, "alpha": alpha * unit, "a": a, "b": b}
+    found = fit(comp, bgnbd_terms, ["frequency", "recency", "T"], "w", 4, penalizer)
+    scale = {"r": 1.0, "alpha": unit, "a": 1.0, "b": 1.0}
+    params = {k: float(v) * f for (k, f), v in zip(scale.items(), found.theta, strict=True)}
+    return params | {f"{k}_se": float(v) * f for (k, f), v in zip(scale.items(), found.errors, strict=True)}
 
 
 def mean_spend(p: float, q: float, v: float) -> Column:
@@ -309,10 +178,10 @@ def fit_probabilistic(orders: DataFrame, origin: str, horizon_days: int = 90,
     n_gg = gg_comp.agg(F.coalesce(F.sum("w"), F.lit(0)).alias("n")).first()["n"]
     gg_fitted = False
     if n_gg >= min_repeat:
-        ev_gg = _batch_eval(gg_comp, gamma_gamma_loglik_np, ["frequency", "monetary_value"], "w", penalizer)
-        ug, _ = _minimise(ev_gg, [0.0, 0.0, 0.0])
-        p, q, v = (math.exp(x) for x in ug)
+        found = fit(gg_comp, gamma_gamma_terms, ["frequency", "monetary_value"], "w", 3, penalizer)
+        p, q, v = (float(x) for x in found.theta)
         params.update({"gg_p": p, "gg_q": q, "gg_v": v})
+        params.update({f"gg_{k}_se": float(e) for k, e in zip("pqv", found.errors, strict=True)})
         gg_fitted = True
         exp_value = mean_spend(p, q, v)
     else:
