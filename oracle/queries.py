@@ -269,7 +269,7 @@ FROM (SELECT count(*) AS customers, count(*) FILTER (WHERE n_orders > 1) AS repe
 
 # ---------------------------------------------------------------- KPIs
 @o("agg4")
-def _agg4():
+def _agg4(om="om"):
     return sql(f"""
 SELECT CASE WHEN n_orders = 0 THEN 0.0 ELSE {rnd('total_revenue', 'x')[:-5]} END AS total_revenue,
        n_orders, n_customers,
@@ -281,10 +281,10 @@ SELECT CASE WHEN n_orders = 0 THEN 0.0 ELSE {rnd('total_revenue', 'x')[:-5]} END
        CASE WHEN n_orders = 0 THEN 0.0 ELSE {rnd('late_delivery_rate', 'x')[:-5]} END AS late_delivery_rate
 FROM (SELECT sum(order_revenue) AS total_revenue, count(*) AS n_orders, avg(order_revenue) AS aov,
              avg(n_items) AS avg_items_per_order, avg(review_score) AS avg_review_score,
-             avg(CAST(delivered_late AS DOUBLE)) * 100.0 AS late_delivery_rate FROM om) o
+             avg(CAST(delivered_late AS DOUBLE)) * 100.0 AS late_delivery_rate FROM {om} o1) o
 CROSS JOIN (SELECT count(*) AS n_customers, avg(CASE WHEN occ > 1 THEN 100.0 ELSE 0.0 END) AS repeat_purchase_rate
             FROM (SELECT customer_unique_id, count(DISTINCT CAST(order_purchase_timestamp AS DATE)) AS occ
-                  FROM om GROUP BY 1)) c""")
+                  FROM {om} o2 GROUP BY 1)) c""")
 
 
 @o("agg5", "agg6", "win1", "joi10")
@@ -316,13 +316,13 @@ ORDER BY revenue DESC, product_category LIMIT 15""")
 
 
 @o("agg8")
-def _agg8():
+def _agg8(om="om"):
     return sql(f"""
 SELECT customer_state, {rnd('revenue', 'revenue')}, orders, customers, {rnd('aov', 'aov')},
        {rnd('avg_review', 'avg_review')}, {rnd('100.0 * revenue / sum(revenue) OVER ()', 'pct_revenue')}
 FROM (SELECT customer_state, sum(order_revenue) AS revenue, count(*) AS orders,
              count(DISTINCT customer_unique_id) AS customers, avg(order_revenue) AS aov, avg(review_score) AS avg_review
-      FROM om WHERE customer_state IS NOT NULL GROUP BY 1)""")
+      FROM {om} o1 WHERE customer_state IS NOT NULL GROUP BY 1)""")
 
 
 @o("agg9")
@@ -911,6 +911,31 @@ def _fil13():
                "AND order_purchase_timestamp <= TIMESTAMP '2000-06-30 00:00:00'")
 
 
+SLICE = ("(SELECT * FROM om WHERE customer_state IN ('NATION_1', 'NATION_2', 'NATION_3') "
+         "AND order_purchase_timestamp >= TIMESTAMP '2000-01-01 00:00:00' "
+         "AND order_purchase_timestamp <= TIMESTAMP '2000-06-30 00:00:00')")
+
+
+@o("agg4_slice")
+def _agg4_slice():
+    return _agg4(SLICE)
+
+
+@o("agg5_slice")
+def _agg5_slice():
+    return sql(f"""
+SELECT order_month, {rnd('sum(order_revenue)', 'revenue')}, count(*) AS orders,
+       count(DISTINCT customer_unique_id) AS customers, {rnd('avg(order_revenue)', 'aov')},
+       {rnd('avg(review_score)', 'avg_review')}, {rnd('avg(CAST(delivered_late AS DOUBLE)) * 100.0', 'late_rate')},
+       {rnd('sum(order_revenue) / count(DISTINCT customer_unique_id)', 'revenue_per_customer')}
+FROM {SLICE} GROUP BY order_month""")
+
+
+@o("agg8_slice")
+def _agg8_slice():
+    return _agg8(SLICE)
+
+
 @o("fil14")
 def _fil14():
     return sql(f"SELECT {RFM_COLS}, R, F, M, rfm_score, segment FROM seg "

@@ -459,6 +459,7 @@ def reduce_union(parts):
 
 
 # ---------------------------------------------------------------- slices
+from patronage.operators import cube as CU  # noqa: E402
 from patronage.operators import dashboard as DB  # noqa: E402
 from patronage.operators import slices as SL  # noqa: E402
 
@@ -471,6 +472,28 @@ def _fil13(ctx):
     return SL.apply_filters(ctx.orders, SAMPLE_FILTERS)
 
 
+def slice_cube(ctx):
+    return ctx._get("cube", lambda: CU.build_cube(ctx.orders))
+
+
+@register("agg4_slice")
+def _agg4_slice(ctx):
+    """Headline figures of a slice, from the cube."""
+    return CU.headline(slice_cube(ctx), SAMPLE_FILTERS)
+
+
+@register("agg5_slice")
+def _agg5_slice(ctx):
+    """Months of a slice, from the cube."""
+    return CU.months(slice_cube(ctx), SAMPLE_FILTERS)
+
+
+@register("agg8_slice")
+def _agg8_slice(ctx):
+    """States of a slice, from the cube."""
+    return CU.states(slice_cube(ctx), SAMPLE_FILTERS)
+
+
 @register("fil14")
 def _fil14(ctx):
     return SL.filter_customers(segmented(ctx), SL.Filters(states=("NATION_1", "NATION_2"),
