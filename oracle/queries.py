@@ -96,7 +96,7 @@ customer_state, top_category, {rev}, {rec}, {ten}, {obs}, is_repeat, split_baske
     obs=rnd("observed_days", "observed_days"))
 
 
-@o("agg11")
+@o("agg11", "agg11_by_customer")
 def _agg11():
     return sql(f"SELECT {RFM_COLS} FROM rfm")
 
@@ -352,7 +352,7 @@ FROM om""")
 
 
 # ---------------------------------------------------------------- cohorts
-@o("agg16")
+@o("agg16", "agg16_by_customer")
 def _agg16():
     return sql("SELECT order_id, customer_unique_id, order_month, cohort_month, month_index FROM cohort_tab")
 
@@ -526,7 +526,7 @@ FROM ({pc}) c LEFT JOIN panel p ON c.origin = p.origin AND c.customer_unique_id
 GROUP BY c.origin""")
 
 
-@o("fea11", "win3")
+@o("fea11", "fea11_by_customer", "win3")
 def _fea11():
     ot = f"TIMESTAMP '{P.test_origin} 00:00:00'"
     return sql(f"""

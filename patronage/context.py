@@ -10,10 +10,11 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from patronage.config import TESTDATA_PARAMS, Params
+from patronage.config import CUSTOMER_KEY, TESTDATA_PARAMS, Params
 from patronage.operators.clean import Ledger, clean_all
 from patronage.operators.marts import build_orders, build_transactions
 from patronage.session import materialize
+from patronage.sources.layout import bucketed
 from patronage.sources.testdata import canonical_tables, purchase_events
 
 
@@ -58,6 +59,11 @@ class Context:
     def orders(self) -> DataFrame:
         return self._get("orders", lambda: materialize(build_orders(self.transactions)))
 
+    @property
+    def customer_orders(self) -> DataFrame:
+        """The order mart laid out by customer."""
+        return self._get("customer_orders", lambda: bucketed(self.orders, CUSTOMER_KEY, ["order_purchase_timestamp"]))
+
     @property
     def purchases(self) -> DataFrame:
         return self._get("purchases", lambda: purchase_events(self.spark, self.sf_dir))

@@ -634,6 +634,25 @@ def _snk1_analytics(ctx):
                          for name, df in tables.items()])
 
 
+@register("agg11_by_customer")
+def _agg11_by_customer(ctx):
+    """RFM values from the order mart laid out by customer (no exchange on the customer)."""
+    return RF.build_rfm(ctx.customer_orders)
+
+
+@register("agg16_by_customer")
+def _agg16_by_customer(ctx):
+    """Orders with their cohorts from the order mart laid out by customer."""
+    return CO.build_cohort_table(ctx.customer_orders).select("order_id", "customer_unique_id", "order_month",
+                                                             "cohort_month", "month_index")
+
+
+@register("fea11_by_customer")
+def _fea11_by_customer(ctx):
+    """Lifetime summary from the order mart laid out by customer."""
+    return PN.lifetimes_summary(ctx.customer_orders, ctx.params.test_origin)
+
+
 @register("snk2")
 def _snk2(ctx):
     return SK.shrink(ctx.orders, SK.ORDER_COLS)
