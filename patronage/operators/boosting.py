@@ -3,14 +3,15 @@
 Features are binned once: at most ``BINS`` value bins from mergeable quantiles,
 a bin for missing values; a category has a bin for each level and one for what is
 missing or unknown. The binned rows are written in blocks and stay where they
-are. A pass sums first and second derivatives and counts for each (leaf, feature,
-bin) in every task; only these sums, whose size does not depend on the rows, are
-added up and come to the driver, which picks the splits.
+are, in at most one partition for each core. A pass sums first and second
+derivatives and counts for each (leaf, feature, bin) in every task. The sums are
+dealt out by groups of features, added up and searched there; the driver gets only
+each group's best split of a leaf and picks among them.
 
 A tree grows best-first: the leaf with most gain is split next, up to ``leaves``
 leaves. A pass brings the sums of the smaller child of every leaf that may still
-be split (its sibling is the parent less it), so a tree takes about as many passes
-as it is deep. Several models (Tweedie and squared loss) share every pass, and the
+be split (its sibling is the parent less it; the parent's sums stay with the group
+until the tree is done), so a tree takes about as many passes as it is deep. Several models (Tweedie and squared loss) share every pass, and the
 pass for the next root measures the validation rows.
 
 Which rows a round uses follows from a hash of their key, which features from a
@@ -43,9 +44,11 @@ from patronage.session import checkpoint_dir, materialize, ship_package
 #: Value bins of a number; levels of a category that have a bin of their own (the most frequent).
 BINS, LEVELS = 254, 4096
 #: Rows in a block, rounds between writes of the scores, blocks whose scores a worker remembers.
-BLOCK, KEEP, REMEMBERED = 1 << 16, 32, 16
-#: Partitions whose sums are added on the driver; more are added in two steps.
-DIRECT = 32
+BLOCK, KEEP, REMEMBERED = 1 << 16, 32, 96
+#: Groups of features, each searched by one task.
+DIRECT = 8
+#: Rows of a leaf in a block that are summed for all features in one step.
+FEW = 4096
 
 
 @dataclass(frozen=True)
@@ -183,9 +186,11 @@ def leaves_of(splits: list[Split], bins: np.ndarray, rows: np.ndarray) -> dict[i
     return at
 
 
-def best_splits(sums: np.ndarray, binning: Binning, s: Settings, allowed: np.ndarray) -> list[tuple | None]:
+def best_splits(sums: np.ndarray, binning: Binning, s: Settings, allowed: np.ndarray,
+                total: np.ndarray | None = None) -> list[tuple | None]:
     """(gain, feature, left bins, sums of the children) of the best split of each
-    leaf, None if there is none. ``sums`` is (leaves, bins of all features, 3).
+    leaf, None if there is none. ``sums`` is (leaves, bins of all features, 3),
+    ``total`` (leaves, 3) that of all rows, by default the sum of the first feature's bins.
 
     Numbers are cut between bins, with what is missing on either side;
     categories are ordered by slope over curvature and cut like numbers. A bin
@@ -196,7 +201,7 @@ def best_splits(sums: np.ndarray, binning: Binning, s: Settings, allowed: np.nda
     ends = np.cumsum(sizes)
     starts = ends - sizes
     of = np.repeat(np.arange(len(sizes)), sizes)
-    total = sums[:, :ends[0]].sum(axis=1)
+    total = sums[:, :ends[0]].sum(axis=1) if total is None else total
     put, orders = sums, {}
     for f in range(numbers, len(sizes)):
         own = sums[:, starts[f]:ends[f]]
@@ -277,6 +282,16 @@ class Growing:
                               strict=True))
         self.wanted = []
 
+    def families(self) -> list[tuple[int, int | None, int | None]]:
+        """(leaf, sibling, parent) of each leaf wanted; the root has neither."""
+        of = {c: (s.right if c == s.left else s.left, s.node) for s in self.splits for c in (s.left, s.right)}
+        return [(n, *of.get(n, (None, None))) for n in self.wanted]
+
+    def learn(self, best: dict[int, tuple | None]) -> None:
+        """The best splits of the leaves wanted and of their siblings."""
+        self.found.update((n, x) for n, x in best.items() if n not in self.found)
+        self.wanted = []
+
     def choose(self) -> Tree | None:
         """The tree, if what is known tells it; otherwise the leaves that it may
         still split become splits whose smaller child is wanted."""
@@ -382,7 +397,14 @@ def sums_of(block: Block, ask: Ask, score: np.ndarray, offsets: np.ndarray, widt
     g, h = settings.slopes(block.y, score)
     for k, node in enumerate(wanted):
         own = at[node]
-        if len(own):
+        if len(own) > FEW:  # a feature at a time: the same sums without a copy of each weight for every feature
+            bins, weights = np.ascontiguousarray(block.bins[own].T), (g[own], h[own])
+            for f, (a, b) in enumerate(zip(offsets, [*offsets[1:], width], strict=True)):
+                of = bins[f].astype(np.intp)
+                for j, weight in enumerate(weights):
+                    out[k, a:b, j] = np.bincount(of, weight, b - a)
+                out[k, a:b, 2] = np.bincount(of, minlength=b - a)
+        elif len(own):
             flat = (block.bins[own] + offsets).ravel()
             for j, weight in enumerate((g[own], h[own])):
                 out[k, :, j] = np.bincount(flat, np.repeat(weight, len(offsets)), width)
@@ -390,47 +412,153 @@ def sums_of(block: Block, ask: Ask, score: np.ndarray, offsets: np.ndarray, widt
     return out
 
 
-def added(a: list, b: list) -> list:
-    return [(x[0] + y[0], x[1] + y[1], x[2] + y[2], x[3] or y[3]) for x, y in zip(a, b, strict=True)]
-
-
-def passed(blocks, fit: str, asks: list[Ask], sizes: np.ndarray) -> list[tuple]:
-    """One job: for each ask the sums of the leaves that its tree wants, deviance
-    and number of the validation rows, and the tree where it was grown whole."""
+def grown(blocks, fit: str, asks: list[Ask], sizes: np.ndarray) -> list[tuple]:
+    """One job where one partition has all training rows: for each ask deviance and
+    number of the validation rows, and the whole tree."""
     offsets, width = np.cumsum(sizes) - sizes, int(sizes.sum())
     lean = [replace(a, growing=a.growing.lean()) for a in asks]
 
     def run(part: Iterator[Block]) -> Iterator[list]:
-        out = [[np.zeros((len(a.growing.wanted), width, 3)), 0.0, 0, None] for a in lean]
+        out = [[0.0, 0, None] for _ in lean]
         kept = []
         for b in part:
-            if not b.valid and lean[0].whole:
+            if not b.valid:
                 kept.append(b)
                 continue
             for k, a in enumerate(lean):
-                if b.valid and not a.measure:
-                    continue
-                score = score_of(fit, b, a.model, a.trees)
-                if b.valid:
-                    out[k][1] += a.growing.settings.deviance(b.y, score)
-                    out[k][2] += len(b.y)
-                else:
-                    out[k][0] += sums_of(b, a, score, offsets, width)
+                if a.measure:
+                    score = score_of(fit, b, a.model, a.trees)
+                    out[k][0] += a.growing.settings.deviance(b.y, score)
+                    out[k][1] += len(b.y)
         for k, a in enumerate(lean if kept else []):
             scores, tree = [score_of(fit, b, a.model, a.trees) for b in kept], None
             while tree is None:
                 a.growing.take(sum(sums_of(b, a, f, offsets, width) for b, f in zip(kept, scores, strict=True)))
                 tree = a.growing.choose()
-            out[k][3] = tree
-        yield [tuple(x) for x in out]
-    sums = blocks.mapPartitions(run)
-    if blocks.getNumPartitions() > DIRECT:
-        return sums.treeReduce(added, 2)
-    parts = sums.collect()
-    total = parts[0]
-    for p in parts[1:]:
-        total = added(total, p)
-    return total
+            out[k][2] = tree
+        yield out
+    parts = blocks.mapPartitions(run).collect()
+    return [(sum(p[k][0] for p in parts), sum(p[k][1] for p in parts), next((p[k][2] for p in parts if p[k][2]), None))
+            for k in range(len(asks))]
+
+
+def group_of(key: tuple[int, int]) -> int:
+    """Partition of a (model, group of features)."""
+    return key[1]
+
+
+@dataclass
+class Dealt:
+    """The sums of the leaves that the trees of a round may still split, where their
+    groups of features are searched: an RDD of ((model, group), ({leaf: (sums, total)},
+    answers)). It lasts until the next pass, and its lineage no longer than the round."""
+    groups: dict[int, list[np.ndarray]]
+    held: object = None
+
+    @staticmethod
+    def of(growing: dict[int, Growing]) -> Dealt:
+        """Features that a tree may use, in groups of about equally many bins."""
+        def dealt(g: Growing) -> list[np.ndarray]:
+            mine = np.flatnonzero(g.allowed)
+            ends = np.cumsum(g.binning.sizes[mine])
+            return [mine[(ends - 1) * DIRECT // ends[-1] == i] for i in range(DIRECT)]
+        return Dealt({k: dealt(g) for k, g in growing.items()})
+
+    def hold(self, new=None) -> None:
+        if self.held is not None:
+            self.held.unpersist()
+        self.held = new
+
+
+def part_of(binning: Binning, features: np.ndarray) -> Binning:
+    n = len(binning.numbers)
+    return Binning([binning.numbers[f] for f in features if f < n], [binning.categories[f - n] for f in features if f >= n],
+                   [binning.bounds[f] for f in features if f < n], [binning.levels[f - n] for f in features if f >= n])
+
+
+def passed(blocks, fit: str, asks: list[Ask], binning: Binning, dealt: Dealt) -> list[tuple]:
+    """One job: for each ask deviance and number of the validation rows, and the best
+    splits of the leaves that its tree wants and of their siblings. What comes to the
+    driver is a split for each leaf and group of features."""
+    sizes = binning.sizes
+    offsets, width = np.cumsum(sizes) - sizes, int(sizes.sum())
+    places = np.split(np.arange(width), offsets[1:])
+    lean = [replace(a, growing=replace(a.growing.lean(), found={})) for a in asks]
+    groups = [dealt.groups[a.model] for a in asks]
+
+    def run(index: int, part: Iterator[Block]) -> Iterator[tuple]:
+        sums = [np.zeros((len(a.growing.wanted), width, 3)) for a in lean]
+        loss, seen = [0.0] * len(lean), [0] * len(lean)
+        for b in part:
+            for k, a in enumerate(lean):
+                if b.valid and not a.measure:
+                    continue
+                score = score_of(fit, b, a.model, a.trees)
+                if b.valid:
+                    loss[k] += a.growing.settings.deviance(b.y, score)
+                    seen[k] += len(b.y)
+                else:
+                    sums[k] += sums_of(b, a, score, offsets, width)
+        for k, a in enumerate(lean):
+            total = sums[k][:, places[0]].sum(axis=1)
+            for g, features in enumerate(groups[k]):
+                own = sums[k][:, np.concatenate([places[f] for f in features])] if len(features) else None
+                yield (a.model, g), (index, own, total, loss[k], seen[k])
+    new = blocks.mapPartitionsWithIndex(run).partitionBy(DIRECT, group_of)
+    merge = _merged({a.model: (a, a.growing.families(), set(b.growing.found), gs, [part_of(binning, f) for f in gs])
+                     for a, b, gs in zip(lean, asks, groups, strict=True)})
+    made = (new if dealt.held is None else dealt.held.union(new)).mapPartitions(merge, True).persist(StorageLevel.MEMORY_AND_DISK)
+    got = made.map(lambda r: (r[0], r[1][1])).collect()
+    dealt.hold(made)
+    out = []
+    for a in asks:
+        mine = sorted((key[1], x) for key, x in got if key[0] == a.model)
+        best: dict[int, tuple | None] = {}
+        for _, (_, _, found) in mine:  # by rising feature: ties go to the first
+            for node, x in found:
+                if best.get(node) is None or x is not None and x[0] > best[node][0]:
+                    best[node] = x
+        for node, x in best.items():
+            if x is not None:
+                gain, f, left, children = x
+                left = np.unpackbits(np.frombuffer(left, np.uint8), count=int(sizes[f])).astype(bool)
+                best[node] = (gain, f, left, np.frombuffer(children).reshape(2, 3))
+        out.append((mine[0][1][0], mine[0][1][1], best))
+    return out
+
+
+def _merged(asked: dict[int, tuple]):
+    """What adds the tasks' sums of a group to those held, always in the tasks' order,
+    and searches the new leaves."""
+    def run(rows: Iterator[tuple]) -> Iterator[tuple]:
+        new, held = {}, {}
+        for key, value in rows:
+            if key[0] not in asked:
+                continue  # its tree is done
+            if len(value) == 2:
+                held[key] = value[0]
+            else:
+                new.setdefault(key, []).append(value)
+        for (model, g), got in new.items():
+            ask, families, known, groups, parts = asked[model]
+            got.sort(key=lambda x: x[0])
+            loss, seen, now, found = sum(x[3] for x in got), sum(x[4] for x in got), dict(held.get((model, g), {})), []
+            fresh = {}
+            if len(groups[g]):
+                sums, total = sum(x[1] for x in got), sum(x[2] for x in got)
+                for k, (node, sibling, parent) in enumerate(families):
+                    fresh[node] = (sums[k], total[k])
+                    if parent is not None:
+                        whole = now.pop(parent)
+                        fresh[sibling] = (whole[0] - sums[k], whole[1] - total[k])
+                fresh = {n: x for n, x in fresh.items() if n not in known}
+                now.update(fresh)
+            best = best_splits(np.array([x[0] for x in fresh.values()]), parts[g], ask.growing.settings,
+                               ask.growing.allowed[groups[g]], np.array([x[1] for x in fresh.values()])) if fresh else []
+            for node, x in zip(fresh, best, strict=True):
+                found.append((node, x and (x[0], int(groups[g][x[1]]), np.packbits(x[2]).tobytes(), x[3].tobytes())))
+            yield (model, g), (now, (loss, seen, found))
+    return run
 
 
 # ---------------------------------------------------------------------------
@@ -512,7 +640,8 @@ class BoostedModel:
 
 
 def blocks_of(df: DataFrame, valid: bool, binning: Binning, key: list[str], target: str, starts: list[float]):
-    """The binned rows, written in blocks, as an RDD of Block; at least BLOCK rows a partition."""
+    """The binned rows, written in blocks, as an RDD of Block; at least BLOCK rows a
+    partition, and no more partitions than cores: what a pass moves grows with them."""
     spark, first = df.sparkSession, (1 << 40 if valid else 0)
     ship_package(spark)
 
@@ -545,7 +674,7 @@ def blocks_of(df: DataFrame, valid: bool, binning: Binning, key: list[str], targ
         y = np.frombuffer(r["y"], np.float64)
         return Block(r["number"], valid, np.frombuffer(r["bins"], kind).reshape(-1, wide), y,
                      np.frombuffer(r["mark"], np.uint64), [np.full(len(y), s) for s in starts])
-    return made.coalesce(parts).rdd.map(block_of)
+    return made.coalesce(min(parts, max(2, spark.sparkContext.defaultParallelism))).rdd.map(block_of)
 
 
 def boost(train: DataFrame, valid: DataFrame | None, settings: list[Settings], numbers: list[str], categories: list[str],
@@ -570,6 +699,8 @@ def boost(train: DataFrame, valid: DataFrame | None, settings: list[Settings], n
     whole = blocks.getNumPartitions() == 1
     if valid is not None:
         blocks = blocks.union(blocks_of(valid, True, binning, key, target, starts))
+    if not whole:
+        blocks = blocks.coalesce(max(2, spark.sparkContext.defaultParallelism))
     blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
     n = len(settings)
     fit, written = uuid.uuid4().hex, 0
@@ -584,10 +715,12 @@ def boost(train: DataFrame, valid: DataFrame | None, settings: list[Settings], n
         return np.isin(np.arange(wide), some)
     for k in active:
         growing[k] = Growing(settings[k], binning, features(k, 0))
+    dealt, waiting = Dealt.of(growing), set()  # models whose tree of the round is done
     while active:
         asks = [Ask(k, len(trees[k]), sent[k][written:], growing[k], valid is not None and growing[k].wanted == [0], whole)
-                for k in sorted(active)]
-        for a, (sums, loss, seen, tree) in zip(asks, passed(blocks, fit, asks, binning.sizes), strict=True):
+                for k in sorted(active - waiting)]
+        got = grown(blocks, fit, asks, binning.sizes) if whole else passed(blocks, fit, asks, binning, dealt)
+        for a, (loss, seen, found) in zip(asks, got, strict=True):
             k, g = a.model, growing[a.model]
             if a.measure and seen:  # of the rounds so far
                 if loss / seen < least[k] - 1e-12 * abs(least[k] if math.isfinite(least[k]) else 0.0):
@@ -595,8 +728,10 @@ def boost(train: DataFrame, valid: DataFrame | None, settings: list[Settings], n
                 elif len(trees[k]) - best[k] >= settings[k].patience:
                     active.discard(k)
                     continue
-            if tree is None:
-                g.take(sums)
+            if whole:
+                tree = found
+            else:
+                g.learn(found)
                 tree = g.choose()
             if tree is None:
                 continue
@@ -608,10 +743,15 @@ def boost(train: DataFrame, valid: DataFrame | None, settings: list[Settings], n
             if len(trees[k]) == settings[k].max_rounds and valid is None:
                 active.discard(k)
             growing[k] = Growing(settings[k], binning, features(k, len(trees[k])))
+            waiting.add(k)
+        if active <= waiting:
+            dealt.hold()
+            dealt, waiting = Dealt.of(growing), set()
         low = min((len(trees[k]) for k in active), default=0)
         if low - written >= KEEP:
             blocks, fit, written = _written(blocks, [t[written:low] for t in trees]), uuid.uuid4().hex, low
     blocks.unpersist()
+    dealt.hold()
     return [BoostedModel(s, binning, starts[k], trees[k][:best[k]] if valid is not None else trees[k])
             for k, s in enumerate(settings)]
 

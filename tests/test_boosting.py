@@ -5,6 +5,7 @@ import pickle
 
 import numpy as np
 import pytest
+from pyspark import RDD
 from pyspark.sql import functions as F
 
 from patronage.config import CATEGORICAL_FEATURES
@@ -160,6 +161,27 @@ def test_spread_rows_give_the_trees_of_one_partition(spark, monkeypatch):
             assert list(x.values.values()) == pytest.approx(list(y.values.values()))
 
 
+def test_the_driver_gets_splits_and_not_sums(spark, monkeypatch):
+    """The sums of a leaf, 24 bytes a bin, stay in the tasks, however many partitions there are."""
+    train, valid = panel(spark, 3000, 1, levels=1200).repartition(6), panel(spark, 500, 2)
+    got, collect = [], RDD.collect
+    monkeypatch.setattr(RDD, "collect", lambda self: (got.append(collect(self)), got[-1])[1])
+    monkeypatch.setattr(B, "BLOCK", 300)
+    s = [B.Settings(loss=x, rate=0.2, max_rounds=3, min_leaf=20, patience=3) for x in ("tweedie", "squared")]
+    assert B.boost(train, valid, s, ["x"], ["c"], ["customer_unique_id"])[0].rounds > 0
+    bins = B.Binning.fit(train, ["x"], ["c"]).sizes.sum()
+    assert got and max(len(pickle.dumps(x)) for x in got) < bins * 24
+
+
+def test_partitions_are_no_more_than_cores(spark, monkeypatch):
+    monkeypatch.setattr(B, "BLOCK", 10)
+    train = panel(spark, 1000, 6).repartition(30)
+    binning = B.Binning.fit(train, ["x"], ["c"])
+    blocks = B.blocks_of(train, False, binning, ["customer_unique_id"], "target", [0.0])
+    assert 1 < blocks.getNumPartitions() <= max(2, spark.sparkContext.defaultParallelism)
+    assert blocks.map(lambda b: len(b.y)).sum() == 1000
+
+
 @pytest.mark.parametrize("loss", ["tweedie", "squared"])
 def test_boosting_takes_many_levels_and_stops_at_the_best_round(spark, loss):
     def wide(df):
