@@ -4,6 +4,9 @@ from patronage.config import TESTDATA_PARAMS
 from patronage.context import Context
 from patronage.operators import quality as QA
 from patronage.operators.clean import Ledger, clean_customers
+from patronage.registry import csv_root
+from patronage.sources.files import load_table
+from patronage.sources.specs import TABLES
 from patronage.sources.testdata import canonical_tables
 
 SF = "/root/testdata/sf0.001"
@@ -49,3 +52,14 @@ def test_ledger_of_duplicates_and_nulls(spark):
     led = Ledger()
     assert clean_customers(df.limit(0), led).count() == 0
     assert [tuple(r)[3:] for r in led.frame().collect()] == [(0, 0, 0, 0.0), (0, 0, 0, 0.0)]
+
+
+def test_raw_tables_are_written_compressed_and_come_back(spark):
+    ctx = Context(spark, "made-up", TESTDATA_PARAMS)
+    n = {s.name: 40 * (i + 1) for i, s in enumerate(TABLES)}
+    ctx._memo["raw"] = {s.name: spark.createDataFrame([(None,) * len(s.schema.fields)] * n[s.name], s.schema) for s in TABLES}
+    root = csv_root(ctx)
+    for s in TABLES:
+        files = [f for f in spark.read.format("binaryFile").load(f"{root}/{s.filename}").select("path").toPandas()["path"]]
+        assert files and all(f.endswith(".csv.gz") for f in files), s.name
+        assert load_table(spark, s, root, "csv").count() == n[s.name]
