@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import Column, DataFrame
@@ -245,9 +245,12 @@ def fit_tweedie_glm(train: DataFrame, power: float = TWEEDIE_POWER, reg: float =
     glm = GeneralizedLinearRegression(family="tweedie", variancePower=power, linkPower=0.0, labelCol="__y",
                                       featuresCol="scaled", predictionCol="prediction", maxIter=max_iter,
                                       regParam=reg)
-    stages = feature_pipeline() + [StandardScaler(inputCol="features", outputCol="scaled", withMean=False), glm]
-    model = Pipeline(stages=stages).fit(_prep(train).withColumn("__y", F.col("target") / c))
-    return ScaledModel(model, float(c))
+    rows = _prep(train).withColumn("__y", F.col("target") / c)
+    stages = feature_pipeline() + [StandardScaler(inputCol="features", outputCol="scaled", withMean=False)]
+    prepared = Pipeline(stages=stages).fit(rows)
+    # Each of the solver's passes reads its rows again: written features are coded once.
+    fitted = glm.fit(materialize(prepared.transform(rows).select("scaled", "__y")))
+    return ScaledModel(PipelineModel([*prepared.stages, fitted]), float(c))
 
 
 def fit_boosted(train: DataFrame, valid: DataFrame | None, **settings) -> dict[str, BoostedModel]:

@@ -4,7 +4,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from patronage.config import CATEGORICAL_FEATURES
 from patronage.operators import models as MD
+from patronage.operators.panel import NUMERIC_FEATURES
 
 
 def customers(n=6000, r=0.9, alpha=60.0, a=0.9, b=2.5, seed=1):
@@ -45,3 +47,24 @@ def test_expected_purchases_are_worked_out_once_for_equal_customers(spark):
     # small steps of time add up: the derivative of the mean at 0 is the current rate if alive
     tiny = MD.expected_counts(np.array([2.0]), np.array([20.0]), np.array([100.0]), params, 1e-4)[0]
     assert 0 < tiny < 1e-4 * (0.7 + 2) / 400
+
+
+def test_solver_passes_do_not_read_the_panel_again(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, float(rng.random()), f"c{rng.integers(4)}", float(rng.gamma(2.0)) if rng.random() < 0.7 else 0.0) for i in range(300)]
+    cols = {f: F.lit(1.0) for f in NUMERIC_FEATURES} | {f: F.lit("same") for f in CATEGORICAL_FEATURES}
+    train = spark.createDataFrame(rows, "customer_unique_id long, x double, c string, target double") \
+        .withColumns(cols | {NUMERIC_FEATURES[0]: F.col("x"), CATEGORICAL_FEATURES[0]: F.col("c")}).drop("x", "c")
+
+    def reads(passes):
+        seen = spark.sparkContext.accumulator(0)
+
+        def run(batches, total=seen):
+            for b in batches:
+                total.add(b.num_rows)
+                yield b
+        model = MD.fit_tweedie_glm(train.mapInArrow(run, train.schema), max_iter=passes)
+        n = seen.value
+        assert np.isfinite(model.transform(train).select("prediction").toPandas()["prediction"]).all()
+        return n
+    assert reads(1) == reads(5)
