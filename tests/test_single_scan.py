@@ -1,9 +1,14 @@
 """Cleaning reads each source once; ledger and report come from what was written."""
 
+import pytest
+
 from patronage.config import TESTDATA_PARAMS
 from patronage.context import Context
+from patronage.operators import clean as CL
+from patronage.operators import marts as MT
 from patronage.operators import quality as QA
 from patronage.operators.clean import Ledger, clean_customers
+from patronage.plans import joins as JN
 from patronage.registry import csv_root
 from patronage.sources.files import load_table
 from patronage.sources.specs import TABLES
@@ -63,3 +68,41 @@ def test_raw_tables_are_written_compressed_and_come_back(spark):
         files = [f for f in spark.read.format("binaryFile").load(f"{root}/{s.filename}").select("path").toPandas()["path"]]
         assert files and all(f.endswith(".csv.gz") for f in files), s.name
         assert load_table(spark, s, root, "csv").count() == n[s.name]
+
+
+def exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    return [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+
+
+def key_rows():
+    """Each line twice, a third row of every fifth line, one key and the null key very often."""
+    rows = [(i, 1, x) for i in range(300) for x in (1.0, 1.0, *([0.5] if i % 5 == 0 else []))]
+    return rows + [(7, 1, float(i % 9)) for i in range(900)] + [(None, None, float(i % 4)) for i in range(500)] + [(None, 1, None)]
+
+
+@pytest.mark.parametrize("few", [1, 1 << 14])
+def test_duplicates_are_moved_once_by_key_and_frequent_keys_apart(spark, monkeypatch, few):
+    monkeypatch.setattr(CL, "FEW", few)
+    monkeypatch.setattr(JN, "PART_ROWS", 100)
+    df = spark.createDataFrame(key_rows(), "k long, line short, x double")
+    got = CL._collapsed(df, ["k", "line"], ["x"])
+    assert len(exchanges(got)) == (1 if few > 1 else 3)
+    want = {}
+    for k, line, x in key_rows():
+        want.setdefault((k, line), []).append(x)
+    assert {(r["k"], r["line"]): (r["x"], r["__n"], r["__d"]) for r in got.collect()} == {
+        key: (min(v, key=lambda x: (x is not None, x)), len(v), len(set(v))) for key, v in want.items()}
+    assert got.count() == len(want)
+    assert CL._collapsed(df.limit(0), ["k", "line"], ["x"]).count() == 0
+
+
+def test_parts_grow_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(JN, "PART_ROWS", 100)
+    assert JN.parts_of(spark.range(1001)) == 11
+    assert JN.parts_of(spark.range(5)) == 4
+
+
+def test_lines_are_moved_once_to_orders(spark):
+    ctx = Context(spark, SF, TESTDATA_PARAMS)
+    assert len(exchanges(MT.build_orders(ctx.transactions))) == 1
