@@ -1,6 +1,10 @@
 """Cleaning reads each source once; ledger and report come from what was written."""
 
+import itertools
+import re
+
 import pytest
+from pyspark.sql import functions as F
 
 from patronage.config import TESTDATA_PARAMS
 from patronage.context import Context
@@ -106,3 +110,44 @@ def test_parts_grow_with_the_rows(spark, monkeypatch):
 def test_lines_are_moved_once_to_orders(spark):
     ctx = Context(spark, SF, TESTDATA_PARAMS)
     assert len(exchanges(MT.build_orders(ctx.transactions))) == 1
+
+
+def test_duplicates_are_counted_in_one_sort(spark, monkeypatch):
+    monkeypatch.setattr(JN, "PART_ROWS", 100)
+    rows = [(1, 0.0, "b"), (1, -0.0, "b"), (1, None, "z"), (1, 0.0, None), (2, float("nan"), "a"), (2, float("nan"), "a"),
+            (2, 9.0, "c"), (None, 3.0, "d"), (None, 3.0, "d"), (3, -0.0, "e")]
+    df = spark.createDataFrame(rows, "k long, x double, s string")
+    got = CL._collapsed(df, ["k"], ["x"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 1 and "Aggregate" not in plan
+    assert {r["k"]: tuple(r)[1:] for r in got.collect()} == {
+        1: (None, "z", 4, 3), 2: (9.0, "c", 3, 2), None: (3.0, "d", 2, 1), 3: (0.0, "e", 1, 1)}
+    assert sorted(map(str, got.collect())) == sorted(map(str, CL._added_up(df, ["k"], ["x"]).collect()))
+
+
+def test_lines_are_not_moved_by_customer_nor_dropped_payments_added_up(spark):
+    ctx = Context(spark, SF, TESTDATA_PARAMS)
+    clean = ctx.clean
+    two = clean["customers"].limit(1).withColumn("customer_unique_id", F.lit(-1).cast("long"))   # an order of two customers
+    clean = {**clean, "customers": clean["customers"].where(F.col("customer_id") % 3 != 0).unionByName(two)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        made = MT.build_transactions(clean)
+        lines = made._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].splitlines()
+        depth = [re.search(r"[A-Za-z]", x).start() if re.search(r"[A-Za-z]", x) else 0 for x in lines]
+        at = next(i for i, x in enumerate(lines) if "SortMergeJoin [customer_id" in x)
+        below = list(itertools.takewhile(lambda i: depth[i] > depth[at], range(at + 1, len(lines))))
+        assert below and not any("price" in lines[i] for i in below)
+        assert any("LeftSemi" in x for x in lines)
+        got = made.select("order_id", "order_item_id", "customer_unique_id", "payment_total").collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    pays, people = {}, {}
+    for r in clean["order_payments"].collect():
+        pays[r["order_id"]] = pays.get(r["order_id"], 0.0) + r["payment_value"]
+    for r in clean["customers"].collect():
+        people.setdefault(r["customer_id"], []).append(r["customer_unique_id"])
+    orders = {r["order_id"]: r["customer_id"] for r in clean["orders"].collect()}
+    want = [(r["order_id"], r["order_item_id"], c, round(pays[r["order_id"]], 4)) for r in clean["order_items"].collect()
+            if r["order_id"] in orders for c in people.get(orders[r["order_id"]], [])]
+    assert want and sorted((a, b, c, round(d, 4)) for a, b, c, d in got) == sorted(want)
