@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -142,6 +143,39 @@ def test_bootstrap_against_brute_force(spark, monkeypatch):
     assert bootstrap(df.limit(0), n_boot, 7, 0.1).count() == 0
 
 
+def test_weights_equal_plain_integer_arithmetic():
+    from patronage.plans.replicates import LIMITS, PRIME, REPLICATE_STEP, SEED_STEP
+    h1, h2 = [0, 1, (1 << 28) - 1, 123_456_789], [(1 << 28) - 1, 0, 77, 200_000_001]
+    for seed in (0, 7, -3):
+        got = draws(np.array(h1), np.array(h2), 500, seed)
+        want = [[sum(pow(pow(a + b * REPLICATE_STEP + seed * SEED_STEP, 5, PRIME) + c, 5, PRIME) >= t for t in LIMITS)
+                 for b in range(1, 501)] for a, c in zip(h1, h2, strict=True)]
+        assert (got == np.array(want)).all()
+
+
+@pytest.mark.parametrize("ties", [False, True])
+def test_bootstrap_moves_rows_and_not_rows_times_replicates(spark, monkeypatch, ties):
+    """Every customer returns: each row is written once, and its ranks in all replicates are right over several ranges."""
+    from patronage.plans import replicates
+    written, write = [], replicates.materialize
+    monkeypatch.setattr(replicates, "materialize", lambda df: (written.append(write(df)), written[-1])[1])
+    monkeypatch.setattr(replicates, "RANGE", 700, raising=False)
+    rng = np.random.default_rng(5)
+    n, n_boot = 2000, 60
+    y, p = (rng.choice([-2.0, -1.0, 1.0, 2.0], n), rng.integers(0, 6, n).astype(float)) if ties else (rng.normal(size=n), rng.normal(size=n))
+    keys = [f"k{i:04d}" for i in range(n)] + [None]  # without key a row has no weight
+    df = spark.createDataFrame([("m", k, float(y[i % n]), float(p[i % n])) for i, k in enumerate(keys)] +
+                               [("none positive", keys[0], -1.0, 2.0)], "model string, key string, y double, p double")
+    got = {r["replicate"]: r["spearman"] for r in bootstrap(df, n_boot, 2, 0.1).collect() if r["model"] == "m"}
+    assert max(w.count() for w in written) < 2 * n + 3 * 6 * n_boot
+    pdf = df.where("model = 'm' and key is not null").withColumns(key_hashes("key")).toPandas().sort_values("key")
+    w = draws(pdf["__h1"].to_numpy(), pdf["__h2"].to_numpy(), n_boot, 2).astype(int)
+    assert len(got) == n_boot
+    for b in range(n_boot):
+        at = np.repeat(np.arange(n), w[:, b])
+        assert got[b + 1] == pytest.approx(np.corrcoef(pd.Series(y[at]).rank(), pd.Series(p[at]).rank())[0, 1], abs=1e-9)
+
+
 def test_bgnbd_likelihood_catalyst_equals_numpy(spark):
     import numpy as np
     rows = [(0, 0.0, 30.0), (1, 10.0, 50.0), (4, 100.0, 300.0), (12, 250.0, 260.0)]
