@@ -16,8 +16,9 @@ pass for the next root measures the validation rows.
 
 Which rows a round uses follows from a hash of their key, which features from a
 seeded draw: neither depends on how rows are spread. Scores are kept with the
-blocks and written every ``KEEP`` rounds; a worker remembers newer ones and works
-them out again from the trees where it lost them.
+blocks, which take in a round's trees in the pass for the next root, and are written
+every ``KEEP`` rounds. Where one partition holds all training rows, scores newer than
+the written ones are what a worker remembers, or works out again from the trees.
 """
 
 from __future__ import annotations
@@ -186,6 +187,23 @@ def leaves_of(splits: list[Split], bins: np.ndarray, rows: np.ndarray) -> dict[i
     return at
 
 
+def rows_of(splits: list[Split], wanted: list[int], bins: np.ndarray, rows: np.ndarray) -> dict[int, np.ndarray]:
+    """The rows of each leaf wanted, without dealing out others; ``splits`` has parents before children."""
+    above, needed = {c: s.node for s in splits for c in (s.left, s.right)}, set(wanted)
+    for node in wanted:
+        while node in above and above[node] not in needed:
+            node = above[node]
+            needed.add(node)
+    at = {0: rows}
+    for s in splits:
+        ways = [c for c in (s.left, s.right) if c in needed]
+        if ways:
+            own = at[s.node] if s.node in wanted else at.pop(s.node)
+            left = s.left_bins[bins[own, s.feature]]
+            at.update((c, own[left if c == s.left else ~left]) for c in ways)
+    return at
+
+
 def best_splits(sums: np.ndarray, binning: Binning, s: Settings, allowed: np.ndarray,
                 total: np.ndarray | None = None) -> list[tuple | None]:
     """(gain, feature, left bins, sums of the children) of the best split of each
@@ -352,6 +370,8 @@ _REMEMBERED: OrderedDict = OrderedDict()
 
 def score_of(fit: str, block: Block, model: int, trees: list[bytes]) -> np.ndarray:
     """The block's score under a model after the trees (pickled) made since it was written."""
+    if not trees:
+        return block.scores[model]
     key = (fit, block.number, model)
     done, score = _REMEMBERED.pop(key, (0, block.scores[model]))
     if done > len(trees):
@@ -389,25 +409,27 @@ class Ask:
 
 
 def sums_of(block: Block, ask: Ask, score: np.ndarray, offsets: np.ndarray, width: int) -> np.ndarray:
-    """(leaves wanted, bins, 3) of one block."""
+    """(leaves wanted, bins, 3) of one block, for the features that the tree may use and the first, which gives totals."""
     settings, wanted = ask.growing.settings, ask.growing.wanted
     rows = sampled(block.mark, ask.turn, settings)
-    at = leaves_of(ask.growing.splits, block.bins, rows)
+    at = rows_of(ask.growing.splits, wanted, block.bins, rows)
     out = np.zeros((len(wanted), width, 3))
-    g, h = settings.slopes(block.y, score)
+    used = np.flatnonzero(ask.growing.allowed | (np.arange(len(offsets)) == 0))
+    ends = [*offsets[1:], width]
     for k, node in enumerate(wanted):
         own = at[node]
+        g, h = settings.slopes(block.y[own], score[own])
         if len(own) > FEW:  # a feature at a time: the same sums without a copy of each weight for every feature
-            bins, weights = np.ascontiguousarray(block.bins[own].T), (g[own], h[own])
-            for f, (a, b) in enumerate(zip(offsets, [*offsets[1:], width], strict=True)):
-                of = bins[f].astype(np.intp)
-                for j, weight in enumerate(weights):
+            bins = np.ascontiguousarray(block.bins[own].T)
+            for f in used:
+                of, a, b = bins[f].astype(np.intp), offsets[f], ends[f]
+                for j, weight in enumerate((g, h)):
                     out[k, a:b, j] = np.bincount(of, weight, b - a)
                 out[k, a:b, 2] = np.bincount(of, minlength=b - a)
         elif len(own):
-            flat = (block.bins[own] + offsets).ravel()
-            for j, weight in enumerate((g[own], h[own])):
-                out[k, :, j] = np.bincount(flat, np.repeat(weight, len(offsets)), width)
+            flat = (block.bins[own][:, used] + offsets[used]).ravel()
+            for j, weight in enumerate((g, h)):
+                out[k, :, j] = np.bincount(flat, np.repeat(weight, len(used)), width)
             out[k, :, 2] = np.bincount(flat, minlength=width)
     return out
 
@@ -716,10 +738,14 @@ def boost(train: DataFrame, valid: DataFrame | None, settings: list[Settings], n
     for k in active:
         growing[k] = Growing(settings[k], binning, features(k, 0))
     dealt, waiting = Dealt.of(growing), set()  # models whose tree of the round is done
+    old = None  # blocks that are needed until the next pass has made the newer ones
     while active:
         asks = [Ask(k, len(trees[k]), sent[k][written:], growing[k], valid is not None and growing[k].wanted == [0], whole)
                 for k in sorted(active - waiting)]
         got = grown(blocks, fit, asks, binning.sizes) if whole else passed(blocks, fit, asks, binning, dealt)
+        if old is not None:
+            old.unpersist()
+            old = None
         for a, (loss, seen, found) in zip(asks, got, strict=True):
             k, g = a.model, growing[a.model]
             if a.measure and seen:  # of the rounds so far
@@ -748,19 +774,29 @@ def boost(train: DataFrame, valid: DataFrame | None, settings: list[Settings], n
             dealt.hold()
             dealt, waiting = Dealt.of(growing), set()
         low = min((len(trees[k]) for k in active), default=0)
-        if low - written >= KEEP:
-            blocks, fit, written = _written(blocks, [t[written:low] for t in trees]), uuid.uuid4().hex, low
+        new = [t[written:low] for t in trees]
+        if low // KEEP > written // KEEP:
+            blocks, fit, written = _written(blocks, new), uuid.uuid4().hex, low
+        elif low > written and not whole:
+            old, blocks, written = blocks, _advanced(blocks, new), low
     blocks.unpersist()
+    if old is not None:
+        old.unpersist()
     dealt.hold()
     return [BoostedModel(s, binning, starts[k], trees[k][:best[k]] if valid is not None else trees[k])
             for k, s in enumerate(settings)]
 
 
-def _written(blocks, new: list[list[Tree]]):
-    """The blocks with newer scores, written to the shared folder."""
+def _advanced(blocks, new: list[list[Tree]]):
+    """The blocks with newer scores, made in the next job."""
     def advance(b: Block) -> Block:
         return replace(b, scores=[s + sum(t.score(b.bins) for t in ts) for s, ts in zip(b.scores, new, strict=True)])
-    made = blocks.map(advance).persist(StorageLevel.MEMORY_AND_DISK)
+    return blocks.map(advance).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _written(blocks, new: list[list[Tree]]):
+    """The blocks with newer scores, written to the shared folder."""
+    made = _advanced(blocks, new)
     made.checkpoint()
     made.count()
     blocks.unpersist()

@@ -161,6 +161,31 @@ def test_spread_rows_give_the_trees_of_one_partition(spark, monkeypatch):
             assert list(x.values.values()) == pytest.approx(list(y.values.values()))
 
 
+def test_a_pass_over_spread_rows_works_no_tree_out_again(spark, monkeypatch):
+    """Blocks take in each tree once, so a pass costs the same in whichever worker a block comes to."""
+    sent, passed = [], B.passed
+    monkeypatch.setattr(B, "passed", lambda blocks, fit, asks, *a: (sent.extend(len(x.trees) for x in asks), passed(blocks, fit, asks, *a))[1])
+    monkeypatch.setattr(B, "BLOCK", 300)
+    s = [B.Settings(rate=0.2, max_rounds=5, min_leaf=20), B.Settings(loss="squared", rate=0.2, max_rounds=3, min_leaf=20)]
+    made = B.boost(panel(spark, 1500, 1).repartition(6), None, s, ["x"], ["c"], ["customer_unique_id"])
+    assert [m.rounds for m in made] == [5, 3] and len(sent) > 5 and max(sent) == 0
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_rows_of_wanted_leaves(seed):
+    rng = np.random.default_rng(seed)
+    bins, splits, leaves = rng.integers(0, 6, (300, 3)).astype(np.uint8), [], [0]
+    for k in range(8):
+        node = leaves.pop(int(rng.integers(len(leaves))))
+        splits.append(B.Split(node, int(rng.integers(3)), 1.0, rng.random(6) < 0.5, 2 * k + 1, 2 * k + 2, np.zeros((2, 3))))
+        leaves += [2 * k + 1, 2 * k + 2]
+    rows = np.flatnonzero(rng.random(300) < 0.8)
+    every = B.leaves_of(splits, bins, rows)
+    for wanted in ([0], leaves[:1], leaves[1::2], leaves):
+        got = B.rows_of(splits if wanted != [0] else [], wanted, bins, rows)
+        assert all(got[n].tolist() == (every[n] if n else rows).tolist() for n in wanted)
+
+
 def test_the_driver_gets_splits_and_not_sums(spark, monkeypatch):
     """The sums of a leaf, 24 bytes a bin, stay in the tasks, however many partitions there are."""
     train, valid = panel(spark, 3000, 1, levels=1200).repartition(6), panel(spark, 500, 2)
